@@ -98,7 +98,7 @@ def small_enough_to_broadcast(df: DataFrame) -> bool:
     """Catalyst's size estimate against spark.sql.autoBroadcastJoinThreshold (exact for written tables)."""
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) <= int(threshold)
+    return int(str(size)) <= int(threshold)
 
 
 def effective_windows(windows: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:

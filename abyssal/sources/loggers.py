@@ -185,7 +185,7 @@ def parse_hobo(lines: DataFrame) -> DataFrame:
     body = lines.join(heads, [KEY, "file_path"]).where("block_start > 0 OR line_id > first_id + 1")
     return body.select(
         KEY,
-        from_micros(micros(stamp) + F.col("offset_min") * F.lit(60_000_000)).alias("ts"),
+        from_micros(micros(stamp) + F.col("offset_min").cast("bigint") * F.lit(60_000_000)).alias("ts"),
         "location",
         number(F.get(f, F.col("do_at"))).alias("oxygen_mgl"),
         fahrenheit_to_celsius(number(F.get(f, F.col("temp_at")))).alias("temp_degc"),

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abyssal.schemas import KEY
 
@@ -14,6 +15,8 @@ OUTPUT_TABLES = (
     "scan_windows", "rga_scans", "chamber_cycles", "fluxes", "metabolism", "pi_fit", "deployment", "processing",
 )
 FORMATS = ("parquet", "csv")
+# Microseconds survive CSV only with an explicit pattern.
+CSV_OPTIONS = {"header": True, "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
 
 def _path(out: str, name: str, fmt: str) -> str:
@@ -35,7 +38,7 @@ def durations_to_seconds(df: DataFrame) -> DataFrame:
     """Day-time intervals as seconds: neither CSV nor Parquet carries them across engines."""
     out = df
     for field in df.schema.fields:
-        if field.dataType.typeName().startswith("interval"):
+        if isinstance(field.dataType, T.DayTimeIntervalType):
             epoch = F.lit("1970-01-01 00:00:00").cast("timestamp")
             out = out.withColumn(field.name, F.unix_micros(epoch + F.col(field.name)) / F.lit(1e6))
     return out
@@ -62,7 +65,7 @@ def write_table(df: DataFrame, out: str, name: str, fmt: str = "parquet") -> Non
     flat = durations_to_seconds(df)
     for f in FORMATS if fmt == "both" else (fmt,):
         writer = flat.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY)
-        writer.option("header", True).format(f).save(_path(out, name, f))
+        (writer.options(**CSV_OPTIONS) if f == "csv" else writer).format(f).save(_path(out, name, f))
 
 
 def write_tables(tables: dict[str, DataFrame], out: str, fmt: str = "parquet") -> None:
@@ -76,7 +79,7 @@ def load_table(spark: SparkSession, out: str, name: str, schema=None) -> DataFra
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(_path(out, name, "parquet"))
     if exists(spark, _path(out, name, "csv")):
-        reader = spark.read.option("header", True)
+        reader = spark.read.options(**CSV_OPTIONS)
         reader = reader.option("inferSchema", True).option("inferTimestampNTZ", True) if schema is None else reader.schema(schema)
         return reader.csv(_path(out, name, "csv"))
     return None

@@ -287,10 +287,10 @@ def event_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(deployment, file name, order, text) of every raw file, one rotation per day."""
+    """(deployment, file name, order, text) of every raw file, one rotation per week."""
     e = events(spark, sf_dir).withColumn("t", stamp(F.col("ts")))
     k = F.col("k")
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = F.date_format(F.date_trunc("week", F.col("ts").cast("timestamp")), "yyyy-MM-dd")
     surface = F.col("event_type") == "error"
     text = lambda c: c.cast("string")
     scan = [
