@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from abyssal import standin
+from abyssal.functions.common import write_and_read
 from abyssal.functions.scalars import counts_to_amps, counts_to_torr
 from abyssal.operators import cycles
 from abyssal.operators.aggregate import aggregate_onto_windows, discover_masses, mass_means, stream_means
@@ -30,12 +31,21 @@ def readings(spark, d):
     return standin.streams(spark, d, "rga", "scalup", "status", "par")
 
 
+def cycles60(spark, d):
+    """Cycle windows as a written table, the way the batch hands them on: computed once, size known."""
+    return write_and_read(cycles.cycle_windows(standin.valve(spark, d), 60.0))
+
+
 def layer_c(spark, d):
-    return aggregate_onto_windows(cycles.cycle_windows(standin.valve(spark, d), 60.0), readings(spark, d), MASSES)
+    return aggregate_onto_windows(cycles60(spark, d), readings(spark, d), MASSES)
+
+
+def staged_layer_c(spark, d):
+    return write_and_read(layer_c(spark, d))
 
 
 def _means(stream, spark, d):
-    windows = cycles.cycle_windows(standin.valve(spark, d), 60.0)
+    windows = cycles60(spark, d)
     return windows.select(D, "window_start").join(
         stream_means(standin.streams(spark, d, *([stream] if stream else [])), windows, MASSES, 1.34e-5, 8.01e-5), [D, "window_start"], "left")
 
@@ -47,7 +57,7 @@ def _from_layer(columns: str) -> str:
 @query("AGG01", f"{D} window_start mass current:4 amps:4@1e16 torr:4@1e12", f"""
 SELECT *, current * 1e-16 AS amps, current * 1e-16 / 8.01e-5 AS torr FROM (SELECT {D}, window_start, mass, avg(current) AS current FROM ({match('rga', 'cycles60')}) GROUP BY ALL)""")
 def window_mass_means(spark, d):
-    rows = mass_means(standin.rga(spark, d), cycles.cycle_windows(standin.valve(spark, d), 60.0))
+    rows = mass_means(standin.rga(spark, d), cycles60(spark, d))
     return rows.withColumns({"amps": counts_to_amps(F.col("current")), "torr": counts_to_torr(F.col("current"), 8.01e-5)})
 
 
@@ -75,8 +85,7 @@ def cycle_averages(spark, d):
 @query("JN09", LAYER_SPEC, "SELECT * FROM layer_b")
 def scan_averages(spark, d):
     """The same aggregation on the scan grain; the four streams meet in one conditional aggregate."""
-    valve = cycles.cycle_windows(standin.valve(spark, d), 60.0)
-    scans = cycles.attach_chamber_context(cycles.scan_windows(standin.rga(spark, d)), valve)
+    scans = write_and_read(cycles.attach_chamber_context(cycles.scan_windows(standin.rga(spark, d)), cycles60(spark, d)))
     return aggregate_onto_windows(scans, readings(spark, d), MASSES)
 
 
@@ -85,20 +94,20 @@ FIT = 'SELECT deployment_id, experiment_number, chamber, trunc(elapsed_us / 1e6)
 
 @query("AGG06", f"{D} experiment_number chamber experiment_start slope:6 r2:5 n", f"""
 SELECT {D}, experiment_number, chamber, min(t) AS experiment_start, regr_slope(y, x) AS slope, regr_r2(y, x) AS r2, count(*) AS n
-FROM ({FIT.format('temp_degC')}) WHERE y IS NOT NULL GROUP BY ALL HAVING regr_slope(y, x) IS NOT NULL""")
+FROM ({FIT.format('temp_degC')}) WHERE y IS NOT NULL GROUP BY ALL HAVING count(DISTINCT x) > 1""")
 def series_fit(spark, d):
     return concentration_series(layer_c(spark, d), "temp_degC")
 
 
 @query("AGG07", f"{D} experiment_number chamber slope:6 intercept:5", f"""
 SELECT {D}, experiment_number, chamber, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept
-FROM ({FIT.format('mass_28_avg')}) WHERE y IS NOT NULL GROUP BY ALL HAVING regr_slope(y, x) IS NOT NULL""")
+FROM ({FIT.format('mass_28_avg')}) WHERE y IS NOT NULL GROUP BY ALL HAVING count(DISTINCT x) > 1""")
 def linear_fits(spark, d):
     return line_fit(layer_c(spark, d), [D, "experiment_number", "chamber"], elapsed_minutes(), F.col("mass_28_avg"))
 
 
 @query("AGG08", f"{D} event_type slope:6 intercept:5 r2:6 n", f"""
-SELECT {D}, event_type, regr_slope(value, k) AS slope, regr_intercept(value, k) AS intercept, regr_r2(value, k) AS r2, count(*) AS n FROM ev GROUP BY ALL HAVING regr_slope(value, k) IS NOT NULL""")
+SELECT {D}, event_type, regr_slope(value, k) AS slope, regr_intercept(value, k) AS intercept, regr_r2(value, k) AS r2, count(*) AS n FROM ev GROUP BY ALL HAVING count(DISTINCT k) > 1""")
 def ols(spark, d):
     return line_fit(standin.events(spark, d), [D, "event_type"], F.col("k").cast("double"), F.col("value"))
 
@@ -108,7 +117,7 @@ CTES["rates"] = f"""
 SELECT {D}, experiment_number, chamber, variable, min(t) AS experiment_start, regr_slope(y, x) AS rate, regr_intercept(y, x) AS intercept, count(*) AS n FROM (
 {' UNION ALL '.join(f"SELECT *, '{v}' AS variable FROM ({FIT.format(v)})" for v in RATE_VARIABLES)} UNION ALL
 {' UNION ALL '.join(f"SELECT *, 'mass_{m}' AS variable FROM ({FIT.format(f'CASE WHEN mass_40_avg <> 0 THEN mass_{m}_avg / mass_40_avg END')})" for m in MASSES if m != 40)})
-WHERE y IS NOT NULL GROUP BY ALL HAVING regr_slope(y, x) IS NOT NULL"""
+WHERE y IS NOT NULL GROUP BY ALL HAVING count(DISTINCT x) > 1"""
 
 
 @query("AGG09", f"{D} experiment_number chamber variable experiment_start rate:5", "SELECT * FROM rates")
@@ -118,7 +127,7 @@ def rates(spark, d):
 
 @query("AGG10", f"{D} experiment_number par_mean_umol_m2_s:4 par_integrated_mol_m2:6 par_coverage:6", "SELECT * FROM exp_par")
 def light_per_experiment(spark, d):
-    s = cycles.experiment_spans(cycles.cycle_windows(standin.valve(spark, d), 60.0), 60.0)
+    s = cycles.experiment_spans(cycles60(spark, d), 60.0)
     return experiment_par(standin.par(spark, d), s)
 
 
@@ -149,7 +158,7 @@ def respiration(spark, d):
 
 @query("AGG24", "variable output_unit", "SELECT DISTINCT variable, output_unit FROM fluxes")
 def units(spark, d):
-    return flux_variable_units(compute_fluxes(layer_c(spark, d)))
+    return flux_variable_units(compute_fluxes(staged_layer_c(spark, d)))
 
 
 @query("SCF16", "mass n", "SELECT mass, count(*) AS n FROM rga GROUP BY ALL")

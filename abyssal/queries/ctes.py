@@ -164,8 +164,7 @@ SELECT deployment_id, experiment_number, chamber, experiment_start, variable, sl
        WHEN 'h_ion' THEN slope * 1000 * {volume} / {area} * 60 ELSE slope * 1e-3 * {volume} / {area} * 60 END AS output_value,
   CASE variable WHEN 'temp_degC' THEN 'degC h-1' ELSE 'mmol m-2 h-1' END AS output_unit
 FROM (SELECT deployment_id, experiment_number, chamber, variable, min("timestamp") AS experiment_start, regr_slope(y, x) AS slope,
-             regr_r2(y, x) AS r2, count(*) AS n_points FROM ({flux_long(source, ratio)}) WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) > 1)
-WHERE slope IS NOT NULL"""
+             regr_r2(y, x) AS r2, count(*) AS n_points FROM ({flux_long(source, ratio)}) WHERE y IS NOT NULL GROUP BY ALL HAVING count(DISTINCT x) > 1)"""
 
 
 CTES["fluxes"] = fluxes("layer_c")

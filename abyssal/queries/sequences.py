@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from abyssal import standin
+from abyssal.functions.common import write_and_read
 from abyssal.functions.text import iso_with_offset
 from abyssal.operators import cycles, ranges, ratios
 from abyssal.operators.aggregate import experiment_context
@@ -22,6 +23,11 @@ CTES["calib"] = CALIBRATION_ROWS
 STREAMS = ("rga", "valve", "scalup", "status", "system_health", "par", "hobo")
 
 
+def _cycles(spark, d, settle):
+    """Cycle windows as a written table: computed once, size known to the optimiser."""
+    return write_and_read(cycles.cycle_windows(standin.valve(spark, d), settle))
+
+
 def _bounds(spark, d):
     return ranges.time_bounds(standin.streams(spark, d))
 
@@ -94,7 +100,7 @@ def whole_days(spark, d):
 SELECT c.{D}, c.experiment_number, c.window_start FROM cycles60 c JOIN spans60 s USING ({D}, experiment_number) JOIN bounds USING ({D})
 WHERE experiment_start BETWEEN greatest(lo, hi - INTERVAL 7 DAY) AND hi""")
 def whole_experiments(spark, d):
-    w = cycles.cycle_windows(standin.valve(spark, d), 60.0)
+    w = _cycles(spark, d, 60.0)
     b = ranges.preset_ranges(_bounds(spark, d)).where("preset = 'Last 7 days'").select(D, F.col("range_start").alias("lo"), F.col("range_end").alias("hi"))
     return ranges.keep_experiments(w, ranges.experiments_in_range(cycles.experiment_spans(w, 60.0), b))
 
@@ -152,7 +158,7 @@ def windows60(spark, d):
 
 @query("SEQ04", f"{D} experiment_number experiment_start experiment_end", "SELECT * FROM spans60")
 def spans(spark, d):
-    return cycles.experiment_spans(cycles.cycle_windows(standin.valve(spark, d), 60.0), 60.0)
+    return cycles.experiment_spans(_cycles(spark, d, 60.0), 60.0)
 
 
 @query("SEQ05", f"{D} segment window_start window_end", f"SELECT {D}, segment, window_start, window_end FROM scan_windows")
@@ -174,7 +180,7 @@ def starts(spark, d):
 @query("SEQ08", f"{D} experiment_number experiment_start", f"""
 SELECT {D}, experiment_number, experiment_start FROM spans60 JOIN bounds USING ({D}) WHERE experiment_start BETWEEN greatest(lo, hi - INTERVAL 24 HOUR) AND hi""")
 def starts_in_range(spark, d):
-    w = cycles.cycle_windows(standin.valve(spark, d), 60.0)
+    w = _cycles(spark, d, 60.0)
     b = ranges.preset_ranges(_bounds(spark, d)).where("preset = 'Last 24 hours'").select(D, F.col("range_start").alias("lo"), F.col("range_end").alias("hi"))
     return ranges.experiments_in_range(cycles.experiment_starts(w, "window_start", settle_s=60.0), b)
 
@@ -184,13 +190,13 @@ def starts_in_range(spark, d):
 
 @query("JN01", f"{D} ts mass current window_start window_end", f"SELECT {D}, ts, mass, current, window_start, window_end FROM ({match('rga', 'cycles60')})")
 def readings_in_windows(spark, d):
-    w = cycles.cycle_windows(standin.valve(spark, d), 60.0)
+    w = _cycles(spark, d, 60.0)
     return match_to_windows(standin.rga(spark, d), w.select(D, "window_start", "window_end"))
 
 
 @query("JN02", f"{D} window_start window_end chamber experiment_number elapsed_us", "SELECT * FROM scan_context")
 def scans_in_cycles(spark, d):
-    return cycles.attach_chamber_context(cycles.scan_windows(standin.rga(spark, d)), cycles.cycle_windows(standin.valve(spark, d), 60.0))
+    return cycles.attach_chamber_context(cycles.scan_windows(standin.rga(spark, d)), _cycles(spark, d, 60.0))
 
 
 CTES["context0"] = f"""
@@ -201,7 +207,7 @@ SELECT {D}, ts, chamber, experiment_number, elapsed, trunc((epoch_us(ts) - epoch
 
 @query("JN03", f"{D} ts chamber experiment_number elapsed_us settled_out", "SELECT *, elapsed AS elapsed_us FROM context0")
 def contexts(spark, d):
-    return experiment_context(standin.scalup(spark, d), cycles.cycle_windows(standin.valve(spark, d), 0.0), 60.0)
+    return experiment_context(standin.scalup(spark, d), _cycles(spark, d, 0.0), 60.0)
 
 
 def nearest(left: str, right: str, value: str, keys: str = D) -> str:
@@ -234,20 +240,20 @@ def oxygen_differences(spark, d):
 SELECT * FROM (SELECT r.*, s.experiment_number, s.experiment_end FROM (SELECT * FROM par WHERE par_umol_m2_s IS NOT NULL) r
 ASOF JOIN spans60 s ON r.{D} = s.{D} AND r.ts >= s.experiment_start) WHERE ts < experiment_end""")
 def light_in_experiments(spark, d):
-    w = cycles.experiment_spans(cycles.cycle_windows(standin.valve(spark, d), 60.0), 60.0)
+    w = cycles.experiment_spans(_cycles(spark, d, 60.0), 60.0)
     right = w.select(D, F.col("experiment_start").alias("window_start"), F.col("experiment_end").alias("window_end"), "experiment_number")
     return match_to_windows(standin.par(spark, d).where("par_umol_m2_s IS NOT NULL"), right)
 
 
 def _layer_c(spark, d):
-    from abyssal.queries.averages import layer_c
+    from abyssal.queries.averages import staged_layer_c
 
-    return layer_c(spark, d)
+    return staged_layer_c(spark, d)
 
 
 @query("JN10", f"{D} experiment_number chamber variable output_value:5 par_mean_umol_m2_s:4 par_coverage:5", "SELECT * FROM fluxes_par")
 def fluxes_with_light(spark, d):
-    s = cycles.experiment_spans(cycles.cycle_windows(standin.valve(spark, d), 60.0), 60.0)
+    s = cycles.experiment_spans(_cycles(spark, d, 60.0), 60.0)
     return attach_experiment_par(compute_fluxes(_layer_c(spark, d)), standin.par(spark, d), s)
 
 
@@ -282,7 +288,7 @@ FROM ratio_full r ASOF JOIN cycles0 w ON r.{D} = w.{D} AND r.ts >= w.window_star
 def ratios_with_context(spark, d):
     """The ratio over the whole stream, with each reading's experiment context carried along."""
     rows = ratios.ratio_to_mass(standin.rga(spark, d))
-    return experiment_context(rows, cycles.cycle_windows(standin.valve(spark, d), 0.0), 60.0)
+    return experiment_context(rows, _cycles(spark, d, 0.0), 60.0)
 
 
 @query("SCF17", "event_id parsed", "SELECT event_id, CASE k % 5 WHEN 4 THEN NULL ELSE date_trunc('second', ts) END AS parsed FROM ev")
