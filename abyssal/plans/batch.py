@@ -52,7 +52,7 @@ def run_batch(
     deployments = stage(deployments.drop("path"), "deployment")
     parameters = stage(parameters.drop("problem"), "processing")
 
-    tables = {name: stage(df, name) for name, df in read_log_tables(spark, raw_root).items()}
+    tables = {name: stage(df, name) for name, df in read_log_tables(spark, raw_root, staged=True).items()}
     par = stage(read_par(spark, raw_root, calibrations, parameters), "par")
     daily = stage(daily_par(par), "par_daily")
     hobo = stage(read_hobo(spark, raw_root), "hobo_oxygen")

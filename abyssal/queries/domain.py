@@ -103,7 +103,7 @@ def pi_ctes(prefix: str, source: str) -> str:
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {D}, chamber ORDER BY sse, j) AS r FROM (
   SELECT {D}, chamber, j, any_value(lnk) AS lnk, regr_slope(y, x) AS pmax, regr_intercept(y, x) AS b, regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x) AS sse
   FROM (SELECT u.{D}, u.chamber, j, lnk + (j - {(n - 1) / 2}::DOUBLE) * {step!r}::DOUBLE AS lnk, tanh(exp(lnk + (j - {(n - 1) / 2}::DOUBLE) * {step!r}::DOUBLE) * i) AS x, y
-        FROM {prefix}_used u JOIN {centre} c USING ({D}, chamber), (SELECT unnest(range({n})) AS j)) GROUP BY {D}, chamber, j)
+        FROM {prefix}_used u JOIN (SELECT {D}, chamber, lnk FROM {centre}) c USING ({D}, chamber), (SELECT unnest(range({n})) AS j)) GROUP BY {D}, chamber, j)
   WHERE pmax > 1e-9 AND pmax * exp(lnk) > 1e-9) WHERE r = 1{' AND j > 0 AND j < 64' if level == 0 else ''}"""
         centre = f"{prefix}_b{level}"
     return f"""
@@ -231,13 +231,13 @@ UNION ALL SELECT {D}, 'hobo_oxygen_' || location, ts, oxygen_mgl FROM hobo UNION
 UNION ALL SELECT {D}, 'hobo_diff_' || location, ts, diff_mgl FROM hobo_diff"""
 
 
-@query("DOM21", f"{D} series ts scaled:4", f"SELECT {D}, series, ts, CASE WHEN series LIKE 'mass%' THEN value * 1e12 ELSE value END AS scaled FROM ({MEASURED})")
+@query("DOM21", f"{D} series ts scaled:7", f"SELECT {D}, series, ts, CASE WHEN series LIKE 'mass%' THEN value * 1e12 ELSE value END AS scaled FROM ({MEASURED})")
 def measurement_view(spark, d):
     rows = views.measurements(standin.streams(spark, d), MASSES)
     return rows.withColumn("scaled", F.when(F.col("series").startswith("mass"), F.col("value") * 1e12).otherwise(F.col("value")))
 
 
-@query("DOM22", f"{D} series ts scaled:4", f"""
+@query("DOM22", f"{D} series ts scaled:7", f"""
 SELECT {D}, 'turbo_speed_hz' AS series, ts, turbo_speed_hz AS scaled FROM status UNION ALL SELECT {D}, 'turbo_power_w', ts, turbo_power_w FROM status
 UNION ALL SELECT {D}, 'turbo_etemp_c', ts, turbo_etemp_c FROM status UNION ALL SELECT {D}, 'turbo_btemp_c', ts, turbo_btemp_c FROM status
 UNION ALL SELECT {D}, 'turbo_mtemp_c', ts, turbo_mtemp_c FROM status UNION ALL SELECT {D}, 'pump_rpm', ts, pump_rpm FROM status
@@ -259,7 +259,7 @@ CTES["rga_ctx"] = _context("rga")
 VIEW = f"{D}, experiment_number, chamber, settled_out, ts, elapsed_min"
 
 
-@query("DOM23", f"{VIEW.replace(',', '').replace('elapsed_min', 'elapsed_min:5')} variable scaled:5", f"""
+@query("DOM23", f"{VIEW.replace(',', '').replace('elapsed_min', 'elapsed_min:5')} variable scaled:7", f"""
 SELECT {VIEW}, 'mass_' || mass AS variable, current / near AS scaled
 FROM ({nearest('(SELECT * FROM rga_ctx WHERE mass <> 40)', '(SELECT * FROM rga_ctx WHERE mass = 40)', 'current', D + ', experiment_number')}) WHERE near <> 0
 UNION ALL {' UNION ALL '.join(f"SELECT {VIEW}, '{n}', {c} FROM ({_context('scalup')})" for n, c in views.SONDE.items())}
@@ -275,7 +275,7 @@ def reading_view(spark, d):
 LINES = ["temp_degC", "sal_PSU", "pressure_mbar", "oxygen_mgL", "pH", "turbo_speed_hz", "turbo_power_w", "water_pump_rpm"]
 
 
-@query("DOM24", f"{D} experiment_number chamber variable slope:5 x0:5 y0:4 x1:5 y1:4 n", f"""
+@query("DOM24", f"{D} experiment_number chamber variable slope:5 x0:5 y0:7 x1:5 y1:7 n", f"""
 SELECT {D}, experiment_number, chamber, variable, slope, x0, slope * x0 + b AS y0, x1, slope * x1 + b AS y1, n FROM (
   SELECT {D}, experiment_number, chamber, variable, regr_slope(y, x) AS slope, regr_intercept(y, x) AS b, min(x) AS x0, max(x) AS x1, count(*) AS n FROM (
     {' UNION ALL '.join(f"SELECT {D}, experiment_number, chamber, trunc(elapsed_us / 1e6) / 60 AS x, {v} AS y, '{v}' AS variable FROM layer_c" for v in LINES)})

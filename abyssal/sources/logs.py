@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abyssal.functions.common import shared_dir
 from abyssal.functions.text import iso_timestamp, nullable_number, number, strip, truncated
 from abyssal.schemas import KEY, TABLES
 
@@ -172,9 +173,17 @@ def typed_table(parsed: DataFrame, name: str) -> DataFrame:
     return parsed.where(F.col("tag") == tag).select(KEY, *columns, "chunk", "pos")
 
 
-def read_log_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The five typed tables of every deployment below the root, untrimmed."""
-    parsed = parse_payload(payloads(scan_text(spark, root, ("gems", "surface"))))
+def read_log_tables(spark: SparkSession, root: str, staged: bool = False) -> dict[str, DataFrame]:
+    """The five typed tables of every deployment below the root, untrimmed.
+
+    With ``staged`` the text is read and parsed once and written by tag; the tables then read their own
+    columns of their own tag only.
+    """
+    parsed = parse_payload(payloads(scan_text(spark, root, ("gems", "surface")))).where("tag IS NOT NULL")
+    if staged:
+        path = shared_dir(spark)
+        parsed.drop("line", "payload", "receipt", "file_name").write.partitionBy("tag").parquet(path)
+        parsed = spark.read.option("basePath", path).parquet(path)
     events = parse_events(scan_text(spark, root, ("events",)))
     tables = {name: typed_table(parsed, name) for name in ("rga", "valve", "scalup", "status")}
     tables["system_health"] = typed_table(events, "system_health")
