@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abyssal.functions.common import cut_lineage, safe_div
 from abyssal.operators.setpoint import with_differences
@@ -83,8 +84,7 @@ def f_tail_values(f: np.ndarray, df1: np.ndarray, df2: np.ndarray) -> np.ndarray
     return np.where(x >= 1, 1.0, np.where(x <= 0, 0.0, out))
 
 
-@F.pandas_udf("double")
-def f_tail(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def _f_tail_batches(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for f, df1, df2 in batches:
         out = pd.Series(np.nan, index=f.index)
         ok = f.notna()
@@ -92,6 +92,11 @@ def f_tail(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterato
         yield out.where(ok, None)
 
 
+def f_tail(statistic: Column, df1: Column, df2: Column) -> Column:
+    """P-value of the F statistic; the only Python here, over the few rows left after the aggregates."""
+    return F.pandas_udf(_f_tail_batches, T.DoubleType())(statistic, df1, df2)
+
+
 def benjamini_hochberg(tests: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
     """Adjusted p-values across the masses of a deployment."""
     by = Window.partitionBy(*keys)
