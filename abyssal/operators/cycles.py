@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abyssal.functions.common import add_seconds, as_col, from_micros, micros
+from abyssal.functions.common import add_seconds, as_col, from_micros, micros, write_and_read
 from abyssal.operators.asof import attach_window
 from abyssal.operators.greedy import RepeatRule, greedy_segments
 from abyssal.ordering import ordered_scan
@@ -32,7 +32,8 @@ def label_experiments(valve: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFra
     The first Re starts experiment 1. A (C1, Re) starts the next one when the last marker since then, among
     (C2, Fl) and (C1, Re), was (C2, Fl).
     """
-    rows = dedupe_consecutive(valve, keys)
+    # Written once: the two passes below would otherwise repeat the scan of the valve stream.
+    rows = write_and_read(dedupe_consecutive(valve, keys))
     chamber, flush = F.col("chamber"), F.col("flush_state")
     c1_re, c2_fl = (chamber == "C1") & (flush == "Re"), (chamber == "C2") & (flush == "Fl")
     marker = F.when(c1_re, F.lit("open")).when(c2_fl & F.col("__re_before"), F.lit("flushed"))

@@ -7,9 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abyssal.functions.common import from_micros, micros, safe_div
+from abyssal.functions.common import micros, safe_div, write_and_read
 from abyssal.functions.scalars import counts_to_amps
-from abyssal.operators.asof import asof_join
 from abyssal.operators.cycles import scan_ids
 from abyssal.operators.ratios import scan_ratio
 from abyssal.operators.stats import exact_median
@@ -49,28 +48,31 @@ def spans(events: DataFrame, on: str, off: str) -> DataFrame:
     return rows.where(F.col("event") == on).select(KEY, F.col("receipt_ts").alias("start"), end.alias("end"), (F.col("__n") - 1).alias("span"))
 
 
-def _with_span(rows: DataFrame, sp: DataFrame, closed: bool, name: str) -> DataFrame:
-    """Add the span a receipt time lies in, or null: `[start, end)`, or `[start, end]` with the earlier span first.
+def _with_spans(rows: DataFrame, events: DataFrame) -> DataFrame:
+    """Add `run`, `run_start` (null outside every run) and `multiplier`, in one ordered pass over all three.
 
-    Receipt times come from one running clock, so spans follow each other and touch at most at their ends.
+    Runs are closed `[start, end]`, the earlier one first where two touch; multiplier spans are `[start, end)`.
+    Receipt times come from one running clock, so spans of a kind follow each other.
     """
-    right = sp.select(KEY, F.col("start").alias("__ts"), F.col("start").alias("__a"), F.col("end").alias("__z"), F.col("span").alias("__i"))
-
-    def latest(left: DataFrame, ts: str, suffix: str) -> DataFrame:
-        r = right.withColumnsRenamed({c: c + suffix for c in ("__a", "__z", "__i")})
-        return asof_join(left, r, [KEY], [c + suffix for c in ("__a", "__z", "__i")], ts, "__ts", right_order="__i" + suffix)
-
-    if not closed:
-        out = latest(rows, "receipt_ts", "1")
-        return out.withColumns({name: F.when(F.col("receipt_ts") < F.col("__z1"), F.col("__i1")),
-                                f"{name}_start": F.when(F.col("receipt_ts") < F.col("__z1"), F.col("__a1"))}).drop("__a1", "__z1", "__i1")
-    out = rows.withColumn("__just_before", from_micros(micros("receipt_ts") - 1))
-    out = latest(latest(out, "__just_before", "0"), "receipt_ts", "1")
-    in0, in1 = F.col("receipt_ts") <= F.col("__z0"), F.col("receipt_ts") <= F.col("__z1")
-    return out.withColumns(
-        {name: F.when(in0, F.col("__i0")).when(in1, F.col("__i1")),
-         f"{name}_start": F.when(in0, F.col("__a0")).when(in1, F.col("__a1"))}
-    ).drop("__just_before", *[c + s for c in ("__a", "__z", "__i") for s in "01"])
+    def marks(kind: str, side: int, sp: DataFrame) -> DataFrame:
+        inner = F.struct("start", "end", "span")
+        return sp.select(KEY, F.col("start").alias("receipt_ts"), F.lit(side).alias("__side"), inner.alias(kind))
+
+    # At one instant: multiplier starts, then readings, then run starts; a run found looking back is earlier.
+    both = rows.withColumn("__side", F.lit(1))
+    both = both.unionByName(marks("__em", 0, spans(events, "EMON", "EMOFF")), allowMissingColumns=True)
+    both = both.unionByName(marks("__run", 2, spans(events, "AON", "AOFF")), allowMissingColumns=True)
+    both = both.withColumn("__t", micros("receipt_ts"))
+    both = both.withColumn("__slice", time_slice(F.col("__t"), slice_width(rows, [KEY], "receipt_ts")))
+    out = ordered_scan(both, [KEY], ["__slice"], ["__t", "__side"], prev={"__em_b": F.col("__em"), "__run_b": F.col("__run")},
+                       following={"__run_f": F.col("__run")}).where("__side = 1")
+    ts = F.col("receipt_ts")
+    run = F.when(ts <= F.col("__run_b.end"), F.col("__run_b")).when(ts == F.col("__run_f.start"), F.col("__run_f"))
+    out = out.withColumn("__hit", run)
+    return out.select(
+        *rows.columns, F.col("__hit.span").alias("run"), F.col("__hit.start").alias("run_start"),
+        F.coalesce(ts < F.col("__em_b.end"), F.lit(False)).alias("multiplier"),
+    )
 
 
 def label_readings(
@@ -80,9 +82,8 @@ def label_readings(
 
     `windows` (inclusive times per detector) replace the skip time for that detector.
     """
-    rows = _with_span(readings, spans(events, "EMON", "EMOFF"), closed=False, name="__em")
-    rows = _with_span(rows, spans(events, "AON", "AOFF"), closed=True, name="run").where("run IS NOT NULL")
-    rows = rows.withColumn("detector", F.when(F.col("__em").isNotNull(), "CDEM").otherwise("FC")).drop("__em", "__em_start")
+    rows = write_and_read(_with_spans(readings, events).where("run IS NOT NULL"))
+    rows = rows.withColumn("detector", F.when(F.col("multiplier"), "CDEM").otherwise("FC")).drop("multiplier")
     rows = scan_ids(rows, [KEY, "run"]).withColumnRenamed("segment", "scan").drop("is_start")
     elapsed_us = micros("receipt_ts") - micros("run_start")
     elapsed = ((elapsed_us - elapsed_us % 1000) / 1000).cast("bigint") / 1000
@@ -120,7 +121,7 @@ def detector_stats(labelled: DataFrame, reference: int = ARGON) -> DataFrame:
         F.when(F.count_if(ok) >= 3, F.regr_slope(s, minutes)).alias("__slope"),
         safe_div(F.stddev_samp(ratio) * 100, F.avg(ratio)).alias(f"ratio_to_m{reference}_rsd_pct"),
     )
-    d = _stable_differences(labelled)
+    d = write_and_read(_stable_differences(labelled))
     spread = d.groupBy(*by).agg(F.stddev_samp("d").alias("__sd"), F.count(F.lit(1)).alias("__nd"))
     centre = exact_median(d, by, F.col("d"), "__median")
     mad = exact_median(d.join(centre, by), by, F.abs(F.col("d") - F.col("__median")), "__mad")
@@ -165,10 +166,8 @@ def add_partial_pressure(labelled: DataFrame, gains: DataFrame, sensitivity: flo
 
 def total_pressure(status: DataFrame, events: DataFrame, sensitivity: float = DEFAULTS["total_pressure_sensitivity_a_per_torr"]) -> DataFrame:
     """Total pressure while acquiring with the Faraday cup; it reads zero with the multiplier on."""
-    rows = _with_span(status, spans(events, "EMON", "EMOFF"), closed=False, name="__em")
-    rows = _with_span(rows, spans(events, "AON", "AOFF"), closed=True, name="__run")
-    rows = rows.where("__run IS NOT NULL AND __em IS NULL AND raw_total_pressure_current > 0")
-    return rows.drop("__em", "__em_start", "__run", "__run_start").withColumn(
+    rows = _with_spans(status, events).where("run IS NOT NULL AND NOT multiplier AND raw_total_pressure_current > 0")
+    return rows.drop("run", "run_start", "multiplier").withColumn(
         "total_pressure_torr", counts_to_amps(F.col("raw_total_pressure_current")) / sensitivity
     )
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abyssal.functions.common import as_col, micros, safe_div, seconds_between
+from abyssal.functions.common import as_col, micros, safe_div, seconds_between, write_and_read
 from abyssal.functions.scalars import counts_to_amps
 from abyssal.functions.text import iso_timestamp, number
 from abyssal.operators.asof import asof_join
@@ -80,11 +80,12 @@ def build_setpoint_changes(commands: DataFrame, acks: DataFrame, window_s: float
     digits takes the last request's setpoint and is ignored without one.
     """
     columns = [KEY, "ts", "setpoint", "source_file", "chunk", "pos"]
-    requests = collapse_repeats(commands.select(*columns), window_s)
+    # Control lines are rare; each step is written once so that later ones do not repeat it.
+    requests = write_and_read(collapse_repeats(commands.select(*columns), window_s))
     last = requests.select(KEY, "ts", F.col("setpoint").alias("__asked"))
     filled = asof_join(acks.select(*columns), last, [KEY], ["__asked"], width_us=DAY_US)
     filled = filled.withColumn("setpoint", F.coalesce("setpoint", "__asked")).where("setpoint IS NOT NULL").select(*columns)
-    accepted = collapse_repeats(filled, window_s)
+    accepted = write_and_read(collapse_repeats(write_and_read(filled), window_s))
     near = asof_join(
         requests, accepted.select(KEY, "setpoint", "ts", F.lit(True).alias("__seen")), [KEY, "setpoint"], ["__seen"],
         direction="nearest", matched_ts="__ack_ts", width_us=DAY_US,
@@ -95,7 +96,7 @@ def build_setpoint_changes(commands: DataFrame, acks: DataFrame, window_s: float
     timed, pos = _in_time(changes, "source", "chunk", "pos")
     timed = ordered_scan(timed, [KEY], ["__day"], pos, prev={"__before": F.col("setpoint")})
     kept = timed.where("__before IS NULL OR __before != setpoint")
-    return add_segments(kept.select(KEY, "ts", "setpoint", "source", "source_file"))
+    return add_segments(write_and_read(kept.select(KEY, "ts", "setpoint", "source", "source_file")))
 
 
 def add_segments(changes: DataFrame) -> DataFrame:
@@ -115,6 +116,7 @@ def add_segments(changes: DataFrame) -> DataFrame:
 
 def add_acquisition_on(changes: DataFrame, acq_on: DataFrame) -> DataFrame:
     """First acquisition-on at or after each change and before the next change; null otherwise."""
+    changes = write_and_read(changes)
     on = acq_on.select(KEY, F.col("ts").alias("__on")).distinct()
     rows = asof_join(changes, on, [KEY], [], right_ts="__on", direction="forward", matched_ts="acq_on_ts", width_us=DAY_US)
     timed, pos = _in_time(rows, "segment")
@@ -181,7 +183,7 @@ def add_ratio(tagged: DataFrame, reference: int = ARGON) -> DataFrame:
     # Scans are numbered under `segment`, the name of the setpoint hold here, so the hold steps aside meanwhile.
     rows = scan_ids(timed.withColumnRenamed("segment", "__hold"), [KEY], "__slice", ["__t", "chunk", "pos"])
     rows = rows.withColumnsRenamed({"segment": "scan_id", "__hold": "segment"}).drop("is_start", "__t", "__slice")
-    return scan_ratio(rows, reference, [KEY, "scan_id"])
+    return scan_ratio(write_and_read(rows), reference, [KEY, "scan_id"])
 
 
 def ratio_stats(tagged: DataFrame, keys: Sequence[str], reference: int = ARGON) -> DataFrame:
@@ -248,8 +250,10 @@ def analyze(
     from abyssal.operators.spread import setpoint_spread_tests
 
     changes = add_segments(window(changes, start, end))
-    tagged = add_ratio(tag_readings(prepare_rga(window(rga, start, end)), changes, settle_s), reference)
-    turbo = tag_readings(prepare_turbo(window(build_turbo(telemetry, status), start, end)), changes, settle_s)
+    changes = write_and_read(changes)
+    tagged = write_and_read(tag_readings(prepare_rga(window(rga, start, end)), changes, settle_s))
+    tagged = write_and_read(add_ratio(tagged, reference))
+    turbo = write_and_read(tag_readings(prepare_turbo(window(build_turbo(telemetry, status), start, end)), changes, settle_s))
     by_speed = mass_stats(tagged, ["setpoint"])
     rsd, noise = setpoint_spread_tests(tagged), setpoint_spread_tests(tagged, relative=False)
     return {

@@ -11,13 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from abyssal.functions.common import cut_lineage, safe_div
+from abyssal.functions.common import cut_lineage, safe_div, write_and_read
 from abyssal.operators.setpoint import with_differences
 from abyssal.operators.stats import exact_median
 from abyssal.schemas import KEY
 
 MIN_PER_SETPOINT = 3
-NOISE_ITERATIONS = 24
+NOISE_ITERATIONS = 16
 DAMPING = (0.0, 0.01, 1.0, 100.0)
 
 
@@ -35,7 +35,7 @@ def successive_pairs(tagged: DataFrame, value: str = "current", relative: bool =
 
 def brown_forsythe(pairs: DataFrame, group: str = "setpoint", keys: Sequence[str] = (KEY, "mass")) -> DataFrame:
     """F statistic of equal spread around the group medians; groups below three values do not count."""
-    keys = list(keys)
+    keys, pairs = list(keys), write_and_read(pairs)
     sized = pairs.groupBy(*keys, group).agg(F.count(F.lit(1)).alias("__n")).where(f"__n >= {MIN_PER_SETPOINT}")
     centre = exact_median(pairs, [*keys, group], F.col("x"), "__median").join(sized, [*keys, group])
     z = F.abs(F.col("x") - F.col("__median"))

@@ -226,7 +226,7 @@ def spread_tests(spark, d):
 @query("STA03", f"{D} mass p_value:9 p_adj:9", f"""
 SELECT *, least(min(p_value * m / r) OVER (PARTITION BY {D} ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0) AS p_adj FROM (
   SELECT *, row_number() OVER (PARTITION BY {D} ORDER BY p_value, mass) AS r, count(*) OVER (PARTITION BY {D}) AS m FROM (
-    SELECT {D}, k AS mass, avg(value) / 1000 * (k + 1) / 100 AS p_value FROM ev GROUP BY ALL))""")
+    SELECT {D}, k AS mass, avg(value) / 1000 * (k + 1) / 100 AS p_value FROM ev GROUP BY deployment_id, k))""")
 def adjusted(spark, d):
     tests = standin.events(spark, d).groupBy(D, F.col("k").alias("mass")).agg((F.avg("value") / 1000 * (F.col("k") + 1) / 100).alias("p_value"))
     return spread.benjamini_hochberg(tests)

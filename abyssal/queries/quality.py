@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from abyssal import standin
+from abyssal.functions.common import write_and_read
 from abyssal.functions.scalars import humanize_seconds
 from abyssal.operators import quality, ranges
 from abyssal.queries.base import query
@@ -39,8 +40,8 @@ LEFT JOIN (SELECT {D}, tbl, grp, count(*) AS n_gaps, max(gap_s) AS longest, sum(
 
 def _parts(spark, d):
     tables = standin.streams(spark, d)
-    times = quality.stream_times(tables)
-    bounds = ranges.time_bounds(tables)
+    times = write_and_read(quality.stream_times(tables))
+    bounds = write_and_read(ranges.time_bounds(tables))
     nominal = quality.nominal_intervals(bounds, tables)
     return tables, times, bounds, nominal
 
@@ -57,7 +58,7 @@ def gaps(spark, d):
 
 def _scores(spark, d):
     _, times, bounds, nominal = _parts(spark, d)
-    return quality.completeness(times, nominal, quality.find_gaps(times, nominal, bounds), bounds)
+    return quality.completeness(times, nominal, write_and_read(quality.find_gaps(times, nominal, bounds)), bounds)
 
 
 @query("QC02", f"{D} stream nominal_interval_s gap_threshold_s expected:3 observed completeness:7 n_gaps longest_gap_s:4 total_gap_s:3 last_record staleness_s:6", "SELECT * FROM qc_scores")
@@ -72,7 +73,7 @@ SELECT {D}, CASE WHEN grp IS NULL THEN tbl ELSE tbl || ' ' || grp END AS stream,
     UNION ALL SELECT {D}, tbl, grp, gap_end, gap_start, epoch_us(gap_start) FROM qc_gaps) s JOIN bounds USING ({D})) WHERE seg_start < seg_end""")
 def segments(spark, d):
     _, times, bounds, nominal = _parts(spark, d)
-    return quality.coverage_segments(times, quality.find_gaps(times, nominal, bounds), bounds)
+    return quality.coverage_segments(times, write_and_read(quality.find_gaps(times, nominal, bounds)), bounds)
 
 
 def _flag(table: str, column: str, limits) -> str:
