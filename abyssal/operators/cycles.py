@@ -106,9 +106,14 @@ def active_chamber_spans(valve: DataFrame, keys: Sequence[str] = (KEY,)) -> Data
     )
 
 
-def scan_ids(rga: DataFrame, keys: Sequence[str] = (KEY,), chunk: str = "chunk", pos: Sequence[str] = ("pos",)) -> DataFrame:
-    """Number the scans (``segment``): a new one starts when a mass repeats within the current scan."""
-    return greedy_segments(rga, keys, chunk, pos, ["mass"], RepeatRule())
+def scan_ids(
+    rga: DataFrame, keys: Sequence[str] = (KEY,), chunk: str = "chunk", pos: Sequence[str] = ("pos",), within: Sequence[str] = ()
+) -> DataFrame:
+    """Number the scans (``segment``): a new one starts when a mass repeats within the current scan.
+
+    A change of a `within` column (an acquisition run) starts a new scan too.
+    """
+    return greedy_segments(rga, keys, chunk, pos, [*within, "mass"], RepeatRule())
 
 
 def scan_windows(rga: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:

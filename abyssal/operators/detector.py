@@ -84,7 +84,9 @@ def label_readings(
     """
     rows = write_and_read(_with_spans(readings, events).where("run IS NOT NULL"))
     rows = rows.withColumn("detector", F.when(F.col("multiplier"), "CDEM").otherwise("FC")).drop("multiplier")
-    rows = scan_ids(rows, [KEY, "run"]).withColumnRenamed("segment", "scan").drop("is_start")
+    rows = write_and_read(scan_ids(rows, [KEY], within=["run"]).drop("is_start"))
+    first = rows.groupBy(KEY, "run").agg(F.min("segment").alias("__first"))
+    rows = rows.join(first, [KEY, "run"]).withColumn("scan", F.col("segment") - F.col("__first")).drop("segment", "__first")
     elapsed_us = micros("receipt_ts") - micros("run_start")
     elapsed = ((elapsed_us - elapsed_us % 1000) / 1000).cast("bigint") / 1000
     rows = rows.withColumns({"amps": counts_to_amps(F.col("counts")), "elapsed_s": elapsed})

@@ -18,25 +18,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _next_change(v: np.ndarray) -> np.ndarray:
+    """Index of the next row that differs from each row (the length where none does)."""
+    change = np.append(np.flatnonzero((v[1:] != v[:-1]).any(axis=1)) + 1, len(v))
+    return change[np.searchsorted(change, np.arange(len(v)), side="right")]
+
+
 class RepeatRule:
-    """A segment holds each value at most once (values: one integer column)."""
+    """A segment holds each value of the last column at most once; the columns before it stay the same in it."""
 
     def next_start(self, v: np.ndarray) -> np.ndarray:
-        n = len(v)
-        order = np.argsort(v[:, 0], kind="stable")
-        s = v[order, 0]
+        n, last = len(v), v[:, -1]
+        order = np.argsort(last, kind="stable")
+        s = last[order]
         nxt = np.full(n, n, dtype=np.int64)
         same = s[1:] == s[:-1]
         nxt[order[:-1][same]] = order[1:][same]
-        return np.minimum.accumulate(nxt[::-1])[::-1]
+        nxt = np.minimum.accumulate(nxt[::-1])[::-1]
+        return nxt if v.shape[1] == 1 else np.minimum(nxt, _next_change(v[:, :-1]))
 
     def open_at_end(self, v: np.ndarray, start: int) -> list[list[int]]:
         return v[start:].tolist()
 
     def entry(self, state: list, lead: np.ndarray, limit: int) -> int:
-        seen = {int(r[0]) for r in state}
-        hit = [i for i, r in enumerate(lead) if int(r[0]) in seen]
-        return min(hit[0], limit) if hit else limit
+        seen, around = {int(r[-1]) for r in state}, list(map(int, state[0][:-1]))
+        for i, r in enumerate(lead):
+            if int(r[-1]) in seen or list(map(int, r[:-1])) != around:
+                return i
+        return limit
 
     def extend(self, state: list, lead: np.ndarray) -> list:
         return [*state, *[list(r) for r in lead]]
@@ -49,10 +58,7 @@ class HoldRule:
         self.window_us = window_us
 
     def next_start(self, v: np.ndarray) -> np.ndarray:
-        n = len(v)
-        change = np.append(np.flatnonzero(v[1:, 0] != v[:-1, 0]) + 1, n)
-        run_end = change[np.searchsorted(change, np.arange(n), side="right")]
-        return np.minimum(run_end, np.searchsorted(v[:, 1], v[:, 1] + self.window_us, side="right"))
+        return np.minimum(_next_change(v[:, :1]), np.searchsorted(v[:, 1], v[:, 1] + self.window_us, side="right"))
 
     def open_at_end(self, v: np.ndarray, start: int) -> list[list[int]]:
         return [v[start].tolist()]

@@ -15,7 +15,7 @@ from abyssal.operators.asof import asof_join
 from abyssal.operators.cycles import scan_ids
 from abyssal.operators.greedy import HoldRule, greedy_segments
 from abyssal.operators.ratios import scan_ratio
-from abyssal.ordering import DAY_US, ordered_scan, slice_width, time_slice
+from abyssal.ordering import ordered_scan, slice_width, time_slice
 from abyssal.schemas import ARGON, DEFAULTS, KEY
 
 # Patterns of the control lines and keys of the telemetry line.
@@ -61,15 +61,16 @@ def extract_control(lines: DataFrame) -> DataFrame:
 
 
 def _in_time(df: DataFrame, *ties: str) -> tuple[DataFrame, list[str]]:
-    """Time-ordered chunks of a control stream, days wide: such lines are rare."""
-    out = df.withColumn("__t", micros("ts")).withColumn("__day", time_slice(F.col("__t"), DAY_US))
+    """Time-ordered chunks of a control stream, as wide as its densest minute allows."""
+    width = slice_width(df, [KEY])
+    out = df.withColumn("__t", micros("ts")).withColumn("__slice", time_slice(F.col("__t"), width))
     return out, ["__t", *ties]
 
 
 def collapse_repeats(rows: DataFrame, window_s: float, ties: Sequence[str] = ("chunk", "pos")) -> DataFrame:
     """Keep a sighting unless it repeats the last kept setpoint within the window of that kept one."""
     timed, pos = _in_time(rows, *ties)
-    kept = greedy_segments(timed, [KEY], "__day", pos, ["setpoint", "__t"], HoldRule(int(round(window_s * 1e6))))
+    kept = greedy_segments(timed, [KEY], "__slice", pos, ["setpoint", "__t"], HoldRule(int(round(window_s * 1e6))))
     return kept.where("is_start").select(*rows.columns)
 
 
@@ -83,18 +84,18 @@ def build_setpoint_changes(commands: DataFrame, acks: DataFrame, window_s: float
     # Control lines are rare; each step is written once so that later ones do not repeat it.
     requests = write_and_read(collapse_repeats(commands.select(*columns), window_s))
     last = requests.select(KEY, "ts", F.col("setpoint").alias("__asked"))
-    filled = asof_join(acks.select(*columns), last, [KEY], ["__asked"], width_us=DAY_US)
+    filled = asof_join(acks.select(*columns), last, [KEY], ["__asked"])
     filled = filled.withColumn("setpoint", F.coalesce("setpoint", "__asked")).where("setpoint IS NOT NULL").select(*columns)
     accepted = write_and_read(collapse_repeats(write_and_read(filled), window_s))
     near = asof_join(
         requests, accepted.select(KEY, "setpoint", "ts", F.lit(True).alias("__seen")), [KEY, "setpoint"], ["__seen"],
-        direction="nearest", matched_ts="__ack_ts", width_us=DAY_US,
+        direction="nearest", matched_ts="__ack_ts",
     )
     gap = F.abs(seconds_between(F.col("ts"), F.col("__ack_ts")))
     unanswered = near.where(F.col("__ack_ts").isNull() | (gap > window_s)).select(*columns)
     changes = accepted.withColumn("source", F.lit("ack")).unionByName(unanswered.withColumn("source", F.lit("command")))
     timed, pos = _in_time(changes, "source", "chunk", "pos")
-    timed = ordered_scan(timed, [KEY], ["__day"], pos, prev={"__before": F.col("setpoint")})
+    timed = ordered_scan(timed, [KEY], ["__slice"], pos, prev={"__before": F.col("setpoint")})
     kept = timed.where("__before IS NULL OR __before != setpoint")
     return add_segments(write_and_read(kept.select(KEY, "ts", "setpoint", "source", "source_file")))
 
@@ -105,24 +106,24 @@ def add_segments(changes: DataFrame) -> DataFrame:
     The first hold takes the leg of the change out of it; a lone hold is `down`.
     """
     timed, pos = _in_time(changes.drop("segment", "leg"), "source", "setpoint")
-    timed = ordered_scan(timed, [KEY], ["__day"], pos, prev={"__before": F.col("setpoint")}, total={"__n": F.lit(1)})
+    timed = ordered_scan(timed, [KEY], ["__slice"], pos, prev={"__before": F.col("setpoint")}, total={"__n": F.lit(1)})
     step = F.col("setpoint") - F.col("__before")
     timed = timed.withColumn("__leg", F.when(step < 0, "down").when(step > 0, "up"))
-    timed = ordered_scan(timed, [KEY], ["__day"], pos, following={"__next_leg": F.col("__leg")})
+    timed = ordered_scan(timed, [KEY], ["__slice"], pos, following={"__next_leg": F.col("__leg")})
     return timed.withColumns(
         {"segment": F.col("__n") - 1, "leg": F.coalesce("__leg", "__next_leg", F.lit("down"))}
-    ).drop("__t", "__day", "__before", "__n", "__leg", "__next_leg")
+    ).drop("__t", "__slice", "__before", "__n", "__leg", "__next_leg")
 
 
 def add_acquisition_on(changes: DataFrame, acq_on: DataFrame) -> DataFrame:
     """First acquisition-on at or after each change and before the next change; null otherwise."""
     changes = write_and_read(changes)
     on = acq_on.select(KEY, F.col("ts").alias("__on")).distinct()
-    rows = asof_join(changes, on, [KEY], [], right_ts="__on", direction="forward", matched_ts="acq_on_ts", width_us=DAY_US)
+    rows = asof_join(changes, on, [KEY], [], right_ts="__on", direction="forward", matched_ts="acq_on_ts")
     timed, pos = _in_time(rows, "segment")
-    timed = ordered_scan(timed, [KEY], ["__day"], pos, following={"__next": F.col("ts")})
+    timed = ordered_scan(timed, [KEY], ["__slice"], pos, following={"__next": F.col("ts")})
     valid = F.col("__next").isNull() | (F.col("acq_on_ts") < F.col("__next"))
-    return timed.withColumn("acq_on_ts", F.when(valid, F.col("acq_on_ts"))).drop("__t", "__day", "__next")
+    return timed.withColumn("acq_on_ts", F.when(valid, F.col("acq_on_ts"))).drop("__t", "__slice", "__next")
 
 
 def tag_readings(readings: DataFrame, changes: DataFrame, settle_s: float) -> DataFrame:

@@ -21,19 +21,20 @@ from abyssal.functions.common import micros
 ROWS_PER_SLICE = 500_000
 MINUTE_US = 60_000_000
 DAY_US = 86_400_000_000
+LONGEST_SLICE_US = 30 * DAY_US
 
 
 def slice_width(df: DataFrame, keys: Sequence[str], ts: str = "ts", rows: int = ROWS_PER_SLICE) -> int:
-    """Slice width in microseconds so that the densest minute of any key still fits `rows` per slice.
+    """Slice width in microseconds at which even the densest minute of any key, repeated, keeps to `rows` per slice.
 
-    One map-side-combined count; a single number reaches the driver. Between one second and one day.
+    One map-side-combined count; a single number reaches the driver. Between one second and thirty days.
     """
     per_minute = (
         df.groupBy(*keys, F.floor(micros(ts) / MINUTE_US).alias("minute")).count().agg(F.max("count")).first()[0]
     )
     if not per_minute:
-        return DAY_US
-    return int(min(max(MINUTE_US * rows // per_minute, 1_000_000), DAY_US))
+        return LONGEST_SLICE_US
+    return int(min(max(MINUTE_US * rows // per_minute, 1_000_000), LONGEST_SLICE_US))
 
 
 def time_slice(us: Column, width_us: int) -> Column:
