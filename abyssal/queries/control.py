@@ -223,7 +223,7 @@ def spread_tests(spark, d):
     return spread.setpoint_spread_tests(write_and_read(_tagged(spark, d)))
 
 
-@query("STA03", f"{D} mass p_value:7 p_adj:7", f"""
+@query("STA03", f"{D} mass p_value:12 p_adj:12", f"""
 SELECT *, least(min(p_value * m / r) OVER (PARTITION BY {D} ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0) AS p_adj FROM (
   SELECT *, row_number() OVER (PARTITION BY {D} ORDER BY p_value, mass) AS r, count(*) OVER (PARTITION BY {D}) AS m FROM (
     SELECT {D}, k AS mass, avg(value) / 1000 * (k + 1) / 100 AS p_value FROM ev GROUP BY deployment_id, k))""")
