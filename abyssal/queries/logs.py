@@ -162,7 +162,7 @@ def housekeeping_files(spark, d):
     return logs.read_log_tables(spark, standin.archive(spark, d))["system_health"]
 
 
-@query("SRC17", f"{KEY} file_name serial_number", f"SELECT DISTINCT {KEY}, 'ESL-' || {KEY} || '.CSV' AS file_name, CASE WHEN n = 7 THEN '11111' ELSE '50472' END AS serial_number FROM ev")
+@query("SRC17", f"{KEY} file_name serial_number", f"SELECT DISTINCT {KEY}, 'PAR-' || {KEY} || '.CSV' AS file_name, CASE WHEN n = 7 THEN '11111' ELSE '50472' END AS serial_number FROM ev")
 def light_exports(spark, d):
     return loggers.par_headers(loggers.scan_csv_text(spark, standin.archive(spark, d)))
 
@@ -199,17 +199,17 @@ def calibration_file(spark, d):
     return loggers.load_calibrations(spark, path).withColumn("cal_date", F.col("cal_date").cast("string"))
 
 
-HOBO_FILE = "SELECT *, ['C1', 'C2', 'mesocosm', 'EGFC_1'][k % 4 + 1] AS place, date_trunc('second', ts) AS t FROM ev"
+HOBO_FILE = "SELECT *, ['C1', 'C2', 'mesocosm', 'pond_1'][k % 4 + 1] AS place, date_trunc('second', ts) AS t FROM ev"
 
 
 @query("SRC20", f"{KEY} file_name location", f"""
-SELECT DISTINCT {KEY}, 'hobo_' || place || '.csv' AS file_name, CASE WHEN place = 'EGFC_1' THEN 'ambient' ELSE place END AS location FROM ({HOBO_FILE})""")
+SELECT DISTINCT {KEY}, 'hobo_' || place || '.csv' AS file_name, CASE WHEN place = 'pond_1' THEN 'ambient' ELSE place END AS location FROM ({HOBO_FILE})""")
 def oxygen_exports(spark, d):
     return loggers.hobo_headers(loggers.scan_csv_text(spark, standin.archive(spark, d)))
 
 
 @query("SRC21", f"{KEY} ts location oxygen_mgl:6 temp_degc:6 serial_number", f"""
-SELECT {KEY}, t AS ts, CASE WHEN place = 'EGFC_1' THEN 'ambient' ELSE place END AS location, value / 20 AS oxygen_mgl, (50 + k - 32) * 5 / 9.0::DOUBLE AS temp_degc,
+SELECT {KEY}, t AS ts, CASE WHEN place = 'pond_1' THEN 'ambient' ELSE place END AS location, value / 20 AS oxygen_mgl, (50 + k - 32) * 5 / 9.0::DOUBLE AS temp_degc,
        '20113801' AS serial_number FROM ({HOBO_FILE}) WHERE k % 20 < 18""")
 def oxygen_rows(spark, d):
     return loggers.read_hobo(spark, standin.archive(spark, d))
@@ -236,7 +236,7 @@ def header_columns(spark, d):
 
 
 @query("SRC24", f"{KEY} location n first_ts last_ts", f"""
-SELECT {KEY}, CASE WHEN place = 'EGFC_1' THEN 'ambient' ELSE place END AS location, count(*) AS n, min(t) AS first_ts, max(t) AS last_ts
+SELECT {KEY}, CASE WHEN place = 'pond_1' THEN 'ambient' ELSE place END AS location, count(*) AS n, min(t) AS first_ts, max(t) AS last_ts
 FROM ({HOBO_FILE}) WHERE k % 20 < 18 GROUP BY ALL""")
 def all_oxygen_exports(spark, d):
     rows = loggers.read_hobo(spark, standin.archive(spark, d))

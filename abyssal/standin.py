@@ -318,18 +318,18 @@ def _archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ev = event_log_lines(spark, sf_dir).join(e.select("event_id", day.alias("day")), "event_id").select(
         KEY, F.concat(F.lit("surface_"), "day", F.lit("-00-00_events.log")).alias("file"), "event_id", F.lit(0).cast("bigint").alias("rank"), F.col("line").alias("text"))
-    par_file = F.concat(F.lit("ESL-"), KEY, F.lit(".CSV"))
+    par_file = F.concat(F.lit("PAR-"), KEY, F.lit(".CSV"))
     par_rows = e.select(
         KEY, par_file.alias("file"), "event_id", F.lit(0).cast("bigint").alias("rank"),
         F.when(k == 77, F.lit("garbled")).otherwise(F.concat(text(F.col("event_id")), F.lit(","), F.date_format("ts", "dd/MM/yyyy"), F.lit(" , "),
                                                              F.date_format("ts", "HH:mm:ss"), F.lit(","), text(par_raw_value()), F.lit(",0"))).alias("text"))
     dep = e.select(KEY, "n").distinct()
-    par_head = ["﻿Site Name ,ESL", "Logger ,Integrating Light Sensor", "Logger Serial Number ,#", "", "Scan No ,Date and Time,x", " , ,RAW VALUE ,CALIBRATED VALUE,"]
+    par_head = ["﻿Site Name ,harbour", "Logger ,Integrating Light Sensor", "Logger Serial Number ,#", "", "Scan No ,Date and Time,x", " , ,RAW VALUE ,CALIBRATED VALUE,"]
     heads = F.posexplode(F.array(*[F.lit(h) for h in par_head])).alias("i", "h")
     serial = F.when(F.col("n") == 7, "11111").otherwise("50472")
     par_heads = dep.select(KEY, par_file.alias("file"), "n", heads).select(
         KEY, "file", (F.col("i") - 100).cast("bigint").alias("event_id"), F.lit(0).cast("bigint").alias("rank"), F.replace(F.col("h"), F.lit("#"), serial).alias("text"))
-    place = F.element_at(F.array(*[F.lit(x) for x in ("C1", "C2", "mesocosm", "EGFC_1")]), k % 4 + 1)
+    place = F.element_at(F.array(*[F.lit(x) for x in ("C1", "C2", "mesocosm", "pond_1")]), k % 4 + 1)
     hobo_file = lambda where: F.concat(F.lit("hobo_"), where, F.lit(".csv"))
     local = F.date_format(add_seconds(F.col("ts"), -4 * 3600), "MM/dd/yy hh:mm:ss a")
     hobo_rows = e.select(
