@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,12 +56,24 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below the shared one the cluster names; a local one only where none is named."""
+    """A fresh folder below the one the cluster shares; a local session without one gets its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir is not set; {master} needs a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    jvm = spark.sparkContext._jvm
-    return f"{base.rstrip('/')}/{jvm.java.util.UUID.randomUUID().toString()}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{uuid.uuid4()}"
+
+
+def remove_dirs(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate folders that nothing reads any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    paths.clear()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -71,8 +84,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_and_read(df: DataFrame) -> DataFrame:
-    """Materialise a shared intermediate once, as a Parquet table in the shared folder."""
+def write_and_read(df: DataFrame, made: list[str] | None = None) -> DataFrame:
+    """Materialise a shared intermediate once, as a Parquet table in the shared folder; ``made`` collects its path for `remove_dirs`."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
