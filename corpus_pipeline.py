@@ -13,7 +13,8 @@ KEEP_SCORE = 0.7
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier, fitted on the given labels, scores under `KEEP_SCORE`."""
-    net = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    net = quality.fit(docs, labels.filter(quality.in_training(F.col("doc_id"))))
     return docs.withColumn("_score", quality.scorer(net)("text")).filter(F.col("_score") >= KEEP_SCORE).drop("_score")
 
 
