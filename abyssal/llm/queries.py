@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from abyssal.functions.common import shared_dir
-from abyssal.llm import exact, quality
+from abyssal.llm import exact, minhash, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,6 +55,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+@query("op3_minhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies: shingles of four words, similarity of 80 % or more."""
+    return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
