@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
 from abyssal.functions.common import shared_dir
-from abyssal.llm import exact, minhash, quality
+from abyssal.llm import bpe, exact, minhash, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,6 +63,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
 
 
+@query("op5_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text and what they decode to."""
+    return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all sources takes of every document."""
+    return mixing.taken(read(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

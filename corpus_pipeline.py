@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import shared_dir, write_and_read
-from abyssal.llm import exact, quality
+from abyssal.llm import bpe, exact, minhash, mixing, quality
 
 KEEP_SCORE = 0.7
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the quality classifier, fitted on the given labels, scores under `KEEP_SCORE`."""
+    """Drop the documents that the quality classifier, fitted on the training rows' labels, scores under `KEEP_SCORE`."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     net = quality.fit(docs, labels.filter(quality.in_training(F.col("doc_id"))))
     return docs.withColumn("_score", quality.scorer(net)("text")).filter(F.col("_score") >= KEEP_SCORE).drop("_score")
@@ -23,7 +25,25 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.keep_rows(docs, exact.DigestIndex(spark, shared_dir(spark)).deduplicate(docs))
 
 
-STAGES = [("quality", classify), ("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (shingles of five words, similarity of 80 % or more)."""
+    found = minhash.near_duplicates(docs)
+    drop = write_and_read(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_drop")))
+    return docs.join(drop.hint("shuffle_hash"), F.col("doc_id") == F.col("_drop"), "left_anti")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: the words each pass takes of every document, as documents."""
+    return mixing.mixed_rows(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix beside its columns, and the text that the ids decode to."""
+    encoded = docs.withColumn("token_ids", bpe.encoder(spark, VOCABULARY)("text"))
+    return encoded.withColumn("n_tokens", F.size("token_ids").cast("bigint")).withColumn("decoded", bpe.decoder(spark, VOCABULARY)("token_ids"))
+
+
+STAGES = [("quality", classify), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mix), ("bpe", tokenize)]
 
 #: The classifier, MinHash and BPE have no SQL form; the stages are tested against brute force instead.
 ORACLE_SQL: str | None = None
