@@ -109,13 +109,17 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInPandas(run, "id bigint, n_shingles bigint, set_key binary, agree binary, bands array<bigint>")
 
 
-@F.pandas_udf("int")
-def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    """How many minima agree, judged by one byte of each."""
-    if not len(a):
-        return pd.Series([], dtype="int32")
-    x = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), -1)
-    return pd.Series((x == np.frombuffer(b"".join(b), np.uint8).reshape(len(a), -1)).sum(axis=1).astype(np.int32))
+def agreement():
+    """Column function of two signatures: how many minima agree, judged by one byte of each."""
+
+    @F.pandas_udf("int")
+    def agreed(a: pd.Series, b: pd.Series) -> pd.Series:
+        if not len(a):
+            return pd.Series([], dtype="int32")
+        x = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), -1)
+        return pd.Series((x == np.frombuffer(b"".join(b), np.uint8).reshape(len(a), -1)).sum(axis=1).astype(np.int32))
+
+    return agreed
 
 
 def similar(words: int, percent: int):
@@ -211,7 +215,7 @@ def _best_partners(reps: DataFrame, in_buckets: DataFrame, percent: int) -> Data
     u = reps.select("id", F.col("n_shingles").alias("n"), F.col("agree").alias("mine"))
     v = reps.select(F.col("id").alias("least"), F.col("n_shingles").alias("m"), F.col("agree").alias("theirs"))
     near = pairs.join(u, "id").join(v, "least").filter(size_fits(F.col("n"), F.col("m"), percent))
-    near = near.withColumn("agreed", agreement("mine", "theirs")).filter(F.col("agreed") >= LEAST_AGREE * MINIMA)
+    near = near.withColumn("agreed", agreement()("mine", "theirs")).filter(F.col("agreed") >= LEAST_AGREE * MINIMA)
     best = near.groupBy("id").agg(F.max(F.struct("agreed", (-F.col("least")).alias("back"))).alias("best"))
     return best.select(F.col("id").alias("u"), (-F.col("best.back")).alias("v"))
 

@@ -174,10 +174,11 @@ def taken(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 def mixed_rows(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix as documents: for every pass the words it takes of a document, in order and joined by blanks, with the document's
     other columns; n_chars is counted again. Documents of which nothing is taken are not in the mix."""
-    pieces = mix_documents(docs, mix).pieces
+    mixed = mix_documents(docs, mix)
+    pieces = mixed.pieces
     lists = pieces.groupBy("_key", "_print", "_source", "_start", "_pass").agg(F.sort_array(F.collect_list(F.struct("_from", "_count"))).alias("_parts"))
     runs = lists.groupBy("_key", "_print").agg(F.collect_list("_parts").alias("_runs"))
-    joined = docs.join(runs, docs["doc_id"].eqNullSafe(F.col("_key")) & (F.xxhash64(docs["text"]) == F.col("_print")))
+    joined = _once(docs, mixed.sized).join(runs, docs["doc_id"].eqNullSafe(F.col("_key")) & (F.xxhash64(docs["text"]) == F.col("_print")))
     each = joined.withColumn("_run", F.explode("_runs")).withColumn("_w", words_of(F.col("text")))
     cut = F.flatten(F.transform("_run", lambda p: F.slice(F.col("_w"), (p["_from"] + 1).cast("int"), p["_count"].cast("int"))))
     text = F.array_join(cut, " ")
@@ -185,3 +186,12 @@ def mixed_rows(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
+
+
+def _once(docs: DataFrame, sized: DataFrame) -> DataFrame:
+    """Rows that repeat id and text only once: the pieces of all their places go to that one."""
+    repeated = write_and_read(sized.groupBy("_key", "_print").agg(F.count("*").alias("_n")).filter("_n > 1"))
+    if repeated.isEmpty():
+        return docs
+    on = docs["doc_id"].eqNullSafe(F.col("_key")) & (F.xxhash64(docs["text"]) == F.col("_print"))
+    return docs.join(repeated, on, "left_anti").unionByName(docs.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "text"]))

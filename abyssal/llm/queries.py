@@ -11,7 +11,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from abyssal.functions.common import shared_dir
-from abyssal.llm import bpe, exact, minhash, mixing, quality
+from abyssal.llm import bpe, exact, lines, minhash, mixing, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -69,6 +69,42 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query(
+    "op8_url_filters",
+    r"""
+    WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                      coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+         r AS (SELECT page_id, host, path,
+                      CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                           WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                           WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                           WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM u)
+    SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM r
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return urls.judge(read(spark, sf_dir, "pages"), block=["net/", "example.com/de/"], allow=["example.net/en/", "org/fr/"])
+
+
+@query(
+    "op9_line_dedup",
+    r"""
+    WITH l AS (SELECT doc_id, coalesce(source, '') AS site, source IS NULL AS nosite, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+         k AS (SELECT *, regexp_replace(line, '^[ 	-]+|[ 	-]+$', '', 'g') AS key FROM l),
+         b AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT (site, nosite)) >= 8)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE drop_it) AS n_removed,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT drop_it), '')) AS kept_sha256
+    FROM (SELECT k.*, b.key IS NOT NULL AS drop_it FROM k LEFT JOIN b USING (key)) GROUP BY doc_id
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that stand on eight sources or more are taken out of every document."""
+    out = lines.without_boilerplate(read(spark, sf_dir, "documents"), min_sites=8)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op10_mixing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all sources takes of every document."""
