@@ -11,7 +11,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from abyssal.functions.common import shared_dir
-from abyssal.llm import bpe, exact, lines, minhash, mixing, quality, urls
+from abyssal.llm import bpe, covertree, exact, lines, minhash, mixing, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +31,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query(
+    "op1_cover_tree",
+    """
+    WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+         ok AS (SELECT vec_id, v FROM e WHERE v IS NOT NULL AND len(list_filter(v, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND list_sum(list_transform(v, lambda c: abs(c))) > 0),
+         pairs AS MATERIALIZED (SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+         walk AS (SELECT u AS start, u AS at FROM pairs UNION SELECT walk.start, pairs.w FROM walk JOIN pairs ON walk.at = pairs.u),
+         c AS (SELECT start, min(at) AS component_id FROM walk GROUP BY start),
+         n AS (SELECT u, count(*) AS n_links FROM pairs GROUP BY u)
+    SELECT e.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, e.vec_id) AS component_id, coalesce(component_id, e.vec_id) = e.vec_id AS kept
+    FROM e LEFT JOIN n ON n.u = e.vec_id LEFT JOIN c ON c.start = e.vec_id
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked at a cosine of 0.95 or more."""
+    return covertree.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 @query(
     "op2_exact_dedup",
     r"""
@@ -92,7 +110,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     WITH l AS (SELECT doc_id, coalesce(source, '') AS site, source IS NULL AS nosite, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
-         k AS (SELECT *, regexp_replace(line, '^[ 	-]+|[ 	-]+$', '', 'g') AS key FROM l),
+         k AS (SELECT *, regexp_replace(line, '^[ 	-
+]+|[ 	-
+]+$', '', 'g') AS key FROM l),
          b AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT (site, nosite)) >= 8)
     SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE drop_it) AS n_removed,
            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT drop_it), '')) AS kept_sha256
