@@ -28,6 +28,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abyssal.llm.batches import bound_batches
+
 # The byte alphabet of byte-level vocabularies, white space, and the word pattern of the vocabulary file.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 SPACES = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
@@ -186,6 +188,7 @@ def compiled(vocabulary: Broadcast) -> TokenAutomaton:
 
 def encoder(spark: SparkSession, path: str):
     """Column function: text to token ids. The vocabulary (a file of fixed size) is read once and sent to the workers."""
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(read_vocabulary(path))
 
     @F.pandas_udf("array<int>")
@@ -199,6 +202,7 @@ def encoder(spark: SparkSession, path: str):
 
 def decoder(spark: SparkSession, path: str):
     """Column function: token ids to text."""
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(read_vocabulary(path))
 
     @F.pandas_udf("string")
@@ -212,6 +216,7 @@ def decoder(spark: SparkSession, path: str):
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256; ids are encoded and decoded in one pass and not kept."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")

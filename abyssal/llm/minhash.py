@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import remove_dirs, write_and_read
+from abyssal.llm.batches import bound_batches
 from abyssal.llm.components import connected_components
 
 MINIMA, ROWS = 100, 4
@@ -32,7 +33,7 @@ BANDS = MINIMA // ROWS
 LEAST_AGREE = 0.55
 BLOCK = 1024  # members of a bucket that one task compares with as many others
 SLICE = 1 << 16  # shingles hashed at once, or those of one text
-ROWS_AT_ONCE = 1000
+ROWS_AT_ONCE = 200
 CACHE = 1 << 18  # word hashes that a task remembers
 
 
@@ -90,23 +91,23 @@ def _groups(sets: list[np.ndarray]) -> Iterator[list[int]]:
 def signatures(docs: DataFrame, words: int) -> DataFrame:
     """Per document: id, n_shingles, set_key (128-bit hash of the set), agree (one byte of each minimum), bands."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("n_shingles bigint, set_key binary, agree binary, bands array<bigint>")
+    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cache: dict[bytes, int] = {}
         family = hash_family()
-        for pdf in batches:
-            for a in range(0, len(pdf), ROWS_AT_ONCE):
-                part = pdf.iloc[a : a + ROWS_AT_ONCE]
-                sets = [shingle_set(t, words, cache) for t in part["text"]]
-                out = [(len(s), None, None, None) for s in sets]
+        for texts in batches:
+            out = []
+            for a in range(0, len(texts), ROWS_AT_ONCE):
+                sets = [shingle_set(t, words, cache) for t in texts.iloc[a : a + ROWS_AT_ONCE]]
+                found = [(len(s), None, None, None) for s in sets]
                 for group in _groups(sets):
                     for i, m in zip(group, minima([sets[i] for i in group], family)):
                         bands = [xxhash.xxh3_64_intdigest(m[k * ROWS : (k + 1) * ROWS].tobytes(), seed=k) - (1 << 63) for k in range(BANDS)]
-                        out[i] = (len(sets[i]), xxhash.xxh3_128_digest(sets[i].tobytes()), (m & 0xFF).astype(np.uint8).tobytes(), bands)
-                found = pd.DataFrame(out, columns=["n_shingles", "set_key", "agree", "bands"])
-                found.insert(0, "id", part["id"].array)
-                yield found
+                        found[i] = (len(sets[i]), xxhash.xxh3_128_digest(sets[i].tobytes()), (m & 0xFF).astype(np.uint8).tobytes(), bands)
+                out += found
+            yield pd.DataFrame(out, columns=["n_shingles", "set_key", "agree", "bands"])
 
-    return docs.mapInPandas(run, "id bigint, n_shingles bigint, set_key binary, agree binary, bands array<bigint>")
+    return docs.select("id", sign("text").alias("s")).select("id", "s.*")
 
 
 def agreement():
@@ -169,6 +170,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     ``percent`` may not be under 80: the banding is laid out for that.
     """
     spark, made = docs.sparkSession, []
+    bound_batches(spark)
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     signed = write_and_read(signatures(source, words))
     usable = signed.filter(F.col("id").isNotNull() & F.col("set_key").isNotNull())

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from abyssal.llm.batches import bound_batches
+
 WIDTH, STRIDE, HALF = 8, 2, 64
 DIM, FILTERS, HIDDEN = 8, 32, 16
 BLOCK = 1 << 19  # bytes of texts that are scored at once
@@ -167,6 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds = TrainingBou
     Rows without id, label or text and texts over ``bounds.max_bytes`` are left out of the fit. With no usable row the network
     gives every text about even odds.
     """
+    bound_batches(docs.sparkSession)
     ids = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality").dropDuplicates(["doc_id"])
     small = docs.select("doc_id", "text").filter(F.octet_length("text") <= bounds.max_bytes)
     picked = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bounds.rows)

@@ -11,7 +11,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from abyssal.functions.common import shared_dir
-from abyssal.llm import bpe, covertree, exact, lines, minhash, mixing, quality, urls
+from abyssal.llm import bpe, covertree, exact, lines, minhash, mixing, pitman_yor, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,8 +37,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
          ok AS (SELECT vec_id, v FROM e WHERE v IS NOT NULL AND len(list_filter(v, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND list_sum(list_transform(v, lambda c: abs(c))) > 0),
          pairs AS MATERIALIZED (SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
-         walk AS (SELECT u AS start, u AS at FROM pairs UNION SELECT walk.start, pairs.w FROM walk JOIN pairs ON walk.at = pairs.u),
-         c AS (SELECT start, min(at) AS component_id FROM walk GROUP BY start),
+         walk AS (SELECT u AS start, u AS here FROM pairs UNION SELECT walk.start, pairs.w FROM walk JOIN pairs ON walk.here = pairs.u),
+         c AS (SELECT start, min(here) AS component_id FROM walk GROUP BY start),
          n AS (SELECT u, count(*) AS n_links FROM pairs GROUP BY u)
     SELECT e.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, e.vec_id) AS component_id, coalesce(component_id, e.vec_id) = e.vec_id AS kept
     FROM e LEFT JOIN n ON n.u = e.vec_id LEFT JOIN c ON c.start = e.vec_id
@@ -87,6 +87,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op7_pitman_yor")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text under the model of the training texts."""
+    return pitman_yor.score(read(spark, sf_dir, "documents")).drop("perplexity")
+
+
 @query(
     "op8_url_filters",
     r"""
