@@ -11,7 +11,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from abyssal.functions.common import shared_dir
-from abyssal.llm import bpe, covertree, exact, lines, minhash, mixing, pitman_yor, quality, urls
+from abyssal.llm import bpe, covertree, exact, lines, minhash, mixing, pitman_yor, quality, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,6 +87,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by a string of 400 bytes that also starts elsewhere are taken out of every text."""
+    out = suffixes.without_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op7_pitman_yor")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every text under the model of the training texts."""
