@@ -75,16 +75,27 @@ class ByteNet:
     def pooled(self, data: np.ndarray, first: np.ndarray):
         """Per text: largest chunk value and smallest chunk value of each filter, with what training needs to find them again."""
         out = self.filters(data, first[-1] * HALF)
-        half = out.reshape(-1, HALF, FILTERS).max(axis=1)
-        low = half.copy()
-        last = first[1:] - 1
+        half = self.halves(out, first[1:] - 1)
+        features, low = self.features(half, first)
+        return features, (out, half, low)
+
+    @staticmethod
+    def halves(out: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Largest output of each filter in every half chunk; ``last``: the last halves of texts."""
+        out = out.reshape(-1, HALF, FILTERS)
+        # the last windows hold padding only and reach into the next text
+        out[last, 1 - WIDTH // STRIDE :] = -np.inf
+        return out.max(axis=1)
+
+    @staticmethod
+    def features(half: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        last, low = first[1:] - 1, half.copy()
         inner = np.ones(len(half), bool)
         inner[last] = False  # the last half of a text has no right neighbour
         at = np.flatnonzero(inner)
         low[at] = np.maximum(half[at], half[at + 1])
         low[last[np.diff(first) > 1]] = np.inf
-        features = np.hstack((np.maximum.reduceat(half, first[:-1], axis=0), np.minimum.reduceat(low, first[:-1], axis=0)))
-        return features, (out, half, low)
+        return np.hstack((np.maximum.reduceat(half, first[:-1], axis=0), np.minimum.reduceat(low, first[:-1], axis=0))), low
 
     def head(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hidden = np.maximum(features @ self.p["w1"] + self.p["b1"], 0)
@@ -103,13 +114,14 @@ class ByteNet:
         return scores
 
     def pooled_long(self, text: bytes) -> np.ndarray:
-        """Features of one very long text from overlapping parts, so that memory stays bounded; the parts end on whole halves."""
-        part, overlap = 4 * HALF * STRIDE * 4096, HALF * STRIDE
-        found = []
-        for a in range(0, max(len(text) - overlap, 1), part):
-            found.append(self.pooled(*layout([text[a : a + part + overlap]]))[0][0])
-        found = np.array(found)
-        return np.concatenate((found[:, :FILTERS].max(0), found[:, FILTERS:].min(0)))[None]
+        """The same features of one very long text, part by part, so that outputs of all its windows are never held at once."""
+        data, first = layout([text])
+        found, part = [], BLOCK // (HALF * STRIDE)
+        for a in range(0, first[-1], part):
+            b = min(first[-1], a + part)
+            out = self.filters(data[a * HALF * STRIDE :], (b - a) * HALF)
+            found.append(self.halves(out, np.array([b - a - 1] if b == first[-1] else [], np.int64)))
+        return self.features(np.concatenate(found), first)[0]
 
     def gradients(self, texts: list[bytes], labels: np.ndarray) -> dict[str, np.ndarray]:
         data, first = layout(texts)
