@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from abyssal.functions.common import from_micros, micros
 from abyssal.ordering import ordered_scan, slice_width, time_slice
 
+MOST_BUCKETS = 100_000
+
 
 def _union_and_carry(
     left: DataFrame,
@@ -101,16 +103,27 @@ def small_enough_to_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= int(threshold)
 
 
+def with_tie(windows: DataFrame, order: str | None) -> DataFrame:
+    """`__tie`: which of windows with equal starts counts, the last in ``order``, or else the one that ends last."""
+    return windows.withColumn("__tie", F.col(order).cast("bigint") if order else micros("window_end"))
+
+
 def effective_windows(windows: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Windows cut at the next window's start, so at most one holds any instant, as an as-of join picks.
 
-    A window that ends before it starts still cuts its predecessor; of equal starts the last one stays.
+    A window that ends before it starts still cuts its predecessor; of equal starts the one with the greatest tie value stays.
     """
-    w = windows.withColumns({"__s": micros("window_start"), "__o": F.col(order) if order else F.lit(0)})
+    w = with_tie(windows, order).withColumn("__s", micros("window_start"))
     w = w.withColumn("__slice", F.floor(F.col("__s") / F.lit(86_400_000_000)).cast("bigint"))
-    w = ordered_scan(w, keys, ["__slice"], ["__s", "__o"], following={"__next": F.col("__s")})
+    w = ordered_scan(w, keys, ["__slice"], ["__s", "__tie"], following={"__next": F.col("__s")})
     end = F.least(micros("window_end"), F.col("__next"))
-    return w.withColumn("__e", end).where("__e > __s").drop("__slice", "__next", "__o")
+    return w.withColumn("__e", end).where("__e > __s").drop("__slice", "__next", "__tie")
+
+
+def _bucket_count(windows: DataFrame, bucket_us: int) -> int:
+    """Rows that the windows become when each is copied to every time bucket it touches."""
+    touched = F.greatest(F.lit(0), time_slice(micros("window_end"), bucket_us) - time_slice(micros("window_start"), bucket_us)) + 1
+    return windows.agg(F.sum(touched)).first()[0] or 0
 
 
 def match_to_windows(
@@ -125,16 +138,17 @@ def match_to_windows(
 ) -> DataFrame:
     """Readings inside a window ``[window_start, window_end)``, with the window's columns; others dropped.
 
-    The window is the latest one starting at or before the reading; the end is checked afterwards.
+    The window is the latest one starting at or before the reading; the end is checked afterwards. Of equal starts `with_tie`
+    says which, for both strategies. Windows are broadcast when they are small and their time buckets few (`MOST_BUCKETS`).
     """
     keys = list(keys)
     carry = [c for c in windows.columns if c not in keys]
     if strategy == "auto":
-        strategy = "broadcast" if small_enough_to_broadcast(windows) else "carry"
+        strategy = "broadcast" if small_enough_to_broadcast(windows) and _bucket_count(windows, bucket_us) <= MOST_BUCKETS else "carry"
     if strategy == "carry":
         rows = asof_join(
-            readings, windows, keys, [c for c in carry if c != "window_start"], ts, "window_start",
-            right_order=order, matched_ts="window_start", width_us=width_us,
+            readings, with_tie(windows, order), keys, [c for c in carry if c != "window_start"], ts, "window_start",
+            right_order="__tie", matched_ts="window_start", width_us=width_us,
         )
         return rows.where(F.col(ts) < F.col("window_end"))
     w = effective_windows(windows, keys, order).withColumn(

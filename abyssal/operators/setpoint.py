@@ -101,9 +101,9 @@ def build_setpoint_changes(commands: DataFrame, acks: DataFrame, window_s: float
 
 
 def add_segments(changes: DataFrame) -> DataFrame:
-    """Number each hold and name the ramp leg it belongs to: the direction of the change into it.
+    """Running number of every hold, and `leg`: "up" or "down" by comparison with the hold before.
 
-    The first hold takes the leg of the change out of it; a lone hold is `down`.
+    Where there is none before, the hold after it decides; with neither, "down".
     """
     timed, pos = _in_time(changes.drop("segment", "leg"), "source", "setpoint")
     timed = ordered_scan(timed, [KEY], ["__slice"], pos, prev={"__before": F.col("setpoint")}, total={"__n": F.lit(1)})

@@ -17,6 +17,7 @@ from abyssal.operators.stats import exact_median
 from abyssal.schemas import KEY
 
 MIN_PER_SETPOINT = 3
+FINITE = "x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity')"
 NOISE_ITERATIONS = 16
 DAMPING = (0.0, 0.01, 1.0, 100.0)
 
@@ -27,10 +28,10 @@ def successive_pairs(tagged: DataFrame, value: str = "current", relative: bool =
     rows = with_differences(kept, value, [KEY, "segment", "mass"], number_rows=True)
     rows = rows.where("i % 2 = 1")
     if not relative:
-        return rows.select(KEY, "mass", "setpoint", F.col("diff").alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
+        return rows.select(KEY, "mass", "setpoint", F.col("diff").alias("x")).where(FINITE)
     means = kept.groupBy(KEY, "segment", "mass").agg(F.avg(value).alias("__mean"))
     x = safe_div(F.col("diff"), F.col("__mean"))
-    return rows.join(means, [KEY, "segment", "mass"]).select(KEY, "mass", "setpoint", x.alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
+    return rows.join(means, [KEY, "segment", "mass"]).select(KEY, "mass", "setpoint", x.alias("x")).where(FINITE)
 
 
 def brown_forsythe(pairs: DataFrame, group: str = "setpoint", keys: Sequence[str] = (KEY, "mass")) -> DataFrame:
@@ -98,13 +99,14 @@ def f_tail(statistic: Column, df1: Column, df2: Column) -> Column:
 
 
 def benjamini_hochberg(tests: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
-    """Adjusted p-values across the masses of a deployment."""
+    """Adjusted p-values across the masses of a deployment; a null p-value is no test and stays null."""
     by = Window.partitionBy(*keys)
-    rank = F.row_number().over(by.orderBy("p_value", "mass"))
+    rank = F.row_number().over(by.orderBy(F.asc_nulls_last("p_value"), "mass"))
     m = F.count("p_value").over(by)
     raw = tests.withColumn("__raw", F.col("p_value") * m / rank)
-    downward = by.orderBy(F.desc("p_value"), F.desc("mass")).rowsBetween(Window.unboundedPreceding, 0)
-    return raw.withColumn("p_adj", F.least(F.min("__raw").over(downward), F.lit(1.0))).drop("__raw")
+    downward = by.orderBy(F.desc_nulls_last("p_value"), F.desc("mass")).rowsBetween(Window.unboundedPreceding, 0)
+    adjusted = F.when(F.col("p_value").isNotNull(), F.least(F.min("__raw").over(downward), F.lit(1.0)))
+    return raw.withColumn("p_adj", adjusted).drop("__raw")
 
 
 def setpoint_spread_tests(tagged: DataFrame, value: str = "current", relative: bool = True) -> DataFrame:

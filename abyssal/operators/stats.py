@@ -8,41 +8,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _value_bucket(scale: int) -> Column:
+    """Order-preserving bucket of ``__v``: ``scale`` per doubling of the magnitude, through zero, infinities outermost."""
+    v = F.col("__v")
+    size = F.when(F.abs(v) == float("inf"), F.lit(1100 * scale)).otherwise(F.floor(F.log2(F.abs(v)) * scale))
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * (size + 1100 * scale)).cast("bigint")
+
+
+def _narrow(v: DataFrame, groups: list[str], bucket: str, wanted: DataFrame) -> DataFrame:
+    """Wanted ranks (`__r` within the groups) moved into the bucket that holds them; one row per bucket is ordered."""
+    hist = v.groupBy(*groups, bucket).agg(F.count(F.lit(1)).alias("__n"))
+    upto = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    met = hist.withColumn("__upto", F.sum("__n").over(upto)).join(wanted, groups)
+    met = met.where("__r <= __upto AND __r > __upto - __n")
+    return met.select(*groups, bucket, (F.col("__r") - (F.col("__upto") - F.col("__n"))).alias("__r"))
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: Column, name: str = "median") -> DataFrame:
     """Exact median per key (mean of the two middle values), without holding a group in one task.
 
-    Spark's own exact median keeps a group's values in one aggregation buffer. Here a histogram over a
-    monotone bucket of the value finds the bucket of each middle rank; only those buckets are ordered, and
-    their equal values are counted map-side first.
+    Spark's own exact median keeps a group's values in one aggregation buffer. Here histograms over two monotone buckets of
+    the value, the second finer, find the place of each middle rank; only values there are ordered, and equal ones are
+    counted map-side first.
     """
     keys = list(keys)
     v = df.select(*keys, value.cast("double").alias("__v")).where("__v IS NOT NULL AND NOT isnan(__v)")
-    # 64 buckets per doubling of |value|; order-preserving through zero.
-    magnitude = F.floor(F.log2(F.abs(F.col("__v"))) * 64) + 70_000
-    v = v.withColumn(
-        "__b", F.when(F.col("__v") == 0, F.lit(0)).otherwise(F.signum("__v") * magnitude).cast("bigint")
-    )
-    hist = v.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    by_key = Window.partitionBy(*keys)
-    upto = by_key.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = (
-        hist.withColumns({"__upto": F.sum("__n").over(upto), "__all": F.sum("__n").over(by_key)})
-        .withColumn("__r", F.explode(F.array(F.floor((F.col("__all") + 1) / 2), F.floor((F.col("__all") + 2) / 2))))
-        .where("__r <= __upto AND __r > __upto - __n")
-        .select(*keys, "__b", (F.col("__r") - (F.col("__upto") - F.col("__n"))).alias("__local"))
-    )
-    buckets = ranks.groupBy(*keys, "__b").agg(F.min("__local").alias("__r1"), F.max("__local").alias("__r2"),
-                                              F.count(F.lit(1)).alias("__targets"))
-    distinct = v.join(buckets, [*keys, "__b"]).groupBy(*keys, "__b", "__v").agg(
-        F.count(F.lit(1)).alias("__n"), F.first("__r1").alias("__r1"), F.first("__r2").alias("__r2")
-    )
-    inner = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = distinct.withColumn("__upto", F.sum("__n").over(inner))
-    hit = lambda r: (F.col(r) <= F.col("__upto")) & (F.col(r) > F.col("__upto") - F.col("__n"))
-    picked = placed.groupBy(*keys, "__b").agg(
-        F.max(F.when(hit("__r1"), F.col("__v"))).alias("__v1"), F.max(F.when(hit("__r2"), F.col("__v"))).alias("__v2")
-    )
-    return picked.groupBy(*keys).agg(((F.min("__v1") + F.max("__v2")) / 2).alias(name))
+    v = v.withColumns({"__b": _value_bucket(64), "__f": _value_bucket(1 << 20)})
+    wanted = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all"))
+    middle = F.array(F.floor((F.col("__all") + 1) / 2), F.floor((F.col("__all") + 2) / 2))
+    wanted = _narrow(v, keys, "__b", wanted.select(*keys, F.explode(middle).alias("__r")))
+    groups = [*keys, "__b"]
+    wanted = _narrow(v.join(wanted.select(groups).distinct(), groups), groups, "__f", wanted)
+    groups = [*groups, "__f"]
+    picked = _narrow(v.join(wanted.select(groups).distinct(), groups), groups, "__v", wanted)
+    return picked.groupBy(*keys).agg(F.avg("__v").alias(name))
 
 
 def line_fit(df: DataFrame, keys: Sequence[str], x: Column, y: Column, *extra: Column) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-from abyssal.functions.common import use_utc
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from abyssal.functions.common import use_utc, write_and_read
 from abyssal.operators.aggregate import aggregate_onto_windows, discover_masses
 from abyssal.operators.cycles import attach_chamber_context, cycle_statistics, cycle_windows, scan_windows
 from abyssal.operators.fluxes import daily_par
@@ -14,7 +17,7 @@ from abyssal.plans.recompute import in_torr, layers_from_streams
 from abyssal.schemas import KEY
 from abyssal.sources.loggers import read_hobo, read_par
 from abyssal.sources.logs import read_log_tables
-from abyssal.sources.tables import clear_outputs, load_table, run_summary, write_table
+from abyssal.sources.tables import durations_to_seconds, load_table, publish, run_summary, write_table
 
 
 class RegistryError(ValueError):
@@ -24,38 +27,37 @@ class RegistryError(ValueError):
 def run_batch(
     spark: SparkSession, raw_root: str, out: str, deployments: DataFrame, given: DataFrame, calibrations: DataFrame,
     overrides: dict[str, float] | None = None, config: dict[str, float] | None = None, fmt: str = "parquet",
+    par_root: str | None = None, hobo_root: str | None = None, par_start: Column | None = None, par_end: Column | None = None,
 ) -> DataFrame:
     """Process every deployment below `raw_root` and return the run summary.
 
+    Files belong to the deepest folder that is named like a deployment. Logger exports are read from `par_root` and `hobo_root`
+    where these are given; `par_start` and `par_end` trim the light readings. Inputs that are absent give empty tables.
+
     Stages meet in written tables: a later stage reads what an earlier one wrote, so lost executors redo
     one stage only and the optimiser knows every table's real size.
     """
     use_utc(spark)
     if raw_root.rstrip("/") == out.rstrip("/"):
         raise ValueError("output must differ from the raw root")
-    broken = deployment_violations(deployments, given).limit(50).collect()
-    if broken:
-        raise RegistryError("; ".join(f"{r[KEY]}: {r.rule} ({r.detail})" for r in broken))
+    broken = deployment_violations(deployments, given)
+    _refuse(broken.select(KEY, "rule", "detail"), out)
     parameters = processing_table(resolve_processing(deployments, given, overrides, config))
-    wrong = parameters.where("problem IS NOT NULL").select(KEY, "problem").limit(50).collect()
-    if wrong:
-        raise RegistryError("; ".join(f"{r[KEY]}: {r.problem}" for r in wrong))
+    _refuse(parameters.where("problem IS NOT NULL").select(KEY, F.lit("parameter").alias("rule"), F.col("problem").alias("detail")), out)
+    staging = f"{out.rstrip('/')}/_run-{uuid.uuid4()}"
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        write_table(df, out, name, fmt)
-        if fmt == "csv":
-            return load_table(spark, out, name, df.schema)
-        return load_table(spark, out, name)
+        write_table(df, staging, name, fmt)
+        return load_table(spark, staging, name, durations_to_seconds(df).schema)
 
     ids = [r[0] for r in deployments.select(KEY).distinct().collect()]
-    clear_outputs(spark, out, ids)
     deployments = stage(deployments.drop("path"), "deployment")
     parameters = stage(parameters.drop("problem"), "processing")
 
-    tables = {name: stage(df, name) for name, df in read_log_tables(spark, raw_root, staged=True).items()}
-    par = stage(read_par(spark, raw_root, calibrations, parameters), "par")
+    tables = {name: stage(df, name) for name, df in read_log_tables(spark, raw_root, staged=True, ids=ids).items()}
+    par = stage(read_par(spark, par_root or raw_root, calibrations, parameters, par_start, par_end, ids), "par")
     daily = stage(daily_par(par), "par_daily")
-    hobo = stage(read_hobo(spark, raw_root), "hobo_oxygen")
+    hobo = stage(read_hobo(spark, hobo_root or raw_root, ids), "hobo_oxygen")
 
     clipped = {n: clip(df, deployments) for n, df in {**tables, "par": par}.items() if n != "system_health"}
     masses = discover_masses(clipped["rga"])
@@ -65,12 +67,24 @@ def run_batch(
     scans = stage(attach_chamber_context(scan_windows(clipped["rga"]), windows), "scan_windows")
     layer_b = in_torr(aggregate_onto_windows(scans, streams, masses, 1.0, 1.0), parameters, masses, [KEY])
     layer_b = stage(layer_b, "rga_scans")
-    layers = layers_from_streams(streams, clipped["valve"], parameters, masses, windows=windows, fit=True)
-    cycles = stage(layers["chamber_cycles"], "chamber_cycles")
-    fluxes = stage(with_condition(layers["fluxes"], deployments), "fluxes")
-    metabolism = stage(with_condition(layers["metabolism"], deployments), "metabolism")
-    pi_fit = stage(with_condition(layers["pi_fit"], deployments), "pi_fit")
+    conditioned = lambda df, name: stage(with_condition(df, deployments) if name != "chamber_cycles" else df, name)
+    layers = layers_from_streams(streams, clipped["valve"], parameters, masses, windows=windows, fit=True, stage=conditioned)
+    cycles, fluxes, metabolism, pi_fit = (layers[n] for n in ("chamber_cycles", "fluxes", "metabolism", "pi_fit"))
     produced = {**tables, "par": par, "par_daily": daily, "hobo_oxygen": hobo, "rga_scans": layer_b, "chamber_cycles": cycles,
                 "fluxes": fluxes, "metabolism": metabolism, "pi_fit": pi_fit}
     stats = cycle_statistics(clipped["valve"].join(settle, KEY), "settle_offset_s")
-    return run_summary(produced, stats)
+    summary = write_and_read(run_summary(produced, stats))
+    # the earlier output stays until here
+    publish(spark, staging, out, ids)
+    return summary
+
+
+def _refuse(violations: DataFrame, out: str) -> None:
+    """Write all violations as a table and raise, if there are any."""
+    found = write_and_read(violations)
+    n = found.count()
+    if n:
+        place = f"{out.rstrip('/')}/violations"
+        found.write.mode("overwrite").parquet(place)
+        some = "; ".join(f"{r[KEY]}: {r['rule']} ({r['detail']})" for r in found.orderBy(KEY, "rule").limit(5).collect())
+        raise RegistryError(f"{n} violations, all listed in {place}; first: {some}")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abyssal.functions.common import safe_div
+from abyssal.functions.common import safe_div, write_and_read
 from abyssal.operators.aggregate import aggregate_onto_windows
 from abyssal.operators.cycles import cycle_windows, experiment_spans
 from abyssal.operators.fluxes import attach_experiment_par, compute_fluxes
@@ -39,30 +39,34 @@ def in_torr(table: DataFrame, parameters: DataFrame, masses: Sequence[int], keys
 def layers_from_streams(
     streams: dict[str, DataFrame], valve: DataFrame, parameters: DataFrame, masses: Sequence[int],
     keys: Sequence[str] = (KEY,), fit: bool = True, windows: DataFrame | None = None, strategy: str = "auto",
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Windows, cycle averages, fluxes with light, metabolism and curve fits.
 
     `parameters` has one row per `keys` with the parameter columns; every stream and the valve carry the
-    keys. One job serves all of them. `windows` may be a written table of the same cycle windows.
+    keys. One job serves all of them. `windows` may be a written table of the same cycle windows. Each layer is staged
+    (written to the shared folder, or by `stage`) before the next one reads it, so readings are matched once.
     """
     keys = list(keys)
+    stage = stage or (lambda df, _: write_and_read(df))
     settle = parameters.select(*keys, "settle_offset_s")
     if windows is None:
         windows = cycle_windows(valve.join(settle, keys), "settle_offset_s", keys)
     spans = experiment_spans(windows.join(settle, keys), "settle_offset_s", [*keys, "settle_offset_s"]).drop("settle_offset_s")
-    cycles = in_torr(aggregate_onto_windows(windows, streams, masses, 1.0, 1.0, keys, strategy), parameters, masses, keys)
+    cycles = stage(in_torr(aggregate_onto_windows(windows, streams, masses, 1.0, 1.0, keys, strategy), parameters, masses, keys), "chamber_cycles")
     geometry = parameters.select(*keys, "chamber_volume_l", "chamber_area_m2", "n2_ar_sensitivity_ratio")
     fluxes = compute_fluxes(cycles.join(geometry, keys), "chamber_volume_l", "chamber_area_m2", "n2_ar_sensitivity_ratio", keys)
-    fluxes = attach_experiment_par(fluxes, streams["par"], spans, keys)
+    fluxes = stage(attach_experiment_par(fluxes, streams["par"], spans, keys), "fluxes")
     limits = parameters.select(*keys, "dark_par_threshold_umol_m2_s", "min_par_coverage", "metabolism_min_r2", "chamber_par_transmittance")
     # min_par_coverage and the others are columns here, one value per key.
     metabolism = classify_o2_fluxes(
         fluxes.join(limits, keys), "dark_par_threshold_umol_m2_s", "min_par_coverage", "metabolism_min_r2", "chamber_par_transmittance", keys
     )
+    metabolism = stage(metabolism, "metabolism")
     out = {"windows": windows, "spans": spans, "chamber_cycles": cycles, "fluxes": fluxes, "metabolism": metabolism}
     if fit:
         used = limits.select(*keys, "chamber_par_transmittance")
-        out["pi_fit"] = fit_pi_curves(metabolism, 1.0, keys).drop("chamber_par_transmittance").join(used, keys)
+        out["pi_fit"] = stage(fit_pi_curves(metabolism, 1.0, keys).drop("chamber_par_transmittance").join(used, keys), "pi_fit")
     return out
 
 

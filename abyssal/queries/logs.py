@@ -251,7 +251,7 @@ def load_written(spark, d):
     tables.write_table(standin.scalup(spark, d).select(KEY, "ts", "ph"), out, "scalup", "parquet")
     tables.write_table(standin.system_health(spark, d).select(KEY, "ts", "voltage_v"), out, "system_health", "csv")
     loaded = tables.load_all(spark, out, ("scalup", "system_health", "rga"))
-    pick = lambda n, c: loaded[n].select(F.lit(n).alias("table"), F.col(KEY).cast("string").alias(KEY), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col(c).alias("value"))
+    pick = lambda n, c: loaded[n].select(F.lit(n).alias("table"), KEY, "ts", F.col(c).alias("value"))
     return pick("scalup", "ph").unionByName(pick("system_health", "voltage_v"))
 
 
@@ -302,9 +302,7 @@ def rerun_replaces(spark, d):
     ids = [r[0] for r in again.select(KEY).distinct().collect()]
     tables.clear_outputs(spark, out, ids)
     tables.write_table(again, out, "valve", "parquet")
-    schema = f"ts TIMESTAMP_NTZ, chamber STRING, run INT, {KEY} STRING"
-    both = spark.read.schema(schema).parquet(f"{out}/valve.parquet").unionByName(spark.read.schema(schema).option("header", True).csv(f"{out}/valve.csv"))
-    return both.groupBy(KEY, "run").agg(F.count(F.lit(1)).alias("n"))
+    return tables.load_table(spark, out, "valve").groupBy(KEY, "run").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SNK05", f"{KEY} n_files n_lines", f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +22,16 @@ OUT_OF_WATER = -888.88
 HEADER_LINES = 10
 
 
-def scan_csv_text(spark: SparkSession, root: str) -> DataFrame:
+def scan_csv_text(spark: SparkSession, root: str, ids: Sequence[str] | None = None) -> DataFrame:
     """Lines of all CSV exports with their place in the file.
 
     ``line_id`` is consecutive inside a split, so ``line_id - first`` is the line number in a file's first
     split without ordering the file.
     """
     return (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{csv,CSV}").text(root)
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").text(root)
     ).select(
-        deployment_of(F.col("_metadata.file_path"), root).alias(KEY),
+        deployment_of(F.col("_metadata.file_path"), root, ids).alias(KEY),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -131,10 +133,10 @@ def calibrate(rows: DataFrame, calibrations: DataFrame) -> DataFrame:
 
 def read_par(
     spark: SparkSession, root: str, calibrations: DataFrame, time_offset_h: float | DataFrame = 0.0,
-    start: Column | None = None, end: Column | None = None,
+    start: Column | None = None, end: Column | None = None, ids: Sequence[str] | None = None,
 ) -> DataFrame:
     """Read, calibrate and trim to ``[start, end)`` (after the clock offset) every light-logger export."""
-    par = calibrate(read_par_rows(scan_csv_text(spark, root), time_offset_h), calibrations)
+    par = calibrate(read_par_rows(scan_csv_text(spark, root, ids), time_offset_h), calibrations)
     if start is not None:
         par = par.where(F.col("ts") >= start)
     return par if end is None else par.where(F.col("ts") < end)
@@ -193,5 +195,5 @@ def parse_hobo(lines: DataFrame) -> DataFrame:
     ).where(f"ts IS NOT NULL AND oxygen_mgl IS NOT NULL AND temp_degc IS NOT NULL AND oxygen_mgl != {OUT_OF_WATER}")
 
 
-def read_hobo(spark: SparkSession, root: str) -> DataFrame:
-    return parse_hobo(scan_csv_text(spark, root))
+def read_hobo(spark: SparkSession, root: str, ids: Sequence[str] | None = None) -> DataFrame:
+    return parse_hobo(scan_csv_text(spark, root, ids))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +31,22 @@ def rotation_ts(file_name: Column, kind: str) -> Column:
     return F.try_to_timestamp(F.when(stamp != "", stamp), F.lit("yyyy-MM-dd-HH-mm")).cast("timestamp_ntz")
 
 
-def deployment_of(path: Column, root: str) -> Column:
-    """One raw folder per deployment: the first path component below the root names it."""
-    bare = root.split(":", 1)[-1].rstrip("/")
-    return F.regexp_extract(F.url_decode(path), f"{bare}/([^/]+)/", 1)
+def deployment_of(path: Column, root: str, ids: Sequence[str] | None = None, encoded: bool = True) -> Column:
+    """The deployment's folder in a file's path below the root: the deepest one named in ``ids``, else the first.
+
+    The root is taken as plain text. File URIs are decoded (per cent escapes only, a plus is a plus).
+    """
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))) if encoded else path
+    bare = re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
+    rest = F.substring(plain, F.instr(plain, bare) + F.lit(len(bare)), F.length(plain))
+    folders = F.split(F.regexp_extract(rest, "^(.*)/[^/]*$", 1), "/")
+    first = F.element_at(folders, 1)
+    if not ids:
+        return first
+    return F.coalesce(F.try_element_at(F.filter(folders, lambda f: f.isin(list(ids))), F.lit(-1)), first)
 
 
-def list_files(spark: SparkSession, root: str, kind: str) -> DataFrame:
+def list_files(spark: SparkSession, root: str, kind: str, ids: Sequence[str] | None = None) -> DataFrame:
     """Files of one kind below the root with their rotation time; empty and misnamed ones left out.
 
     Only names and lengths are read, never contents.
@@ -48,7 +60,7 @@ def list_files(spark: SparkSession, root: str, kind: str) -> DataFrame:
     )
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(
-        deployment_of(F.col("path"), root).alias(KEY),
+        deployment_of(F.col("path"), root, ids, encoded=False).alias(KEY),
         F.lit(kind).alias("kind"),
         name.alias("file_name"),
         rotation_ts(name, kind).alias("rotation_ts"),
@@ -61,7 +73,7 @@ def list_log_files(spark: SparkSession, root: str) -> DataFrame:
     return gems.unionByName(list_files(spark, root, "surface").withColumn("source_rank", F.lit(1)))
 
 
-def scan_text(spark: SparkSession, root: str, kinds: tuple[str, ...]) -> DataFrame:
+def scan_text(spark: SparkSession, root: str, kinds: tuple[str, ...], ids: Sequence[str] | None = None) -> DataFrame:
     """Lines of the given kinds with the arrival-order key.
 
     ``chunk`` is one input split as a sortable string (rotation time, source, path, split offset) and
@@ -85,7 +97,7 @@ def scan_text(spark: SparkSession, root: str, kinds: tuple[str, ...]) -> DataFra
     return (
         raw.withColumn("rotation_ts", rot)
         .where("rotation_ts IS NOT NULL")
-        .select(deployment_of(F.col("file_path"), root).alias(KEY), "file_name", chunk.alias("chunk"), "pos", "line")
+        .select(deployment_of(F.col("file_path"), root, ids).alias(KEY), "file_name", chunk.alias("chunk"), "pos", "line")
     )
 
 
@@ -173,18 +185,19 @@ def typed_table(parsed: DataFrame, name: str) -> DataFrame:
     return parsed.where(F.col("tag") == tag).select(KEY, *columns, "chunk", "pos")
 
 
-def read_log_tables(spark: SparkSession, root: str, staged: bool = False) -> dict[str, DataFrame]:
+def read_log_tables(spark: SparkSession, root: str, staged: bool = False, ids: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The five typed tables of every deployment below the root, untrimmed.
 
     With ``staged`` the text is read and parsed once and written by tag; the tables then read their own
     columns of their own tag only.
     """
-    parsed = parse_payload(payloads(scan_text(spark, root, ("gems", "surface")))).where("tag IS NOT NULL")
+    parsed = parse_payload(payloads(scan_text(spark, root, ("gems", "surface"), ids))).where("tag IS NOT NULL")
     if staged:
         path = shared_dir(spark)
-        parsed.drop("line", "payload", "receipt", "file_name").write.partitionBy("tag").parquet(path)
-        parsed = spark.read.option("basePath", path).parquet(path)
-    events = parse_events(scan_text(spark, root, ("events",)))
+        narrow = parsed.drop("line", "payload", "receipt", "file_name")
+        narrow.write.partitionBy("tag").parquet(path)
+        parsed = spark.read.schema(narrow.schema).parquet(path)
+    events = parse_events(scan_text(spark, root, ("events",), ids))
     tables = {name: typed_table(parsed, name) for name in ("rga", "valve", "scalup", "status")}
     tables["system_health"] = typed_table(events, "system_health")
     return tables

@@ -1,7 +1,11 @@
-"""Written tables: partitioned by deployment, Parquet or CSV, replaced per deployment."""
+"""Written tables: partitioned by deployment, Parquet or CSV, replaced per deployment.
+
+A table's folder also holds its schema, so that a table without rows stays a typed table and ids are never retyped.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +19,7 @@ OUTPUT_TABLES = (
     "scan_windows", "rga_scans", "chamber_cycles", "fluxes", "metabolism", "pi_fit", "deployment", "processing",
 )
 FORMATS = ("parquet", "csv")
+SCHEMA_FILE = "_schema.json"
 # Microseconds survive CSV only with an explicit pattern.
 CSV_OPTIONS = {"header": True, "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
@@ -44,28 +49,77 @@ def durations_to_seconds(df: DataFrame) -> DataFrame:
     return out
 
 
+def _partitions(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Path of every deployment's partition in a table folder, from one listing."""
+    fs, p = _file_system(spark, folder)
+    if not fs.exists(p):
+        return {}
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found = [s.getPath() for s in fs.listStatus(p) if s.isDirectory()]
+    return {unescape(d.getName().split("=", 1)[1]): d.toString() for d in found if d.getName().startswith(f"{KEY}=")}
+
+
 def clear_outputs(spark: SparkSession, out: str, deployment_ids: Iterable[str]) -> list[str]:
     """Delete these deployments' earlier output in either format; nothing else is touched."""
-    removed = []
+    removed, ids = [], set(deployment_ids)
     for name in OUTPUT_TABLES:
         for fmt in FORMATS:
-            for d in deployment_ids:
-                fs, p = _file_system(spark, f"{_path(out, name, fmt)}/{KEY}={d}")
-                if fs.exists(p):
+            for d, path in _partitions(spark, _path(out, name, fmt)).items():
+                if d in ids:
+                    fs, p = _file_system(spark, path)
                     fs.delete(p, True)
-                    removed.append(p.toString())
+                    removed.append(path)
     return removed
 
 
+def publish(spark: SparkSession, staged: str, out: str, deployment_ids: Iterable[str]) -> None:
+    """Put a finished run in the place of these deployments' earlier output, then drop the staging folder."""
+    clear_outputs(spark, out, deployment_ids)
+    for name in OUTPUT_TABLES:
+        for fmt in FORMATS:
+            source, target = _path(staged, name, fmt), _path(out, name, fmt)
+            fs, p = _file_system(spark, source)
+            if not fs.exists(p):
+                continue
+            fs.mkdirs(_file_system(spark, target)[1])
+            for part in [*_partitions(spark, source).values(), f"{source}/{SCHEMA_FILE}"]:
+                old, new = _file_system(spark, part)[1], _file_system(spark, f"{target}/{part.rsplit('/', 1)[1]}")[1]
+                if fs.exists(old):
+                    fs.delete(new, True)
+                    fs.rename(old, new)
+    fs, p = _file_system(spark, staged)
+    fs.delete(p, True)
+
+
+def _write_schema(df: DataFrame, folder: str) -> None:
+    fs, p = _file_system(df.sparkSession, f"{folder}/{SCHEMA_FILE}")
+    stream = fs.create(p, True)
+    stream.write(bytearray(df.schema.json().encode()))
+    stream.close()
+
+
+def _read_schema(spark: SparkSession, folder: str) -> T.StructType | None:
+    fs, p = _file_system(spark, f"{folder}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
 def write_table(df: DataFrame, out: str, name: str, fmt: str = "parquet") -> None:
     """Write as Parquet, CSV or `both`; only the partitions of deployments in `df` are replaced.
 
-    Rows stay in their tasks: a large deployment is written as several files in parallel.
+    Rows are gathered by deployment, and a large deployment is split again by size, so the number of files follows the data and
+    not tasks times deployments.
     """
     flat = durations_to_seconds(df)
+    dealt = flat.hint("rebalance", KEY)
     for f in FORMATS if fmt == "both" else (fmt,):
-        writer = flat.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY)
+        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY)
         (writer.options(**CSV_OPTIONS) if f == "csv" else writer).format(f).save(_path(out, name, f))
+        _write_schema(flat, _path(out, name, f))
 
 
 def write_tables(tables: dict[str, DataFrame], out: str, fmt: str = "parquet") -> None:
@@ -73,16 +127,30 @@ def write_tables(tables: dict[str, DataFrame], out: str, fmt: str = "parquet") -
         write_table(df, out, name, fmt)
 
 
-def load_table(spark: SparkSession, out: str, name: str, schema=None) -> DataFrame | None:
-    """The written table, Parquet before CSV; None where neither exists."""
-    if exists(spark, _path(out, name, "parquet")):
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(_path(out, name, "parquet"))
-    if exists(spark, _path(out, name, "csv")):
-        reader = spark.read.options(**CSV_OPTIONS)
-        reader = reader.option("inferSchema", True).option("inferTimestampNTZ", True) if schema is None else reader.schema(schema)
-        return reader.csv(_path(out, name, "csv"))
-    return None
+def _load_format(spark: SparkSession, folder: str, fmt: str, schema: T.StructType | None) -> DataFrame:
+    reader = spark.read.options(**CSV_OPTIONS) if fmt == "csv" else spark.read
+    schema = schema or _read_schema(spark, folder)
+    if schema is None:  # written elsewhere: types from the data, but never for the id
+        inferring = reader.option("inferSchema", True).option("inferTimestampNTZ", True) if fmt == "csv" else reader
+        schema = inferring.format(fmt).load(folder).schema
+    columns = [T.StructField(KEY, T.StringType()) if f.name == KEY else f for f in schema.fields]
+    if not _partitions(spark, folder):
+        return spark.createDataFrame([], T.StructType(columns))
+    return reader.schema(T.StructType(columns)).format(fmt).load(folder).select([f.name for f in columns])
+
+
+def load_table(spark: SparkSession, out: str, name: str, schema: str | T.StructType | None = None) -> DataFrame | None:
+    """The written table; of each deployment Parquet before CSV. None where the table was never written."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    folders = {f: _path(out, name, f) for f in FORMATS if exists(spark, _path(out, name, f))}
+    if not folders:
+        return None
+    if len(folders) == 1:
+        return _load_format(spark, *next((p, f) for f, p in folders.items()), schema)
+    in_parquet = list(_partitions(spark, folders["parquet"]))
+    first = _load_format(spark, folders["parquet"], "parquet", schema)
+    other = _load_format(spark, folders["csv"], "csv", schema or first.schema).where(~F.col(KEY).isin(in_parquet))
+    return first.unionByName(other, allowMissingColumns=True)
 
 
 def load_all(spark: SparkSession, out: str, names: Iterable[str] = OUTPUT_TABLES) -> dict[str, DataFrame]:

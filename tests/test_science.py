@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from abyssal.functions.seawater import gas_solubility, n2_ar_sensitivity, seawater_density
-from abyssal.operators import fluxes, metabolism, quality, spread
+from abyssal.operators import stats, fluxes, metabolism, quality, spread
 from abyssal.sources import loggers
 from tests.helpers import at, values
 
@@ -68,17 +68,17 @@ def _fluxes(spark, rows):
 
 
 def test_light_curve_recovers_known_parameters_per_chamber(spark):
-    par = [6.5, 6.5, 8.0, 10.0, 50.0, 100.0, 200.0, 350.0, 500.0, 800.0, 1100.0, 1400.0]
+    par = [0.5, 3.0, 9.0, 15.0, 40.0, 90.0, 160.0, 300.0, 450.0, 700.0, 1000.0, 1300.0]
     curve = lambda p, a, r: [p * math.tanh(a * i / p) - r for i in par]
-    rows = [("C1", i, v) for i, v in zip(par, curve(2000, 8, 300))] + [("C2", i, v) for i, v in zip(par, curve(3000, 10, 500))] + [("C3", 6.5, -100), ("C3", 500.0, 800), ("C4", None, 1)]
+    rows = [("C1", i, v) for i, v in zip(par, curve(1500, 6, 250))] + [("C2", i, v) for i, v in zip(par, curve(2600, 12, 400))] + [("C3", 4.0, -80), ("C3", 620.0, 500), ("C4", None, 1)]
     out = {r.chamber: r for r in metabolism.fit_pi_curves(metabolism.classify_o2_fluxes(_fluxes(spark, rows))).collect()}
     assert set(out) == {"C1", "C2", "C3"}
-    for ch, (p, a, r) in {"C1": (2000, 8, 300), "C2": (3000, 10, 500)}.items():
+    for ch, (p, a, r) in {"C1": (1500, 6, 250), "C2": (2600, 12, 400)}.items():
         row = out[ch]
         assert row.converged and (row.n_light, row.n_dark) == (8, 4)
         assert (row.pmax_mmol_m2_h, row.alpha_mmol_m2_h_per_par, row.r_fit_mmol_m2_h) == pytest.approx((p, a, r), rel=1e-4)
         assert row.ik_umol_m2_s == pytest.approx(p / a, rel=1e-4) and row.fit_r2 == pytest.approx(1.0)
-    assert not out["C3"].converged and out["C3"].pmax_mmol_m2_h is None and out["C3"].r_dark_mmol_m2_h == 100.0
+    assert not out["C3"].converged and out["C3"].pmax_mmol_m2_h is None and out["C3"].r_dark_mmol_m2_h == 80.0
 
 
 def test_f_tail_known_values():
@@ -90,10 +90,10 @@ def test_f_tail_known_values():
 
 def test_noise_model_recovers_its_terms(spark):
     s = [10.0 ** (i / 4) for i in range(4, 29)]
-    rows = [("d", x, math.sqrt(30.0**2 + 2 * x + (0.02 * x) ** 2)) for x in s]
+    rows = [("d", x, math.sqrt(12.0**2 + 3 * x + (0.05 * x) ** 2)) for x in s]
     df = spark.createDataFrame(rows, "deployment_id STRING, current_raw_mean DOUBLE, current_raw_noise DOUBLE")
     row = spread.fit_noise_model(df).first()
-    assert (row.floor, row.shot, row.prop) == pytest.approx((30.0, 2.0, 0.02), rel=1e-3)
+    assert (row.floor, row.shot, row.prop) == pytest.approx((12.0, 3.0, 0.05), rel=1e-3)
     assert spread.fit_noise_model(df.limit(2)).count() == 0
 
 
@@ -104,17 +104,17 @@ def _times(spark, seconds, table="status"):
 def test_gaps_inside_leading_trailing_and_whole_range(spark):
     limit = spark.createDataFrame([("d", "status", 8.0, 60.0)], "deployment_id STRING, table STRING, nominal_interval_s DOUBLE, gap_threshold_s DOUBLE")
     bounds = lambda a, b: spark.createDataFrame([("d", at(a), at(b))], "deployment_id STRING, lo TIMESTAMP_NTZ, hi TIMESTAMP_NTZ")
-    inner = _times(spark, [i * 10 for i in range(50) if not 20 <= i < 30])
-    assert values(quality.find_gaps(inner, limit), "gap_start", "gap_end", "gap_s") == [(at(190), at(300), 110.0)]
-    late = _times(spark, [300 + i * 10 for i in range(10)])
-    assert values(quality.find_gaps(late, limit, bounds(0, 1000)), "gap_start", "gap_s") == [(at(0), 300.0), (at(390), 610.0)]
-    none = quality.find_gaps(late, limit, bounds(5000, 8600))
-    assert values(none, "group", "gap_start", "gap_s") == [(None, at(5000), 3600.0)]
+    inner = _times(spark, [i * 7 for i in range(60) if not 25 <= i < 40])
+    assert values(quality.find_gaps(inner, limit), "gap_start", "gap_end", "gap_s") == [(at(168), at(280), 112.0)]
+    late = _times(spark, [240 + i * 12 for i in range(8)])
+    assert values(quality.find_gaps(late, limit, bounds(0, 900)), "gap_start", "gap_s") == [(at(0), 240.0), (at(324), 576.0)]
+    none = quality.find_gaps(late, limit, bounds(4000, 6400))
+    assert values(none, "group", "gap_start", "gap_s") == [(None, at(4000), 2400.0)]
 
 
 def test_range_flags_are_inclusive(spark):
-    df = spark.createDataFrame([(v,) for v in [-0.1, 0.0, 1.9, 2.0, 8.0, 8.1, 10.0, 10.1, None, float("nan")]], "v DOUBLE")
-    got = [r[0] for r in df.select(quality.range_flag(F.col("v"), (0.0, 10.0, 2.0, 8.0))).collect()]
+    df = spark.createDataFrame([(v,) for v in [-1.5, -1.0, 0.99, 1.0, 15.0, 15.5, 20.0, 20.25, None, float("nan")]], "v DOUBLE")
+    got = [r[0] for r in df.select(quality.range_flag(F.col("v"), (-1.0, 20.0, 1.0, 15.0))).collect()]
     assert got == ["fail", "suspect", "suspect", "pass", "pass", "suspect", "suspect", "fail", "missing", "missing"]
 
 
@@ -138,3 +138,17 @@ def test_logger_exports(spark, tmp_path):
     hobo = loggers.read_hobo(spark, str(tmp_path)).collect()
     assert [(r.ts, r.location, r.oxygen_mgl, r.serial_number) for r in hobo] == [(datetime(2026, 9, 23, 15, 30), "C1", 8.73, "20113801")]
     assert hobo[0].temp_degc == pytest.approx((73.58 - 32) * 5 / 9)
+
+
+def test_adjusted_p_values_leave_nulls_out(spark):
+    rows = [("d", 1, None), ("d", 2, 0.01), ("d", 3, 0.04), ("e", 1, None)]
+    out = spread.benjamini_hochberg(spark.createDataFrame(rows, "deployment_id STRING, mass INT, p_value DOUBLE"))
+    assert sorted((r.deployment_id, r.mass, r.p_adj) for r in out.collect()) == [("d", 1, None), ("d", 2, 0.02), ("d", 3, 0.04), ("e", 1, None)]
+
+
+def test_exact_median_of_odd_values(spark):
+    inf = float("inf")
+    groups = {"near": [300 + i * 1e-9 for i in range(1001)], "inf": [inf, 1.0, 2.0, -inf, 5.0], "two": [-3.0, 4.0], "zero": [0.0, 0.0, -0.5, 1e-320], "high": [inf, inf, 1.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in [*vs, None, float("nan")]], "k STRING, v DOUBLE")
+    got = {r.k: r.m for r in stats.exact_median(df, ["k"], F.col("v"), "m").collect()}
+    assert got == pytest.approx({k: float(np.median(vs)) for k, vs in groups.items()})
