@@ -270,7 +270,8 @@ def repeats(docs: DataFrame, largest: int = LARGEST, id_col: str = "doc_id", tex
     cut = met.select("a", "b", F.explode(F.arrays_zip("r", "around")).alias("x"))
     rows = cut.select("a", "b", "x.r.*", "x.around").withColumn("left", F.least(F.col("place"), F.lit(REACH)))
     rows = rows.withColumn("lo", -F.col("left")).withColumn("hi", hi.cast("int")).withColumnRenamed("core", "key")
-    rows = write_and_read(rows.dropDuplicates(["key", "a", "b", "place"]), made)
+    # a row that repeats id and text comes twice, but only as company for others: its spans occur again and ask for nothing
+    rows = write_and_read(rows, made)
     large = rows.filter(F.col("spans") > largest).select(*ROW, F.lit(-REACH).alias("from"), F.lit(0).alias("to"))
     more, settled = _split_large(large, largest, made)
     small = rows.filter(F.col("spans") <= largest).select(ROW)
