@@ -19,6 +19,7 @@ from abyssal.functions.common import from_micros, micros
 from abyssal.ordering import ordered_scan, slice_width, time_slice
 
 MOST_BUCKETS = 100_000
+BUCKET_US = 900_000_000
 
 
 def _union_and_carry(
@@ -43,7 +44,8 @@ def _union_and_carry(
         F.struct(micros(right_ts).alias("__rt"), *[F.col(c).alias(f"__c_{c}") for c in carry]).alias("__r"),
     )
     if width_us is None:
-        width_us = slice_width(left, keys, left_ts)
+        # as narrow as the denser side asks for
+        width_us = min(slice_width(left, keys, left_ts), slice_width(right, keys, right_ts))
     l = left.withColumns({"__side": F.lit(1), "__t": micros(left_ts), "__o": F.lit(0).cast("bigint")})
     both = l.unionByName(r, allowMissingColumns=True).withColumns(
         {"__slice": time_slice(F.col("__t"), width_us), "__flip": 1 - F.col("__side")}
@@ -126,6 +128,12 @@ def _bucket_count(windows: DataFrame, bucket_us: int) -> int:
     return windows.agg(F.sum(touched)).first()[0] or 0
 
 
+def _bucketed(windows: DataFrame, keys: Sequence[str], order: str | None, bucket_us: int) -> DataFrame:
+    """Effective windows, once for every time bucket they touch."""
+    w = effective_windows(windows, keys, order)
+    return w.withColumn("__b", F.explode(F.sequence(time_slice(F.col("__s"), bucket_us), time_slice(F.col("__e") - 1, bucket_us))))
+
+
 def match_to_windows(
     readings: DataFrame,
     windows: DataFrame,
@@ -133,7 +141,7 @@ def match_to_windows(
     ts: str = "ts",
     order: str | None = None,
     strategy: str = "auto",
-    bucket_us: int = 900_000_000,
+    bucket_us: int = BUCKET_US,
     width_us: int | None = None,
 ) -> DataFrame:
     """Readings inside a window ``[window_start, window_end)``, with the window's columns; others dropped.
@@ -151,9 +159,7 @@ def match_to_windows(
             right_order="__tie", matched_ts="window_start", width_us=width_us,
         )
         return rows.where(F.col(ts) < F.col("window_end"))
-    w = effective_windows(windows, keys, order).withColumn(
-        "__b", F.explode(F.sequence(time_slice(F.col("__s"), bucket_us), time_slice(F.col("__e") - 1, bucket_us)))
-    )
+    w = _bucketed(windows, keys, order, bucket_us)
     t = micros(ts)
     hit = readings.withColumns({"__t": t, "__b": time_slice(t, bucket_us)}).join(F.broadcast(w), [*keys, "__b"])
     return hit.where("__t >= __s AND __t < __e").select(*readings.columns, *carry)
@@ -168,8 +174,19 @@ def attach_window(
     order: str | None = None,
     width_us: int | None = None,
 ) -> DataFrame:
-    """Left form of the match: every row stays, `carry` is null when the row's time is in no window."""
-    out = asof_join(rows, windows.withColumnRenamed("window_end", "__end"), keys, [*carry, "__end"], ts,
-                    "window_start", right_order=order, width_us=width_us)
+    """Left form of the match: every row stays, `carry` is null when the row's time is in no window.
+
+    Few windows are broadcast, and rows stay where they are.
+    """
+    keys = list(keys)
+    if small_enough_to_broadcast(windows) and _bucket_count(windows, BUCKET_US) <= MOST_BUCKETS:
+        w = _bucketed(windows, keys, order, BUCKET_US).select(*keys, "__b", "__s", "__e", *[F.col(c).alias(f"__c_{c}") for c in carry])
+        timed = rows.withColumns({"__t": micros(ts), "__b": time_slice(micros(ts), BUCKET_US)}).alias("l")
+        w = F.broadcast(w).alias("r")
+        on = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in [*keys, "__b"]] + [F.col("__t") >= F.col("__s"), F.col("__t") < F.col("__e")]
+        hit = timed.join(w, on, "left")
+        return hit.select(*[F.col(f"l.{c}") for c in rows.columns], *[F.col(f"__c_{c}").alias(c) for c in carry])
+    out = asof_join(rows, with_tie(windows, order).withColumnRenamed("window_end", "__end"), keys, [*carry, "__end"], ts,
+                    "window_start", right_order="__tie", width_us=width_us)
     inside: Column = F.col(ts) < F.col("__end")
     return out.select(*rows.columns, *[F.when(inside, F.col(c)).alias(c) for c in carry])

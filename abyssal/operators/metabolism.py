@@ -112,6 +112,8 @@ def fit_pi_curves(
         step /= (ZOOM_POINTS - 1) / 2
         best = _search_level(used, best.select(*group, "lnk0"), group, ZOOM_POINTS, step)
     params = best.select(*group, "pmax", (F.col("pmax") * F.exp("lnk0")).alias("alpha"), (-F.col("b")).alias("r"))
+    if materialise:  # a row per chamber; the search is not repeated for the errors
+        params = write_and_read(params)
     return _with_errors(used, counts, params, group, transmittance)
 
 
