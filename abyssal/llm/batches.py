@@ -1,13 +1,20 @@
-"""Arrow batches of bounded size for operators that read whole texts."""
+"""Arrow batches of bounded size for operators that read whole texts, and broadcasts of counted keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RECORDS, BYTES = 2000, 8 << 20
+FEW_KEYS = 500_000  # rows of at most an id and a digest: some 30 MB
 
 
 def bound_batches(spark: SparkSession) -> None:
     """Rows of long texts come in small batches, so a Python worker's memory follows the longest text, not the batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(RECORDS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES))
+
+
+def few_or_hashed(keys: DataFrame) -> DataFrame:
+    """A (written) table of keys for a join with whole texts: broadcast when a count shows it is small, else hashed on both sides."""
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys.hint("shuffle_hash")

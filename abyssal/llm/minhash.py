@@ -6,8 +6,9 @@ of `ROWS` (a pair at 0.8 is missed with a chance under 1e-5) and confirmed on th
 hashes of their words.
 
 Documents with equal sets are one class, compared once. Each class is confirmed against its best bucket partner first; the links
-found join classes into components. Buckets that still hold several components are then compared pair by pair, in blocks of
-bounded size, between components only, so no link that a bucket offers is lost and no group is expanded into all its pairs.
+found join classes into components. Buckets that still hold several components are then searched whole: their members' full sets
+meet in blocks of bounded size, and of the links between components a forest leaves each block. So no link that a bucket offers is
+lost and no group is expanded into all its pairs.
 
 Null ids, null or empty texts: no links. Rows that share an id are one document. Texts of any length are read whole.
 """
@@ -24,14 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import remove_dirs, write_and_read
-from abyssal.llm.batches import bound_batches
+from abyssal.llm.batches import bound_batches, few_or_hashed
 from abyssal.llm.components import connected_components
 
 MINIMA, ROWS = 100, 4
 BANDS = MINIMA // ROWS
 #: A pair at similarity 0.8 agrees in 80 of 100 minima on average, with a standard deviation of 4.
 LEAST_AGREE = 0.55
-BLOCK = 1024  # members of a bucket that one task compares with as many others
+BLOCK = 512  # members of a bucket that meet as many others at once
 SLICE = 1 << 16  # shingles hashed at once, or those of one text
 ROWS_AT_ONCE = 200
 CACHE = 1 << 18  # word hashes that a task remembers
@@ -154,10 +155,13 @@ class _Search:
     words: int
     percent: int
 
+    def texts_of(self, ids: DataFrame) -> DataFrame:
+        ids = write_and_read(ids.distinct(), self.made)
+        return self.texts.join(few_or_hashed(ids), "id", "left_semi")
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (u, v) that reach the similarity on their full sets."""
-        ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-        texts = write_and_read(self.texts.join(ids, "id", "left_semi"), self.made)
+        texts = write_and_read(self.texts_of(pairs.select(F.explode(F.array("u", "v")).alias("id"))), self.made)
         left = texts.select(F.col("id").alias("u"), F.col("text").alias("a"))
         right = texts.select(F.col("id").alias("v"), F.col("text").alias("b"))
         both = pairs.select("u", "v").join(left, "u").join(right, "v")
@@ -184,8 +188,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     tied = _tied(usable, classes)
     edges = write_and_read(first.union(tied), made)
     parts = write_and_read(connected_components(edges), made)
-    rest = search.confirmed(write_and_read(_between_components(reps, in_buckets, parts, percent, made), made))
-    rest = write_and_read(rest, made)
+    rest = write_and_read(_between_components(search, in_buckets, parts, made), made)
     if not rest.isEmpty():
         parts = connected_components(edges.union(rest))
     parts = write_and_read(parts)
@@ -222,44 +225,74 @@ def _best_partners(reps: DataFrame, in_buckets: DataFrame, percent: int) -> Data
     return best.select(F.col("id").alias("u"), (-F.col("best.back")).alias("v"))
 
 
-def _between_components(reps: DataFrame, in_buckets: DataFrame, parts: DataFrame, percent: int, made: list[str]) -> DataFrame:
-    """Pairs of different components that share a bucket and agree enough, from blocks of buckets with several components."""
+def shingles_of(words: int):
+    """Column function: a text's sorted shingle hashes, eight bytes each."""
+
+    @F.pandas_udf("binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache: dict[bytes, int] = {}
+        for texts in batches:
+            yield pd.Series([shingle_set(t, words, cache).tobytes() for t in texts], dtype=object)
+
+    return run
+
+
+def _between_components(search: _Search, in_buckets: DataFrame, parts: DataFrame, made: list[str]) -> DataFrame:
+    """Links (u, v) between components that share a bucket, enough of them to tell which components are one."""
     part = parts.select(F.col("node").alias("id"), "component")
     placed = in_buckets.join(part, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = write_and_read(placed, made)
+    placed = write_and_read(placed.select("band", "id", "component"), made)
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).filter("lo < hi")
     mixed = write_and_read(mixed.select("band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), made)
-    rows = placed.select("band", "id", "component").join(mixed, "band").join(reps.select("id", "n_shingles", "agree"), "id")
+    rows = write_and_read(placed.join(mixed, "band"), made)
+    texts = search.texts_of(rows.select("id"))
+    sets = write_and_read(texts.select("id", shingles_of(search.words)("text").alias("shingles")), made)
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     # a member goes to the block pairs that hold its own block: with itself and with every other one
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(other))
-    rows = rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
-    columns = ["band", "lo", "hi", "own", "id", "component", "n_shingles", "agree"]
-    dealt = rows.select(columns).repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi", "own", "id")
-    return dealt.mapInPandas(_compare_blocks(percent), "u bigint, v bigint").distinct()
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).join(sets, "id")
+    dealt = rows.select("band", "lo", "hi", "own", "id", "component", "shingles").repartition("band", "lo", "hi")
+    return dealt.sortWithinPartitions("band", "lo", "hi", "own", "id").mapInPandas(_compare_blocks(search.percent), "u bigint, v bigint").distinct()
+
+
+def links_between(sets: list[np.ndarray], part: np.ndarray, side: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """A forest of links at ``percent`` % between different parts; with ``side``, of links between its two sides only.
+
+    A member's intersections with all others come from the owners of its shingles, so they are exact.
+    """
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    part = np.unique(part, return_inverse=True)[1]
+    owner = np.repeat(np.arange(n), sizes)
+    _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(shingle, kind="stable")
+    owners, starts = owner[order], np.concatenate(([0], np.cumsum(np.bincount(shingle))))
+    first, out = np.concatenate(([0], np.cumsum(sizes))), []
+    for i in range(n - 1):
+        fit = (part != part[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
+        fit[: i + 1] = False
+        if side is not None:
+            fit &= side != side[i]
+        if not fit.any():
+            continue
+        mine = shingle[first[i] : first[i + 1]]
+        begin, count = starts[mine], starts[mine + 1] - starts[mine]
+        at = np.repeat(begin - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+        both = np.bincount(owners[at], minlength=n)
+        for j in np.flatnonzero(fit & (100 * both >= percent * (sizes + sizes[i] - both))):
+            if part[j] != part[i]:
+                out.append((i, int(j)))
+                part[part == part[j]] = part[i]
+    return out
 
 
 def _compare_blocks(percent: int):
     """Streams over rows sorted by block pair; holds one block pair at a time."""
 
     def pairs(g: pd.DataFrame) -> pd.DataFrame:
-        n = len(g)
-        agree = np.frombuffer(b"".join(g["agree"]), np.uint8).reshape(n, -1)
-        size, part, ids, own = (g[c].to_numpy() for c in ("n_shingles", "component", "id", "own"))
-        apart = g["lo"].iat[0] != g["hi"].iat[0]
-        u, v = [], []
-        for i in range(n - 1):
-            j = np.arange(i + 1, n)
-            fit = (part[j] != part[i]) & (100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i]))
-            if apart:
-                fit &= own[j] != own[i]
-            j = j[fit]
-            if len(j):
-                j = j[(agree[j] == agree[i]).sum(axis=1) >= LEAST_AGREE * MINIMA]
-                u += [ids[i]] * len(j)
-                v += ids[j].tolist()
-        return pd.DataFrame({"u": u, "v": v}, dtype="int64")
+        sets = [np.frombuffer(s, np.uint64) for s in g["shingles"]]
+        side = g["own"].to_numpy() if g["lo"].iat[0] != g["hi"].iat[0] else None
+        ids = g["id"].to_numpy()
+        return pd.DataFrame([(ids[i], ids[j]) for i, j in links_between(sets, g["component"].to_numpy(), side, percent)], columns=["u", "v"], dtype="int64")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
