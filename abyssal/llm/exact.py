@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import remove_dirs, write_and_read
+from abyssal.llm.batches import few_or_hashed
 
 BLANKS = "[\\x20\\x09-\\x0D]"
 
@@ -68,7 +69,8 @@ def keep_rows(docs: DataFrame, result: DataFrame) -> DataFrame:
 
     def meet(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
         on = key.eqNullSafe(F.col("_digest")) & rows["doc_id"].eqNullSafe(F.col("_id"))
-        return rows.join(ids.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).hint("shuffle_hash"), on, how)
+        keys = ids.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+        return rows.join(few_or_hashed(keys), on, how)
 
     made: list[str] = []
     drop = write_and_read(result.filter(~F.col("kept")))

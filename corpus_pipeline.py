@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from abyssal.functions.common import shared_dir, write_and_read
 from abyssal.llm import bpe, exact, minhash, mixing, quality
+from abyssal.llm.batches import few_or_hashed
 
 KEEP_SCORE = 0.7
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -29,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (shingles of five words, similarity of 80 % or more)."""
     found = minhash.near_duplicates(docs)
     drop = write_and_read(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_drop")))
-    return docs.join(drop.hint("shuffle_hash"), F.col("doc_id") == F.col("_drop"), "left_anti")
+    return docs.join(few_or_hashed(drop), F.col("doc_id") == F.col("_drop"), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
