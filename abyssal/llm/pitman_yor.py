@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,11 +40,12 @@ from abyssal.functions.common import remove_dirs, write_and_read
 from abyssal.llm.batches import bound_batches
 
 EXACT = 64
-SWEEPS, SAMPLES = 4, 3
+SWEEPS, SAMPLES = 3, 2
 STRENGTH = 10.0
 CONTEXTS = 1000
 MOST_CONTEXTS = 20_000
 FREQUENT = 400_000
+CHUNK = 100_000  # words that are seated at once
 HELD = 300_000  # words that a counting or scoring task holds
 EDGE = 256  # the mark before a word and the symbol after it
 SYMBOLS = 257
@@ -69,6 +71,7 @@ def uniform(keys: np.ndarray, sweep: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
 
 
+@lru_cache(8)
 def stirling(discount: float) -> np.ndarray:
     """Logs of the generalised Stirling numbers: ways to seat c customers at t tables."""
     s = np.full((EXACT + 1, EXACT + 2), -np.inf)
@@ -310,6 +313,21 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Words and counts of several batches together: word rows are short, and numpy works on many at once."""
+    held, size = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        size += len(pdf)
+        if size >= CHUNK:
+            rows = pd.concat(held)
+            yield rows["word"].tolist(), rows["c"].to_numpy()
+            held, size = [], 0
+    if size:
+        rows = pd.concat(held)
+        yield rows["word"].tolist(), rows["c"].to_numpy()
+
+
 def sweep_words(words: DataFrame, model: WordModel, state: Sample | None, number: int) -> Sample:
     """Reseats the word restaurant (every word once at first) and refits the spelling model on its tables."""
     spark = words.sparkSession
@@ -317,10 +335,7 @@ def sweep_words(words: DataFrame, model: WordModel, state: Sample | None, number
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, state = shared.value
-        for pdf in batches:
-            w, c = pdf["word"].tolist(), pdf["c"].to_numpy()
-            if not len(w):
-                continue
+        for w, c in _chunks(batches):
             if state is None:
                 t = np.ones(len(w), np.int64)
             else:
@@ -409,12 +424,10 @@ def predictive(words: DataFrame, model: WordModel) -> DataFrame:
     shared = words.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            w, c = pdf["word"].tolist(), pdf["c"].to_numpy()
-            if len(w):
-                keys = word_hash(w)
-                dish = np.fromiter((x in shared.value.dishes for x in w), bool, len(w))
-                yield pd.DataFrame({"hash": keys, "c": c, "log_p": np.where(dish, 0.0, shared.value.seen(w, c, keys))})
+        for w, c in _chunks(batches):
+            keys = word_hash(w)
+            dish = np.fromiter((x in shared.value.dishes for x in w), bool, len(w))
+            yield pd.DataFrame({"hash": keys, "c": c, "log_p": np.where(dish, 0.0, shared.value.seen(w, c, keys))})
 
     return words.mapInPandas(run, "hash bigint, c bigint, log_p double")
 
