@@ -8,20 +8,23 @@ from pyspark.sql import functions as F
 from abyssal.functions.common import remove_dirs, write_and_read
 
 
-def _star(edges: DataFrame, made: list[str], large: bool) -> DataFrame:
+PER_FILE = 50_000  # edges
+
+
+def _star(edges: DataFrame, made: list[str], large: bool, files: int) -> DataFrame:
     """One star operation on edges (u, v) with u > v; every node's neighbours are hung on its smallest neighbour.
 
     Large-star hangs only the larger neighbours (and reads each edge from both ends); small-star hangs the smaller ones and the
     node itself. The minima are written first, so that the join shuffles both sides and a star's hub can be split.
     """
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = write_and_read(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), made)
+    least = write_and_read(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).coalesce(files), made)
     joined = both.join(least, "u")
     if large:
         hung = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         hung = joined.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    return hung.filter(F.col("u") != F.col("v")).distinct()
+    return hung.filter(F.col("u") != F.col("v")).distinct().coalesce(files)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -38,9 +41,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = _mark(e)
     while True:
         made: list[str] = []
-        wide = write_and_read(_star(e, made, True), made)
+        files = 1 + before[0] // PER_FILE  # a small graph is not spread over many small files
+        wide = write_and_read(_star(e, made, True, files), made)
         new: list[str] = []
-        e = write_and_read(_star(wide, made, False), new)
+        e = write_and_read(_star(wide, made, False, files), new)
         after = _mark(e)
         remove_dirs(spark, made + old)
         old = new
