@@ -149,7 +149,8 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", tex
     block = F.explode(F.sequence(F.floor(F.col("_start") / size), F.floor((end - 1) / size)))
     parts = placed.select("_key", "_print", "_source", "_start", "size", block.alias("_block"))
     takes = slots(spark, [(number[s], n, round(min(t, mix.cap * n))) for s, n, t in goals], mix)
-    met = parts.join(takes, ["_source", "_block"])
+    # slots grow with the corpus although their plan starts from a few rows, so they may not be broadcast
+    met = parts.join(takes.hint("merge"), ["_source", "_block"])
     low = F.greatest(F.col("_start"), F.col("_block") * size)
     high = F.least(F.col("_start") + F.col("size"), F.col("_block") * size + F.col("_words"))
     met = met.filter(high > low)
