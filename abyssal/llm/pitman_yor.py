@@ -1,24 +1,25 @@
 """Language-model scoring with a hierarchical Pitman-Yor model.
 
-Tokens are words (A-Z lower-cased, split at blanks) and one end per text. Two hierarchies of restaurants share the work.
+Tokens are words (A-Z lower-cased, split at blanks) and one end per text. There are three levels of restaurants.
 
-Contexts: the `CONTEXTS` most frequent training tokens are dishes of their own, all other words are one dish more. Every frequent
-token has a restaurant for the tokens that follow it, up to and with the next frequent one; the restaurants share one parent, whose
-customers are their tables, and that one's base is uniform. Its size is bounded by the square of `CONTEXTS`.
+Contexts: every training token has a restaurant for the tokens that follow it (the end token has one for first words). All of
+them share the word restaurant as parent: its customers are their tables.
 
-Words: which other word it is comes from a restaurant that seats all their training tokens. The dish of a new table is drawn from
-a spelling model: byte contexts of up to three bytes of the word, each with a restaurant whose new tables are customers of the
-context one byte shorter, which several contexts share, down to uniform bytes. So any word has a probability.
+Words: one restaurant of all words. The dish of a new table is drawn from a spelling model: byte contexts of up to three bytes of
+the word, each with a restaurant whose new tables are customers of the context one byte shorter, which several contexts share,
+down to uniform bytes. So any word has a probability, after any other.
 
 Seating is sampled by Gibbs sweeps. A sweep draws the number of tables of each dish from its conditional given all other seats
-(exactly up to `EXACT` customers; beyond, the restaurant is continued in steps of a few per cent of its customers). The word
-restaurant is swept in parallel over the distributed word table, where each word's uniform is a hash of word and sweep, so a lost
-task draws the same again. Its tables are the spelling model's customers: byte n-gram counts are summed by Spark, contexts with
-less than one part in `MOST_CONTEXTS` of all customers share their parent's restaurant, which bounds the spelling model whatever
-the corpus, and the bounded rest is swept in numpy. Predictive probabilities are averaged over the last `SAMPLES` sweeps.
+(exactly up to `EXACT` customers; beyond, the restaurant is continued in steps of a few per cent of its customers). All (context,
+word) pairs are counted by Spark and stay a written table, as do words; rows meet seats of their context and the probability of
+their word in joins and are seated in parallel. A pair seen once always has one table, so sweeps only touch the others. Each row's
+uniform is a hash of the row and the sweep, so a lost task draws the same again. The tables of the word restaurant are the
+spelling model's customers: byte n-gram counts are summed by Spark, contexts with less than one part in `MOST_CONTEXTS` of all
+customers share their parent's restaurant, which bounds the spelling model whatever the corpus, and the bounded rest is swept in
+numpy. Predictive probabilities are averaged over the last `SAMPLES` sweeps.
 
-For scoring, words whose training count is over a cutoff (`FREQUENT` words at most) go to every task. The words of each document
-below it meet the word table in a join by a 64-bit hash; no token is left out.
+For scoring, pairs whose count is over a cutoff (`FREQUENT` pairs at most) go to every task. The pairs of each document below it
+meet the scored pairs in a join by a 64-bit hash; no token is left out.
 
 Null and empty texts are one end token. Rows with a null id are held out of training; repeated rows keep their own result.
 """
@@ -42,10 +43,9 @@ from abyssal.llm.batches import bound_batches
 EXACT = 64
 SWEEPS, SAMPLES = 3, 2
 STRENGTH = 10.0
-CONTEXTS = 1000
 MOST_CONTEXTS = 20_000
 FREQUENT = 400_000
-CHUNK = 100_000  # words that are seated at once
+CHUNK = 100_000  # words or pairs that are seated at once
 HELD = 300_000  # words that a counting or scoring task holds
 EDGE = 256  # the mark before a word and the symbol after it
 SYMBOLS = 257
@@ -62,6 +62,17 @@ def word_hash(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words)).view(np.int64)
 
 
+def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One key of two word hashes; `_pair` is the same in Spark."""
+    u = before.view(np.uint64)
+    return ((u << np.uint64(1)) | (u >> np.uint64(63))).view(np.int64) ^ word
+
+
+def _pair() -> Column:
+    u = F.col("before")
+    return F.shiftleft(u, 1).bitwiseOR(F.shiftrightunsigned(u, 63)).bitwiseXOR(F.col("hash"))
+
+
 def uniform(keys: np.ndarray, sweep: int) -> np.ndarray:
     """A number in (0, 1) for each key, the same whenever asked."""
     with np.errstate(over="ignore"):
@@ -224,7 +235,7 @@ class Sample:
 
 
 class Contexts:
-    """Restaurants of frequent tokens over frequent tokens and one dish for all others; ``log_p[context, dish]`` in log10."""
+    """The restaurants of a small set of contexts as a dense matrix over a uniform base, for checks; ``log_p[context, dish]`` in log10."""
 
     discount, strength = 0.5, 10.0
 
@@ -259,38 +270,27 @@ def contexts_of(dish: np.ndarray, none: int) -> np.ndarray:
 
 @dataclass
 class WordModel:
-    """What every task needs: totals, hyperparameters, samples and the frequent words."""
+    """The word restaurant as every task needs it: totals, discount and samples."""
 
     tokens: int
     types: int
     discount: float
     samples: list[Sample]
-    dishes: dict[bytes, int] = field(default_factory=dict)  # of the contexts
-    contexts: Contexts | None = None
-    others: int = 0  # tokens of words that are no dish of the contexts
-    outside: float = 1.0  # what the word restaurant leaves to such words
-    hashes: np.ndarray | None = None  # of the frequent words, in order
-    counts: np.ndarray | None = None
-    log_p: np.ndarray | None = None
-
-    def unseen(self, words: list[bytes]) -> np.ndarray:
-        """log10 probability of words that no training document has, among all words that are no dish."""
-        if not len(words):
-            return np.zeros(0)
-        logs = [s.spelling.log_p_words(words) + np.log(STRENGTH + self.discount * s.tables) for s in self.samples]
-        return (np.logaddexp.reduce(logs) - np.log(len(logs) * (STRENGTH + self.others) * self.outside)) / np.log(10)
+    others: int = 0  # customers
+
+    def seat(self, words: list[bytes], c: np.ndarray, keys: np.ndarray, sample: Sample, sweep: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tables of words with ``c`` customers (none without any), and the log probability of their spelling."""
+        log_base = sample.spelling.log_p_words(words)
+        t = draw_tables(c, log_base, np.full(len(c), sample.tables), self.discount, STRENGTH, uniform(keys, sweep))
+        return np.where(c > 0, t, 0), log_base
 
     def seen(self, words: list[bytes], c: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """The same of training words with ``c`` tokens: the averaged predictive probability."""
+        """log10 of the averaged predictive probability of words with ``c`` customers."""
         total = np.zeros(len(words))
         for i, s in enumerate(self.samples):
-            log_base = s.spelling.log_p_words(words)
-            t = draw_tables(c, log_base, np.full(len(c), s.tables), self.discount, STRENGTH, uniform(keys, i))
+            t, log_base = self.seat(words, c, keys, s, i)
             total += c - self.discount * t + (STRENGTH + self.discount * s.tables) * np.exp(log_base)
-        return np.log10(total / (len(self.samples) * (STRENGTH + self.others) * self.outside))
-
-    def base(self, c: np.ndarray) -> np.ndarray:
-        return np.log10((c + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
+        return np.log10(total / (len(self.samples) * (STRENGTH + self.others)))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -298,58 +298,107 @@ def held_out(doc_id: Column) -> Column:
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word, c) over a column text."""
+    """(word, hash, c) over columns text and held_out; c counts training tokens only."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter[bytes] = Counter()
         for pdf in batches:
-            for text in pdf["text"]:
-                counts.update(words_of(text))
+            for text, held in zip(pdf["text"], pdf["held_out"]):
+                counts.update(dict.fromkeys(words_of(text), 0) if held else words_of(text))
                 if len(counts) > HELD:
                     yield pd.DataFrame({"word": list(counts), "c": list(counts.values())})
                     counts.clear()
         yield pd.DataFrame({"word": list(counts), "c": list(counts.values())}, columns=["word", "c"])
 
-    return texts.mapInPandas(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _chunks(batches):
+            yield pdf.assign(hash=word_hash(pdf["word"].tolist()))
+
+    counted = texts.mapInPandas(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    return counted.mapInPandas(keyed, "word binary, c bigint, hash bigint")
+
+
+class _Slots:
+    """Numbers and hashes of the words a task has met lately; the end is number 0."""
+
+    def __init__(self):
+        self.slot: dict[bytes, int] = {b"": 0}
+        self.hash = word_hash([b""])
+
+    def numbers(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        if len(self.slot) > HELD:
+            self.__init__()
+        new = [w for w in set().union(*texts) if w not in self.slot]
+        self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
+        self.hash = np.concatenate((self.hash, word_hash(new)))
+        return [np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words)) for words in texts]
+
+
+def before(at: np.ndarray) -> np.ndarray:
+    """For every token of a text the one before it; the end before the first."""
+    return np.concatenate((np.zeros(1, np.int64), at[:-1]))
+
+
+def count_pairs(texts: DataFrame) -> DataFrame:
+    """(before, hash, c, n) over columns text and held_out: every token after every other, in training and in all."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slots = _Slots()
+        for pdf in batches:
+            at = slots.numbers([words_of(t) for t in pdf["text"]])
+            if not at:
+                continue
+            train = np.repeat(~pdf["held_out"].to_numpy(bool), [len(x) for x in at])
+            codes, which = np.unique(np.concatenate([before(x) for x in at]) << 32 | np.concatenate(at), return_inverse=True)
+            c, n = np.bincount(which, train, len(codes)), np.bincount(which, minlength=len(codes))
+            yield pd.DataFrame({"before": slots.hash[codes >> 32], "hash": slots.hash[codes & 0xFFFFFFFF], "c": c.astype(np.int64), "n": n})
 
+    found = texts.mapInPandas(run, "before bigint, hash bigint, c bigint, n bigint")
+    return found.groupBy("before", "hash").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """Words and counts of several batches together: word rows are short, and numpy works on many at once."""
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of several batches together: they are short, and numpy works on many at once."""
     held, size = [], 0
     for pdf in batches:
         held.append(pdf)
         size += len(pdf)
         if size >= CHUNK:
-            rows = pd.concat(held)
-            yield rows["word"].tolist(), rows["c"].to_numpy()
+            yield pd.concat(held, ignore_index=True)
             held, size = [], 0
     if size:
-        rows = pd.concat(held)
-        yield rows["word"].tolist(), rows["c"].to_numpy()
+        yield pd.concat(held, ignore_index=True)
 
 
-def sweep_words(words: DataFrame, model: WordModel, state: Sample | None, number: int) -> Sample:
-    """Reseats the word restaurant (every word once at first) and refits the spelling model on its tables."""
-    spark = words.sparkSession
-    shared = spark.sparkContext.broadcast((model, state))
+def seat_words(words: DataFrame, model: WordModel, state: Sample, number: int) -> DataFrame:
+    """(word, hash, c, n, t, log_base) of words with ``n`` customers."""
+    shared = words.sparkSession.sparkContext.broadcast((model, state))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, state = shared.value
-        for w, c in _chunks(batches):
-            if state is None:
-                t = np.ones(len(w), np.int64)
-            else:
-                t = draw_tables(c, state.spelling.log_p_words(w), np.full(len(c), state.tables), model.discount, STRENGTH, uniform(word_hash(w), number))
-            codes, sizes = grams(w)
-            keys, n = summed(codes, np.repeat(t, sizes))
+        for pdf in _chunks(batches):
+            t, log_base = model.seat(pdf["word"].tolist(), pdf["n"].to_numpy(), pdf["hash"].to_numpy(), state, number)
+            yield pdf.assign(t=t, log_base=log_base)
+
+    return words.select("word", "hash", "c", "n").mapInPandas(run, "word binary, hash bigint, c bigint, n bigint, t bigint, log_base double")
+
+
+def fit_spelling(words: DataFrame, number: int) -> Sample:
+    """The spelling model of the word restaurant's tables (word, t), and their number."""
+    spark = words.sparkSession
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _chunks(batches):
+            codes, sizes = grams(pdf["word"].tolist())
+            keys, n = summed(codes, np.repeat(pdf["t"].to_numpy(), sizes))
             yield pd.DataFrame({"code": keys, "n": n.astype(np.int64)})
 
     made: list[str] = []
-    found = write_and_read(words.mapInPandas(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")), made)
+    found = write_and_read(words.filter("t > 0").select("word", "t").mapInPandas(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")), made)
     # each word's tables show in the counts of its end
     tables, total = found.agg(F.sum(F.when(F.col("code").bitwiseAND(511) == EDGE, F.col("n"))), F.sum("n")).first()
     context = F.shiftright("code", 9)
-    kept = found.groupBy(context.alias("context")).agg(F.sum("n").alias("size")).filter(F.col("size") >= total / MOST_CONTEXTS).select("context")
+    kept = found.groupBy(context.alias("context")).agg(F.sum("n").alias("size")).filter(F.col("size") >= (total or 0) / MOST_CONTEXTS).select("context")
     kept = write_and_read(kept, made)  # at most `MOST_CONTEXTS` rows
     deep = found.join(F.broadcast(kept), context == F.col("context"), "left_semi")
     rest = found.join(F.broadcast(kept), context == F.col("context"), "left_anti")
@@ -359,7 +408,7 @@ def sweep_words(words: DataFrame, model: WordModel, state: Sample | None, number
         direct.append(empty if k < 2 else _pairs(rest.groupBy(F.col("code").bitwiseAND((1 << 27) - 1).alias("code")).agg(F.sum("n").alias("n"))))
     direct.append(_pairs(deep))
     remove_dirs(spark, made)
-    return Sample(float(tables), Spelling(direct, number))
+    return Sample(float(tables or 0), Spelling(direct, number))
 
 
 def _pairs(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -368,118 +417,109 @@ def _pairs(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return pdf["code"].to_numpy(np.int64), pdf["n"].to_numpy(np.float64)
 
 
-def count_pairs(texts: DataFrame, dishes: dict[bytes, int]) -> np.ndarray:
-    """Tokens of each dish (the last row and column: none or others) after each context."""
-    none = len(dishes)
-    shared = texts.sparkSession.sparkContext.broadcast(dishes)
+def seat_pairs(pairs: DataFrame, discount: float, number: int) -> DataFrame:
+    """Reseats (before, hash, c, n) rows given ``log_p`` of the word in the parent and ``seats``, the context's other tables; adds ``t``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dish = shared.value
-        total = np.zeros((none + 1) ** 2, np.int64)
-        for pdf in batches:
-            for text in pdf["text"]:
-                words = words_of(text)
-                at = np.fromiter((dish.get(w, none) for w in words), np.int64, len(words))
-                codes, n = np.unique(contexts_of(at, none) * (none + 1) + at, return_counts=True)
-                total[codes] += n
-        codes = np.flatnonzero(total)
-        yield pd.DataFrame({"code": codes, "n": total[codes]})
-
-    pairs = texts.mapInPandas(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros((none + 1) ** 2)
-    out[pairs["code"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
-    return out.reshape(none + 1, none + 1)
-
-
-def fit(words: DataFrame, texts: DataFrame) -> WordModel:
-    """The model of a (written) word table and the texts it was counted on."""
-    total = words.agg(F.sum("c"), F.count("*")).first()
-    tokens, types = (x or 0 for x in total)
-    dishes = {bytes(r["word"]): i for i, r in enumerate(words.orderBy(F.desc("c"), "word").limit(CONTEXTS).collect())}
-    rare = other_words(words, dishes)
-    others, once, twice = (x or 0 for x in rare.agg(F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
-    model = WordModel(tokens, types, float(np.clip((once + 1) / (once + 2 * twice + 2), 0.1, 0.9)), [], dishes, Contexts(count_pairs(texts, dishes)), others)
-    if not others:
-        nothing = (np.zeros(0, np.int64), np.zeros(0))
-        model.samples = [Sample(0.0, Spelling([nothing] * 4, 0, sweeps=1))]
-    state = None
-    for number in range(SWEEPS + 1 if others else 0):
-        state = sweep_words(rare, model, state, number)
-        if number > SWEEPS - SAMPLES:
-            model.samples.append(state)
-    # the spelling model also spells the dishes of the contexts; their part is taken out
-    lost = [np.exp(s.spelling.log_p_words(list(dishes))).sum() * (STRENGTH + model.discount * s.tables) / (STRENGTH + others) for s in model.samples]
-    model.outside = 1.0 - float(np.mean(lost))
-    return model
-
-
-def other_words(words: DataFrame, dishes: dict[bytes, int]) -> DataFrame:
-    """Words that are no dish of the contexts; the dishes are `CONTEXTS` at most."""
-    known = words.sparkSession.createDataFrame([(bytearray(w),) for w in dishes], "word binary")
-    return words.join(F.broadcast(known), "word", "left_anti")
-
-
-def predictive(words: DataFrame, model: WordModel) -> DataFrame:
-    """(hash, c, log_p) of every training word; log_p is 0 where the contexts say it all."""
-    shared = words.sparkSession.sparkContext.broadcast(model)
+        for pdf in _chunks(batches):
+            u = uniform(pair_hash(pdf["before"].to_numpy(), pdf["hash"].to_numpy()), number)
+            t = draw_tables(pdf["c"].to_numpy(), pdf["log_p"].to_numpy(), pdf["seats"].to_numpy(), discount, STRENGTH, u)
+            yield pdf.drop(columns=["log_p", "seats"]).assign(t=t)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for w, c in _chunks(batches):
-            keys = word_hash(w)
-            dish = np.fromiter((x in shared.value.dishes for x in w), bool, len(w))
-            yield pd.DataFrame({"hash": keys, "c": c, "log_p": np.where(dish, 0.0, shared.value.seen(w, c, keys))})
+    return pairs.mapInPandas(run, "before bigint, hash bigint, c bigint, n bigint, sum bigint, t bigint")
 
-    return words.mapInPandas(run, "hash bigint, c bigint, log_p double")
 
+def discount_of(rows: DataFrame) -> float:
+    """From the rows with one and two customers."""
+    once, twice = rows.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    return float(np.clip((once + 1) / (once + 2 * twice + 2), 0.1, 0.9))
 
-class _Words:
-    """The words a scoring task has met: their dish, what is known of the frequent ones, and a fallback for the others."""
 
-    def __init__(self, model: WordModel):
-        self.model = model
-        self.clear()
+@dataclass
+class Fitted:
+    """What scores any pair: `model`, the contexts' discount, and the written tables. ``words`` has ``p{i}``, ``contexts`` has
+    ``total`` and ``seats{i}`` for each sample i; ``pairs`` has ``sum``, its tables over all samples."""
 
-    def clear(self) -> None:
-        self.slot: dict[bytes, int] = {}
-        self.hash, self.dish, self.score, self.base, self.tail = (np.zeros(0, d) for d in (np.int64, np.int64, float, float, bool))
+    model: WordModel
+    discount: float
+    words: DataFrame
+    contexts: DataFrame
+    pairs: DataFrame
+
+    def scored(self, pairs: DataFrame) -> DataFrame:
+        """(pair, c_word, log_p): log10 of the averaged predictive probability of every row of ``pairs``."""
+        both = pairs.join(self.words.drop("word").withColumnRenamed("c", "c_word"), "hash").join(self.contexts, "before", "left")
+        total, own = F.coalesce("total", F.lit(0)), F.lit(SAMPLES) * F.col("c") - F.lit(self.discount) * F.col("sum")
+        for i in range(SAMPLES):
+            own = own + (F.lit(STRENGTH) + F.lit(self.discount) * F.coalesce(f"seats{i}", F.lit(0))) * F.col(f"p{i}")
+        return both.select(_pair().alias("pair"), "c_word", F.log10(own / (F.lit(SAMPLES) * (F.lit(STRENGTH) + total))).alias("log_p"))
+
+
+def fit(words: DataFrame, pairs: DataFrame, made: list[str]) -> Fitted:
+    """The model of (written) counts of words and pairs."""
+    tokens, types = (x or 0 for x in words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first())
+    model = WordModel(tokens, types, discount_of(words), [])
+    discount = discount_of(pairs)
+    # a pair seen once has one table whatever the sweep
+    once = F.count_if(F.col("c") == 1)
+    contexts = write_and_read(pairs.filter("c > 0").groupBy("before").agg(F.sum("c").alias("total"), once.alias("fixed"), F.count("*").alias("seats")), made)
+    fixed = write_and_read(pairs.filter("c > 0").groupBy("hash").agg(once.alias("fixed"), F.count("*").alias("n")), made)
+    seated = pairs.filter("c > 1").select("*", F.lit(0).cast("bigint").alias("sum"), F.lit(1).cast("bigint").alias("t"))
+    seated = write_and_read(seated, made)
+    customers, state = fixed.select("hash", "n"), fit_spelling(words.withColumn("t", (F.col("c") > 0).cast("bigint")), 0)
+    kept_words, kept_contexts = words, contexts.select("before", "total")
+    for number in range(1, SWEEPS + 1):
+        placed = words.join(customers, "hash", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        placed = write_and_read(seat_words(placed, model, state, number), made)
+        all_n, tables = (x or 0 for x in placed.agg(F.sum("n"), F.sum("t")).first())
+        model.others = all_n
+        p = (F.col("n") - model.discount * F.col("t") + F.exp("log_base") * (STRENGTH + model.discount * tables)) / (STRENGTH + all_n)
+        sample = number - (SWEEPS - SAMPLES) - 1
+        if sample >= 0:
+            kept_words = write_and_read(kept_words.join(placed.select("hash", p.alias(f"p{sample}")), "hash"), made)
+            kept_contexts = write_and_read(kept_contexts.join(contexts.select("before", F.col("seats").alias(f"seats{sample}")), "before"), made)
+            seated = seated.withColumn("sum", F.col("sum") + F.col("t"))
+        if number == SWEEPS:
+            break
+        state = fit_spelling(placed, number)
+        met = seated.join(placed.select("hash", F.log(p).alias("log_p")), "hash").join(contexts.select("before", "seats"), "before")
+        others = F.col("seats") - F.col("t")
+        seated = write_and_read(seat_pairs(met.select("before", "hash", "c", "n", "sum", "log_p", others.alias("seats")), discount, number), made)
+        tables = seated.groupBy("hash").agg(F.sum("t").alias("t"))
+        customers = fixed.join(tables, "hash", "left").select("hash", (F.col("fixed") + F.coalesce("t", F.lit(0))).alias("n"))
+        tables = seated.groupBy("before").agg(F.sum("t").alias("t"))
+        contexts = contexts.drop("seats").join(tables, "before", "left").withColumn("seats", F.col("fixed") + F.coalesce("t", F.lit(0))).drop("t")
+        contexts = write_and_read(contexts, made)
+    rest = pairs.filter("c < 2").withColumn("sum", F.lit(SAMPLES) * F.col("c"))
+    return Fitted(model, discount, kept_words, kept_contexts, rest.unionByName(seated.drop("t")))
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.slot) > HELD:
-            self.clear()
-        new = [w for w in words if w not in self.slot]
-        self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
-        keys = word_hash(new)
-        dish = np.fromiter((self.model.dishes.get(w, len(self.model.dishes)) for w in new), np.int64, len(new))
-        at, frequent = find(self.model.hashes, keys)
-        score, base = np.zeros(len(new)), np.zeros(len(new))
-        score[frequent], base[frequent] = self.model.log_p[at[frequent]], self.model.base(self.model.counts[at[frequent]])
-        others = np.flatnonzero(~frequent)
-        score[others] = self.model.unseen([new[i] for i in others])
-        got = (keys, dish, score, base, ~frequent)
-        self.hash, self.dish, self.score, self.base, self.tail = map(np.concatenate, zip((self.hash, self.dish, self.score, self.base, self.tail), got))
-
-
-def _scorer(model: WordModel, spark: SparkSession):
-    """Column function of a text: what its frequent words give, and hash, count and fallback of each other word."""
-    shared = spark.sparkContext.broadcast(model)
-
-    @F.pandas_udf("n bigint, n_known bigint, base double, score double, hashes array<bigint>, counts array<bigint>, unseen array<double>")
+
+@dataclass
+class Frequent:
+    """Of the frequent pairs: hashes in order, count of the word, log10 of the probability."""
+
+    pairs: np.ndarray
+    known: np.ndarray
+    base: np.ndarray
+    log_p: np.ndarray
+
+
+def _scorer(frequent: Frequent, spark: SparkSession):
+    """Column function of a text: what its frequent pairs give, and hash and count of each other pair."""
+    shared = spark.sparkContext.broadcast(frequent)
+
+    @F.pandas_udf("n bigint, n_known bigint, base double, score double, pairs array<bigint>, counts array<bigint>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known, none, log_p = _Words(shared.value), len(shared.value.dishes), shared.value.contexts.log_p
+        f, slots = shared.value, _Slots()
         for series in batches:
             out = []
             for a in range(0, len(series), 500):
-                texts = [words_of(t) for t in series.iloc[a : a + 500]]
-                known.learn(set().union(*texts))
-                for words in texts:
-                    at = np.fromiter(map(known.slot.__getitem__, words), np.int64, len(words))
-                    tail = known.tail[at]
-                    front = at[~tail]
-                    dish = known.dish[at]
-                    placed = log_p[contexts_of(dish, none), dish].sum()
-                    rest, n = np.unique(at[tail], return_counts=True)
-                    out.append((len(words), len(front), known.base[front].sum(), placed + known.score[front].sum(), known.hash[rest], n, known.score[rest]))
-            yield pd.DataFrame(out, columns=["n", "n_known", "base", "score", "hashes", "counts", "unseen"])
+                for at in slots.numbers([words_of(t) for t in series.iloc[a : a + 500]]):
+                    codes, counts = np.unique(pair_hash(slots.hash[before(at)], slots.hash[at]), return_counts=True)
+                    place, there = find(f.pairs, codes)
+                    front, n, tail = place[there], counts[there], ~there
+                    out.append((len(at), int(n @ f.known[front]), float(n @ f.base[front]), float(n @ f.log_p[front]), codes[tail], counts[tail]))
+            yield pd.DataFrame(out, columns=["n", "n_known", "base", "score", "pairs", "counts"])
 
     return run
 
@@ -489,30 +529,31 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequ
     spark, made = docs.sparkSession, []
     bound_batches(spark)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
-    training = source.filter(~F.col("held_out")).select("text")
-    words = write_and_read(count_words(training), made)
-    model = fit(words, training)
-    table = write_and_read(predictive(words, model), made)
-    # the smallest count that at most ``frequent`` words reach
-    sizes = sorted(((r["c"], r["count"]) for r in table.groupBy("c").count().collect()), reverse=True)
-    cutoff, n = float("inf"), 0
-    for c, count in sizes:
-        n += count
-        if n > frequent:
+    words = write_and_read(count_words(source.select("text", "held_out")), made)
+    pairs = write_and_read(count_pairs(source.select("text", "held_out")), made)
+    fitted = fit(words, pairs, made)
+    model = fitted.model
+    # the smallest count that at most ``frequent`` pairs reach
+    sizes = sorted(((r["n"], r["count"]) for r in pairs.groupBy("n").count().collect()), reverse=True)
+    cutoff, size = 1 << 62, 0
+    for n, count in sizes:
+        size += count
+        if size > frequent:
             break
-        cutoff = c
-    top = table.filter(F.col("c") >= cutoff).toPandas().sort_values("hash")
-    model.hashes, model.counts, model.log_p = top["hash"].to_numpy(np.int64), top["c"].to_numpy(np.float64), top["log_p"].to_numpy(np.float64)
-    scored = source.select("doc_id", "held_out", _scorer(model, spark)("text").alias("s")).select("doc_id", "held_out", "s.*")
+        cutoff = n
+    ratio = 1.0 / (model.tokens + 0.1 * (model.types + 1))
+    top = fitted.scored(fitted.pairs.filter(F.col("n") >= cutoff)).toPandas().sort_values("pair")
+    c = top["c_word"].to_numpy(np.int64)
+    known = Frequent(top["pair"].to_numpy(np.int64), (c > 0).astype(np.int64), np.log10((c + 0.1) * ratio), top["log_p"].to_numpy(np.float64))
+    scored = source.select("doc_id", "held_out", _scorer(known, spark)("text").alias("s")).select("doc_id", "held_out", "s.*")
     # the row number is written with its row, and stays
     parts = write_and_read(scored.withColumn("key", F.monotonically_increasing_id()))
-    rare = table.filter(F.col("c") < cutoff).select("hash", "c", "log_p")
-    each = parts.select("key", F.explode(F.arrays_zip("hashes", "counts", "unseen")).alias("t"))
-    tails = each.select("key", F.col("t.hashes").alias("hash"), F.col("t.counts").alias("n"), F.col("t.unseen").alias("unseen"))
-    c = F.coalesce("c", F.lit(0))
-    ratio = F.lit(1.0 / (model.tokens + 0.1 * (model.types + 1)))
-    met = tails.join(rare, "hash", "left").select(
-        "key", F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * F.log10((c + 0.1) * ratio)).alias("base"), (F.col("n") * F.coalesce("log_p", "unseen")).alias("score")
+    rare = fitted.scored(fitted.pairs.filter(F.col("n") < cutoff))
+    each = parts.select("key", F.explode(F.arrays_zip("pairs", "counts")).alias("t"))
+    tails = each.select("key", F.col("t.pairs").alias("pair"), F.col("t.counts").alias("n"))
+    c = F.col("c_word")
+    met = tails.join(rare, "pair").select(
+        "key", F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * F.log10((c + 0.1) * F.lit(ratio))).alias("base"), (F.col("n") * F.col("log_p")).alias("score")
     )
     heads = parts.select(met.columns)
     per = heads.union(met).groupBy("key").agg(*[F.sum(x).alias(x) for x in ("n_known", "base", "score")])

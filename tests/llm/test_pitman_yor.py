@@ -94,3 +94,43 @@ def test_probabilities_sum_to_one():
     unseen = np.exp(base) * (py.STRENGTH + 0.5 * 4.0) / (py.STRENGTH + 16)
     # what known words have beside their base parts is what their customers leave after the discounts
     assert abs((seen - unseen).sum() - (16 - 0.5 * t.sum()) / (py.STRENGTH + 16)) < 1e-9
+
+
+def test_rare_words_are_contexts(spark):
+    """Every word has a restaurant of its own, however rare: a pair of rare words that always meet is foreseen."""
+    rng = random.Random(4)
+    rare = [(f"left{i}", f"right{i}") for i in range(1500)]
+    pieces = [f"{a} {b}" for a, b in rare for _ in range(3)]
+    rng.shuffle(pieces)
+    rows = [(i, " ".join(pieces[i * 10 : i * 10 + 10])) for i in range(450)]
+    train = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    seen = Counter(p for _, t in train for p in zip(t.split()[::2], t.split()[1::2]))
+    (a, b), (c, d) = [p for p in rare if seen[p] == 3][:2]
+    held = [i for i in range(1000, 1100) if not zlib.crc32(str(i).encode()) % 10][:2]
+    docs = spark.createDataFrame(rows + [(held[0], f"{a} {b}"), (held[1], f"{a} {d}")], "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.score for r in py.score(docs, frequent=100).collect()}
+    assert got[held[0]] > got[held[1]] + 1
+
+
+def test_scored_pairs_sum_to_one(spark):
+    """After a seen context and after an unseen one, over the words there are and all others (by their spelling)."""
+    docs = spark.createDataFrame([(i, "a b a c a b", False) for i in range(5)] + [(9, "z a", True)], "doc_id bigint, text string, held_out boolean")
+    words, pairs, made = py.count_words(docs).cache(), py.count_pairs(docs).cache(), []
+    counted = {(r["before"], r["hash"]): (r["c"], r["n"]) for r in pairs.collect()}
+    key = dict(zip(["", "a", "b", "c", "z"], py.word_hash([b"", b"a", b"b", b"c", b"z"]).tolist()))
+    assert counted[key["a"], key["b"]] == (10, 10) and counted[key["z"], key["a"]] == (0, 1) and counted[key["b"], key[""]] == (5, 5)
+    fitted = py.fit(words, pairs, made)
+    p = {r["hash"]: [r[f"p{i}"] for i in range(py.SAMPLES)] for r in fitted.words.collect()}
+    rest = [1 - sum(x[i] for x in p.values()) for i in range(py.SAMPLES)]
+    assert all(0 < x < 1 for x in rest)
+    grid = spark.createDataFrame([(u, w, *counted.get((u, w), (0, 0))) for u in key.values() for w in key.values()], "before bigint, hash bigint, c bigint, n bigint")
+    sums = {(r["before"], r["hash"]): r["sum"] for r in fitted.pairs.collect()}
+    rows = [(r["before"], r["hash"], r["c"], r["n"], sums.get((r["before"], r["hash"]), 0)) for r in grid.collect()]
+    scored = {r["pair"]: r["log_p"] for r in fitted.scored(spark.createDataFrame(rows, "before bigint, hash bigint, c bigint, n bigint, sum bigint")).collect()}
+    contexts = {r["before"]: r for r in fitted.contexts.collect()}
+    for name, u in key.items():
+        pair = py.pair_hash(np.full(len(key), u), np.array(list(key.values())))
+        r = contexts.get(u)
+        back = [(py.STRENGTH + fitted.discount * (r[f"seats{i}"] if r else 0)) / (py.STRENGTH + (r["total"] if r else 0)) for i in range(py.SAMPLES)]
+        missing = sum(x * y for x, y in zip(back, rest)) / py.SAMPLES
+        assert abs(sum(10 ** scored[int(x)] for x in pair) + missing - 1) < 1e-9, name
