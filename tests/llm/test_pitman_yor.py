@@ -134,3 +134,12 @@ def test_scored_pairs_sum_to_one(spark):
         back = [(py.STRENGTH + fitted.discount * (r[f"seats{i}"] if r else 0)) / (py.STRENGTH + (r["total"] if r else 0)) for i in range(py.SAMPLES)]
         missing = sum(x * y for x, y in zip(back, rest)) / py.SAMPLES
         assert abs(sum(10 ** scored[int(x)] for x in pair) + missing - 1) < 1e-9, name
+
+
+def test_sweeps_and_samples(spark):
+    """Four sweeps, of which the last three are averaged, reach the tables the pipeline keeps."""
+    docs = spark.createDataFrame([(i, "a b a c a b", False) for i in range(5)], "doc_id bigint, text string, held_out boolean")
+    fitted = py.fit(py.count_words(docs).cache(), py.count_pairs(docs).cache(), [])
+    assert (py.SWEEPS, py.SAMPLES) == (4, 3)
+    assert [c for c in fitted.words.columns if c.startswith("p")] == ["p0", "p1", "p2"]
+    assert all(3 <= r["sum"] <= 3 * r["c"] for r in fitted.pairs.collect())
