@@ -45,6 +45,8 @@ SWEEPS, SAMPLES = 4, 3
 STRENGTH = 10.0
 MOST_CONTEXTS = 20_000
 FREQUENT = 400_000
+HEAVY = 100_000  # words and contexts that meet their pairs by broadcast
+SLICES = 4  # of the pairs, scored one after the other so that their shuffles do not add up
 CHUNK = 100_000  # words or pairs that are seated at once
 HELD = 300_000  # words that a counting or scoring task holds
 EDGE = 256  # the mark before a word and the symbol after it
@@ -435,6 +437,13 @@ def discount_of(rows: DataFrame) -> float:
     return float(np.clip((once + 1) / (once + 2 * twice + 2), 0.1, 0.9))
 
 
+def _met(rows: DataFrame, table: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
+    """All rows with what ``table`` has for their key, if anything; keys in ``heavy`` meet by broadcast, so they make no large group."""
+    known = F.broadcast(table.join(F.broadcast(heavy), key, "left_semi"))
+    rest = table.join(F.broadcast(heavy), key, "left_anti")
+    return rows.join(known, key).unionByName(rows.join(F.broadcast(heavy), key, "left_anti").join(rest, key, "left"))
+
+
 @dataclass
 class Fitted:
     """What scores any pair: `model`, the contexts' discount, and the written tables. ``words`` has ``p{i}``, ``contexts`` has
@@ -445,10 +454,13 @@ class Fitted:
     words: DataFrame
     contexts: DataFrame
     pairs: DataFrame
+    heavy_words: DataFrame  # keys of the largest
+    heavy_contexts: DataFrame
 
     def scored(self, pairs: DataFrame) -> DataFrame:
         """(pair, c_word, log_p): log10 of the averaged predictive probability of every row of ``pairs``."""
-        both = pairs.join(self.words.drop("word").withColumnRenamed("c", "c_word"), "hash").join(self.contexts, "before", "left")
+        both = _met(pairs, self.words.withColumnRenamed("c", "c_word"), self.heavy_words, "hash")
+        both = _met(both, self.contexts, self.heavy_contexts, "before")
         total, own = F.coalesce("total", F.lit(0)), F.lit(SAMPLES) * F.col("c") - F.lit(self.discount) * F.col("sum")
         for i in range(SAMPLES):
             own = own + (F.lit(STRENGTH) + F.lit(self.discount) * F.coalesce(f"seats{i}", F.lit(0))) * F.col(f"p{i}")
@@ -457,6 +469,7 @@ class Fitted:
 
 def fit(words: DataFrame, pairs: DataFrame, made: list[str]) -> Fitted:
     """The model of (written) counts of words and pairs."""
+    spark = words.sparkSession
     tokens, types = (x or 0 for x in words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first())
     model = WordModel(tokens, types, discount_of(words), [])
     discount = discount_of(pairs)
@@ -467,10 +480,12 @@ def fit(words: DataFrame, pairs: DataFrame, made: list[str]) -> Fitted:
     seated = pairs.filter("c > 1").select("*", F.lit(0).cast("bigint").alias("sum"), F.lit(1).cast("bigint").alias("t"))
     seated = write_and_read(seated, made)
     customers, state = fixed.select("hash", "n"), fit_spelling(words.withColumn("t", (F.col("c") > 0).cast("bigint")), 0)
-    kept_words, kept_contexts = words, contexts.select("before", "total")
+    kept_words, kept_contexts = words.select("hash", "c"), contexts.select("before", "total")
+    old: list[str] = []  # tables of the sweep before
     for number in range(1, SWEEPS + 1):
+        now: list[str] = []
         placed = words.join(customers, "hash", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        placed = write_and_read(seat_words(placed, model, state, number), made)
+        placed = write_and_read(seat_words(placed, model, state, number), now)
         all_n, tables = (x or 0 for x in placed.agg(F.sum("n"), F.sum("t")).first())
         model.others = all_n
         p = (F.col("n") - model.discount * F.col("t") + F.exp("log_base") * (STRENGTH + model.discount * tables)) / (STRENGTH + all_n)
@@ -480,18 +495,25 @@ def fit(words: DataFrame, pairs: DataFrame, made: list[str]) -> Fitted:
             kept_contexts = write_and_read(kept_contexts.join(contexts.select("before", F.col("seats").alias(f"seats{sample}")), "before"), made)
             seated = seated.withColumn("sum", F.col("sum") + F.col("t"))
         if number == SWEEPS:
+            made += now
             break
         state = fit_spelling(placed, number)
         met = seated.join(placed.select("hash", F.log(p).alias("log_p")), "hash").join(contexts.select("before", "seats"), "before")
         others = F.col("seats") - F.col("t")
-        seated = write_and_read(seat_pairs(met.select("before", "hash", "c", "n", "sum", "log_p", others.alias("seats")), discount, number), made)
+        seated = write_and_read(seat_pairs(met.select("before", "hash", "c", "n", "sum", "log_p", others.alias("seats")), discount, number), now)
         tables = seated.groupBy("hash").agg(F.sum("t").alias("t"))
         customers = fixed.join(tables, "hash", "left").select("hash", (F.col("fixed") + F.coalesce("t", F.lit(0))).alias("n"))
         tables = seated.groupBy("before").agg(F.sum("t").alias("t"))
         contexts = contexts.drop("seats").join(tables, "before", "left").withColumn("seats", F.col("fixed") + F.coalesce("t", F.lit(0))).drop("t")
-        contexts = write_and_read(contexts, made)
+        contexts = write_and_read(contexts, now)
+        customers = write_and_read(customers, now)
+        remove_dirs(spark, old)
+        old = now
     rest = pairs.filter("c < 2").withColumn("sum", F.lit(SAMPLES) * F.col("c"))
-    return Fitted(model, discount, kept_words, kept_contexts, rest.unionByName(seated.drop("t")))
+    made += old
+    heavy_words = write_and_read(kept_words.orderBy(F.desc("c"), "hash").limit(HEAVY).select("hash"), made)
+    heavy_contexts = write_and_read(kept_contexts.orderBy(F.desc("total"), "before").limit(HEAVY).select("before"), made)
+    return Fitted(model, discount, kept_words, kept_contexts, rest.unionByName(seated.drop("t")), heavy_words, heavy_contexts)
 
 
 @dataclass
@@ -528,6 +550,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequ
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and perplexity (per token)."""
     spark, made = docs.sparkSession, []
     bound_batches(spark)
+    # every shuffle here feeds one write; pairs outnumber all else, so their files go when it is done
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
     words = write_and_read(count_words(source.select("text", "held_out")), made)
     pairs = write_and_read(count_pairs(source.select("text", "held_out")), made)
@@ -548,16 +572,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequ
     scored = source.select("doc_id", "held_out", _scorer(known, spark)("text").alias("s")).select("doc_id", "held_out", "s.*")
     # the row number is written with its row, and stays
     parts = write_and_read(scored.withColumn("key", F.monotonically_increasing_id()))
-    rare = fitted.scored(fitted.pairs.filter(F.col("n") < cutoff))
+    rare = fitted.pairs.filter(F.col("n") < cutoff)
     each = parts.select("key", F.explode(F.arrays_zip("pairs", "counts")).alias("t"))
     tails = each.select("key", F.col("t.pairs").alias("pair"), F.col("t.counts").alias("n"))
-    c = F.col("c_word")
-    met = tails.join(rare, "pair").select(
-        "key", F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * F.log10((c + 0.1) * F.lit(ratio))).alias("base"), (F.col("n") * F.col("log_p")).alias("score")
-    )
-    heads = parts.select(met.columns)
-    per = heads.union(met).groupBy("key").agg(*[F.sum(x).alias(x) for x in ("n_known", "base", "score")])
-    per = write_and_read(per)
+    c, columns = F.col("c_word"), ["key", "n_known", "base", "score"]
+    slice_of = lambda pair: F.pmod(pair, F.lit(SLICES))
+    per = parts.select(columns)
+    for i in range(SLICES):
+        met = tails.filter(slice_of(F.col("pair")) == i).join(fitted.scored(rare.filter(slice_of(_pair()) == i)), "pair").select(
+            "key", F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * F.log10((c + 0.1) * F.lit(ratio))).alias("base"), (F.col("n") * F.col("log_p")).alias("score")
+        )
+        per = per.unionByName(write_and_read(met.groupBy("key").agg(*[F.sum(x).alias(x) for x in columns[1:]]), made))
+    per = write_and_read(per.groupBy("key").agg(*[F.sum(x).alias(x) for x in columns[1:]]))
     remove_dirs(spark, made)
     perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n"))
     return parts.select("key", "doc_id", "held_out", "n").join(per, "key").select(
