@@ -137,7 +137,7 @@ def test_scored_pairs_sum_to_one(spark):
 
 
 def test_sweeps_and_samples(spark):
-    """Four sweeps, of which the last three are averaged, reach the tables the pipeline keeps."""
+    """Four sweeps, of which the last three are averaged."""
     docs = spark.createDataFrame([(i, "a b a c a b", False) for i in range(5)], "doc_id bigint, text string, held_out boolean")
     fitted = py.fit(py.count_words(docs).cache(), py.count_pairs(docs).cache(), [])
     assert (py.SWEEPS, py.SAMPLES) == (4, 3)
