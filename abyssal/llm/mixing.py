@@ -1,8 +1,8 @@
 """Mixing sources to target weights by fixed-length blocks of words.
 
-Each source's documents are laid end to end in a fixed pseudorandom order and cut into blocks of ``block_words`` words (the last
+Each source's documents are laid end to end in a pseudorandom order and cut into blocks of ``block_words`` words (the last
 one is the source's rest). A mix asks each source for a whole number of words. It takes them in passes: a pass goes through the
-source's blocks in the order of a pseudorandom permutation of block indexes, and the last slot takes part of a block. Every slot
+source's blocks, its rest too, in the order of a pseudorandom permutation of block indexes, and the last slot takes part of a block. Every slot
 draws its output shard independently and uniformly, so a source's slot counts per shard are a multinomial draw while its total
 stays at the target. Slots meet blocks by (source, index) in one join.
 
@@ -76,21 +76,21 @@ def targets(sizes: list[tuple[str | None, int]], mix: Mix) -> list[tuple[str | N
     return [(s, n, t) for (s, n), t in zip(order, target)]
 
 
-def permuted(index: Column, n: Column, key: Column) -> Column:
-    """Position ``index`` of a pseudorandom permutation of 0..n-1 (swap-or-not rounds; each is its own inverse)."""
+def permuted(index: Column, n: Column, key: Column, back: bool = False) -> Column:
+    """Position ``index`` of a pseudorandom permutation of 0..n-1 (swap-or-not rounds; each is its own inverse), or ``back`` from it."""
 
     def step(x: Column, r: Column) -> Column:
         partner = F.pmod(F.pmod(F.xxhash64(key, r), n) - x, n)
         swap = F.pmod(F.xxhash64(key, r, F.greatest(x, partner)), F.lit(2)) == 1
         return F.when(swap, partner).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index, step)
+    return F.aggregate(F.sequence(*map(F.lit, (ROUNDS, 1) if back else (1, ROUNDS))), index, step)
 
 
-def _placed(sized: DataFrame, rows: int) -> DataFrame:
+def _placed(sized: DataFrame, rows: int, seed: int) -> DataFrame:
     """Start of every document with words in its source's stream of words."""
     buckets = max(16, -(-rows // BUCKET_ROWS))
-    keyed = sized.filter("size > 0").withColumn("_h", F.xxhash64("_key", "_print")).withColumn("_bucket", F.pmod("_h", F.lit(buckets)))
+    keyed = sized.filter("size > 0").withColumn("_h", F.xxhash64(F.lit(seed), "_key", "_print")).withColumn("_bucket", F.pmod("_h", F.lit(buckets)))
     inside = W.partitionBy("_source", "_bucket").orderBy("_h", "_key", "_print").rowsBetween(W.unboundedPreceding, -1)
     # counts per (source, bucket) are one row for some thousand documents
     sums = keyed.groupBy("_source", "_bucket").agg(F.sum("size").alias("_words"))
@@ -111,16 +111,22 @@ def slots(spark, goals: list[tuple[int, int, int]], mix: Mix) -> DataFrame:
     last_pass = F.ceil(F.col("_take") / F.col("_have")) - 1
     g = g.withColumn("_pass", F.explode(F.sequence(F.lit(0).cast("bigint"), last_pass)))
     g = g.withColumn("_want", F.least(F.col("_take") - F.col("_pass") * F.col("_have"), F.col("_have")))
-    g = g.withColumn("_full", F.floor(F.col("_have") / size)).withColumn("_slots", F.ceil(F.col("_want") / size))
+    # the last block is the source's rest; slots after the one that draws it start so many words earlier
+    key = F.xxhash64(F.lit(mix.seed), F.col("_source"), F.col("_pass"))
+    g = g.withColumn("_blocks", F.ceil(F.col("_have") / size)).withColumn("_short", F.col("_blocks") * size - F.col("_have"))
+    g = g.withColumn("_rest", permuted(F.col("_blocks") - 1, F.col("_blocks"), key, back=True))
+    g = g.withColumn("_slots", F.least(F.col("_blocks"), F.ceil((F.col("_want") + F.col("_short")) / size)))
     chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_slots") - 1) / CHUNK)))
     g = g.withColumn("_chunk", chunk).repartition("_source", "_pass", "_chunk")
     first = F.col("_chunk") * CHUNK
     g = g.withColumn("_slot", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("_slots")) - 1)))
-    key = F.xxhash64(F.lit(mix.seed), F.col("_source"), F.col("_pass"))
-    block = F.when(F.col("_slot") < F.col("_full"), permuted(F.col("_slot"), F.col("_full"), key)).otherwise(F.col("_full"))
+    block = permuted(F.col("_slot"), F.col("_blocks"), key)
     shard = F.pmod(F.xxhash64(F.lit(mix.seed), F.lit("shard"), "_source", "_pass", "_slot"), F.lit(mix.shards)).cast("int")
-    words = F.least(size, F.col("_want") - F.col("_slot") * size)
-    return g.select("_source", "_pass", "_slot", shard.alias("_shard"), block.alias("_block"), words.alias("_words"))
+    start = F.col("_slot") * size - F.when(F.col("_slot") > F.col("_rest"), F.col("_short")).otherwise(0)
+    holds = size - F.when(F.col("_slot") == F.col("_rest"), F.col("_short")).otherwise(0)
+    words = F.least(holds, F.col("_want") - start)
+    made = g.select("_source", "_pass", "_slot", shard.alias("_shard"), block.alias("_block"), words.alias("_words"))
+    return made.filter("_words > 0")
 
 
 @dataclass
@@ -143,7 +149,7 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", tex
     schema = "_name string, _source bigint, source_size bigint, target double"
     known = spark.createDataFrame([(s, number[s], n, t) for s, n, t in goals], schema)
     sized = sized.join(F.broadcast(known), sized["_name"].eqNullSafe(known["_name"]), "left").drop("_name")
-    placed = _placed(sized, sum(r["rows"] for r in totals))
+    placed = _placed(sized, sum(r["rows"] for r in totals), mix.seed)
     size = F.lit(mix.block_words)
     end = F.col("_start") + F.col("size")
     block = F.explode(F.sequence(F.floor(F.col("_start") / size), F.floor((end - 1) / size)))

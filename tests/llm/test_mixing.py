@@ -60,3 +60,16 @@ def test_pieces_and_rows(spark):
     assert out.columns == ["doc_id", "text", "source", "n_chars", "_other"]
     words = sum(len(r.text.split()) for r in out.collect())
     assert words == pieces.agg(F.sum("_count")).first()[0]
+
+
+def test_rest_block_is_drawn_in_part_passes(spark):
+    """Of a source of four blocks and a rest, passes of half of it draw the rest for some seeds, and keep their size."""
+    from abyssal.llm.mixing import slots
+
+    drawn = set()
+    for seed in range(12):
+        rows = slots(spark, [(0, 1100, 550)], Mix(seed=seed)).collect()
+        assert sum(r["_words"] for r in rows) == 550 and len({r["_block"] for r in rows}) == len(rows)
+        assert all(r["_words"] <= (76 if r["_block"] == 4 else 256) for r in rows)
+        drawn |= {r["_block"] for r in rows}
+    assert drawn == {0, 1, 2, 3, 4}
