@@ -11,7 +11,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from abyssal.functions.common import shared_dir
-from abyssal.llm import bpe, covertree, exact, lines, minhash, mixing, pitman_yor, quality, suffixes, urls
+from abyssal.llm import bpe, covertree, exact, lines, minhash, mixing, pitman_yor, quality, suffixes, urls, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -144,6 +144,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
 
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened components of every embedding."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), components=4)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
