@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from abyssal.functions.common import shared_dir
-from abyssal.llm import bpe, covertree, exact, lines, minhash, mixing, pitman_yor, quality, suffixes, urls, whitening
+from abyssal.functions.common import shared_dir, write_and_read
+from abyssal.llm import bpe, chat, covertree, exact, lines, minhash, mixing, pitman_yor, quality, suffixes, urls, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -144,6 +144,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
 
+@query(
+    "op12_chat_format",
+    r"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+         e AS (SELECT *, regexp_replace(regexp_replace(role, '(<)((?:\\)*(?:/s>|<SYS>>|</SYS>>|<ROLE>>|<TEXT>>|</TEXT>>|s>|\|endoftext\|>))', '\1\\\2', 'g'), '(\[)((?:\\)*(?:INST\]|/INST\]))', '\1\\\2', 'g') AS safe_role,
+                      regexp_replace(regexp_replace(text, '(<)((?:\\)*(?:/s>|<SYS>>|</SYS>>|<ROLE>>|<TEXT>>|</TEXT>>|s>|\|endoftext\|>))', '\1\\\2', 'g'), '(\[)((?:\\)*(?:INST\]|/INST\]))', '\1\\\2', 'g') AS safe FROM c)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, sha256(text))) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, sha256(text)) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum(length(safe) + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 WHEN 'system' THEN 15 ELSE 25 + length(safe_role) END)::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted for training and read back, with one that says the template's own control strings."""
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return chat.read_back(write_and_read(chat.format_conversations(turns, vocabulary)), vocabulary)
+
+
 @query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First four whitened components of every embedding."""
