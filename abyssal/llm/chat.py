@@ -23,7 +23,6 @@ from pathlib import Path
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from abyssal.functions.common import write_and_read
 from abyssal.llm.sequences import arrow_rows, hashed_in_order, in_ranges, tasks_for
@@ -119,7 +118,7 @@ def format_conversations(df: DataFrame, tokenizer: str) -> DataFrame:
     tasks = max(tasks_for(size.n), 1 + (size.chars or 0) // CHARS_PER_TASK)
     turns = df.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = in_ranges(turns, [F.col("conv_id"), F.col("turn"), F.col("role"), F.sha2("text", 256)], tasks).select("conv_id", "role", "text")
-    schema = StructType.fromDDL(f"conv_id {df.schema['conv_id'].dataType.simpleString()}, part int, piece bigint, whole boolean, ids array<int>, loss array<boolean>")
+    schema = f"conv_id {df.schema['conv_id'].dataType.simpleString()}, part int, piece bigint, whole boolean, ids array<int>, loss array<boolean>"
 
     def work(rows: Iterator[tuple], task: int) -> Iterator[tuple]:
         tok = _tokenizer(definition.value)
@@ -185,7 +184,7 @@ def _read(formatted: DataFrame, definition, digest: bool) -> DataFrame:
     """Per piece: conv_id, part, piece, n_turns, formatted_chars and what is read of it: digests, or (``digest`` false) the texts."""
     kind = formatted.schema["conv_id"].dataType.simpleString()
     rest = "turns_sha256 string, loss_chars bigint, loss_sha256 string" if digest else "turns string, loss string"
-    schema = StructType.fromDDL(f"conv_id {kind}, part int, piece bigint, n_turns bigint, formatted_chars bigint, {rest}")
+    schema = f"conv_id {kind}, part int, piece bigint, n_turns bigint, formatted_chars bigint, {rest}"
 
     def work(rows: Iterator[tuple], task: int) -> Iterator[tuple]:
         tok = _tokenizer(definition.value)

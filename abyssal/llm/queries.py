@@ -11,7 +11,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from abyssal.functions.common import shared_dir, write_and_read
-from abyssal.llm import bpe, chat, covertree, exact, lines, minhash, mixing, pitman_yor, quality, suffixes, urls, whitening
+from abyssal.llm import bpe, chat, covertree, exact, lines, minhash, mixing, pitman_yor, quality, suffixes, trie, urls, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -144,6 +144,38 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
 
+@query(
+    "op11_prefix_trie",
+    r"""
+    WITH RECURSIVE t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, sha256(coalesce(text, ''))) AS pos
+                         FROM conversations WHERE conv_id IS NOT NULL),
+         c AS (SELECT conv_id, conv_id - conv_id % 100 AS head,
+                      xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(conv_id::VARCHAR, '.'), lambda x: ascii(x)::UBIGINT)),
+                          lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(8), lambda x: 0::UBIGINT)),
+                                                        lambda v, x: xor(v >> 1, (v & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT) % 6 AS h
+               FROM (SELECT DISTINCT conv_id FROM t)),
+         own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS turns FROM t GROUP BY conv_id),
+         r AS (SELECT c.conv_id, coalesce(b.turns[1:c.h::INT], []) || coalesce(o.turns[(c.h + 1)::INT:], []) AS turns
+               FROM c JOIN own o USING (conv_id) LEFT JOIN own b ON b.conv_id = c.head),
+         p AS (SELECT conv_id, len(turns) AS total, unnest(range(len(turns) + 1)) AS depth, turns FROM r),
+         k AS MATERIALIZED (SELECT conv_id, depth, total, sha256(to_json(turns[1:depth])::VARCHAR) AS node, turns[1:depth] AS path,
+                   CASE WHEN depth > 0 THEN sha256(to_json(turns[1:depth - 1])::VARCHAR) END AS parent, coalesce(length(turns[depth].text), 0) AS chars FROM p),
+         n AS MATERIALIZED (SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent, any_value(path) AS path, count(*) AS n_convs, any_value(chars) AS chars,
+                      sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = total), '')) AS ends_sha256 FROM k GROUP BY node),
+         kids AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+         up AS (SELECT node AS leaf, node, parent FROM n UNION ALL SELECT up.leaf, n.node, n.parent FROM up JOIN n ON n.node = up.parent),
+         below AS (SELECT up.node, count(*) FILTER (WHERE kids.node IS NULL) AS n_leaves, sum((l.n_convs - 1) * l.chars)::BIGINT AS saved_tokens
+                   FROM up JOIN n l ON l.node = up.leaf LEFT JOIN kids ON kids.node = up.leaf GROUP BY up.node)
+    SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+    FROM n LEFT JOIN kids USING (node) JOIN below USING (node) LEFT JOIN n q ON q.node = n.parent
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, each continuing the beginning of its hundred's first."""
+    return trie.prefix_trie(*trie.branches(trie.turn_rows(read(spark, sf_dir, "conversations"))))
+
+
 @query(
     "op12_chat_format",
     r"""

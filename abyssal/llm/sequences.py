@@ -34,8 +34,9 @@ def in_ranges(df: DataFrame, by: Sequence[Column], tasks: int) -> DataFrame:
     return placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop(*keys, "__place")
 
 
-def arrow_rows(df: DataFrame, schema: StructType, work: Callable[[Iterator[tuple], int], Iterator[tuple]], size: Callable[[tuple], int] = lambda r: 0) -> DataFrame:
-    """mapInArrow over plain tuples: ``work(rows, task number)`` yields rows of ``schema``, which leave in batches of bounded size."""
+def arrow_rows(df: DataFrame, ddl: str, work: Callable[[Iterator[tuple], int], Iterator[tuple]], size: Callable[[tuple], int] = lambda r: 0) -> DataFrame:
+    """mapInArrow over plain tuples: ``work(rows, task number)`` yields rows of the schema ``ddl``, which leave in batches of bounded size."""
+    schema = StructType.fromDDL(ddl)
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,7 +58,7 @@ def arrow_rows(df: DataFrame, schema: StructType, work: Callable[[Iterator[tuple
 def pieces_of(df: DataFrame, key: str, number: str, tasks: int, separator: str = ",") -> DataFrame:
     """(key, part, piece, text): the numbers of every key in ascending order, joined as decimals, in pieces of bounded size."""
     kind = df.schema[key].dataType.simpleString()
-    schema = StructType.fromDDL(f"`{key}` {kind}, part int, piece bigint, text string")
+    schema = f"`{key}` {kind}, part int, piece bigint, text string"
 
     def work(rows: Iterator[tuple], task: int) -> Iterator[tuple]:
         for k, run in itertools.groupby(rows, key=lambda r: r[0]):
@@ -81,7 +82,7 @@ def hashed_in_order(pieces: DataFrame, key: str, texts: dict[str, str], tasks: i
     sequential by nature, so the pieces of one key go through one task, as a stream.
     """
     kind = pieces.schema[key].dataType.simpleString()
-    schema = StructType.fromDDL(", ".join([f"`{key}` {kind}"] + [f"{t}_sha256 string, {t}_chars bigint" for t in texts]))
+    schema = ", ".join([f"`{key}` {kind}"] + [f"{t}_sha256 string, {t}_chars bigint" for t in texts])
     separators = [s.encode() for s in texts.values()]
 
     def work(rows: Iterator[tuple], task: int) -> Iterator[tuple]:
