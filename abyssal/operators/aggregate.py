@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import as_col, micros, whole_seconds
+from abyssal.functions.exact import READINGS, cut_columns, exact_avg, exact_avg_where
 from abyssal.functions.scalars import counts_to_amps, counts_to_torr
 from abyssal.operators.asof import match_to_windows
 from abyssal.schemas import DEFAULTS, KEY, SCALUP_AVERAGES
@@ -30,7 +31,7 @@ def all_readings(streams: dict[str, DataFrame], keys: Sequence[str] = (KEY,)) ->
 
 
 def _mean(streams: dict[str, DataFrame], stream: str, column: str) -> Column:
-    return F.avg(column) if stream in streams else F.lit(None).cast("double")
+    return exact_avg(column, units=READINGS) if stream in streams else F.lit(None).cast("double")
 
 
 def stream_means(
@@ -42,7 +43,7 @@ def stream_means(
     keys: Sequence[str] = (KEY,),
     strategy: str = "auto",
 ) -> DataFrame:
-    """One conditional aggregate per window over the matched readings of all streams."""
+    """One conditional aggregate per window over the matched readings of all streams; means do not depend on the order of readings."""
     grain = windows.select(*keys, "window_start", "window_end")
     matched = match_to_windows(all_readings(streams, keys), grain, keys, strategy=strategy)
     means = [_mean(streams, "scalup", src).alias(out) for out, src in SCALUP_AVERAGES.items()]
@@ -51,7 +52,8 @@ def stream_means(
     means += [_mean(streams, "status", "pump_rpm").alias("water_pump_rpm"),
               _mean(streams, "status", "raw_total_pressure_current").alias("__tp")]
     if "rga" in streams:
-        means += [F.avg(F.when(F.col("mass") == m, F.col("current"))).alias(f"mass_{m}_avg") for m in masses]
+        means += [exact_avg_where(F.col("mass") == m, "current").alias(f"mass_{m}_avg") for m in masses]
+        matched = matched.withColumns(cut_columns("current"))
     agg = matched.groupBy(*keys, "window_start").agg(*means)
     tp, pp = as_col(total_pressure_sensitivity), as_col(partial_pressure_sensitivity)
     derived = {"total_pressure_amps": counts_to_amps(F.col("__tp")), "total_pressure_torr": counts_to_torr(F.col("__tp"), tp)}
@@ -93,7 +95,7 @@ def mass_means(rga: DataFrame, windows: DataFrame, keys: Sequence[str] = (KEY,))
     grain = windows.select(*keys, "window_start", "window_end")
     return match_to_windows(rga.select(*keys, "ts", "mass", "current"), grain, keys).groupBy(
         *keys, "window_start", "mass"
-    ).agg(F.avg("current").alias("current"))
+    ).agg(exact_avg("current", units=READINGS).alias("current"))
 
 
 def discover_masses(rga: DataFrame) -> list[int]:

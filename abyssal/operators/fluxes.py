@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import as_col, safe_div, seconds_between, whole_minutes
+from abyssal.functions.exact import exact_avg, exact_sum
 from abyssal.functions.scalars import at_most, hydrogen_ion, ratio_or_null
 from abyssal.functions.seawater import gas_solubility, seawater_density
 from abyssal.operators.asof import match_to_windows
@@ -129,11 +130,11 @@ def experiment_par(par: DataFrame, spans: DataFrame, keys: Sequence[str] = (KEY,
     )
     lit = par.where("par_umol_m2_s IS NOT NULL").select(*keys, "ts", "par_umol_m2_s", "interval_s")
     inside = match_to_windows(lit, windows, keys)
-    logged = F.coalesce(F.sum("interval_s"), F.lit(0.0))
+    logged = F.coalesce(exact_sum("interval_s"), F.lit(0.0))
     span_s = F.first(seconds_between(F.col("window_start"), F.col("window_end")))
     return inside.groupBy(*keys, "experiment_number").agg(
-        F.avg("par_umol_m2_s").alias("par_mean_umol_m2_s"),
-        (F.coalesce(F.sum(F.col("par_umol_m2_s") * F.col("interval_s")), F.lit(0.0)) / 1e6).alias("par_integrated_mol_m2"),
+        exact_avg("par_umol_m2_s").alias("par_mean_umol_m2_s"),
+        (F.coalesce(exact_sum(F.col("par_umol_m2_s") * F.col("interval_s")), F.lit(0.0)) / 1e6).alias("par_integrated_mol_m2"),
         at_most(safe_div(logged, span_s), 1.0).alias("par_coverage"),
     )
 
@@ -145,8 +146,8 @@ def attach_experiment_par(fluxes: DataFrame, par: DataFrame, spans: DataFrame, k
 def daily_par(par: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
     """Per UTC day: readings, logged part of the day, daily light integral and maximum (null uncalibrated)."""
     value, interval = F.col("par_umol_m2_s"), F.col("interval_s")
-    logged = F.coalesce(F.sum(interval), F.lit(0.0)) / SECONDS_PER_DAY
-    dli = F.coalesce(F.sum(value * interval), F.lit(0.0)) / 1e6
+    logged = F.coalesce(exact_sum(interval), F.lit(0.0)) / SECONDS_PER_DAY
+    dli = F.coalesce(exact_sum(value * interval), F.lit(0.0)) / 1e6
     return par.groupBy(*keys, F.to_date("ts").alias("date")).agg(
         F.count(F.lit(1)).alias("n_readings"),
         F.least(logged, F.lit(1.0)).alias("coverage"),
@@ -161,7 +162,7 @@ def daily_max_trend(daily: DataFrame, min_coverage: float = DEFAULTS["min_par_co
     # The fit is on days since a fixed date; moving the origin to the first full day changes the intercept only.
     day = F.datediff("date", F.lit("2000-01-01").cast("date")).cast("double")
     fit = line_fit(full, keys, day, F.col("max_par_umol_m2_s"), F.min("date").alias("first_date"),
-                   F.min(day).alias("__d0"), F.avg("max_par_umol_m2_s").alias("__mean"), F.avg(day).alias("__dm"))
+                   F.min(day).alias("__d0"), exact_avg("max_par_umol_m2_s").alias("__mean"), exact_avg(day).alias("__dm"))
     slope = F.col("slope")
     return fit.select(
         *keys,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import as_col, write_and_read
+from abyssal.functions.exact import exact_avg
 from abyssal.functions.scalars import jassby_platt
 from abyssal.schemas import DEFAULTS, KEY
 
@@ -59,7 +60,7 @@ def classify_o2_fluxes(
 
 def dark_respiration(rows: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
     return rows.where("used AND period = 'dark'").groupBy(*keys, "chamber").agg(
-        (-F.avg("o2_flux_mmol_m2_h")).alias("r_dark_mmol_m2_h")
+        (-exact_avg("o2_flux_mmol_m2_h")).alias("r_dark_mmol_m2_h")
     )
 
 

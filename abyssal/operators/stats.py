@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from abyssal.functions.exact import exact_avg, exact_sum
+
 
 def _value_bucket(scale: int) -> Column:
     """Order-preserving bucket of ``__v``: ``scale`` per doubling of the magnitude, through zero, infinities outermost."""
@@ -47,14 +49,29 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: Column, name: str =
 def line_fit(df: DataFrame, keys: Sequence[str], x: Column, y: Column, *extra: Column) -> DataFrame:
     """Ordinary least squares of y on x per key: slope, intercept, r2, n; no row without two distinct x.
 
-    r2 is 1 for a flat line. Rows with a null x or y do not count.
+    r2 is 1 for a flat line. Rows with a null x or y do not count. Points are first shifted and scaled (by powers of two) to their
+    own range, means come next and every sum is exact, so the result does not depend on how rows are dealt; the windows and the
+    aggregate share one exchange of the points.
     """
-    both = x.isNotNull() & y.isNotNull()
-    fit = df.where(both).groupBy(*keys).agg(
-        F.regr_slope(y, x).alias("slope"),
-        F.regr_intercept(y, x).alias("intercept"),
-        F.regr_r2(y, x).alias("r2"),
-        F.count(F.lit(1)).alias("n"),
-        *extra,
-    )
-    return fit.where("slope IS NOT NULL")
+    keys = list(keys)
+    group = Window.partitionBy(*keys)
+    rows = df.where(x.isNotNull() & y.isNotNull()).withColumns({"__x": x.cast("double"), "__y": y.cast("double")})
+    low = {f"__{a}{n}": f(f"__{a}").over(group) for a in "xy" for n, f in (("lo", F.min), ("hi", F.max))}
+    rows = rows.withColumns(low)
+    for a in "xy":
+        span = F.col(f"__{a}hi") - F.col(f"__{a}lo")
+        rows = rows.withColumn(f"__{a}unit", F.when(span > 0, F.pow(F.lit(2.0), F.floor(F.log2(span)))).otherwise(F.when(span == 0, 1.0).otherwise(span)))
+        rows = rows.withColumn(f"__{a}", (F.col(f"__{a}") - F.col(f"__{a}lo")) / F.col(f"__{a}unit"))
+    rows = rows.withColumns({"__mx": exact_avg("__x", group), "__my": exact_avg("__y", group)})
+    dx, dy = F.col("__x") - F.col("__mx"), F.col("__y") - F.col("__my")
+    same = ["__mx", "__my", "__xlo", "__xhi", "__ylo", "__yhi", "__xunit", "__yunit"]
+    sums = {"__xx": dx * dx, "__xy": dx * dy, "__yy": dy * dy}
+    fit = rows.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in same], *[exact_sum(c).alias(n) for n, c in sums.items()], F.count(F.lit(1)).alias("n"), *extra
+    ).where("__xlo < __xhi")
+    flat = F.col("__ylo") == F.col("__yhi")
+    slope = F.when(flat, 0.0).otherwise(F.col("__xy") / F.col("__xx") * (F.col("__yunit") / F.col("__xunit")))
+    r2 = F.when(flat, 1.0).otherwise(F.try_divide(F.col("__xy") * F.col("__xy"), F.col("__xx") * F.col("__yy")))
+    mean = {a: F.col(f"__{a}lo") + F.col(f"__m{a}") * F.col(f"__{a}unit") for a in "xy"}
+    named = fit.columns[len(keys) + len(same) + len(sums) + 1:]
+    return fit.withColumn("slope", slope).select(*keys, "slope", (mean["y"] - F.col("slope") * mean["x"]).alias("intercept"), r2.alias("r2"), "n", *named)

@@ -22,8 +22,8 @@ from abyssal.sources import loggers
 
 D = KEY
 LAYER_SPEC = " ".join(
-    [D, "timestamp experiment_number elapsed_s:6 chamber", *[f"mass_{m}_avg:4 mass_{m}_amps:4@1e16 mass_{m}_torr:4@1e12" for m in MASSES],
-     "total_pressure_amps:4@1e16 total_pressure_torr:4@1e12", *[f"{c}:5" for c in SCALUP_AVERAGES], "par_umol_m2_s:5 par_raw:5 turbo_speed_hz:5 turbo_power_w:5 water_pump_rpm:5"]
+    [D, "timestamp experiment_number elapsed_s:6@edge chamber", *[f"mass_{m}_avg:4@edge mass_{m}_amps:4@1e16 mass_{m}_torr:4@1e12" for m in MASSES],
+     "total_pressure_amps:4@1e16 total_pressure_torr:4@1e12", *[f"{c}:5@edge" for c in SCALUP_AVERAGES], "par_umol_m2_s:5@edge par_raw:5@edge turbo_speed_hz:5@edge turbo_power_w:5@edge water_pump_rpm:5@edge"]
 )
 
 
@@ -61,18 +61,18 @@ def window_mass_means(spark, d):
     return rows.withColumns({"amps": counts_to_amps(F.col("current")), "torr": counts_to_torr(F.col("current"), 8.01e-5)})
 
 
-@query("AGG02", f"{D} window_start temp_degC:5 sal_PSU:5 pressure_mbar:5 oxygen_mgL:5 pH:5", _from_layer("temp_degC, sal_PSU, pressure_mbar, oxygen_mgL, pH"))
+@query("AGG02", f"{D} window_start temp_degC:5@edge sal_PSU:5@edge pressure_mbar:5@edge oxygen_mgL:5@edge pH:5@edge", _from_layer("temp_degC, sal_PSU, pressure_mbar, oxygen_mgL, pH"))
 def window_sonde_means(spark, d):
     return _means("scalup", spark, d)
 
 
-@query("AGG03", f"{D} window_start turbo_speed_hz:5 turbo_power_w:5 water_pump_rpm:5 total_pressure_amps:4@1e16 total_pressure_torr:4@1e12",
+@query("AGG03", f"{D} window_start turbo_speed_hz:5@edge turbo_power_w:5@edge water_pump_rpm:5@edge total_pressure_amps:4@1e16 total_pressure_torr:4@1e12",
        _from_layer("turbo_speed_hz, turbo_power_w, water_pump_rpm, total_pressure_amps, total_pressure_torr"))
 def window_status_means(spark, d):
     return _means("status", spark, d)
 
 
-@query("AGG04", f"{D} window_start par_umol_m2_s:5 par_raw:5", _from_layer("par_umol_m2_s, par_raw"))
+@query("AGG04", f"{D} window_start par_umol_m2_s:5@edge par_raw:5@edge", _from_layer("par_umol_m2_s, par_raw"))
 def window_light_means(spark, d):
     return _means("par", spark, d)
 

@@ -298,9 +298,28 @@ def across_view(spark, d):
     return views.across_experiments(staged_layer_c(spark, d), bounds, MASSES)
 
 
-@query("DOM26", f"{METAB_SPEC} h_ion_flux:6@1000000", f"""
+PLACED_SPEC = METAB_SPEC.replace("mmol_m2_h:4", "mmol_m2_h:5@edge")
+
+
+@query("DOM26", f"{PLACED_SPEC} h_ion_flux:6@1000000", f"""
 SELECT m.*, h.h_ion_flux FROM (SELECT * FROM metab WHERE par_chamber_umol_m2_s IS NOT NULL) m
 LEFT JOIN (SELECT {D}, experiment_number, chamber, output_value AS h_ion_flux FROM fluxes WHERE variable = 'h_ion') h USING ({D}, experiment_number, chamber)""")
 def metabolism_view(spark, d):
     out = recomputed(spark, d)
     return views.metabolism_points(write_and_read(out["metabolism"]), out["fluxes"])
+
+
+@query("DOM26_light", f"{D} experiment_number chamber experiment_start par_chamber_umol_m2_s:4 ncp_mmol_m2_h:5@edge gpp_mmol_m2_h:5@edge r2:5", f"""
+SELECT * FROM metab_lr WHERE used AND period = 'light' UNION ALL BY NAME SELECT * FROM metab WHERE used AND period = 'light'""")
+def light_view(spark, d):
+    """Light incubations of the light-response series and of the fluxes from raw streams."""
+    series = views.light_incubations(metabolism.classify_o2_fluxes(standin.light_response(spark, d)))
+    return series.unionByName(views.light_incubations(recomputed(spark, d)["metabolism"]))
+
+
+@query("DOM26_transmittance", f"{D} chamber_par_transmittance:6", f"""
+SELECT {D}, CASE WHEN {D} IN (SELECT {D} FROM metab_lr) AND substr({D}, 2)::INT % 2 = 0 THEN 0.75 ELSE 1.0 END AS chamber_par_transmittance FROM dep""")
+def transmittance_view(spark, d):
+    """Transmittance of each deployment's recorded fit: every other one has a fit at 0.75, the others take the default."""
+    m = metabolism.classify_o2_fluxes(standin.light_response(spark, d)).where(F.substring(D, 2, 10).cast("int") % 2 == 0)
+    return views.saved_transmittance(metabolism.fit_pi_curves(m, 0.75), standin.deployments(spark, d))
