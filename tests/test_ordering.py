@@ -135,3 +135,55 @@ def test_exact_median(spark):
     for key in "abcde":
         real = [v for k, v in rows if k == key and v is not None and v == v]
         assert got[key] == pytest.approx(statistics.median(real), rel=1e-12, abs=1e-300)
+
+
+def _greedy(rows, conflicts):
+    """Starts by a plain loop: a row starts a segment when it conflicts with the rows of the open one."""
+    starts, open_rows = [], []
+    for r in rows:
+        if not open_rows or conflicts(open_rows, r):
+            starts.append(True)
+            open_rows = [r]
+        else:
+            starts.append(False)
+            open_rows.append(r)
+    return starts
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_summaries_compose_in_rounds(spark, monkeypatch, seed):
+    """Chunks of one to four rows, two at a time: segments run through many chunks and levels."""
+    from abyssal.operators import greedy
+
+    monkeypatch.setattr(greedy, "FAN", 2)
+    rng = random.Random(seed)
+    masses = [("k", i // rng.choice([1, 2, 4]), i, rng.choice([2, 18, 28, 32, 40, 44, 45, 46][: 3 + seed])) for i in range(90)]
+    masses = [(k, min(c for kk, c, j, _ in masses if j >= i), i, m) for k, c, i, m in masses]  # chunks in order
+    got = greedy_segments(spark.createDataFrame(masses, "key string, chunk bigint, pos bigint, mass bigint"), ["key"], "chunk", ["pos"], ["mass"], RepeatRule()).orderBy("pos").collect()
+    want = _greedy([m for *_, m in masses], lambda seen, m: m in seen)
+    assert [r.is_start for r in got] == want and [r.segment for r in got] == [sum(want[:i + 1]) - 1 for i in range(len(want))]
+
+    t, holds = 0, []
+    for i in range(120):
+        t += rng.choice([0, 1, 5, 30, 130])
+        holds.append(("k", t // 20, i, rng.choice([800, 800, 800, 900]), t))
+    df = spark.createDataFrame(holds, "key string, chunk bigint, pos bigint, sp bigint, t bigint")
+    got = greedy_segments(df, ["key"], "chunk", ["t", "pos"], ["sp", "t"], HoldRule(120)).orderBy("pos").collect()
+    assert [r.is_start for r in got] == _greedy([h[3:] for h in holds], lambda kept, r: r[0] != kept[0][0] or r[1] > kept[0][1] + 120)
+
+
+@pytest.mark.parametrize("window", [10**9, 50_000, 7])
+def test_one_setpoint_200_000_times(spark, window):
+    n, per_chunk = 200_000, 10_000  # rows one microsecond apart
+    df = spark.range(n).select(F.lit("k").alias("key"), F.floor(F.col("id") / per_chunk).alias("chunk"), F.col("id").alias("pos"), F.lit(800).cast("bigint").alias("sp"), F.col("id").alias("t"))
+    got = greedy_segments(df, ["key"], "chunk", ["pos"], ["sp", "t"], HoldRule(window)).where("is_start")
+    assert [r.pos for r in got.orderBy("pos").select("pos").collect()] == list(range(0, n, window + 1))
+
+
+def test_only_positions_and_values_pass_through_python(spark):
+    df = spark.createDataFrame([("k", 0, i, i % 3, "wide", 1.0) for i in range(9)], "key string, chunk bigint, pos bigint, mass bigint, text string, current double")
+    rows = greedy_segments(df, ["key"], "chunk", ["pos"], ["mass"], RepeatRule())
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    python = [line for line in plan.splitlines() if "InPandas" in line]
+    assert python and not any("text" in line or "current" in line for line in python)
+    assert sorted(rows.columns) == sorted([*df.columns, "segment", "is_start"]) and rows.count() == 9
