@@ -54,3 +54,21 @@ def _added(parts: Sequence[Column]) -> Column:
 def exact_avg(value: str | Column, over: WindowSpec | None = None, units: Sequence[int] = FINE) -> Column:
     n = F.count(value) if over is None else F.count(value).over(over)
     return F.try_divide(exact_sum(value, over, units), n)
+
+
+def partial_sums(name: str, value: Column, units: Sequence[int] = READINGS) -> list[Column]:
+    """Aggregates that stand for a mean and can be added up later: the sums of the cuts and the count (`merged_sums`, `mean_of_sums`)."""
+    return [*[F.sum(c).alias(f"{name}__{i}") for i, c in enumerate(_cuts(value, units))], F.count(value).alias(f"{name}__n")]
+
+
+def merged_sums(name: str, units: Sequence[int] = READINGS) -> list[Column]:
+    return [F.sum(c).alias(c) for c in (*[f"{name}__{i}" for i in range(len(units))], f"{name}__n")]
+
+
+def sum_of_sums(name: str, units: Sequence[int] = READINGS) -> Column:
+    return _added([F.col(f"{name}__{i}") for i in range(len(units))])
+
+
+def mean_of_sums(name: str, units: Sequence[int] = READINGS) -> Column:
+    """The mean, with the bits that `exact_avg` over all the rows gives."""
+    return F.try_divide(sum_of_sums(name, units), F.col(f"{name}__n"))

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import as_col, micros, whole_seconds
-from abyssal.functions.exact import READINGS, cut_columns, exact_avg, exact_avg_where
+from abyssal.functions.exact import READINGS, cut_columns, exact_avg, exact_avg_where, mean_of_sums, merged_sums, partial_sums
 from abyssal.functions.scalars import counts_to_amps, counts_to_torr
 from abyssal.operators.asof import match_to_windows
+from abyssal.operators.intervals import elementary_intervals
 from abyssal.schemas import DEFAULTS, KEY, SCALUP_AVERAGES
 
 STREAM_COLUMNS = {
@@ -55,6 +56,10 @@ def stream_means(
         means += [exact_avg_where(F.col("mass") == m, "current").alias(f"mass_{m}_avg") for m in masses]
         matched = matched.withColumns(cut_columns("current"))
     agg = matched.groupBy(*keys, "window_start").agg(*means)
+    return _with_units(agg, streams, masses, total_pressure_sensitivity, partial_pressure_sensitivity)
+
+
+def _with_units(agg: DataFrame, streams: dict[str, DataFrame], masses: Sequence[int], total_pressure_sensitivity, partial_pressure_sensitivity) -> DataFrame:
     tp, pp = as_col(total_pressure_sensitivity), as_col(partial_pressure_sensitivity)
     derived = {"total_pressure_amps": counts_to_amps(F.col("__tp")), "total_pressure_torr": counts_to_torr(F.col("__tp"), tp)}
     if "rga" in streams:
@@ -64,6 +69,35 @@ def stream_means(
     return agg.withColumns(derived).drop("__tp")
 
 
+def _averaged(streams: dict[str, DataFrame], masses: Sequence[int]) -> dict[str, Column | None]:
+    """What is averaged on a window, by output name; None where the stream is absent."""
+    named = {out: ("scalup", src) for out, src in SCALUP_AVERAGES.items()}
+    named |= {c: ("par", c) for c in ("par_umol_m2_s", "par_raw")} | {c: ("status", c) for c in ("turbo_speed_hz", "turbo_power_w")}
+    named |= {"water_pump_rpm": ("status", "pump_rpm"), "__tp": ("status", "raw_total_pressure_current")}
+    out = {name: F.col(c) if stream in streams else None for name, (stream, c) in named.items()}
+    return out | ({f"mass_{m}_avg": F.when(F.col("mass") == m, F.col("current")) for m in masses} if "rga" in streams else {})
+
+
+def means_over_sets(
+    streams: dict[str, DataFrame], windows: DataFrame, masses: Sequence[int], set_key: str, keys: Sequence[str] = (KEY,), strategy: str = "auto"
+) -> DataFrame:
+    """`stream_means` for the windows of many parameter sets, each reading matched and added up once.
+
+    The windows of all sets cut the time axis into elementary intervals. Readings meet those; what is kept of an interval are
+    sums that add up exactly, so a set's means are the ones its own windows would give.
+    """
+    keys = list(keys)
+    cuts, members = elementary_intervals(windows, keys, set_key)
+    values = _averaged(streams, masses)
+    present = {n: c for n, c in values.items() if c is not None}
+    matched = match_to_windows(all_readings(streams, keys), cuts, keys, strategy=strategy)
+    sums = matched.groupBy(*keys, F.col("window_start").alias("cut_start")).agg(*[c for n, v in present.items() for c in partial_sums(n, v)])
+    per_set = members.join(sums, [*keys, "cut_start"]).groupBy(*keys, set_key, "window_start").agg(*[c for n in present for c in merged_sums(n)])
+    means = per_set.select(*keys, set_key, "window_start", *[
+        (mean_of_sums(n) if n in present else F.lit(None).cast("double")).alias(n) for n in values])
+    return _with_units(means, streams, masses, 1.0, 1.0)
+
+
 def aggregate_onto_windows(
     windows: DataFrame,
     streams: dict[str, DataFrame],
@@ -72,9 +106,10 @@ def aggregate_onto_windows(
     partial_pressure_sensitivity: float | str | Column = DEFAULTS["partial_pressure_sensitivity_a_per_torr"],
     keys: Sequence[str] = (KEY,),
     strategy: str = "auto",
+    means: DataFrame | None = None,
 ) -> DataFrame:
-    """Windows with their context and the averages of every stream; windows without readings keep nulls."""
-    agg = stream_means(
+    """Windows with their context and the averages of every stream (or the given ones); windows without readings keep nulls."""
+    agg = means if means is not None else stream_means(
         streams, windows, masses, total_pressure_sensitivity, partial_pressure_sensitivity, keys, strategy
     )
     mass_columns = [f"mass_{m}_{s}" for m in sorted(masses) for s in ("avg", "amps", "torr")] if "rga" in streams else []

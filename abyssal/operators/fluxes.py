@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import as_col, safe_div, seconds_between, whole_minutes
-from abyssal.functions.exact import exact_avg, exact_sum
+from abyssal.functions.exact import FINE, exact_avg, exact_sum, mean_of_sums, merged_sums, partial_sums, sum_of_sums
 from abyssal.functions.scalars import at_most, hydrogen_ion, ratio_or_null
 from abyssal.functions.seawater import gas_solubility, seawater_density
 from abyssal.operators.asof import match_to_windows
+from abyssal.operators.intervals import elementary_intervals
 from abyssal.operators.stats import line_fit
 from abyssal.schemas import ARGON, DEFAULTS, KEY
 
@@ -139,8 +140,28 @@ def experiment_par(par: DataFrame, spans: DataFrame, keys: Sequence[str] = (KEY,
     )
 
 
-def attach_experiment_par(fluxes: DataFrame, par: DataFrame, spans: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
-    return fluxes.join(experiment_par(par, spans, keys), [*keys, "experiment_number"], "left")
+def experiment_par_over_sets(par: DataFrame, spans: DataFrame, set_key: str, keys: Sequence[str] = (KEY,)) -> DataFrame:
+    """`experiment_par` for the spans of many parameter sets, each light reading added up once per elementary interval."""
+    keys = list(keys)
+    windows = spans.select(*keys, set_key, "experiment_number", F.col("experiment_start").alias("window_start"), F.col("experiment_end").alias("window_end"))
+    cuts, members = elementary_intervals(windows, keys, set_key)
+    lit = par.where("par_umol_m2_s IS NOT NULL").select(*keys, "ts", "par_umol_m2_s", "interval_s")
+    values = {"light": F.col("par_umol_m2_s"), "dose": F.col("par_umol_m2_s") * F.col("interval_s"), "logged": F.col("interval_s")}
+    sums = match_to_windows(lit, cuts, keys).groupBy(*keys, F.col("window_start").alias("cut_start")).agg(
+        *[c for n, v in values.items() for c in partial_sums(n, v, FINE)])
+    per_set = members.join(sums, [*keys, "cut_start"]).groupBy(*keys, set_key, "window_start").agg(*[c for n in values for c in merged_sums(n, FINE)])
+    span_s = seconds_between(F.col("window_start"), F.col("window_end"))
+    return windows.join(per_set, [*keys, set_key, "window_start"]).select(
+        *keys, set_key, "experiment_number", mean_of_sums("light", FINE).alias("par_mean_umol_m2_s"),
+        (F.coalesce(sum_of_sums("dose", FINE), F.lit(0.0)) / 1e6).alias("par_integrated_mol_m2"),
+        at_most(safe_div(F.coalesce(sum_of_sums("logged", FINE), F.lit(0.0)), span_s), 1.0).alias("par_coverage"),
+    )
+
+
+def attach_experiment_par(
+    fluxes: DataFrame, par: DataFrame, spans: DataFrame, keys: Sequence[str] = (KEY,), light: DataFrame | None = None
+) -> DataFrame:
+    return fluxes.join(experiment_par(par, spans, keys) if light is None else light, [*keys, "experiment_number"], "left")
 
 
 def daily_par(par: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:

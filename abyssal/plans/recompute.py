@@ -7,10 +7,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abyssal.functions.common import safe_div, write_and_read
-from abyssal.operators.aggregate import aggregate_onto_windows
-from abyssal.operators.cycles import cycle_windows, experiment_spans
-from abyssal.operators.fluxes import attach_experiment_par, compute_fluxes
+from abyssal.functions.common import add_seconds, safe_div, write_and_read
+from abyssal.operators.aggregate import aggregate_onto_windows, means_over_sets
+from abyssal.operators.cycles import cycle_candidates, cycle_windows, experiment_spans
+from abyssal.operators.fluxes import attach_experiment_par, compute_fluxes, experiment_par_over_sets
 from abyssal.operators.metabolism import classify_o2_fluxes, fit_pi_curves
 from abyssal.schemas import DEFAULTS, KEY
 
@@ -39,13 +39,14 @@ def in_torr(table: DataFrame, parameters: DataFrame, masses: Sequence[int], keys
 def layers_from_streams(
     streams: dict[str, DataFrame], valve: DataFrame, parameters: DataFrame, masses: Sequence[int],
     keys: Sequence[str] = (KEY,), fit: bool = True, windows: DataFrame | None = None, strategy: str = "auto",
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None, set_key: str | None = None,
 ) -> dict[str, DataFrame]:
     """Windows, cycle averages, fluxes with light, metabolism and curve fits.
 
     `parameters` has one row per `keys` with the parameter columns; every stream and the valve carry the
     keys. One job serves all of them. `windows` may be a written table of the same cycle windows. Each layer is staged
-    (written to the shared folder, or by `stage`) before the next one reads it, so readings are matched once.
+    (written to the shared folder, or by `stage`) before the next one reads it, so readings are matched once. With `set_key`, the
+    last of the keys, windows and parameters are those of many sets, while streams have the other keys only and are read once.
     """
     keys = list(keys)
     stage = stage or (lambda df, _: write_and_read(df))
@@ -53,10 +54,13 @@ def layers_from_streams(
     if windows is None:
         windows = cycle_windows(valve.join(settle, keys), "settle_offset_s", keys)
     spans = experiment_spans(windows.join(settle, keys), "settle_offset_s", [*keys, "settle_offset_s"]).drop("settle_offset_s")
-    cycles = stage(in_torr(aggregate_onto_windows(windows, streams, masses, 1.0, 1.0, keys, strategy), parameters, masses, keys), "chamber_cycles")
+    means = means_over_sets(streams, windows, masses, set_key, keys[:-1], strategy) if set_key else None
+    averaged = aggregate_onto_windows(windows, streams, masses, 1.0, 1.0, keys, strategy, means)
+    cycles = stage(in_torr(averaged, parameters, masses, keys), "chamber_cycles")
     geometry = parameters.select(*keys, "chamber_volume_l", "chamber_area_m2", "n2_ar_sensitivity_ratio")
     fluxes = compute_fluxes(cycles.join(geometry, keys), "chamber_volume_l", "chamber_area_m2", "n2_ar_sensitivity_ratio", keys)
-    fluxes = stage(attach_experiment_par(fluxes, streams["par"], spans, keys), "fluxes")
+    light = experiment_par_over_sets(streams["par"], spans, set_key, keys[:-1]) if set_key else None
+    fluxes = stage(attach_experiment_par(fluxes, streams["par"], spans, keys, light), "fluxes")
     limits = parameters.select(*keys, "dark_par_threshold_umol_m2_s", "min_par_coverage", "metabolism_min_r2", "chamber_par_transmittance")
     # min_par_coverage and the others are columns here, one value per key.
     metabolism = classify_o2_fluxes(
@@ -71,9 +75,16 @@ def layers_from_streams(
 
 
 def recompute_grid(tables: dict[str, DataFrame], sets: Sequence[dict[str, float]], masses: Sequence[int], fit: bool = True) -> dict[str, DataFrame]:
-    """What-if layers for several parameter sets at once; results carry `param_id`."""
+    """What-if layers for several parameter sets at once; results carry `param_id`.
+
+    Only tables with a row per deployment, window or flux are copied per set: transitions are labelled once, and readings are
+    added up once on the elementary intervals of all sets' windows.
+    """
     keys = [KEY, "param_id"]
-    only_id = lambda df: with_parameter_sets(df, sets).drop(*PARAMETERS)
-    streams = {n: only_id(tables[n]) for n in ("rga", "scalup", "status", "par")}
     parameters = with_parameter_sets(tables["valve"].select(KEY).distinct(), sets)
-    return layers_from_streams(streams, only_id(tables["valve"]), parameters, masses, keys, fit)
+    whole = write_and_read(cycle_candidates(tables["valve"], 0.0).drop("long_enough", "chunk", "pos"))
+    start = add_seconds(F.col("window_start"), F.col("settle_offset_s"))
+    windows = whole.join(parameters.select(*keys, "settle_offset_s"), KEY).withColumn("window_start", start).where("window_end > window_start")
+    windows = write_and_read(windows.select(*keys, *[c for c in whole.columns if c != KEY]))
+    streams = {n: tables[n] for n in ("rga", "scalup", "status", "par")}
+    return layers_from_streams(streams, tables["valve"], parameters, masses, keys, fit, windows, set_key="param_id")

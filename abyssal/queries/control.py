@@ -337,7 +337,7 @@ def labelled_readings(spark, d):
     return detector.label_readings(standin.detector_readings(spark, d), standin.detector_events(spark, d), SETTLE)
 
 
-DET_SPEC = ("n n_stable mean_amps:4@1e16 sd_amps:4@1e16 rsd_pct:5 mean_stable_amps:4@1e16 se_stable_amps:4@1e16 rsd_stable_pct:5 noise_rsd_pct:5 noise_mad_rsd_pct:5 "
+DET_SPEC = ("n n_stable mean_amps:4@7.310585786300049e15 sd_amps:4@7.310585786300049e15 rsd_pct:5 mean_stable_amps:4@7.310585786300049e15 se_stable_amps:4@7.310585786300049e15 rsd_stable_pct:5 noise_rsd_pct:5 noise_mad_rsd_pct:5 "
             "drift_pct_per_min:5 ratio_to_m40_rsd_pct:5")
 
 

@@ -66,11 +66,14 @@ def scores(spark, d):
     return _scores(spark, d)
 
 
-@query("QC03", f"{D} stream seg_start seg_end", f"""
+SEGMENTS = f"""
 SELECT {D}, CASE WHEN grp IS NULL THEN tbl ELSE tbl || ' ' || grp END AS stream, seg_start, seg_end FROM (
   SELECT s.{D}, s.tbl, s.grp, s.seg_start, coalesce(lead(s.cut) OVER (PARTITION BY s.{D}, s.tbl, s.grp ORDER BY s.o), hi) AS seg_end FROM (
     SELECT {D}, tbl, grp, lo AS seg_start, NULL::TIMESTAMP AS cut, 0 AS o FROM (SELECT DISTINCT {D}, tbl, grp FROM qc_times) JOIN bounds USING ({D})
-    UNION ALL SELECT {D}, tbl, grp, gap_end, gap_start, epoch_us(gap_start) FROM qc_gaps) s JOIN bounds USING ({D})) WHERE seg_start < seg_end""")
+    UNION ALL SELECT {D}, tbl, grp, gap_end, gap_start, epoch_us(gap_start) FROM qc_gaps) s JOIN bounds USING ({D})) WHERE seg_start < seg_end"""
+
+
+@query("QC03", f"{D} stream seg_start seg_end", SEGMENTS)
 def segments(spark, d):
     _, times, bounds, nominal = _parts(spark, d)
     return quality.coverage_segments(times, write_and_read(quality.find_gaps(times, nominal, bounds)), bounds)
@@ -147,3 +150,39 @@ def configured(spark, d):
 def normalised(spark, d):
     times = quality.stream_times(standin.streams(spark, d))
     return _named(times.groupBy(*quality.STREAM).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")))
+
+
+# The same without a range: every stream over its own span, and gaps between records only.
+CTES["own_spans"] = f"SELECT {D}, tbl, min(ts) AS lo, max(ts) AS hi FROM qc_times GROUP BY ALL"
+CTES["own_gaps"] = f"""
+SELECT g.{D}, g.tbl, grp, gap_start, ts AS gap_end, (epoch_us(ts) - epoch_us(gap_start)) / 1e6 AS gap_s
+FROM (SELECT *, lag(ts) OVER (PARTITION BY {D}, tbl, grp ORDER BY ts) AS gap_start FROM qc_times) g
+JOIN qc_nominal n ON g.{D} = n.{D} AND g.tbl = n.tbl WHERE (epoch_us(ts) - epoch_us(gap_start)) / 1e6 > gap_threshold_s"""
+CTES["own_scores"] = CTES["qc_scores"].replace(f"JOIN bounds b ON t.{D} = b.{D}", f"JOIN own_spans b ON t.{D} = b.{D} AND t.tbl = b.tbl").replace("qc_gaps", "own_gaps")
+
+
+def _own_parts(spark, d):
+    _, times, _, nominal = _parts(spark, d)
+    return times, nominal, write_and_read(quality.find_gaps(times, nominal))
+
+
+@query("QC02_own", f"{D} stream nominal_interval_s gap_threshold_s expected:3 observed completeness:7 n_gaps longest_gap_s:4 total_gap_s:3 last_record staleness_s:6", "SELECT * FROM own_scores")
+def own_scores(spark, d):
+    return quality.completeness(*_own_parts(spark, d))
+
+
+@query("QC03_own", f"{D} stream seg_start seg_end", SEGMENTS.replace(f"JOIN bounds USING ({D})", f"JOIN own_spans USING ({D}, tbl)").replace("qc_gaps", "own_gaps"))
+def own_segments(spark, d):
+    times, _, gaps = _own_parts(spark, d)
+    return quality.coverage_segments(times, gaps)
+
+
+@query("QC10_own", f"{D} tbl lo hi", f"""
+SELECT {D}, tbl, CASE WHEN half THEN TIMESTAMP '2024-01-08' ELSE min(ts) END AS lo, max(ts) AS hi
+FROM (SELECT *, substr({D}, 2)::INT % 2 = 0 AS half FROM qc_times) WHERE NOT half OR ts >= TIMESTAMP '2024-01-08' GROUP BY {D}, tbl, half""")
+def half_open_ranges(spark, d):
+    """Range bounds from the argument where given (a start for every other deployment), else from the data."""
+    times = write_and_read(quality.stream_times(standin.streams(spark, d)))
+    given = standin.deployments(spark, d).where(F.substring(D, 2, 10).cast("int") % 2 == 0)
+    given = given.select(D, F.lit("2024-01-08").cast("timestamp_ntz").alias("lo"), F.lit(None).cast("timestamp_ntz").alias("hi"))
+    return _named(quality.own_spans(times, times.select(D, "table").distinct(), given))
