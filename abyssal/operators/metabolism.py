@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,13 +11,15 @@ from pyspark.sql import functions as F
 from abyssal.functions.common import as_col, write_and_read
 from abyssal.functions.exact import exact_avg
 from abyssal.functions.scalars import jassby_platt
+from abyssal.operators.stats import line_fit
 from abyssal.schemas import DEFAULTS, KEY
 
 MIN_FIT_POINTS = 4
 LOWER_BOUND = 1e-9
-# Search grid of ln(alpha / Pmax): first level, then zoom levels of +-1 step around the best.
-GRID_FROM, GRID_TO, GRID_POINTS = -16.0, 4.0, 65
-ZOOM_POINTS, ZOOM_LEVELS = 33, 4
+# k = alpha / Pmax lies between a curve that is straight to 1 in 10^6 at the highest light and one that is flat at the lowest.
+STRAIGHT, SATURATED = 1e-3, 6.0
+FIRST_POINTS = 17  # values of ln k tried in the first pass
+MOST_STEPS, NEWTON_TOLERANCE, BRACKET_TOLERANCE = 60, 1e-6, 1e-11  # a Newton step squares the error
 
 
 def classify_o2_fluxes(
@@ -64,21 +67,66 @@ def dark_respiration(rows: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame
     )
 
 
-def _search_level(points: DataFrame, centres: DataFrame, group: list[str], n: int, step: float) -> DataFrame:
-    """Best ln k of one grid level: the model is linear in Pmax and R once k is fixed."""
-    j = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j")
-    trial = points.join(centres, group).select(*group, "i", "y", "lnk0", j)
-    trial = trial.withColumn("lnk", F.col("lnk0") + (F.col("j") - (n - 1) / 2) * F.lit(step))
-    x, y = F.tanh(F.exp("lnk") * F.col("i")), F.col("y")
-    fits = trial.withColumn("x", x).groupBy(*group, "j").agg(
-        F.first("lnk").alias("lnk"),
-        F.regr_slope("y", "x").alias("pmax"),
-        F.regr_intercept("y", "x").alias("b"),
-        (F.regr_syy("y", "x") - F.regr_slope("y", "x") * F.regr_sxy("y", "x")).alias("sse"),
-    )
-    ok = (F.col("pmax") > LOWER_BOUND) & (F.col("pmax") * F.exp("lnk") > LOWER_BOUND)
-    best = fits.where(ok).groupBy(*group).agg(F.min(F.struct("sse", "j", "lnk", "pmax", "b")).alias("best"))
-    return best.select(*group, F.col("best.lnk").alias("lnk0"), F.col("best.j").alias("j"), "best.pmax", "best.b")
+def _centred(a: str, b: str) -> Column:
+    """Sum of products about the means, from raw sums; `__1` is the number of points."""
+    name = "__" + "_".join(sorted((a, b)))
+    return F.col(name) - F.col(f"__{a}") * F.col(f"__{b}") / F.col("__1")
+
+
+def _first_pass(points: DataFrame, limits: DataFrame, group: list[str]) -> DataFrame:
+    """Per chamber the best of `FIRST_POINTS` values of ln k, all tried in one aggregate without copying a point."""
+    step = (F.col("hi") - F.col("lo")) / (FIRST_POINTS - 1)
+    at = [F.col("lo") + step * j for j in range(FIRST_POINTS)]
+    rows = points.join(limits.select(*group, "lo", "hi", "__my"), group).withColumn("y", F.col("y") - F.col("__my"))
+    x = [F.tanh(F.exp(u) * F.col("i")) for u in at]
+    sums = rows.groupBy(*group, "lo", "hi", "__my").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"),
+        *[c.alias(f"{n}{j}") for j, v in enumerate(x) for n, c in (("x", F.sum(v)), ("xx", F.sum(v * v)), ("xy", F.sum(v * F.col("y"))))])
+    tries = []
+    for j, u in enumerate(at):
+        sxx, sxy = F.col(f"xx{j}") - F.col(f"x{j}") * F.col(f"x{j}") / F.col("n"), F.col(f"xy{j}") - F.col(f"x{j}") * F.col("sy") / F.col("n")
+        rises = (sxx > 0) & (sxy > LOWER_BOUND * sxx)
+        tries.append(F.when(rises, F.struct((F.col("syy") - sxy * sxy / sxx).alias("sse"), F.lit(j).alias("j"), u.alias("u"))))
+    best = sums.select(*group, "lo", "hi", F.array_min(F.filter(F.array(*tries), lambda t: t.isNotNull())).alias("b"), step.alias("step"))
+    return best.select(
+        *group, F.col("b").isNull().alias("flat"), F.col("b.u").alias("u"), "lo", "hi",
+        F.greatest("lo", F.col("b.u") - F.col("step")).alias("a"), F.least("hi", F.col("b.u") + F.col("step")).alias("z"),
+        (F.col("b.j") <= 1).alias("low_open"), (F.col("b.j") >= FIRST_POINTS - 2).alias("high_open"))
+
+
+def _newton_step(points: DataFrame, state: DataFrame, group: list[str]) -> DataFrame:
+    """One Newton step in ln k on the squared error with Pmax and R solved for, kept inside [a, z]; one aggregate over the points.
+
+    x = tanh(k i), p and q its first and second derivative by ln k. Where Newton leaves the bracket, an untried limit of k comes
+    next, else the middle. On a limit with the error still falling outwards the search ends: the limit is the fit.
+    """
+    rows = points.join(state.where("NOT flat AND NOT done"), group)
+    ki = F.exp("u") * F.col("i")
+    x = F.tanh(ki)
+    p = ki * (1 - x * x)
+    q = p * (1 - 2 * ki * x)
+    rows = rows.select(*group, "u", "a", "z", "lo", "hi", "low_open", "high_open", (F.col("y") - F.col("__my")).alias("y"), x.alias("x"), p.alias("p"), q.alias("q"))
+    pairs = [("x", "x"), ("x", "y"), ("p", "y"), ("p", "x"), ("p", "p"), ("q", "y"), ("q", "x")]
+    sums = rows.groupBy(*group, "u", "a", "z", "lo", "hi", "low_open", "high_open").agg(
+        F.count(F.lit(1)).alias("__1"), *[F.sum(c).alias(f"__{c}") for c in "xypq"],
+        *[F.sum(F.col(a) * F.col(b)).alias("__" + "_".join(sorted((a, b)))) for a, b in pairs])
+    n = sums.select(*group, "u", "a", "z", "lo", "hi", "low_open", "high_open", _centred("x", "x").alias("s0"), _centred("x", "y").alias("c0"), _centred("p", "y").alias("c1"),
+                    (2 * _centred("p", "x")).alias("s1"), _centred("q", "y").alias("c2"), (2 * (_centred("p", "p") + _centred("q", "x"))).alias("s2"))
+    s0, s1, s2, c0, c1, c2 = (F.col(c) for c in ("s0", "s1", "s2", "c0", "c1", "c2"))
+    pmax = c0 / s0
+    slope = pmax * (pmax * s1 - 2 * c1)
+    bend = pmax * (pmax * s2 - 2 * c2) - 2 * (c1 - pmax * s1) * (c1 - pmax * s1) / s0
+    n = n.withColumns({"slope": slope, "bend": bend})
+    u, falling = F.col("u"), F.col("slope") < 0
+    n = n.withColumns({"a": F.when(falling, u).otherwise(F.col("a")), "z": F.when(falling, F.col("z")).otherwise(u),
+                       "low_open": F.col("low_open") & ~falling, "high_open": F.col("high_open") & falling})
+    newton = u - F.try_divide(F.col("slope"), F.col("bend"))
+    inside = (F.col("bend") > 0) & (newton > F.col("a")) & (newton < F.col("z"))
+    stuck = ((u == F.col("lo")) & ~falling) | ((u == F.col("hi")) & falling)
+    middle = (F.col("a") + F.col("z")) / 2
+    to = F.when(stuck, u).when(inside, newton).when(F.col("high_open"), F.col("hi")).when(F.col("low_open"), F.col("lo")).otherwise(middle)
+    done = stuck | (inside & (F.abs(newton - u) <= NEWTON_TOLERANCE)) | (F.col("z") - F.col("a") <= BRACKET_TOLERANCE)
+    return n.select(*group, to.alias("u"), "a", "z", "lo", "hi", "low_open", "high_open", F.lit(False).alias("flat"), done.alias("done"))
 
 
 def fit_pi_curves(
@@ -87,11 +135,12 @@ def fit_pi_curves(
     keys: Sequence[str] = (KEY,),
     materialise: bool = True,
 ) -> DataFrame:
-    """Least-squares Pmax, alpha, R of NCP = Pmax tanh(alpha I / Pmax) - R over each chamber's used rows.
+    """Least-squares Pmax, alpha, R of NCP = Pmax tanh(alpha I / Pmax) - R over each chamber's used rows, Pmax and alpha positive.
 
-    With k = alpha / Pmax fixed the rest is a straight line, so the search is over k only: a log grid, each
-    level one grouped aggregate over the points, then zooming in. Errors come from the 3x3 normal matrix.
-    Fewer than four points, no light point, or a best k on the outer edge of the grid: converged is false.
+    With k = alpha / Pmax fixed the rest is a straight line, so the fit is in ln k alone: one pass over a coarse row of values, then
+    Newton steps inside the bracket of the best, each one grouped aggregate. An optimum on a bound is a fit too: points on a straight line have
+    the least k (Pmax far above them), points that are all saturated the greatest; where light lowers the flux, Pmax and alpha are
+    `LOWER_BOUND`. Such fits have no standard errors. Fewer than four points or no light point: converged is false.
     """
     group = [*keys, "chamber"]
     used = metabolism.where("used").select(
@@ -102,17 +151,37 @@ def fit_pi_curves(
     light, dark = F.col("period") == "light", F.col("period") == "dark"
     counts = used.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n_points"), F.count_if(light).alias("n_light"), F.count_if(dark).alias("n_dark"),
-        (-F.avg(F.when(dark, F.col("y")))).alias("r_dark_mmol_m2_h"), F.avg("y").alias("__mean"),
+        (-exact_avg(F.when(dark, F.col("y")))).alias("r_dark_mmol_m2_h"), exact_avg("y").alias("__mean"),
+        F.max("i").alias("__top"), F.min(F.when(F.col("i") > 0, F.col("i"))).alias("__least"),
     )
-    fit_group = counts.where(f"n_points >= {MIN_FIT_POINTS} AND n_light > 0")
-    step = (GRID_TO - GRID_FROM) / (GRID_POINTS - 1)
-    centre = fit_group.select(*group, F.lit((GRID_FROM + GRID_TO) / 2).alias("lnk0"))
-    best = _search_level(used, centre, group, GRID_POINTS, step)
-    best = best.where(f"j > 0 AND j < {GRID_POINTS - 1}")
-    for _ in range(ZOOM_LEVELS):
-        step /= (ZOOM_POINTS - 1) / 2
-        best = _search_level(used, best.select(*group, "lnk0"), group, ZOOM_POINTS, step)
-    params = best.select(*group, "pmax", (F.col("pmax") * F.exp("lnk0")).alias("alpha"), (-F.col("b")).alias("r"))
+    if materialise:
+        counts = write_and_read(counts)
+    fit_group = counts.where(f"n_points >= {MIN_FIT_POINTS} AND n_light > 0 AND __top > 0")
+    lo, hi = F.ln(F.lit(STRAIGHT) / F.col("__top")), F.ln(F.lit(SATURATED) / F.col("__least"))
+    limits = fit_group.select(*group, lo.alias("lo"), hi.alias("hi"), F.col("__mean").alias("__my"))
+    points = used.select(*group, "i", "y")
+    state = _first_pass(points, limits, group).withColumn("done", F.lit(False))
+    found: list[DataFrame] = []
+    centred = points.join(limits.select(*group, "__my"), group)
+    if materialise:
+        centred, state = write_and_read(centred), write_and_read(state)
+    found.append(state.where("flat"))
+    state = state.where("NOT flat")
+    for n in range(MOST_STEPS):
+        state = write_and_read(_newton_step(centred, state, group))  # a row per chamber
+        found.append(state.where("done"))
+        state = state.where("NOT done")
+        if state.isEmpty():
+            break
+    found.append(state)  # the last bracket's point where the tolerance was not met
+    params = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.select(*group, "u", "lo", "hi", "flat") for f in found])
+    x = F.tanh(F.exp("u") * F.col("i"))
+    line = line_fit(centred.join(params.where("NOT flat"), group), [*group, "u", "lo", "hi"], x, F.col("y"))
+    line = line.select(*group, F.greatest("slope", F.lit(LOWER_BOUND)).alias("pmax"), F.greatest(F.col("slope") * F.exp("u"), F.lit(LOWER_BOUND)).alias("alpha"),
+                       (-F.col("intercept")).alias("r"), ((F.col("u") <= F.col("lo")) | (F.col("u") >= F.col("hi"))).alias("__bound"))
+    flat = params.where("flat").join(counts.select(*group, "__mean"), group).select(
+        *group, F.lit(LOWER_BOUND).alias("pmax"), F.lit(LOWER_BOUND).alias("alpha"), (-F.col("__mean")).alias("r"), F.lit(True).alias("__bound"))
+    params = line.unionByName(flat)
     if materialise:  # a row per chamber; the search is not repeated for the errors
         params = write_and_read(params)
     return _with_errors(used, counts, params, group, transmittance)
@@ -135,7 +204,8 @@ def _with_errors(used: DataFrame, counts: DataFrame, params: DataFrame, group: l
     aa, ab, sa, bb, sb, n = (F.col(c) for c in ("aa", "ab", "sa", "bb", "sb", "n"))
     det = aa * (bb * n - sb * sb) - ab * (ab * n - sb * sa) + sa * (ab * sb - bb * sa)
     variance = F.when((det > 0) & (n > 3), F.col("sse") / (n - 3) / det)
-    root = lambda cofactor: F.when(variance * cofactor >= 0, F.sqrt(variance * cofactor))
+    root = lambda cofactor: F.when(~F.col("__bound") & (variance * cofactor >= 0), F.sqrt(variance * cofactor))
+    s = s.join(params.select(*group, "__bound"), group)
     errors = s.select(
         *group,
         root(bb * n - sb * sb).alias("pmax_se"),

@@ -94,28 +94,36 @@ def pi_ctes(prefix: str, source: str) -> str:
     CTES[f"{prefix}_used"] = f"SELECT {D}, chamber, period, par_chamber_umol_m2_s AS i, o2 AS y FROM {source} WHERE used"
     CTES[f"{prefix}_counts"] = (f"SELECT {D}, chamber, count(*) AS n_points, count_if(period = 'light')::BIGINT AS n_light, count_if(period = 'dark')::BIGINT AS n_dark, "
                                 f"-avg(CASE WHEN period = 'dark' THEN y END) AS r_dark_mmol_m2_h, avg(y) AS ym FROM {prefix}_used GROUP BY ALL")
-    centre, step = f"(SELECT {D}, chamber, -6.0::DOUBLE AS lnk FROM {prefix}_counts WHERE n_points >= 4 AND n_light > 0)", 20.0 / 64
-    for level in range(5):
-        n = 65 if level == 0 else 33
-        if level:
-            step /= 16
-        CTES[f"{prefix}_b{level}"] = f"""
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {D}, chamber ORDER BY sse, j) AS r FROM (
-  SELECT {D}, chamber, j, any_value(lnk) AS lnk, regr_slope(y, x) AS pmax, regr_intercept(y, x) AS b, regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x) AS sse
-  FROM (SELECT u.{D}, u.chamber, j, lnk + (j - {(n - 1) / 2}::DOUBLE) * {step!r}::DOUBLE AS lnk, tanh(exp(lnk + (j - {(n - 1) / 2}::DOUBLE) * {step!r}::DOUBLE) * i) AS x, y
-        FROM {prefix}_used u JOIN (SELECT {D}, chamber, lnk FROM {centre}) c USING ({D}, chamber), (SELECT unnest(range({n})) AS j)) GROUP BY {D}, chamber, j)
-  WHERE pmax > 1e-9 AND pmax * exp(lnk) > 1e-9) WHERE r = 1{' AND j > 0 AND j < 64' if level == 0 else ''}"""
-        centre = f"{prefix}_b{level}"
+    CTES[f"{prefix}_limits"] = (f"SELECT {D}, chamber, ln(1e-3 / max(i)) AS lo, ln(6.0 / min(CASE WHEN i > 0 THEN i END)) AS hi, avg(y) AS my FROM {prefix}_used "
+                                f"GROUP BY ALL HAVING count(*) >= 4 AND count_if(period = 'light') > 0 AND max(i) > 0")
+    # The squared error on 17 values, zoomed 16-fold six times by its least value, and at last its derivative by interpolation.
+    centre, half = f"(SELECT *, (lo + hi) / 2 AS lnk, (hi - lo) / 2 AS half FROM {prefix}_limits)", 8
+    for level in range(7):
+        CTES[f"{prefix}_g{level}"] = f"""
+SELECT {D}, chamber, j, any_value(lnk) AS lnk, any_value(lo) AS lo, any_value(hi) AS hi, any_value(half) AS half, regr_slope(y, x) AS pmax, regr_intercept(y, x) AS b, regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x) AS sse,
+       -2 * regr_slope(y, x) * (regr_sxy(y, p) - regr_slope(y, x) * regr_sxy(x, p)) AS slope
+  FROM (SELECT *, tanh(exp(lnk) * i) AS x, exp(lnk) * i * (1 - pow(tanh(exp(lnk) * i), 2)) AS p FROM (
+    SELECT u.{D}, u.chamber, j, lo, hi, half, greatest(lo, least(hi, lnk + (j - 8) * half / 8)) AS lnk, i, y - my AS y
+    FROM {prefix}_used u JOIN {centre} c USING ({D}, chamber), (SELECT unnest(range(17)) AS j))) GROUP BY {D}, chamber, j"""
+        CTES[f"{prefix}_b{level}"] = f"SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY {D}, chamber ORDER BY sse, j) AS r FROM {prefix}_g{level} WHERE pmax > 1e-9) WHERE r = 1"
+        centre = f"(SELECT b.{D}, b.chamber, b.lnk, b.lo, b.hi, b.half / 8 AS half, my FROM {prefix}_b{level} b JOIN {prefix}_limits USING ({D}, chamber))"
+    CTES[f"{prefix}_k"] = f"""
+SELECT b.{D}, b.chamber, b.lnk <= b.lo OR b.lnk >= b.hi AS bound,
+       CASE WHEN b.lnk <= b.lo OR b.lnk >= b.hi OR n.slope IS NULL OR m.slope IS NULL OR n.slope <= m.slope THEN b.lnk ELSE m.lnk - m.slope * (n.lnk - m.lnk) / (n.slope - m.slope) END AS lnk
+FROM {prefix}_b6 b LEFT JOIN {prefix}_g6 m ON b.{D} = m.{D} AND b.chamber = m.chamber AND m.j = b.j - 1 LEFT JOIN {prefix}_g6 n ON b.{D} = n.{D} AND b.chamber = n.chamber AND n.j = b.j + 1"""
+    CTES[f"{prefix}_p"] = f"""
+SELECT {D}, chamber, any_value(lnk) AS lnk, any_value(bound) AS bound, regr_slope(y, tanh(exp(lnk) * i)) AS pmax, regr_slope(y, tanh(exp(lnk) * i)) * exp(any_value(lnk)) AS alpha, regr_intercept(y, tanh(exp(lnk) * i)) AS b
+FROM {prefix}_used JOIN {prefix}_k USING ({D}, chamber) GROUP BY ALL
+UNION ALL SELECT {D}, chamber, 0.0, true, 1e-9, 1e-9, my FROM {prefix}_limits ANTI JOIN {prefix}_k USING ({D}, chamber)"""
     return f"""
-SELECT c.{D}, c.chamber, n_points, n_light, n_dark, r_dark_mmol_m2_h, pmax AS pmax_mmol_m2_h, pmax * exp(lnk) AS alpha_mmol_m2_h_per_par, -b AS r_fit_mmol_m2_h,
-       exp(-lnk) AS ik_umol_m2_s, fit_r2, pmax IS NOT NULL AS converged, sqrt(s2 * (bb * n - sb * sb) / det) AS pmax_se, sqrt(s2 * (aa * n - sa * sa) / det) AS alpha_se,
-       sqrt(s2 * (aa * bb - ab * ab) / det) AS r_fit_se
-FROM {prefix}_counts c LEFT JOIN {centre} p USING ({D}, chamber) LEFT JOIN (
+SELECT c.{D}, c.chamber, n_points, n_light, n_dark, r_dark_mmol_m2_h, pmax AS pmax_mmol_m2_h, alpha AS alpha_mmol_m2_h_per_par, -b AS r_fit_mmol_m2_h,
+       pmax / alpha AS ik_umol_m2_s, fit_r2, pmax IS NOT NULL AS converged, CASE WHEN NOT bound THEN sqrt(s2 * (bb * n - sb * sb) / det) END AS pmax_se,
+       CASE WHEN NOT bound THEN sqrt(s2 * (aa * n - sa * sa) / det) END AS alpha_se, CASE WHEN NOT bound THEN sqrt(s2 * (aa * bb - ab * ab) / det) END AS r_fit_se
+FROM {prefix}_counts c LEFT JOIN {prefix}_p p USING ({D}, chamber) LEFT JOIN (
   SELECT *, sse / (n - 3) AS s2, aa * (bb * n - sb * sb) - ab * (ab * n - sb * sa) + sa * (ab * sb - bb * sa) AS det FROM (
     SELECT {D}, chamber, sum(a * a) AS aa, sum(a * b) AS ab, sum(a) AS sa, sum(b * b) AS bb, sum(b) AS sb, count(*)::DOUBLE AS n, sum(e * e) AS sse, 1 - sum(e * e) / sum(t * t) AS fit_r2
-    FROM (SELECT u.{D}, u.chamber, tanh(exp(lnk) * i) - exp(lnk) * i * (1 - pow(tanh(exp(lnk) * i), 2)) AS a, i * (1 - pow(tanh(exp(lnk) * i), 2)) AS b,
-                 y - (pmax * tanh(exp(lnk) * i) + p.b) AS e, y - ym AS t
-          FROM {prefix}_used u JOIN {prefix}_counts USING ({D}, chamber) JOIN {centre} p USING ({D}, chamber)) GROUP BY ALL)) q USING ({D}, chamber)"""
+    FROM (SELECT u.{D}, u.chamber, tanh(v) - v * (1 - pow(tanh(v), 2)) AS a, i * (1 - pow(tanh(v), 2)) AS b, y - (pmax * tanh(v) + p0) AS e, y - ym AS t
+          FROM (SELECT w.*, ym, pmax, p.b AS p0, alpha / pmax * i AS v FROM {prefix}_used w JOIN {prefix}_counts USING ({D}, chamber) JOIN {prefix}_p p USING ({D}, chamber)) u) GROUP BY ALL)) q USING ({D}, chamber)"""
 
 
 PI_SPEC = (f"{D} chamber n_points n_light n_dark r_dark_mmol_m2_h:4 pmax_mmol_m2_h:2 alpha_mmol_m2_h_per_par:4 r_fit_mmol_m2_h:2 ik_umol_m2_s:2 fit_r2:6 converged "

@@ -81,6 +81,47 @@ def test_light_curve_recovers_known_parameters_per_chamber(spark):
     assert not out["C3"].converged and out["C3"].pmax_mmol_m2_h is None and out["C3"].r_dark_mmol_m2_h == 80.0
 
 
+def _brute_curve(i, y):
+    """Best (sse, ln k) by a fine search over ln k between the operator's limits, Pmax >= 0 by a straight line for each."""
+    i, y = np.array(i), np.array(y)
+    lo, hi = math.log(1e-3 / i.max()), math.log(6.0 / i[i > 0].min())
+    best = (((y - y.mean()) ** 2).sum(), None)
+    for u in np.linspace(lo, hi, 4001):
+        x = np.tanh(np.exp(u) * i)
+        p = ((x - x.mean()) * (y - y.mean())).sum() / ((x - x.mean()) ** 2).sum()
+        if p > 1e-9:
+            best = min(best, (((y - y.mean() - p * (x - x.mean())) ** 2).sum(), u))
+    return *best, lo, hi
+
+
+def test_light_curves_converge_on_their_bounds(spark):
+    par = [0.0, 0.5, 4.0, 15.0, 40.0, 90.0, 160.0, 300.0, 700.0, 1300.0]
+    rng = np.random.default_rng(8)
+    shapes = {
+        "noisy": [900 * math.tanh(5 * i / 900) - 100 + e for i, e in zip(par, rng.normal(0, 60, 10))],
+        "straight": [0.7 * i - 20 for i in par],
+        "bent up": [1e-3 * i * i - 20 for i in par],
+        "saturated": [-50.0] + [400.0] * 9,
+        "falling": [500 - 0.3 * i for i in par],
+        "level": [5.0] * 10,
+        "wild": list(rng.normal(0, 300, 10)),
+    }
+    rows = [(name, i, v) for name, values in shapes.items() for i, v in zip(par, values)]
+    out = {r.chamber: r for r in metabolism.fit_pi_curves(metabolism.classify_o2_fluxes(_fluxes(spark, rows))).collect()}
+    for name, y in shapes.items():
+        row, (sse, u, lo, hi) = out[name], _brute_curve(par, y)
+        assert row.converged, name
+        p, a, r = row.pmax_mmol_m2_h, row.alpha_mmol_m2_h_per_par, row.r_fit_mmol_m2_h
+        got = sum((v - (p * math.tanh(a * i / p) - r)) ** 2 for i, v in zip(par, y))
+        assert got <= sse * (1 + 1e-6) + 1e-3, name
+        assert p >= 1e-9 and a >= 1e-9
+        if u in (lo, hi) or u is None:
+            assert row.pmax_se is None, name
+    assert out["straight"].alpha_mmol_m2_h_per_par == pytest.approx(0.7, rel=1e-5) and out["straight"].pmax_mmol_m2_h > 900_000
+    assert out["saturated"].pmax_mmol_m2_h == pytest.approx(450, rel=1e-4) and out["noisy"].pmax_se > 0
+    assert (out["falling"].pmax_mmol_m2_h, out["falling"].r_fit_mmol_m2_h) == (1e-9, pytest.approx(-np.mean(shapes["falling"])))
+
+
 def test_f_tail_known_values():
     # F(1, d) is the square of Student's t; F(2, d) has the closed form (1 + 2 x / d)^(-d/2).
     got = spread.f_tail_values(np.array([4.0, 0.5, 30.0]), np.array([2.0, 2.0, 2.0]), np.array([10.0, 7.0, 50.0]))
