@@ -13,6 +13,7 @@ Null texts count as empty and give no tokens. Texts of any length are encoded wh
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -214,6 +215,28 @@ def decoder(spark: SparkSession, path: str):
     return decode
 
 
+def tokenizer(spark: SparkSession, path: str):
+    """Column function: text to (token_ids, decoded), in one pass with one broadcast.
+
+    The automaton and the words it remembers live as long as the task: a worker that Spark reuses for other stages keeps neither.
+    """
+    bound_batches(spark)
+    shared = spark.sparkContext.broadcast(read_vocabulary(path))
+
+    @F.pandas_udf("token_ids array<int>, decoded string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        automaton = TokenAutomaton(shared.value)
+        try:
+            for texts in batches:
+                ids = [automaton.encode(t) if isinstance(t, str) else [] for t in texts]
+                yield pd.DataFrame({"token_ids": ids, "decoded": [automaton.decode(i) for i in ids]})
+        finally:
+            del automaton
+            gc.collect()
+
+    return run
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256; ids are encoded and decoded in one pass and not kept."""
     bound_batches(docs.sparkSession)

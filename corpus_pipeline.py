@@ -40,8 +40,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix beside its columns, and the text that the ids decode to."""
-    encoded = docs.withColumn("token_ids", bpe.encoder(spark, VOCABULARY)("text"))
-    return encoded.withColumn("n_tokens", F.size("token_ids").cast("bigint")).withColumn("decoded", bpe.decoder(spark, VOCABULARY)("token_ids"))
+    read = docs.withColumn("read", bpe.tokenizer(spark, VOCABULARY)("text"))
+    return read.select(*docs.columns, "read.token_ids", F.size("read.token_ids").cast("bigint").alias("n_tokens"), "read.decoded")
 
 
 STAGES = [("quality", classify), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mix), ("bpe", tokenize)]

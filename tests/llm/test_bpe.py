@@ -4,7 +4,7 @@ from hashlib import sha256
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from abyssal.llm.bpe import TokenAutomaton, decoder, digests, encoder, read_vocabulary
+from abyssal.llm.bpe import TokenAutomaton, decoder, digests, encoder, read_vocabulary, tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "a", "AİB ΣΣ", "été", "don't we'll I'M x'VE", "<|endoftext|>a<|startoftext|> <|END", "1234 ٣ ½", "a b c\x85d\x1cz​",
@@ -37,3 +37,5 @@ def test_spark_round_trip(spark):
     back = ids.withColumn("back", decoder(spark, PATH)("ids")).collect()
     assert all(r.back == t.decode(t.encode(r.text or "", add_special_tokens=False).ids, skip_special_tokens=False) for r in back)
     assert digests(docs.limit(0), PATH).collect() == []
+    both = docs.withColumn("r", tokenizer(spark, PATH)("text")).select("text", "r.*").collect()
+    assert all((r.token_ids, r.decoded) == (i := t.encode(r.text or "", add_special_tokens=False).ids, t.decode(i, skip_special_tokens=False)) for r in both)
