@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from abyssal.plans.recompute import in_torr, layers_from_streams
 from abyssal.schemas import KEY
 from abyssal.sources.loggers import read_hobo, read_par
 from abyssal.sources.logs import read_log_tables
-from abyssal.sources.tables import durations_to_seconds, load_table, publish, run_summary, write_table
+from abyssal.sources.tables import commit, durations_to_seconds, load_run, new_run, run_summary, write_table
 
 
 class RegistryError(ValueError):
@@ -38,17 +36,18 @@ def run_batch(
     one stage only and the optimiser knows every table's real size.
     """
     use_utc(spark)
-    if raw_root.rstrip("/") == out.rstrip("/"):
+    out = out.rstrip("/")
+    if raw_root.rstrip("/") == out:
         raise ValueError("output must differ from the raw root")
     broken = deployment_violations(deployments, given)
     _refuse(broken.select(KEY, "rule", "detail"), out)
     parameters = processing_table(resolve_processing(deployments, given, overrides, config))
     _refuse(parameters.where("problem IS NOT NULL").select(KEY, F.lit("parameter").alias("rule"), F.col("problem").alias("detail")), out)
-    staging = f"{out.rstrip('/')}/_run-{uuid.uuid4()}"
+    run = new_run()
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        write_table(df, staging, name, fmt)
-        return load_table(spark, staging, name, durations_to_seconds(df).schema)
+        write_table(df, out, name, fmt, run)
+        return load_run(spark, out, name, fmt, run, durations_to_seconds(df).schema)
 
     ids = [r[0] for r in deployments.select(KEY).distinct().collect()]
     deployments = stage(deployments.drop("path"), "deployment")
@@ -74,8 +73,8 @@ def run_batch(
                 "fluxes": fluxes, "metabolism": metabolism, "pi_fit": pi_fit}
     stats = cycle_statistics(clipped["valve"].join(settle, KEY), "settle_offset_s")
     summary = write_and_read(run_summary(produced, stats))
-    # the earlier output stays until here
-    publish(spark, staging, out, ids)
+    # the earlier output counts until here, and this run's from here
+    commit(spark, out, run, deployments, fmt)
     return summary
 
 

@@ -246,10 +246,15 @@ def all_oxygen_exports(spark, d):
 @query("SRC25", f"table {KEY} ts value", f"""
 SELECT 'scalup' AS "table", {KEY}, ts, ph AS value FROM scalup UNION ALL SELECT 'system_health', {KEY}, ts, voltage_v FROM system_health""")
 def load_written(spark, d):
-    """One table written as Parquet, one as CSV only; both load."""
+    """Two tables written as Parquet, and again as CSV for the odd deployments; each deployment loads from its last run."""
     out = shared_dir(spark)
-    tables.write_table(standin.scalup(spark, d).select(KEY, "ts", "ph"), out, "scalup", "parquet")
-    tables.write_table(standin.system_health(spark, d).select(KEY, "ts", "voltage_v"), out, "system_health", "csv")
+    sonde, health = standin.scalup(spark, d).select(KEY, "ts", "ph"), standin.system_health(spark, d).select(KEY, "ts", "voltage_v")
+    odd = F.substring(KEY, 2, 9).cast("int") % 2 == 1
+    for fmt, keep in (("parquet", F.lit(True)), ("csv", odd)):  # the odd deployments are current in CSV, the others in Parquet
+        run = tables.new_run()
+        for name, df in (("scalup", sonde), ("system_health", health)):
+            tables.write_table(df.where(keep), out, name, fmt, run)
+        tables.commit(spark, out, run, sonde.where(keep), fmt)
     loaded = tables.load_all(spark, out, ("scalup", "system_health", "rga"))
     pick = lambda n, c: loaded[n].select(F.lit(n).alias("table"), KEY, "ts", F.col(c).alias("value"))
     return pick("scalup", "ph").unionByName(pick("system_health", "voltage_v"))
@@ -294,15 +299,16 @@ def durations(spark, d):
 
 @query("SNK04", f"{KEY} n run", f"SELECT {KEY}, count(*) AS n, CASE WHEN n % 2 = 0 THEN 2 ELSE 1 END AS run FROM ev GROUP BY {KEY}, ev.n")
 def rerun_replaces(spark, d):
-    """A second run over half the deployments in the other format replaces exactly theirs."""
+    """A second run over half the deployments in the other format replaces exactly theirs; a third that stops before its commit, nothing."""
     out = shared_dir(spark)
     rows = standin.valve(spark, d).select(KEY, "ts", "chamber")
-    tables.write_table(rows.withColumn("run", F.lit(1)), out, "valve", "csv")
-    again = rows.where(F.substring(KEY, 2, 9).cast("int") % 2 == 0).withColumn("run", F.lit(2))
-    ids = [r[0] for r in again.select(KEY).distinct().collect()]
-    tables.clear_outputs(spark, out, ids)
-    tables.write_table(again, out, "valve", "parquet")
-    return tables.load_table(spark, out, "valve").groupBy(KEY, "run").agg(F.count(F.lit(1)).alias("n"))
+    again = rows.where(F.substring(KEY, 2, 9).cast("int") % 2 == 0)
+    for number, (part, fmt) in enumerate([(rows, "csv"), (again, "parquet")], start=1):
+        run = tables.new_run()
+        tables.write_table(part.withColumn("run_number", F.lit(number)), out, "valve", fmt, run)
+        tables.commit(spark, out, run, part, fmt)
+    tables.write_table(rows.withColumn("run_number", F.lit(3)), out, "valve", "parquet", tables.new_run())  # never committed
+    return tables.load_table(spark, out, "valve").groupBy(KEY, F.col("run_number").alias("run")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SNK05", f"{KEY} n_files n_lines", f"""

@@ -1,17 +1,25 @@
-"""Written tables: partitioned by deployment, Parquet or CSV, replaced per deployment.
+"""Written tables: partitioned by run and deployment, Parquet or CSV, replaced per deployment by a commit.
 
-A table's folder also holds its schema, so that a table without rows stays a typed table and ids are never retyped.
+A run writes beside what is there, under ``run=<id>`` in every table's folder, and lists its deployments in the run index. One small
+file, the commit, makes it count: readers take each deployment's rows from the last committed run that lists it, so the earlier output
+is readable until that moment and a run that stops before it changes nothing. `vacuum` removes what no reader takes any more.
+
+A table's run folder also holds its schema, so that a table without rows stays a typed table and ids are never retyped.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from abyssal.operators.asof import small_enough_to_broadcast
 from abyssal.schemas import KEY
 
 OUTPUT_TABLES = (
@@ -20,6 +28,7 @@ OUTPUT_TABLES = (
 )
 FORMATS = ("parquet", "csv")
 SCHEMA_FILE = "_schema.json"
+INDEX, COMMITS = "run_index", "run_commits"
 # Microseconds survive CSV only with an explicit pattern.
 CSV_OPTIONS = {"header": True, "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
@@ -49,108 +58,164 @@ def durations_to_seconds(df: DataFrame) -> DataFrame:
     return out
 
 
-def _partitions(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Path of every deployment's partition in a table folder, from one listing."""
+def _children(spark: SparkSession, folder: str) -> list[str]:
     fs, p = _file_system(spark, folder)
-    if not fs.exists(p):
-        return {}
-    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    found = [s.getPath() for s in fs.listStatus(p) if s.isDirectory()]
-    return {unescape(d.getName().split("=", 1)[1]): d.toString() for d in found if d.getName().startswith(f"{KEY}=")}
-
-
-def clear_outputs(spark: SparkSession, out: str, deployment_ids: Iterable[str]) -> list[str]:
-    """Delete these deployments' earlier output in either format; nothing else is touched."""
-    removed, ids = [], set(deployment_ids)
-    for name in OUTPUT_TABLES:
-        for fmt in FORMATS:
-            for d, path in _partitions(spark, _path(out, name, fmt)).items():
-                if d in ids:
-                    fs, p = _file_system(spark, path)
-                    fs.delete(p, True)
-                    removed.append(path)
-    return removed
+    return [str(s.getPath().toString()) for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def publish(spark: SparkSession, staged: str, out: str, deployment_ids: Iterable[str]) -> None:
-    """Put a finished run in the place of these deployments' earlier output, then drop the staging folder."""
-    clear_outputs(spark, out, deployment_ids)
-    for name in OUTPUT_TABLES:
-        for fmt in FORMATS:
-            source, target = _path(staged, name, fmt), _path(out, name, fmt)
-            fs, p = _file_system(spark, source)
-            if not fs.exists(p):
-                continue
-            fs.mkdirs(_file_system(spark, target)[1])
-            for part in [*_partitions(spark, source).values(), f"{source}/{SCHEMA_FILE}"]:
-                old, new = _file_system(spark, part)[1], _file_system(spark, f"{target}/{part.rsplit('/', 1)[1]}")[1]
-                if fs.exists(old):
-                    fs.delete(new, True)
-                    fs.rename(old, new)
-    fs, p = _file_system(spark, staged)
-    fs.delete(p, True)
+def _run_path(out: str, name: str, fmt: str, run: str) -> str:
+    return f"{_path(out, name, fmt)}/run={run}"
 
 
-def _write_schema(df: DataFrame, folder: str) -> None:
-    fs, p = _file_system(df.sparkSession, f"{folder}/{SCHEMA_FILE}")
-    stream = fs.create(p, True)
-    stream.write(bytearray(df.schema.json().encode()))
+def new_run() -> str:
+    return uuid.uuid4().hex
+
+
+def commits(spark: SparkSession, out: str) -> list[tuple[int, str, str]]:
+    """(number, run, first format) of every committed run, oldest first; one entry per run, not per deployment."""
+    found = []
+    for path in _children(spark, f"{out}/{COMMITS}"):
+        text = _read_text(spark, path)
+        if text:  # a commit that is just being written does not count yet
+            found.append((int(path.rsplit("/", 1)[1]), *json.loads(text)))
+    return sorted(found)
+
+
+def commit(spark: SparkSession, out: str, run: str, deployments: DataFrame, fmt: str = "parquet") -> int:
+    """Make a finished run the current output of its deployments (column deployment_id), by creating one file.
+
+    The number after the last commit's is taken by whoever creates its file first; another run that loses takes the next one.
+    """
+    deployments.select(F.col(KEY).cast("string").alias(KEY)).distinct().write.mode("overwrite").parquet(f"{out}/{INDEX}/run={run}")
+    last = [n for n, *_ in commits(spark, out)]
+    number = 1 + (last[-1] if last else 0)
+    while not _create_text(spark, f"{out}/{COMMITS}/{number:012d}", json.dumps([run, "csv" if fmt == "csv" else "parquet"])):
+        number += 1
+    return number
+
+
+def current_runs(spark: SparkSession, out: str) -> DataFrame:
+    """(deployment_id, run, fmt): the last committed run of every deployment."""
+    done = spark.createDataFrame(commits(spark, out), "number BIGINT, run STRING, fmt STRING")
+    listed = spark.read.schema(f"{KEY} STRING, run STRING").parquet(f"{out}/{INDEX}")
+    last = listed.join(F.broadcast(done), "run").groupBy(KEY).agg(F.max_by(F.struct("run", "fmt"), "number").alias("c"))
+    return last.select(KEY, "c.run", "c.fmt")
+
+
+def vacuum(spark: SparkSession, out: str, names: Iterable[str] = OUTPUT_TABLES) -> list[str]:
+    """Delete the partitions of committed runs that a later commit replaced. Runs that are not committed stay: they may be writing."""
+    if not commits(spark, out):
+        return []
+    kept = current_runs(spark, out).select(KEY, "run")
+    ours = spark.createDataFrame([(r,) for _, r, _ in commits(spark, out)], "run STRING")
+    listed = spark.read.schema(f"{KEY} STRING, run STRING").parquet(f"{out}/{INDEX}").join(F.broadcast(ours), "run")
+    removed = []
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for r in listed.join(kept, [KEY, "run"], "left_anti").toLocalIterator():
+        for name in names:
+            for fmt in FORMATS:
+                fs, p = _file_system(spark, f"{_run_path(out, name, fmt, r['run'])}/{KEY}={escape(r[KEY])}")
+                if fs.exists(p):
+                    fs.delete(p, True)
+                    removed.append(str(p.toString()))
+    return removed
+
+
+def _create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if it is there already."""
+    fs, p = _file_system(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        stream = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
     stream.close()
+    return True
 
 
-def _read_schema(spark: SparkSession, folder: str) -> T.StructType | None:
-    fs, p = _file_system(spark, f"{folder}/{SCHEMA_FILE}")
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _file_system(spark, path)
     if not fs.exists(p):
         return None
     stream = fs.open(p)
     text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     stream.close()
-    return T.StructType.fromJson(json.loads(text))
+    return text
+
 
+def _write_schema(df: DataFrame, folder: str) -> None:
+    fs, p = _file_system(df.sparkSession, f"{folder}/{SCHEMA_FILE}")
+    fs.delete(p, False)
+    _create_text(df.sparkSession, f"{folder}/{SCHEMA_FILE}", df.schema.json())
 
-def write_table(df: DataFrame, out: str, name: str, fmt: str = "parquet") -> None:
-    """Write as Parquet, CSV or `both`; only the partitions of deployments in `df` are replaced.
+
+def _read_schema(spark: SparkSession, folder: str) -> T.StructType | None:
+    text = _read_text(spark, f"{folder}/{SCHEMA_FILE}")
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
+def write_table(df: DataFrame, out: str, name: str, fmt: str = "parquet", run: str | None = None) -> None:
+    """Write as Parquet, CSV or `both`, into the run's part of the table; it counts once the run is committed.
 
     Rows are gathered by deployment, and a large deployment is split again by size, so the number of files follows the data and
-    not tasks times deployments.
+    not tasks times deployments. Without a run it is a plain table that nothing else is written beside.
     """
     flat = durations_to_seconds(df)
     dealt = flat.hint("rebalance", KEY)
     for f in FORMATS if fmt == "both" else (fmt,):
-        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY)
-        (writer.options(**CSV_OPTIONS) if f == "csv" else writer).format(f).save(_path(out, name, f))
-        _write_schema(flat, _path(out, name, f))
+        folder = _path(out, name, f) if run is None else _run_path(out, name, f, run)
+        writer = dealt.write.mode("overwrite").partitionBy(KEY)
+        (writer.options(**CSV_OPTIONS) if f == "csv" else writer).format(f).save(folder)
+        _write_schema(flat, folder)
 
 
-def write_tables(tables: dict[str, DataFrame], out: str, fmt: str = "parquet") -> None:
+def write_tables(tables: dict[str, DataFrame], out: str, fmt: str = "parquet", run: str | None = None) -> None:
     for name, df in tables.items():
-        write_table(df, out, name, fmt)
+        write_table(df, out, name, fmt, run)
 
 
-def _load_format(spark: SparkSession, folder: str, fmt: str, schema: T.StructType | None) -> DataFrame:
+def _load_format(spark: SparkSession, folder: str, fmt: str, schema: T.StructType | None, partitions: Iterable[str] = ()) -> DataFrame:
+    """A table's folder with its partition columns; columns are read by the schema given or written beside the data."""
     reader = spark.read.options(**CSV_OPTIONS) if fmt == "csv" else spark.read
     schema = schema or _read_schema(spark, folder)
     if schema is None:  # written elsewhere: types from the data, but never for the id
         inferring = reader.option("inferSchema", True).option("inferTimestampNTZ", True) if fmt == "csv" else reader
         schema = inferring.format(fmt).load(folder).schema
     columns = [T.StructField(KEY, T.StringType()) if f.name == KEY else f for f in schema.fields]
-    if not _partitions(spark, folder):
-        return spark.createDataFrame([], T.StructType(columns))
+    columns += [T.StructField(p, T.StringType()) for p in partitions if p not in schema.names]
     return reader.schema(T.StructType(columns)).format(fmt).load(folder).select([f.name for f in columns])
 
 
+def load_run(spark: SparkSession, out: str, name: str, fmt: str, run: str, schema: T.StructType | None = None) -> DataFrame:
+    """What one run wrote of a table, committed or not."""
+    f = "csv" if fmt == "csv" else "parquet"
+    return _load_format(spark, _run_path(out, name, f, run), f, schema)
+
+
 def load_table(spark: SparkSession, out: str, name: str, schema: str | T.StructType | None = None) -> DataFrame | None:
-    """The written table; of each deployment Parquet before CSV. None where the table was never written."""
+    """The written table, of every deployment the last committed run in that run's first format; None where no run wrote it.
+
+    The run index is a table that joins on the partition columns, so it prunes partitions whatever the number of deployments.
+    """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    folders = {f: _path(out, name, f) for f in FORMATS if exists(spark, _path(out, name, f))}
-    if not folders:
-        return None
-    if len(folders) == 1:
-        return _load_format(spark, *next((p, f) for f, p in folders.items()), schema)
-    in_parquet = list(_partitions(spark, folders["parquet"]))
-    first = _load_format(spark, folders["parquet"], "parquet", schema)
-    other = _load_format(spark, folders["csv"], "csv", schema or first.schema).where(~F.col(KEY).isin(in_parquet))
-    return first.unionByName(other, allowMissingColumns=True)
+    done = commits(spark, out)
+    if not done:  # a plain table, Parquet before CSV
+        found = [f for f in FORMATS if exists(spark, _path(out, name, f))]
+        return _load_format(spark, _path(out, name, found[0]), found[0], schema) if found else None
+    index = current_runs(spark, out)
+    if small_enough_to_broadcast(spark.read.schema(f"{KEY} STRING, run STRING").parquet(f"{out}/{INDEX}")):
+        index = F.broadcast(index)
+    parts = []
+    for fmt in FORMATS:
+        runs = [run for _, run, f in reversed(done) if f == fmt and exists(spark, _run_path(out, name, fmt, run))]
+        if runs:
+            known = schema or _read_schema(spark, _run_path(out, name, fmt, runs[0]))
+            rows = _load_format(spark, _path(out, name, fmt), fmt, known, ["run"])
+            parts.append(rows.join(index.where(F.col("fmt") == fmt).drop("fmt"), [KEY, "run"]).select([c for c in rows.columns if c != "run"]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
 
 
 def load_all(spark: SparkSession, out: str, names: Iterable[str] = OUTPUT_TABLES) -> dict[str, DataFrame]:

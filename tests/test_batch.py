@@ -41,7 +41,49 @@ def test_log_only_archive_then_other_format(spark, tmp_path):
     run(spark, root, out, ids[:1], fmt="csv")
     again = tables.load_table(spark, str(out), "chamber_cycles")
     assert again.count() == 6 and again.where("mass_18_avg = 50").count() == 3
-    assert not [p for p in out.iterdir() if p.name.startswith("_run")]
+    # what the first run wrote of it goes, and nothing changes for a reader
+    gone = tables.vacuum(spark, str(out))
+    assert gone and all("deployment_id=0012" in p and ".parquet" in p for p in gone) and tables.vacuum(spark, str(out)) == []
+    assert tables.load_table(spark, str(out), "chamber_cycles").count() == 6
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "both"])
+def test_a_run_counts_from_its_commit(spark, tmp_path, fmt):
+    out = str(tmp_path / "out")
+
+    def write(number, ids, fmt):
+        run = tables.new_run()
+        df = spark.createDataFrame([(i, number) for i in ids], "deployment_id STRING, number INT")
+        tables.write_table(df, out, "rga", fmt, run)
+        return run, df
+
+    def read():
+        return sorted(map(tuple, tables.load_table(spark, out, "rga").select("deployment_id", "number").collect()))
+
+    first, df = write(1, ["01", "a b", "c=/d"], "parquet")
+    assert tables.commit(spark, out, first, df) == 1
+    second, df = write(2, ["a b"], fmt)  # stopped here, the earlier output is all there
+    assert read() == [("01", 1), ("a b", 1), ("c=/d", 1)]
+    assert tables.commit(spark, out, second, df, fmt) == 2
+    assert read() == [("01", 1), ("a b", 2), ("c=/d", 1)]
+    # a run over a deployment that has no rows any more empties it
+    third, _ = write(3, [], "parquet")
+    tables.commit(spark, out, third, spark.createDataFrame([("01",)], "deployment_id STRING"))
+    assert read() == [("a b", 2), ("c=/d", 1)]
+    assert tables.load_table(spark, out, "fluxes") is None
+
+
+def test_two_runs_take_two_numbers(spark, tmp_path, monkeypatch):
+    """Both saw the same last commit; the one that comes later takes the next number."""
+    out, df = str(tmp_path / "out"), spark.createDataFrame([("a", 1)], "deployment_id STRING, number INT")
+    runs = [tables.new_run(), tables.new_run()]
+    for run in runs:
+        tables.write_table(df, out, "rga", run=run)
+    monkeypatch.setattr(tables, "commits", lambda *_: [])
+    assert [tables.commit(spark, out, run, df) for run in runs] == [1, 2]
+    monkeypatch.undo()
+    assert [r for _, r, _ in tables.commits(spark, out)] == runs
+    assert tables.current_runs(spark, out).first().run == runs[1]
 
 
 def test_all_violations_are_reported_and_nothing_is_lost(spark, tmp_path):
