@@ -13,6 +13,7 @@ Null texts count as empty and give no tokens. Texts of any length are encoded wh
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import json
 import re
@@ -37,6 +38,7 @@ SPACES = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\
 
 WORDS_KEPT = 400_000  # encoded words that a task remembers
 PAIRS_KEPT = 2_000_000
+TASK_KEEPS = 100_000, 500_000  # words and pairs where a task shares its worker's memory with other stages
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -69,7 +71,8 @@ def read_vocabulary(path: str) -> Vocabulary:
 class TokenAutomaton:
     """States, arcs and labels compiled from the merges; encoder and decoder."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, words_kept: int = WORDS_KEPT, pairs_kept: int = PAIRS_KEPT):
+        self.words_kept, self.pairs_kept = words_kept, pairs_kept
         self.vocabulary = vocabulary
         ids, alphabet = vocabulary.tokens, byte_alphabet()
         self.labels = [""] * (1 + max([*ids.values(), *vocabulary.special.values()]))
@@ -120,7 +123,7 @@ class TokenAutomaton:
         key = (token, arc)
         found = self.known.get(key)
         if found is None:
-            if len(self.known) > PAIRS_KEPT:
+            if len(self.known) > self.pairs_kept:
                 self.known.clear()
             found = self.known[key] = self._follows(token, arc)
         return found
@@ -152,7 +155,7 @@ class TokenAutomaton:
         # lower case character by character: no special form of a final sigma
         words = self.split.findall(text.replace("Σ", "σ").lower())
         known = self.words
-        if len(known) > WORDS_KEPT:
+        if len(known) > self.words_kept:
             known.clear()
         for w in set(words).difference(known):
             known[w] = self.encode_word(w)
@@ -225,18 +228,27 @@ def tokenizer(spark: SparkSession, path: str):
 
     @F.pandas_udf("token_ids array<int>, decoded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        automaton = TokenAutomaton(shared.value)
+        automaton = TokenAutomaton(shared.value, *TASK_KEEPS)
         try:
             for texts in batches:
                 ids = [automaton.encode(t) if isinstance(t, str) else [] for t in texts]
                 yield pd.DataFrame({"token_ids": ids, "decoded": [automaton.decode(i) for i in ids]})
         finally:
             del automaton
-            gc.collect()
+            _return_memory()
 
     return run
 
 
+def _return_memory() -> None:
+    """Give freed memory back to the system: Spark keeps its Python workers for the stages that follow."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: its own policy holds
+        pass
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256; ids are encoded and decoded in one pass and not kept."""
     bound_batches(docs.sparkSession)

@@ -40,8 +40,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix beside its columns, and the text that the ids decode to."""
-    read = docs.withColumn("read", bpe.tokenizer(spark, VOCABULARY)("text"))
-    return read.select(*docs.columns, "read.token_ids", F.size("read.token_ids").cast("bigint").alias("n_tokens"), "read.decoded")
+    own = [c for c in docs.columns if c.lower() not in ("token_ids", "n_tokens", "decoded")]  # columns of these names are replaced
+    read = docs.select(*own, bpe.tokenizer(spark, VOCABULARY)("text").alias("__read"))
+    return read.select(*own, "__read.token_ids", F.size("__read.token_ids").cast("bigint").alias("n_tokens"), "__read.decoded")
 
 
 STAGES = [("quality", classify), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mix), ("bpe", tokenize)]
