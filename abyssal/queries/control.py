@@ -125,6 +125,22 @@ def control_rows(spark, d):
     return _control(spark, d)
 
 
+@query("SEQ12_raw", f"{D} ts kind setpoint speed_hz power_w tp_raw", f"""
+SELECT {D}, ts, kind, setpoint::BIGINT AS setpoint, NULL::DOUBLE AS speed_hz, NULL::DOUBLE AS power_w, NULL::DOUBLE AS tp_raw FROM ctl
+UNION ALL SELECT {D}, ts, 'telemetry', NULL, speed_hz, power_w, tp_raw FROM telemetry""")
+def control_rows_from_raw_lines(spark, d):
+    """The same rows from raw lines: events-log lines, lander lines and lines that begin with their own time, between headers and empty ones."""
+    rows = standin.control_lines(spark, d)
+    p, ts = F.col("payload"), standin.stamp(F.col("ts"))
+    telemetry = p.startswith("TS,")
+    own = ~telemetry & (F.col("pos") % 3 == 0)
+    line = F.when(telemetry, F.concat_ws(" ", ts, p)).when(own, F.concat_ws(" ", ts, p)).otherwise(F.concat_ws(" ", ts, F.lit(">"), p))
+    name = F.when(telemetry, "surface_2024-01-01-00-00_lander.log").when(own, "gems_2024-01-01-00-00.txt").otherwise("surface_2024-01-01-00-00_events.log")
+    made = F.array(line, F.concat(F.lit("# "), line), F.when(~own, F.concat(ts, F.lit(" "))), F.when(own, p))
+    raw = rows.select(KEY, name.alias("file_name"), "chunk", "pos", F.explode(made).alias("line")).where("line IS NOT NULL")
+    return setpoint.extract_control(setpoint.timestamped_lines(raw))
+
+
 @query("JN06", f"{D} ts setpoint acq_on_ts", f"SELECT {D}, ts, setpoint, acq_on_ts FROM changes")
 def acquisition_on(spark, d):
     return _changes(spark, d)
@@ -181,13 +197,51 @@ def pump_statistics(spark, d):
     return setpoint.pump_stats(setpoint.tag_readings(setpoint.prepare_turbo(_turbo(spark, d)), _changes(spark, d), SETTLE), ["setpoint"])
 
 
-@query("AGG18", f"{D} mass setpoint_lo setpoint_hi signal_lo_hi:6 noise_lo_hi:6 rsd_lo_hi:6", f"""
+CTES["pairs"] = f"""
+SELECT {D}, mass, setpoint, d / m AS x FROM (
+  SELECT *, current - lag(current) OVER w AS d, avg(current) OVER (PARTITION BY {D}, segment, mass) AS m, row_number() OVER w - 1 AS i
+  FROM tagged WHERE NOT in_settle WINDOW w AS (PARTITION BY {D}, segment, mass ORDER BY ts, pos)) WHERE i % 2 = 1 AND m <> 0"""
+CTES["pairs_abs"] = f"""
+SELECT {D}, mass, setpoint, d AS x FROM (SELECT *, current - lag(current) OVER w AS d, row_number() OVER w - 1 AS i FROM tagged WHERE NOT in_settle
+  WINDOW w AS (PARTITION BY {D}, segment, mass ORDER BY ts, pos)) WHERE i % 2 = 1"""
+
+
+def spread_tests_sql(pairs: str, prefix: str) -> str:
+    """Brown-Forsythe F with its tail and the adjustment across masses.
+
+    The tail is the incomplete beta function as an integral of sin^(2a-1) cos^(2b-1), by Simpson's rule over 4,000 panels per test;
+    the operator uses a continued fraction.
+    """
+    CTES[f"{prefix}_f"] = f"""
+SELECT {D}, mass, n_setpoints, n, statistic, (n - n_setpoints) / 2.0 AS a, (n_setpoints - 1) / 2.0 AS b,
+       asin(sqrt((n - n_setpoints) / ((n - n_setpoints) + (n_setpoints - 1) * statistic))) AS top FROM (
+  SELECT {D}, mass, count(*) AS n_setpoints, sum(n)::BIGINT AS n, (sum(n) - count(*)) / (count(*) - 1) * sum(n * pow(zm - g, 2)) / nullif(sum(ss), 0) AS statistic FROM (
+    SELECT *, sum(n * zm) OVER (PARTITION BY {D}, mass) / sum(n) OVER (PARTITION BY {D}, mass) AS g FROM (
+      SELECT {D}, mass, setpoint, count(*) AS n, avg(z) AS zm, var_pop(z) * count(*) AS ss FROM (
+        SELECT *, abs(x - median(x) OVER (PARTITION BY {D}, mass, setpoint)) AS z FROM {pairs}) GROUP BY ALL HAVING count(*) >= 3))
+  GROUP BY ALL HAVING count(*) >= 2)"""
+    CTES[f"{prefix}_p"] = f"""
+SELECT {D}, mass, any_value(n_setpoints) AS n_setpoints, any_value(n) AS n, any_value(statistic) AS statistic,
+       CASE WHEN any_value(statistic) IS NOT NULL THEN least(1.0, 2 * any_value(top) / 4000 / 3 * sum(weight * CASE WHEN t <= 0 THEN 0 ELSE
+         exp((2 * a - 1) * ln(sin(t)) + (2 * b - 1) * ln(greatest(cos(t), 1e-300)) + lgamma(a + b) - lgamma(a) - lgamma(b)) END)) END AS p_value
+FROM (SELECT *, top * i / 4000 AS t, CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS weight FROM {prefix}_f, (SELECT unnest(range(4001)) AS i)) GROUP BY {D}, mass"""
+    return f"""
+SELECT *, CASE WHEN p_value IS NOT NULL THEN least(min(raw) OVER (PARTITION BY {D} ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0) END AS p_adj FROM (
+  SELECT *, p_value * count(p_value) OVER (PARTITION BY {D}) / r AS raw FROM (
+    SELECT *, row_number() OVER (PARTITION BY {D} ORDER BY p_value NULLS LAST, mass) AS r FROM {prefix}_p))"""
+
+
+CTES["tests_rel"] = spread_tests_sql("pairs", "rel")
+CTES["tests_abs"] = spread_tests_sql("pairs_abs", "abs")
+
+
+@query("AGG18", f"{D} mass setpoint_lo setpoint_hi signal_lo_hi:6 noise_lo_hi:6 rsd_lo_hi:6 p_adj_rsd:7 p_adj_noise:7", f"""
 SELECT l.{D}, l.mass, lo AS setpoint_lo, hi AS setpoint_hi, l.current_raw_mean / h.current_raw_mean AS signal_lo_hi, l.current_raw_noise / h.current_raw_noise AS noise_lo_hi,
-       l.rsd_diff_pct / h.rsd_diff_pct AS rsd_lo_hi
+       l.rsd_diff_pct / h.rsd_diff_pct AS rsd_lo_hi, r.p_adj AS p_adj_rsd, a.p_adj AS p_adj_noise
 FROM (SELECT {D}, min(setpoint) AS lo, max(setpoint) AS hi FROM mass_speed WHERE current_raw_noise > 0 GROUP BY ALL) e
-JOIN mass_speed l ON l.{D} = e.{D} AND l.setpoint = lo AND l.current_raw_noise > 0 JOIN mass_speed h ON h.{D} = e.{D} AND h.setpoint = hi AND h.mass = l.mass AND h.current_raw_noise > 0""")
+JOIN mass_speed l ON l.{D} = e.{D} AND l.setpoint = lo AND l.current_raw_noise > 0 JOIN mass_speed h ON h.{D} = e.{D} AND h.setpoint = hi AND h.mass = l.mass AND h.current_raw_noise > 0
+LEFT JOIN tests_rel r ON r.{D} = l.{D} AND r.mass = l.mass LEFT JOIN tests_abs a ON a.{D} = l.{D} AND a.mass = l.mass""")
 def noise_floor(spark, d):
-    """Without the p-value columns, whose F tail has no SQL; STA02 lists those."""
     tagged = write_and_read(_tagged(spark, d))
     by_speed = setpoint.mass_stats(tagged, ["setpoint"])
     rsd, noise = spread.setpoint_spread_tests(tagged), spread.setpoint_spread_tests(tagged, relative=False)
@@ -202,12 +256,6 @@ def rsd_pivot(spark, d):
     return wide.withColumnsRenamed({str(m): f"rsd_m{m}" for m in (2, 18, 28, 32, 40, 44)})
 
 
-CTES["pairs"] = f"""
-SELECT {D}, mass, setpoint, d / m AS x FROM (
-  SELECT *, current - lag(current) OVER w AS d, avg(current) OVER (PARTITION BY {D}, segment, mass) AS m, row_number() OVER w - 1 AS i
-  FROM tagged WHERE NOT in_settle WINDOW w AS (PARTITION BY {D}, segment, mass ORDER BY ts, pos)) WHERE i % 2 = 1 AND m <> 0"""
-
-
 @query("STA01", f"{D} mass n_setpoints n statistic:6", f"""
 SELECT {D}, mass, count(*) AS n_setpoints, sum(n)::BIGINT AS n, (sum(n) - count(*)) / (count(*) - 1) * sum(n * pow(zm - g, 2)) / sum(ss) AS statistic FROM (
   SELECT *, sum(n * zm) OVER (PARTITION BY {D}, mass) / sum(n) OVER (PARTITION BY {D}, mass) AS g FROM (
@@ -218,7 +266,7 @@ def spread_statistic(spark, d):
     return spread.brown_forsythe(spread.successive_pairs(write_and_read(_tagged(spark, d))))
 
 
-@query("STA02", f"{D} mass test n_setpoints n statistic:5 p_value:9 p_adj:9")
+@query("STA02", f"{D} mass test n_setpoints n statistic:5 p_value:7 p_adj:7", "SELECT *, 'Brown-Forsythe' AS test FROM tests_rel")
 def spread_tests(spark, d):
     return spread.setpoint_spread_tests(write_and_read(_tagged(spark, d)))
 
