@@ -60,10 +60,19 @@ def merged_files(spark, d):
     return logs.list_log_files(spark, standin.archive(spark, d))
 
 
-@query("SRC06", f"{KEY} event_id i prefix", f"""
-SELECT {KEY}, event_id, i, ['R:', 'V:', 'P:', '!:'][i + 1] AS prefix FROM ev, (SELECT unnest([0, 1, 2, 3]) AS i)""")
+PAYLOADS = """
+CASE i WHEN 0 THEN CASE k % 10 WHEN 3 THEN 'R:' || t || ',NA,' || k WHEN 4 THEN 'R:' || t || ',28,1,2' WHEN 5 THEN 'R:' || t || ',28,1e3d' WHEN 6 THEN 'R:2026-1-1T00:00:00Z,28,' || k
+                   WHEN 7 THEN 'R: ' || t || ' , 28.9 , ' || k ELSE 'R:' || t || ',28,' || k END
+       WHEN 1 THEN 'V:' || t || CASE k % 10 WHEN 3 THEN ',C3,Re' WHEN 4 THEN ',C1,Re,x' WHEN 5 THEN ', C1,Re' WHEN 6 THEN ',C2,Unknown' ELSE ',C1,Fl' END
+       WHEN 2 THEN 'P:' || t || ',' || t || ',' || (10 + k / 10.0::DOUBLE) || ',' || (30 + k / 50.0::DOUBLE) || ',' ||
+                   CASE k % 4 WHEN 0 THEN '8.5,7.9' WHEN 1 THEN '1010.5,8.5,7.9' WHEN 2 THEN 'n/a,junk,7.9,' || k || '.7' ELSE '1,2,3,4,5' END
+       ELSE '!:' || t || CASE k % 3 WHEN 0 THEN ',boot,' || k ELSE ',0,1200,50,2400,30,25,NULL,1,' || k || ',8760' END END"""
+
+
+@query("SRC06", f"{KEY} event_id i payload", f"""
+SELECT {KEY}, event_id, i, {PAYLOADS} AS payload FROM (SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS t FROM ev), (SELECT unnest([0, 1, 2, 3]) AS i)""")
 def envelope(spark, d):
-    return logs.payloads(standin.wrapped_lines(spark, d)).withColumn("prefix", F.substring("payload", 1, 2))
+    return logs.payloads(standin.wrapped_lines(spark, d))
 
 
 @query("SRC07", f"{KEY} file_name n_lines in_order", f"""
@@ -103,10 +112,13 @@ def sonde_lines(spark, d):
     return _parsed(spark, d, "P")
 
 
-@query("SRC11", f"{KEY} event_id ts turbo_error turbo_speed_hz turbo_btemp_c turbo_mtemp_c raw_total_pressure_current pump_rpm payload_raw", f"""
-SELECT {KEY}, event_id, ts, CASE WHEN f THEN 0.0::DOUBLE END AS turbo_error, CASE WHEN f THEN 1200.0::DOUBLE END AS turbo_speed_hz,
-       CASE WHEN f THEN 25.0::DOUBLE END AS turbo_btemp_c, CAST(NULL AS DOUBLE) AS turbo_mtemp_c, CASE WHEN f THEN k::DOUBLE END AS raw_total_pressure_current,
-       CASE WHEN f THEN 8760.0::DOUBLE END AS pump_rpm, CASE WHEN NOT f THEN 'boot,' || k END AS payload_raw FROM (SELECT *, k % 3 <> 0 AS f FROM ev)""")
+STATUS_LINE = {"turbo_error": "0.0", "turbo_speed_hz": "1200.0", "turbo_power_w": "50.0", "turbo_voltage": "2400.0", "turbo_etemp_c": "30.0", "turbo_btemp_c": "25.0",
+               "turbo_mtemp_c": "NULL", "rga_filament": "1.0", "raw_total_pressure_current": "k", "pump_rpm": "8760.0"}
+
+
+@query("SRC11", f"{KEY} event_id ts {' '.join(STATUS_LINE)} payload_raw", f"""
+SELECT {KEY}, event_id, ts, {', '.join(f'CASE WHEN f THEN {v}::DOUBLE END AS {c}' for c, v in STATUS_LINE.items())},
+       CASE WHEN NOT f THEN 'boot,' || k END AS payload_raw FROM (SELECT *, k % 3 <> 0 AS f FROM ev)""")
 def status_lines(spark, d):
     return _parsed(spark, d, "!")
 

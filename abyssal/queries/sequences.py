@@ -125,7 +125,7 @@ def conditions(spark, d):
     return ranges.with_condition(cycles.cycle_windows(standin.valve(spark, d), 60.0), standin.deployments(spark, d))
 
 
-@query("FLT11", f"{D} label", f"SELECT {D}, {D} || ' — ' || site AS label FROM dep WHERE NOT test")
+@query("FLT11", f"{D} site test label", f"SELECT {D}, site, test, {D} || ' — ' || site AS label FROM dep WHERE NOT test")
 def processed(spark, d):
     return ranges.list_deployments(standin.deployments(spark, d), standin.streams(spark, d, "rga", "valve"))
 
