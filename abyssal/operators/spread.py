@@ -18,7 +18,7 @@ from abyssal.schemas import KEY
 
 MIN_PER_SETPOINT = 3
 FINITE = "x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity')"
-NOISE_ITERATIONS = 16
+NOISE_ITERATIONS, NOISE_TOLERANCE = 60, 1e-10
 DAMPING = (0.0, 0.01, 1.0, 100.0)
 
 
@@ -133,8 +133,9 @@ def _solve3(a: list[Column], g: list[Column]) -> list[Column]:
 def fit_noise_model(holds: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
     """noise^2 = floor^2 + shot S + (prop S)^2 over holds, least squares of the logarithm, all terms >= 0.
 
-    Damped Gauss-Newton on the logarithms of the parameters. A pass is one aggregate per deployment over
-    four damping values at once; the best goes on. Fewer than three holds: no row.
+    Damped Gauss-Newton on the logarithms of the parameters, so a term that the holds do not show goes towards 0. A pass is one
+    aggregate per deployment over four damping values at once; the best goes on. It ends when no deployment's squared error
+    falls by more than 1 in 10^10. Fewer than three holds: no row.
     """
     keys = list(keys)
     d = holds.where("current_raw_noise > 0 AND current_raw_mean > 0").select(
@@ -163,7 +164,13 @@ def fit_noise_model(holds: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame
         pool = sums.select(*keys, *cols).where("sse IS NOT NULL AND NOT isnan(sse)")
         if best is not None:
             pool = pool.unionByName(best)
+        before = best
         best = cut_lineage(pool.groupBy(*keys).agg(F.min(F.struct(*cols)).alias("b")).select(*keys, "b.*"))
+        if before is not None:
+            same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+            fell = before.alias("a").join(best.alias("b"), same).select((F.col("a.sse") - F.col("b.sse") - NOISE_TOLERANCE * F.col("a.sse")).alias("d"))
+            if (fell.agg(F.max("d")).first()[0] or 0.0) <= 1e-20:
+                break
         tries = []
         for damping in DAMPING:
             add = F.lit(damping)

@@ -193,3 +193,28 @@ def test_exact_median_of_odd_values(spark):
     df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in [*vs, None, float("nan")]], "k STRING, v DOUBLE")
     got = {r.k: r.m for r in stats.exact_median(df, ["k"], F.col("v"), "m").collect()}
     assert got == pytest.approx({k: float(np.median(vs)) for k, vs in groups.items()})
+
+
+def test_noise_model_against_a_search(spark):
+    """Noisy holds of three instruments: all terms, no shot term, floor alone; least squares by a zooming grid search."""
+    rng = np.random.default_rng(9)
+    terms = {"all": (30.0, 2.0, 0.02), "noshot": (50.0, 0.0, 0.05), "floor": (40.0, 0.0, 0.0)}
+    holds = {k: [(float(s), float(math.sqrt(f * f + h * s + (p * s) ** 2) * math.exp(rng.normal(0, 0.1)))) for s in np.geomspace(10, 1e5, 40)] for k, (f, h, p) in terms.items()}
+    rows = [(k, s, n) for k, v in holds.items() for s, n in v] + [("few", 1.0, 1.0), ("few", 2.0, 1.0)]
+    got = {r.deployment_id: r for r in spread.fit_noise_model(spark.createDataFrame(rows, "deployment_id STRING, current_raw_mean DOUBLE, current_raw_noise DOUBLE")).collect()}
+    assert set(got) == set(terms)
+    for k, v in holds.items():
+        s, y = np.array(v).T
+
+        def sse(u):
+            return ((np.log(y) - 0.5 * np.log(np.exp(u[0]) + np.exp(u[1]) * s + np.exp(u[2]) * s * s)) ** 2).sum()
+
+        best, width = np.array([7.0, 0.0, -8.0]), 8.0
+        for _ in range(40):
+            grid = [best + width * np.array(d) for d in np.ndindex(5, 5, 5) for d in [(np.array(d) - 2) / 2]]
+            best, width = min(grid + [best], key=sse), width * 0.7
+        r = got[k]
+        own = ((np.log(y) - 0.5 * np.log(r.floor**2 + r.shot * s + (r.prop * s) ** 2)) ** 2).sum()
+        assert own == pytest.approx(r.sse, rel=1e-9) and own <= sse(best) * (1 + 1e-4), k
+        assert r.floor >= 0 and r.shot >= 0 and r.prop >= 0
+    assert got["all"].floor == pytest.approx(30, rel=0.2) and got["all"].prop == pytest.approx(0.02, rel=0.2)
