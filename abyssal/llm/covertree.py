@@ -11,15 +11,15 @@ threshold and both covering radii together; it is taken whole when even the sum
 paired. Vectors are compared last, in double precision. Counts are summed and links are passed on as a spanning forest, so groups
 of copies are never written out as pairs.
 
-Vectors that are null or zero, hold null or non-finite components, or are not of the table's most common length (the smallest
-of equally common ones) link with nothing. Null ids: no links and a null component. Rows that share an id are one vector, the
-smallest of them.
+Vectors that are null or zero or hold null or non-finite components link with nothing, and vectors of different lengths not with
+each other. Null ids: no links and a null component. Rows that share an id are one vector, the smallest of them.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,9 @@ SAFE = 1e-6  # keeps rounding on the safe side of every bound
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Directions; by the largest component first, so that squares neither overflow nor vanish."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def angles(dots: np.ndarray) -> np.ndarray:
@@ -226,22 +228,37 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str, made: list[str]) -
     rows = write_and_read(rows.groupBy("id").agg(F.min("v").alias("v")), made)
     bad = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     zero = ~F.exists("v", lambda c: c != 0)
-    rows = rows.filter(~bad & ~zero)
-    common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.size("v") == (common["n"] if common else 0))
+    return rows.filter(~bad & ~zero)
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:
-    """Per vector: id, n_links (other vectors at ``cosine`` or more), component_id (smallest id reachable), kept (id = component_id)."""
+    """Per vector: id, n_links (other vectors at ``cosine`` or more), component_id (smallest id reachable), kept (id = component_id).
+
+    Vectors of different lengths have no cosine and do not link; each length is searched by itself.
+    """
     spark, made = vectors.sparkSession, []
     rows = write_and_read(_usable(vectors, id_col, vector_col, made), made)
     ids = vectors.select(F.col(id_col).cast("bigint").alias("id")).distinct()
-    total = rows.count()
-    cells = min(MOST_CELLS, -(-total // block)) if total else 1
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(cells).collect()
-    if not sample:
+    lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("total")).filter("total > 1").orderBy("n").collect()
+    found = [_links(rows.filter(F.size("v") == r["n"]), r["total"], cosine, block, made) for r in lengths]
+    if not found:
         remove_dirs(spark, made)
         return ids.select(F.col("id").alias(id_col), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
+    links = reduce(DataFrame.unionByName, found)
+    counts = write_and_read(links.groupBy("vec_id").agg(F.sum("n_links").alias("n_links")))
+    parts = write_and_read(connected_components(links.select(F.col("vec_id").alias("u"), F.col("root").alias("v"))))
+    remove_dirs(spark, made)
+    out = ids.join(counts, ids["id"] == counts["vec_id"], "left").join(parts, F.col("id") == F.col("node"), "left")
+    component = F.coalesce("component", "id")
+    n = F.coalesce("n_links", F.lit(0)).cast("bigint")
+    return out.select(F.col("id").alias(id_col), n.alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
+
+
+def _links(rows: DataFrame, total: int, cosine: float, block: int, made: list[str]) -> DataFrame:
+    """(vec_id, n_links, root) among vectors (id, v) of one length, written; links of a block pair leave as a forest."""
+    spark = rows.sparkSession
+    cells = min(MOST_CELLS, -(-total // block))
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(cells).collect()
     pivots = unit(np.array([r["v"] for r in sample]))
     limit = math.acos(cosine)
 
@@ -290,11 +307,4 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
         return search.result()
 
     dealt = near.repartition(*keys).sortWithinPartitions(*keys, "id")
-    links = write_and_read(dealt.mapInPandas(_streamed(compare, keys), "vec_id bigint, n_links bigint, root bigint"), made)
-    counts = write_and_read(links.groupBy("vec_id").agg(F.sum("n_links").alias("n_links")))
-    parts = write_and_read(connected_components(links.select(F.col("vec_id").alias("u"), F.col("root").alias("v"))))
-    remove_dirs(spark, made)
-    out = ids.join(counts, ids["id"] == counts["vec_id"], "left").join(parts, F.col("id") == F.col("node"), "left")
-    component = F.coalesce("component", "id")
-    n = F.coalesce("n_links", F.lit(0)).cast("bigint")
-    return out.select(F.col("id").alias(id_col), n.alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
+    return write_and_read(dealt.mapInPandas(_streamed(compare, keys), "vec_id bigint, n_links bigint, root bigint"), made)

@@ -53,3 +53,10 @@ def test_odd_vectors(spark):
     alone = {i: (0, i, True) for i in (3, 4, 5, 6, 7, 8, 10)}
     assert got == {1: (2, 1, True), 2: (2, 1, False), 9: (2, 1, False), None: (0, None, False)} | alone
     assert near_duplicates(vectors.limit(0)).collect() == []
+
+
+def test_lengths_and_magnitudes(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0, 0.0]), (4, [1.0, 0.0, 0.0]), (5, [0.0, 0.0, 1.0]),
+            (6, [1e200, 1e200, 0.0]), (7, [2e200, 2e200, 0.0]), (8, [1e-200, 0.0, 1e-200]), (9, [5e-324, 0.0, 5e-324]), (10, [7.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (1, 8), 9: (1, 8), 10: (0, 10)}
