@@ -13,8 +13,6 @@ Null texts count as empty and give no tokens. Texts of any length are encoded wh
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import json
 import re
 import unicodedata
@@ -30,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abyssal.llm.batches import bound_batches
+from abyssal.llm.batches import bound_batches, return_memory
 
 # The byte alphabet of byte-level vocabularies, white space, and the word pattern of the vocabulary file.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -235,20 +233,11 @@ def tokenizer(spark: SparkSession, path: str):
                 yield pd.DataFrame({"token_ids": ids, "decoded": [automaton.decode(i) for i in ids]})
         finally:
             del automaton
-            _return_memory()
+            return_memory()
 
     return run
 
 
-def _return_memory() -> None:
-    """Give freed memory back to the system: Spark keeps its Python workers for the stages that follow."""
-    gc.collect()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library: its own policy holds
-        pass
-
-
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256; ids are encoded and decoded in one pass and not kept."""
     bound_batches(docs.sparkSession)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import remove_dirs, write_and_read
-from abyssal.llm.batches import bound_batches, few_or_hashed
+from abyssal.llm.batches import bound_batches, few_or_hashed, return_memory
 from abyssal.llm.components import connected_components
 
 MINIMA, ROWS = 100, 4
@@ -96,17 +96,21 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cache: dict[bytes, int] = {}
         family = hash_family()
-        for texts in batches:
-            out = []
-            for a in range(0, len(texts), ROWS_AT_ONCE):
-                sets = [shingle_set(t, words, cache) for t in texts.iloc[a : a + ROWS_AT_ONCE]]
-                found = [(len(s), None, None, None) for s in sets]
-                for group in _groups(sets):
-                    for i, m in zip(group, minima([sets[i] for i in group], family)):
-                        bands = [xxhash.xxh3_64_intdigest(m[k * ROWS : (k + 1) * ROWS].tobytes(), seed=k) - (1 << 63) for k in range(BANDS)]
-                        found[i] = (len(sets[i]), xxhash.xxh3_128_digest(sets[i].tobytes()), (m & 0xFF).astype(np.uint8).tobytes(), bands)
-                out += found
-            yield pd.DataFrame(out, columns=["n_shingles", "set_key", "agree", "bands"])
+        try:
+            for texts in batches:
+                out = []
+                for a in range(0, len(texts), ROWS_AT_ONCE):
+                    sets = [shingle_set(t, words, cache) for t in texts.iloc[a : a + ROWS_AT_ONCE]]
+                    found = [(len(s), None, None, None) for s in sets]
+                    for group in _groups(sets):
+                        for i, m in zip(group, minima([sets[i] for i in group], family)):
+                            bands = [xxhash.xxh3_64_intdigest(m[k * ROWS : (k + 1) * ROWS].tobytes(), seed=k) - (1 << 63) for k in range(BANDS)]
+                            found[i] = (len(sets[i]), xxhash.xxh3_128_digest(sets[i].tobytes()), (m & 0xFF).astype(np.uint8).tobytes(), bands)
+                    out += found
+                yield pd.DataFrame(out, columns=["n_shingles", "set_key", "agree", "bands"])
+        finally:
+            cache.clear()
+            return_memory()
 
     return docs.select("id", sign("text").alias("s")).select("id", "s.*")
 
@@ -130,13 +134,17 @@ def similar(words: int, percent: int):
     @F.pandas_udf("boolean")
     def confirm(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         cache: dict[bytes, int] = {}
-        for left, right in batches:
-            out = []
-            for a, b in zip(left, right):
-                x, y = shingle_set(a, words, cache), shingle_set(b, words, cache)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pd.Series(out, dtype=bool)
+        try:
+            for left, right in batches:
+                out = []
+                for a, b in zip(left, right):
+                    x, y = shingle_set(a, words, cache), shingle_set(b, words, cache)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    out.append(100 * both >= percent * (len(x) + len(y) - both))
+                yield pd.Series(out, dtype=bool)
+        finally:
+            cache.clear()
+            return_memory()
 
     return confirm
 
@@ -231,8 +239,12 @@ def shingles_of(words: int):
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache: dict[bytes, int] = {}
-        for texts in batches:
-            yield pd.Series([shingle_set(t, words, cache).tobytes() for t in texts], dtype=object)
+        try:
+            for texts in batches:
+                yield pd.Series([shingle_set(t, words, cache).tobytes() for t in texts], dtype=object)
+        finally:
+            cache.clear()
+            return_memory()
 
     return run
 

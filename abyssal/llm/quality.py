@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abyssal.llm.batches import bound_batches
+from abyssal.llm.batches import bound_batches, return_memory
 
 WIDTH, STRIDE, HALF = 8, 2, 64
 DIM, FILTERS, HIDDEN = 8, 32, 16
@@ -178,14 +178,15 @@ class ByteNet:
 def fit(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds = TrainingBounds()) -> ByteNet:
     """A network fitted on at most ``bounds.rows`` labelled rows (doc_id, quality), picked by a hash of the id.
 
-    Rows without id, label or text and texts over ``bounds.max_bytes`` are left out of the fit. With no usable row the network
+    An id with several labels or texts counts with the smallest of each. Rows without id, label or text and texts over ``bounds.max_bytes`` are left out of the fit. With no usable row the network
     gives every text about even odds.
     """
     bound_batches(docs.sparkSession)
-    ids = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality").dropDuplicates(["doc_id"])
+    ids = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     small = docs.select("doc_id", "text").filter(F.octet_length("text") <= bounds.max_bytes)
     picked = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bounds.rows)
-    rows = small.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bounds.rows).collect()
+    texts = small.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bounds.rows).collect()
     net = ByteNet(bounds.seed)
     if not rows:
         return net
@@ -197,8 +198,11 @@ def scorer(net: ByteNet):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(net.score([t.encode() if isinstance(t, str) else b"" for t in texts]))
+        try:
+            for texts in batches:
+                yield pd.Series(net.score([t.encode() if isinstance(t, str) else b"" for t in texts]))
+        finally:
+            return_memory()
 
     return score
 
