@@ -2,9 +2,9 @@
 
 Each source's documents are laid end to end in a pseudorandom order and cut into blocks of ``block_words`` words (the last
 one is the source's rest). A mix asks each source for a whole number of words. It takes them in passes: a pass goes through the
-source's blocks, its rest too, in the order of a pseudorandom permutation of block indexes, and the last slot takes part of a block. Every slot
-draws its output shard independently and uniformly, so a source's slot counts per shard are a multinomial draw while its total
-stays at the target. Slots meet blocks by (source, index) in one join.
+source's blocks, its rest too, in the order of a pseudorandom permutation of block indexes, and the last slot takes part of a block.
+How many slots of a source each output shard gets is a multinomial draw whose total stays at the target. The counts decide: the
+first shard takes the source's first slots, the next shard those after them. Slots meet blocks by (source, index) in one join.
 
 All of it is DataFrame work. Positions come from sums per (source, bucket) and a running sum inside each bucket, so a source of
 any size is spread over many tasks.
@@ -15,6 +15,7 @@ keep their own places; rows that also repeat the text are interchangeable. No ro
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,11 +24,15 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from abyssal.functions.common import remove_dirs, write_and_read
+from abyssal.llm.batches import packed, quoted
 
 BLANK = "[\\x20\\x09-\\x0D]+"
 ROUNDS = 24  # of the permutation
 BUCKET_ROWS = 2048
 CHUNK = 8192  # slots that are made at once
+MOST_TASKS = 4096  # that make slots; more chunks share tasks
+WORD = "[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*"  # with the blanks behind it
+BLANKS = " \t\n\v\f\r"
 
 
 @dataclass(frozen=True)
@@ -42,11 +47,6 @@ class Mix:
     seed: int = 1
 
 
-def words_of(text: Column) -> Column:
-    """The text's words in order; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK), lambda w: w != "")
-
-
 def word_count(text: Column) -> Column:
     blanks = F.regexp_replace(F.coalesce(text, F.lit("")), BLANK, " ")
     inner = F.btrim(blanks, F.lit(" "))
@@ -102,12 +102,15 @@ def _placed(sized: DataFrame, rows: int, seed: int) -> DataFrame:
 
 def slots(spark, goals: list[tuple[int, int, int]], mix: Mix) -> DataFrame:
     """(source number, pass, slot, shard, block, words): what the mix takes. ``goals``: number, source words, words to take."""
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("_source", "_have", "_take")])
-    rows = ", ".join(f"(bigint({s}), bigint({n}), bigint({t}))" for s, n, t in goals if n and t)
-    if not rows:
+    goals = [g for g in goals if g[1] and g[2]]
+    if not goals:
+        schema = T.StructType([T.StructField("_source", T.LongType())])
         return spark.createDataFrame([], schema).selectExpr("_source", "0L AS _pass", "0L AS _slot", "0 AS _shard", "0L AS _block", "0L AS _words")
     size = F.lit(mix.block_words)
-    g = spark.sql(f"SELECT * FROM VALUES {rows} AS t(_source, _have, _take)")
+    counts = shard_counts(spark, [(s, slot_count(n, t, mix)) for s, n, t in goals], mix)
+    ends = {s: list(itertools.accumulate(counts.get((s, k), 0) for k in range(mix.shards))) for s, _, _ in goals}
+    rows = ", ".join(f"(bigint({s}), bigint({n}), bigint({t}), array({', '.join(f'bigint({e})' for e in ends[s])}))" for s, n, t in goals)
+    g = spark.sql(f"SELECT * FROM VALUES {rows} AS t(_source, _have, _take, _ends)")
     last_pass = F.ceil(F.col("_take") / F.col("_have")) - 1
     g = g.withColumn("_pass", F.explode(F.sequence(F.lit(0).cast("bigint"), last_pass)))
     g = g.withColumn("_want", F.least(F.col("_take") - F.col("_pass") * F.col("_have"), F.col("_have")))
@@ -116,12 +119,11 @@ def slots(spark, goals: list[tuple[int, int, int]], mix: Mix) -> DataFrame:
     g = g.withColumn("_blocks", F.ceil(F.col("_have") / size)).withColumn("_short", F.col("_blocks") * size - F.col("_have"))
     g = g.withColumn("_rest", permuted(F.col("_blocks") - 1, F.col("_blocks"), key, back=True))
     g = g.withColumn("_slots", F.least(F.col("_blocks"), F.ceil((F.col("_want") + F.col("_short")) / size)))
-    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_slots") - 1) / CHUNK)))
-    g = g.withColumn("_chunk", chunk).repartition("_source", "_pass", "_chunk")
-    first = F.col("_chunk") * CHUNK
-    g = g.withColumn("_slot", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("_slots")) - 1)))
+    g = _numbered(g, "_slots", "_slot", sum(slot_count(n, t, mix) for _, n, t in goals))
     block = permuted(F.col("_slot"), F.col("_blocks"), key)
-    shard = F.pmod(F.xxhash64(F.lit(mix.seed), F.lit("shard"), "_source", "_pass", "_slot"), F.lit(mix.shards)).cast("int")
+    # a pass follows full ones, so this is the slot's place among all of its source
+    place = F.col("_pass") * F.col("_blocks") + F.col("_slot")
+    shard = F.size(F.filter("_ends", lambda e: e <= place))
     start = F.col("_slot") * size - F.when(F.col("_slot") > F.col("_rest"), F.col("_short")).otherwise(0)
     holds = size - F.when(F.col("_slot") == F.col("_rest"), F.col("_short")).otherwise(0)
     words = F.least(holds, F.col("_want") - start)
@@ -129,6 +131,31 @@ def slots(spark, goals: list[tuple[int, int, int]], mix: Mix) -> DataFrame:
     return made.filter("_words > 0")
 
 
+def slot_count(have: int, take: int, mix: Mix) -> int:
+    """Slots of a source over all passes; the last one of the last pass may turn out empty."""
+    blocks, full = -(-have // mix.block_words), -(-take // have) - 1
+    return full * blocks + min(blocks, -(-(take - full * have + blocks * mix.block_words - have) // mix.block_words))
+
+
+def shard_counts(spark, totals: list[tuple[int, int]], mix: Mix) -> dict[tuple[int, int], int]:
+    """A multinomial draw for each source of ``totals`` (number, slots): how many of its slots each shard gets.
+
+    Each of the slots is one uniform draw; they are counted where they are made, so a row per source and shard is all that leaves.
+    """
+    rows = ", ".join(f"(bigint({s}), bigint({n}))" for s, n in totals)
+    draws = _numbered(spark.sql(f"SELECT * FROM VALUES {rows} AS t(_source, _slots)"), "_slots", "_draw", sum(n for _, n in totals))
+    shard = F.pmod(F.xxhash64(F.lit(mix.seed), F.lit("shard"), "_source", "_draw"), F.lit(mix.shards)).cast("int")
+    return {(r["_source"], r["shard"]): r["n"] for r in draws.groupBy("_source", shard.alias("shard")).agg(F.count("*").alias("n")).collect()}
+
+
+def _numbered(rows: DataFrame, count: str, name: str, total: int) -> DataFrame:
+    """Each row ``count`` times with a number from 0, made in chunks that are dealt to as many tasks (a number, lest they be merged)."""
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(count) - 1) / CHUNK)))
+    dealt = rows.withColumn("_chunk", chunk).repartition(min(MOST_TASKS, total // CHUNK + 1), *rows.columns[:1], "_chunk")
+    first = F.col("_chunk") * CHUNK
+    return dealt.withColumn(name, F.explode(F.sequence(first, F.least(first + CHUNK, F.col(count)) - 1)))
+
+
 @dataclass
 class Mixed:
     """``sized``: a row per document with _key, _source, size, source_size, target. ``pieces``: the words each slot takes of a document."""
@@ -178,27 +205,45 @@ def taken(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return each.select(F.col("_key").alias("doc_id"), "size", "source_size", "target", share.cast("bigint").alias("taken"))
 
 
-def mixed_rows(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """The mix as documents: for every pass the words it takes of a document, in order and joined by blanks, with the document's
-    other columns; n_chars is counted again. Documents of which nothing is taken are not in the mix."""
+def mixed_rows(docs: DataFrame, mix: Mix = Mix(), shard_col: str | None = None) -> DataFrame:
+    """The mix as documents: a row for each run of neighbouring words that a pass takes, with the document's other columns.
+
+    A run is cut from the text with the spacing inside it; a run of all words is the whole text. n_chars is counted again. With
+    ``shard_col`` runs end where the output shard changes too, and a column of that name holds it. Documents of which nothing is
+    taken are not in the mix. Columns of any name are carried along.
+    """
     mixed = mix_documents(docs, mix)
-    pieces = mixed.pieces
-    lists = pieces.groupBy("_key", "_print", "_source", "_start", "_pass").agg(F.sort_array(F.collect_list(F.struct("_from", "_count"))).alias("_parts"))
-    runs = lists.groupBy("_key", "_print").agg(F.collect_list("_parts").alias("_runs"))
-    joined = _once(docs, mixed.sized).join(runs, docs["doc_id"].eqNullSafe(F.col("_key")) & (F.xxhash64(docs["text"]) == F.col("_print")))
-    each = joined.withColumn("_run", F.explode("_runs")).withColumn("_w", words_of(F.col("text")))
-    cut = F.flatten(F.transform("_run", lambda p: F.slice(F.col("_w"), (p["_from"] + 1).cast("int"), p["_count"].cast("int"))))
-    text = F.array_join(cut, " ")
-    out = each.withColumn("text", text)
+    keys = ["_key", "_print", "_source", "_start", "_pass", *(["_shard"] if shard_col else [])]
+    part = F.struct(F.col("_from").alias("a"), (F.col("_from") + F.col("_count")).alias("b"))
+    runs = mixed.pieces.groupBy(*keys).agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    begins = F.filter("parts", lambda p, i: F.coalesce(F.get("parts", i - 1)["b"] != p["a"], F.lit(True)))
+    ends = F.filter("parts", lambda p, i: F.coalesce(F.get("parts", i + 1)["a"] != p["b"], F.lit(True)))
+    shard = F.col("_shard") if shard_col else F.lit(0)
+    runs = runs.select("_key", "_print", shard.alias("shard"), F.zip_with(begins, ends, lambda x, y: F.struct(x["a"].alias("a"), y["b"].alias("b"))).alias("runs"))
+    on = F.col("doc.doc_id").eqNullSafe(F.col("_key")) & (F.xxhash64("doc.text") == F.col("_print"))
+    joined = _once(docs, mixed.sized).join(runs, on)
+
+    def cut(words: Column, run: Column) -> Column:
+        piece = F.array_join(F.slice(words, (run["a"] + 1).cast("int"), (run["b"] - run["a"]).cast("int")), "")
+        return F.when((run["a"] == 0) & (run["b"] == F.size(words)), F.col("doc.text")).otherwise(F.btrim(piece, F.lit(BLANKS)))
+
+    # the one-element array binds the words, so that they are found once for all runs
+    words = F.array(F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0)))
+    texts = F.transform(words, lambda w: F.transform("runs", lambda r: cut(w, r)))[0]
+    out = joined.select("doc", "shard", F.explode(texts).alias("text"))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    columns = [new.get(c, F.col(f"doc.{quoted(c)}")).alias(c) for c in docs.columns]
+    return out.select(*columns, *([F.col("shard").alias(shard_col)] if shard_col else []))
 
 
 def _once(docs: DataFrame, sized: DataFrame) -> DataFrame:
-    """Rows that repeat id and text only once: the pieces of all their places go to that one."""
+    """Rows under ``doc``; those that repeat id and text only once: the pieces of all their places go to that one."""
+    rows = packed(docs)
     repeated = write_and_read(sized.groupBy("_key", "_print").agg(F.count("*").alias("_n")).filter("_n > 1"))
     if repeated.isEmpty():
-        return docs
-    on = docs["doc_id"].eqNullSafe(F.col("_key")) & (F.xxhash64(docs["text"]) == F.col("_print"))
-    return docs.join(repeated, on, "left_anti").unionByName(docs.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "text"]))
+        return rows
+    on = F.col("doc.doc_id").eqNullSafe(F.col("_key")) & (F.xxhash64("doc.text") == F.col("_print"))
+    several = rows.join(repeated, on, "left_semi").withColumns({"id": F.col("doc.doc_id"), "text": F.col("doc.text")})
+    return rows.join(repeated, on, "left_anti").unionByName(several.dropDuplicates(["id", "text"]).select("doc"))

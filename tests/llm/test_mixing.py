@@ -54,12 +54,55 @@ def test_pieces_and_rows(spark):
     mix = Mix(block_words=64)
     pieces = mix_documents(docs, mix).pieces
     assert pieces.groupBy("_source", "_pass", "_slot").agg(F.sum("_count").alias("n")).filter("n > 64").count() == 0
-    shards = [r["count"] for r in pieces.groupBy("_shard").count().collect()]
-    assert len(shards) == 16
-    out = mixed_rows(docs.withColumn("n_chars", F.lit(0).cast("bigint")).withColumn("_other", F.lit(1)), mix)
-    assert out.columns == ["doc_id", "text", "source", "n_chars", "_other"]
-    words = sum(len(r.text.split()) for r in out.collect())
-    assert words == pieces.agg(F.sum("_count")).first()[0]
+    extra = ["_other", "_key", "_print", "_run", "_runs", "_w", "doc", "shard", "parts", "a.b"]
+    given = docs.withColumn("n_chars", F.lit(0).cast("bigint")).select("*", *[F.lit(c).alias(c) for c in extra])
+    out = mixed_rows(given, mix)
+    assert out.columns == ["doc_id", "text", "source", "n_chars", *extra]
+    got = out.collect()
+    assert all(r[c] == c for r in got for c in extra) and all(r.n_chars == len(r.text) for r in got)
+    assert sum(len(r.text.split()) for r in got) == pieces.agg(F.sum("_count")).first()[0]
+
+
+def test_runs_are_cut_from_the_text(spark):
+    """No row joins words that are not neighbours, spacing stays, a whole text is the text itself."""
+    rng = random.Random(3)
+    blanks = [" ", "  ", "\n", "\t\r\n", "\v\f"]
+    rows = [(i, rng.choice(["", " "]) + "".join(f"d{i}x{j}" + rng.choice(blanks) for j in range(rng.choice([3, 40, 700]))), f"s{i % 3}") for i in range(40)]
+    texts, whole = {i: t for i, t, _ in rows}, 0
+    out = mixed_rows(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), Mix(block_words=16)).collect()
+    for r in out:
+        assert r.text in texts[r.doc_id]
+        whole += r.text == texts[r.doc_id]
+        words = [int(w.split("x")[1]) for w in r.text.split()]
+        assert words == list(range(words[0], words[0] + len(words)))
+    assert whole and len(out) > 2 * len(rows)
+
+
+def test_shards_follow_the_draw(spark):
+    """The slots of a shard are as many as its draw, lie in a row, and the counts vary as a multinomial draw does."""
+    from abyssal.llm.mixing import shard_counts, slot_count, slots
+
+    mix = Mix(block_words=4, shards=8)
+    goals = [(0, 40003, 60001), (1, 999, 1998), (2, 7, 3)]
+    totals = [(s, slot_count(n, t, mix)) for s, n, t in goals]
+    counts = shard_counts(spark, totals, mix)
+    assert all(sum(counts.get((s, k), 0) for k in range(8)) == n for s, n in totals)
+    got = {}
+    for r in slots(spark, goals, mix).orderBy("_source", "_pass", "_slot").collect():
+        got.setdefault(r["_source"], []).append(r["_shard"])
+    for s, n in totals:
+        assert got[s] == sorted(got[s]) and n - 1 <= len(got[s]) <= n
+        want = [counts.get((s, k), 0) for k in range(8)]
+        assert sum(abs(got[s].count(k) - want[k]) for k in range(8)) == n - len(got[s])
+    n, chi = totals[0][1], []
+    for seed in range(6):
+        c = shard_counts(spark, totals[:1], Mix(block_words=4, shards=8, seed=seed))
+        chi.append(sum((c[0, k] - n / 8) ** 2 / (n / 8) for k in range(8)))
+    assert 1 < sum(chi) / 6 < 20 and len(set(chi)) == 6  # seven degrees of freedom
+    docs, _ = documents(spark, 30)
+    rows = mixed_rows(docs, Mix(block_words=64), shard_col="out").collect()
+    assert {r["out"] for r in rows} <= set(range(16)) and len({r["out"] for r in rows}) > 8
+    assert sum(len(r.text.split()) for r in rows) == sum(len(r.text.split()) for r in mixed_rows(docs, Mix(block_words=64)).collect())
 
 
 def test_rest_block_is_drawn_in_part_passes(spark):
