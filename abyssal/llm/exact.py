@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abyssal.functions.common import remove_dirs, write_and_read
-from abyssal.llm.batches import few_or_hashed
+from abyssal.llm.batches import few_or_hashed, packed
 
 BLANKS = "[\\x20\\x09-\\x0D]"
 
@@ -64,20 +64,20 @@ class DigestIndex:
 
 
 def keep_rows(docs: DataFrame, result: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns kept; a repeated row (same id and text) once."""
-    key = digest_of(F.col("text"))
+    """The rows of ``docs`` that stay, all columns kept whatever their names; a repeated row (same id and text) once."""
+    rows = packed(docs)
+    key = digest_of(F.col("doc.text"))
 
     def meet(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-        on = key.eqNullSafe(F.col("_digest")) & rows["doc_id"].eqNullSafe(F.col("_id"))
-        keys = ids.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-        return rows.join(few_or_hashed(keys), on, how)
+        on = key.eqNullSafe(F.col("digest")) & F.col("doc.doc_id").eqNullSafe(F.col("id"))
+        return rows.join(few_or_hashed(ids.select(F.col("doc_id").alias("id"), "digest")), on, how)
 
     made: list[str] = []
     drop = write_and_read(result.filter(~F.col("kept")))
-    stay = meet(docs, drop, "left_anti")
+    stay = meet(rows, drop, "left_anti")
     repeated = write_and_read(result.filter(F.col("kept") & (F.col("n_rows") > 1)), made)
     if repeated.isEmpty():
         remove_dirs(docs.sparkSession, made)
-        return stay
-    once = meet(stay, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
-    return meet(stay, repeated, "left_anti").unionByName(once)
+        return stay.select("doc.*")
+    once = meet(stay, repeated, "left_semi").withColumns({"id": F.col("doc.doc_id"), "text": F.col("doc.text")})
+    return meet(stay, repeated, "left_anti").unionByName(once.dropDuplicates(["id", "text"]).select("doc")).select("doc.*")

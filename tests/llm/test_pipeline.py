@@ -2,6 +2,7 @@ import random
 
 import pandas as pd
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -62,3 +63,19 @@ def test_empty_documents(spark, tmp_path):
     docs = spark.read.parquet(str(tmp_path / "documents.parquet")).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, str(tmp_path)).count() == 0
+
+
+def test_extra_columns_survive_whatever_their_names(spark, tmp_path):
+    """Only the tokenizer's three result columns are replaced where the documents have columns of these names."""
+    tables(tmp_path)
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    extra = ["_score", "_drop", "_id", "_digest", "digest", "keep_id", "_key", "_print", "_runs", "drop", "doc", "read", "component_id", "a b.c"]
+    docs = docs.filter("doc_id < 120 or doc_id >= 240").select("*", *[F.concat(F.lit(f"{c}/"), "doc_id").alias(c) for c in extra], F.lit("mine").alias("decoded"))
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        assert sorted(out.columns) == sorted([*docs.columns, *(["token_ids", "n_tokens"] if name == "bpe" else [])])
+        out.write.parquet(str(tmp_path / f"stage{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"stage{k}"))
+        rows = docs.collect()
+        assert rows and all(r[c] == f"{c}/{r.doc_id}" for r in rows for c in extra)
+    assert all(r.decoded != "mine" for r in rows)
