@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from abyssal.functions.common import shared_dir, write_and_read
 from abyssal.llm import bpe, exact, minhash, mixing, quality
-from abyssal.llm.batches import few_or_hashed
+from abyssal.llm.batches import few_or_hashed, packed, quoted
 
 KEEP_SCORE = 0.7
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -18,7 +18,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier, fitted on the training rows' labels, scores under `KEEP_SCORE`."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     net = quality.fit(docs, labels.filter(quality.in_training(F.col("doc_id"))))
-    return docs.withColumn("_score", quality.scorer(net)("text")).filter(F.col("_score") >= KEEP_SCORE).drop("_score")
+    return docs.filter(quality.scorer(net)("text") >= KEEP_SCORE)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (shingles of five words, similarity of 80 % or more)."""
     found = minhash.near_duplicates(docs)
-    drop = write_and_read(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_drop")))
-    return docs.join(few_or_hashed(drop), F.col("doc_id") == F.col("_drop"), "left_anti")
+    drop = write_and_read(found.filter(~F.col("kept")).select(F.col("doc_id").alias("drop")))
+    return packed(docs).join(few_or_hashed(drop), F.col("doc.doc_id") == F.col("drop"), "left_anti").select("doc.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix beside its columns, and the text that the ids decode to."""
     own = [c for c in docs.columns if c.lower() not in ("token_ids", "n_tokens", "decoded")]  # columns of these names are replaced
-    read = docs.select(*own, bpe.tokenizer(spark, VOCABULARY)("text").alias("__read"))
-    return read.select(*own, "__read.token_ids", F.size("__read.token_ids").cast("bigint").alias("n_tokens"), "__read.decoded")
+    read = packed(docs).withColumn("read", bpe.tokenizer(spark, VOCABULARY)("doc.text"))
+    n_tokens = F.size("read.token_ids").cast("bigint").alias("n_tokens")
+    return read.select(*[F.col(f"doc.{quoted(c)}") for c in own], "read.token_ids", n_tokens, "read.decoded")
 
 
 STAGES = [("quality", classify), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mix), ("bpe", tokenize)]
