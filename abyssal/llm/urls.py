@@ -1,8 +1,7 @@
 """URL filters: rules looked up in a Bloom filter cascade.
 
 A rule is a host and a path prefix written as one string (``example.net/en/``) in the block or the allow list. The keys of a URL
-are its host and all parent domains, each with every prefix of its path that ends at a slash and is no longer than the longest
-rule's. For each list a cascade is built over all keys of the corpus: level 1 encodes the listed keys, level 2 the keys outside
+are its host and all parent domains, each with every prefix of its path that is as long as some rule's path. For each list a cascade is built over all keys of the corpus: level 1 encodes the listed keys, level 2 the keys outside
 the list that level 1 lets through, level 3 the listed keys that level 2 lets through, and so on until a level lets none through.
 The first level that refuses a key says whether it is listed: odd levels refuse what is not listed, even levels what is. Over the
 keys it was built on, membership is exact, and probing needs no join.
@@ -39,13 +38,12 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def keys_of(host: Column, path: Column, longest: int) -> Column:
-    """All keys that a rule with a path of at most ``longest`` characters could have."""
+def keys_of(host: Column, path: Column, lengths: list[int]) -> Column:
+    """All keys that a rule whose path has one of the ``lengths`` could have."""
     labels = F.split(host, r"\.")
     hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    head = F.substring(path, 1, longest)
-    lengths = F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(head))), lambda n: F.substring(head, n, F.lit(1)) == "/")
-    prefixes = F.transform(lengths, lambda n: F.substring(head, F.lit(1), n))
+    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length(path))
+    prefixes = F.transform(fitting, lambda n: F.substring(path, F.lit(1), n))
     return F.flatten(F.transform(hosts, lambda h: F.transform(prefixes, lambda p: F.concat(h, p))))
 
 
@@ -125,10 +123,10 @@ def judge(pages: DataFrame, block: list[str], allow: list[str], id_col: str = "p
     """Per page: id, host, path, rule (the longest that fits, else null), verdict (allow or block; allow without a rule)."""
     spark: SparkSession = pages.sparkSession
     made: list[str] = []
-    longest = max([len(r) - r.index("/") for r in [*block, *allow]], default=0)
+    lengths = sorted({len(r) - r.index("/") for r in [*block, *allow]})
     url = F.col(url_col)
     rows = pages.select(F.col(id_col).alias(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
-    rows = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), longest))
+    rows = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths))
     universe = write_and_read(rows.select(F.explode("keys").alias("key")).distinct(), made)
     blocked, allowed = build_cascade(universe, block, 0), build_cascade(universe, allow, 100)
     remove_dirs(spark, made)

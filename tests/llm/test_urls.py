@@ -8,7 +8,7 @@ URLS = [None, "", "net/", "http://", "http://net", "http://net/", "https://a.NET
         "http://a.example.com/de/q", "http://example.com/d", "http://b.org/fr/", "http://org/fr/x", "http://a.b.org?x=/fr/", "x://y://net/", "http://example.net./en/", "http://e.net#/en/", "http://a\nb.net/en/\n"]
 
 
-def brute(url):
+def brute(url, block=BLOCK, allow=ALLOW):
     host = path = ""
     if url and "://" in url:
         rest = url.split("://", 1)[1]
@@ -18,11 +18,11 @@ def brute(url):
         path = rest[len(host):].split("?")[0].split("#")[0]
         host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
     best = None
-    for rule in BLOCK + ALLOW:
+    for rule in block + allow:
         h, p = rule.split("/", 1)
         if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (best is None or len(rule) > len(best)):
             best = rule
-    return host, path, best, "block" if best in BLOCK else "allow"
+    return host, path, best, "block" if best in block else "allow"
 
 
 def test_against_brute_force(spark):
@@ -37,6 +37,14 @@ def test_against_brute_force(spark):
     assert {r.verdict for r in judge(pages, [], []).collect()} == {"allow"}
 
 
+def test_rules_whose_path_ends_anywhere(spark):
+    block, allow = ["a.foo/bar", "foo/b", "net/é"], ["foo/bar/x.htm", "foo/"]
+    urls = [f"http://{h}{p}" for h in ("foo", "a.foo", "b.a.foo", "net") for p in ("", "/", "/b", "/ba", "/bar", "/barn/x", "/bar/x.htm", "/bar/x.html?q", "/Bar", "/é", "/éa")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge(pages, block, allow).collect()}
+    assert got == {i: brute(u, block, allow) for i, u in enumerate(urls)}
+
+
 def test_cascade_is_exact_over_its_universe(spark):
     listed = [f"k{i}" for i in range(0, 6000, 3)]
     universe = spark.range(6000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
