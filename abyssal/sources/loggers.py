@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from abyssal.functions.common import add_seconds, from_micros, micros
 from abyssal.functions.scalars import at_least, fahrenheit_to_celsius
 from abyssal.functions.text import number, strip, whole_number, without_bom
+from abyssal.operators.asof import asof_join
 from abyssal.operators.stats import exact_median
-from abyssal.ordering import ordered_scan
+from abyssal.ordering import DAY_US, ordered_scan
 from abyssal.schemas import CALIBRATION_SCHEMA, KEY
 from abyssal.sources.logs import deployment_of
 
@@ -20,6 +21,8 @@ LOCATIONS = ("C1", "C2", "mesocosm")
 OTHER_LOCATION = "ambient"
 OUT_OF_WATER = -888.88
 HEADER_LINES = 10
+# The time an undated calibration counts from.
+UNDATED = "0001-01-01 00:00:00"
 
 
 def scan_csv_text(spark: SparkSession, root: str, ids: Sequence[str] | None = None) -> DataFrame:
@@ -105,14 +108,23 @@ def load_calibrations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def select_calibration(files: DataFrame, calibrations: DataFrame) -> DataFrame:
-    """Latest calibration of each file's logger dated on or before its first reading; undated is oldest."""
-    cal = calibrations.select(
-        "serial_number", F.struct("cal_date", "sensor_number").alias("rank"),
-        F.struct("sensor_number", "cal_date", F.col("interval_s").alias("cal_interval_s"), "slope", "intercept").alias("cal"),
-    ).where("serial_number IS NOT NULL")
-    fits = F.col("cal.cal_date").isNull() | (F.col("cal.cal_date") <= F.to_date("first_ts"))
-    best = files.join(cal, "serial_number").where(fits).groupBy(KEY, "file_path").agg(F.max_by("cal", "rank").alias("cal"))
-    return best.select(KEY, "file_path", "cal.*")
+    """Latest calibration of each file's logger dated on or before its first reading; undated is oldest.
+
+    One calibration counts per logger and date, the one with the highest sensor number. Files then take theirs by an as-of join, so
+    files and calibrations of one logger never meet as pairs.
+    """
+    cal = calibrations.where("serial_number IS NOT NULL").groupBy("serial_number", "cal_date").agg(
+        F.max(F.struct("sensor_number", F.col("interval_s").alias("cal_interval_s"), "slope", "intercept")).alias("best"))
+    cal = cal.select(
+        "serial_number", F.coalesce(F.col("cal_date").cast("timestamp_ntz"), F.lit(UNDATED).cast("timestamp_ntz")).alias("from_ts"),
+        F.col("cal_date").isNotNull().cast("bigint").alias("dated"),
+        F.struct("best.sensor_number", "cal_date", "best.cal_interval_s", "best.slope", "best.intercept").alias("cal"),
+    )
+    at = F.coalesce("first_ts", F.lit(UNDATED).cast("timestamp_ntz"))
+    found = asof_join(files.select(KEY, "file_path", "serial_number", at.alias("first_ts")), cal, ["serial_number"], ["cal"], "first_ts", "from_ts",
+                      right_order="dated", width_us=DAY_US).where("cal IS NOT NULL")
+    rank = F.struct("cal.cal_date", "cal.sensor_number")
+    return found.groupBy(KEY, "file_path").agg(F.max_by("cal", rank).alias("cal")).select(KEY, "file_path", "cal.*")
 
 
 def calibrate(rows: DataFrame, calibrations: DataFrame) -> DataFrame:
