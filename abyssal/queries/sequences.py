@@ -117,7 +117,7 @@ FROM (SELECT *, CASE WHEN hour(ts) BETWEEN 6 AND 17 THEN floor(value * 20) ELSE
 @query("FLT09", f"{D} ts scan_no par_umol_m2_s:4", f"SELECT * FROM ({CALIBRATED}) WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20'")
 def trimmed_light(spark, d):
     lit = lambda s: F.lit(s).cast("timestamp_ntz")
-    return loggers.read_par(spark, standin.archive(spark, d), standin.calibrations(spark), 0.0, lit("2024-01-05"), lit("2024-01-20"))
+    return loggers.read_par(spark, standin.archive(spark, d, "exports"), standin.calibrations(spark), 0.0, lit("2024-01-05"), lit("2024-01-20"))
 
 
 @query("FLT10", f"{D} window_start chamber condition", f"SELECT {D}, window_start, chamber, CASE chamber WHEN 'C1' THEN c1 ELSE c2 END AS condition FROM cycles60 JOIN dep USING ({D})")
