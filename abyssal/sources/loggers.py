@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abyssal.functions.common import add_seconds, from_micros, micros
+from abyssal.functions.common import add_seconds, from_micros, micros, once, write_and_read
 from abyssal.functions.scalars import at_least, fahrenheit_to_celsius
 from abyssal.functions.text import number, strip, whole_number, without_bom
 from abyssal.operators.asof import asof_join
@@ -74,9 +74,8 @@ def read_par_rows(lines: DataFrame, time_offset_h: float | DataFrame = 0.0) -> D
 
     The offset is one number or a (deployment_id, par_time_offset_h) table.
     """
-    f = F.split("line", ",")
-    at = lambda i: strip(F.get(f, F.lit(i)))
-    stamp = F.try_to_timestamp(F.concat_ws(" ", at(1), at(2)), F.lit("d/M/yyyy H:m:s")).cast("timestamp_ntz")
+    at = lambda i: F.get("__f", F.lit(i))
+    stamp = F.try_to_timestamp(F.concat_ws(" ", strip(at(1)), strip(at(2))), F.lit("d/M/yyyy H:m:s")).cast("timestamp_ntz")
     heads = par_headers(lines)
     if isinstance(time_offset_h, DataFrame):
         heads = heads.join(time_offset_h.select(KEY, "par_time_offset_h"), KEY)
@@ -86,12 +85,10 @@ def read_par_rows(lines: DataFrame, time_offset_h: float | DataFrame = 0.0) -> D
     data = lines.join(heads, [KEY, "file_path", "file_name"]).where(
         F.struct("block_start", "line_id") > F.col("data_start")
     )
-    return data.select(
-        KEY, "file_path", "file_name", "block_start", "line_id", "serial_number",
-        add_seconds(stamp, offset_s).alias("ts"),
-        whole_number(at(0)).alias("scan_no"),
-        number(at(3)).alias("par_raw"),
-    ).where("ts IS NOT NULL AND scan_no IS NOT NULL AND par_raw IS NOT NULL")
+    values = F.struct(add_seconds(stamp, offset_s).alias("ts"), whole_number(at(0)).alias("scan_no"), number(at(3)).alias("par_raw"))
+    rows = once(once(data, "__f", F.split("line", ",")), "__v", values)
+    return rows.where("__v.ts IS NOT NULL AND __v.scan_no IS NOT NULL AND __v.par_raw IS NOT NULL").select(
+        KEY, "file_path", "file_name", "block_start", "line_id", "serial_number", "__v.*")
 
 
 def logging_interval(rows: DataFrame) -> DataFrame:
@@ -132,7 +129,9 @@ def calibrate(rows: DataFrame, calibrations: DataFrame) -> DataFrame:
 
     Counts are never rescaled between logging intervals. A calibration without an interval is not checked.
     """
-    files = rows.groupBy(KEY, "file_path", "serial_number").agg(F.min("ts").alias("first_ts"))
+    # Parsed once: the interval's medians and the files' first readings would otherwise read the exports again for each of their steps.
+    rows = write_and_read(rows)
+    files = write_and_read(rows.groupBy(KEY, "file_path", "serial_number").agg(F.min("ts").alias("first_ts")))
     per_file = select_calibration(files, calibrations)
     joined = rows.join(logging_interval(rows), [KEY, "file_path"], "left").join(per_file, [KEY, "file_path"], "left")
     usable = F.col("cal_interval_s").isNull() | (F.col("cal_interval_s") == F.col("interval_s"))
@@ -194,17 +193,14 @@ def parse_hobo(lines: DataFrame) -> DataFrame:
         utc_offset_minutes(F.col("header")).alias("offset_min"),
         F.nullif(F.regexp_extract("header", r"LGR S/N:\s*(\d+)", 1), F.lit("")).alias("serial_number"),
     ).where("do_at IS NOT NULL AND temp_at IS NOT NULL")
-    f = F.split("line", ",")
-    stamp = F.try_to_timestamp(F.upper(strip(F.get(f, F.lit(1)))), F.lit("M/d/yy h:m:s a")).cast("timestamp_ntz")
+    at = lambda i: F.get("__f", i)
+    stamp = F.try_to_timestamp(F.upper(strip(at(F.lit(1)))), F.lit("M/d/yy h:m:s a")).cast("timestamp_ntz")
     body = lines.join(heads, [KEY, "file_path"]).where("block_start > 0 OR line_id > first_id + 1")
-    return body.select(
-        KEY,
-        from_micros(micros(stamp) + F.col("offset_min").cast("bigint") * F.lit(60_000_000)).alias("ts"),
-        "location",
-        number(F.get(f, F.col("do_at"))).alias("oxygen_mgl"),
-        fahrenheit_to_celsius(number(F.get(f, F.col("temp_at")))).alias("temp_degc"),
-        "serial_number",
-    ).where(f"ts IS NOT NULL AND oxygen_mgl IS NOT NULL AND temp_degc IS NOT NULL AND oxygen_mgl != {OUT_OF_WATER}")
+    utc = from_micros(micros(stamp) + F.col("offset_min").cast("bigint") * F.lit(60_000_000))
+    values = F.struct(utc.alias("ts"), number(at(F.col("do_at"))).alias("oxygen_mgl"), number(at(F.col("temp_at"))).alias("temp_f"))
+    rows = once(once(body, "__f", F.split("line", ",")), "__v", values)
+    return rows.where(f"__v.ts IS NOT NULL AND __v.oxygen_mgl IS NOT NULL AND __v.temp_f IS NOT NULL AND __v.oxygen_mgl != {OUT_OF_WATER}").select(
+        KEY, "__v.ts", "location", "__v.oxygen_mgl", fahrenheit_to_celsius(F.col("__v.temp_f")).alias("temp_degc"), "serial_number")
 
 
 def read_hobo(spark: SparkSession, root: str, ids: Sequence[str] | None = None) -> DataFrame:
