@@ -58,3 +58,35 @@ def test_rare_rows_carry_over_chunks_without_any(spark):
     for chunks in (None, sliced_chunks(minutes, ["k"], "s", width)):
         got = ordered_scan(sliced, ["k"], ["s"], ["ts"], **ops, rare=F.col("v").isNotNull(), chunks=chunks)
         assert sorted(map(repr, got.collect())) == want
+
+
+@pytest.mark.parametrize("rows_per_slice", [500_000, 3])
+def test_differences_do_not_depend_on_how_groups_are_cut(spark, monkeypatch, rows_per_slice):
+    from abyssal.operators import setpoint
+
+    monkeypatch.setattr(setpoint, "ROWS_PER_SLICE", rows_per_slice)
+    rng = random.Random(8)
+    rows = [("d", s, at(60 * i), i // 5, i, rng.choice([None, 1.0, 2.5, 7.0])) for s in range(3) for i in range(40)]
+    df = spark.createDataFrame(rows, "deployment_id STRING, segment BIGINT, ts TIMESTAMP_NTZ, chunk BIGINT, pos BIGINT, v DOUBLE")
+    got = {(r.segment, r.pos): (r.diff, r.i) for r in setpoint.with_differences(df, "v", ["deployment_id", "segment"], number_rows=True).collect()}
+    want = {}
+    for s in range(3):
+        last = None
+        for _, seg, _, _, i, v in [r for r in rows if r[1] == s]:
+            want[(seg, i)] = (None if v is None or last is None else v - last, i)
+            last = last if v is None else v
+    assert got == want
+    plan = setpoint.with_differences(df, "v", ["deployment_id", "segment"])._jdf.queryExecution().executedPlan().toString()
+    assert ("SortAggregate" in plan) == (rows_per_slice == 3)
+
+
+def test_scan_ratio_reads_its_rows_once(spark):
+    from abyssal.operators.ratios import scan_ratio
+
+    rows = [("d", 0, 40, 2.0), ("d", 0, 28, 3.0), ("d", 1, 28, 5.0), ("d", 2, 40, 0.0), ("d", 2, 28, 5.0), ("e", 0, 40, 4.0), ("e", 0, 28, 2.0)]
+    df = write_and_read(spark.createDataFrame(rows, "deployment_id STRING, scan_id BIGINT, mass BIGINT, current DOUBLE"))
+    out = scan_ratio(df, 40, ["deployment_id", "scan_id"])
+    assert out.columns == [*df.columns, "ratio"]
+    assert sorted((r.deployment_id, r.scan_id, r.ratio) for r in out.where("mass = 28").collect()) == [
+        ("d", 0, 1.5), ("d", 1, None), ("d", 2, None), ("e", 0, 0.5)]
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
