@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abyssal.functions.common import whole_minutes
+from abyssal.functions.common import whole_minutes, write_and_read
 from abyssal.functions.scalars import counts_to_amps, counts_to_torr, current_in_unit
 from abyssal.operators.aggregate import experiment_context
 from abyssal.operators.cycles import cycle_windows, experiment_starts
@@ -96,11 +96,13 @@ def experiment_readings(
     windows = cycle_windows(tables["valve"], 0.0)
     if experiments is not None:
         windows = keep_experiments(windows, experiments)
+    # written once: every stream, and both sides of the ratio, would label the transitions again
+    windows = write_and_read(windows)
     group = [KEY, "experiment_number"]
     minutes = whole_minutes(F.col("elapsed_us")).alias("elapsed_min")
     context = [*group, "chamber", "settled_out", "ts", minutes]
 
-    rga = experiment_context(tables["rga"], windows, settle_s)
+    rga = write_and_read(experiment_context(tables["rga"].select(KEY, "ts", "mass", "current", "pos"), windows, settle_s))
     ratio = ratio_to_mass(rga, keys=group).select(
         *context, F.concat(F.lit("mass_"), F.col("mass").cast("string")).alias("variable"), F.col("ratio").alias("value")
     )
