@@ -90,3 +90,41 @@ def test_scan_ratio_reads_its_rows_once(spark):
     assert sorted((r.deployment_id, r.scan_id, r.ratio) for r in out.where("mass = 28").collect()) == [
         ("d", 0, 1.5), ("d", 1, None), ("d", 2, None), ("e", 0, 0.5)]
     assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_analysis_writes_only_what_the_named_tables_need(spark, monkeypatch):
+    from abyssal.operators import setpoint
+
+    changes = spark.createDataFrame([("d", at(0), 5, "ack", None), ("d", at(900), 7, "ack", None)],
+                                    "deployment_id STRING, ts TIMESTAMP_NTZ, setpoint BIGINT, source STRING, acq_on_ts TIMESTAMP_NTZ")
+    rng = random.Random(4)
+    rga = spark.createDataFrame([("d", at(10 * i), (28, 40)[i % 2], rng.uniform(1, 9), 0, i) for i in range(180)],
+                                "deployment_id STRING, ts TIMESTAMP_NTZ, mass BIGINT, current DOUBLE, chunk BIGINT, pos BIGINT")
+    status = spark.createDataFrame([("d", at(5), 1.0, 2.0, 3.0, 4.0, 5.0, 6.0)], "deployment_id STRING, ts TIMESTAMP_NTZ, turbo_speed_hz DOUBLE, "
+                                   "turbo_power_w DOUBLE, turbo_etemp_c DOUBLE, turbo_btemp_c DOUBLE, turbo_mtemp_c DOUBLE, raw_total_pressure_current DOUBLE")
+    telemetry = spark.createDataFrame([], "deployment_id STRING, ts TIMESTAMP_NTZ, " + ", ".join(f"{c} DOUBLE" for c in setpoint.TELEMETRY.values()))
+    whole = setpoint.analyze(rga, status, telemetry, changes, 60.0)
+    monkeypatch.setattr(setpoint, "add_ratio", lambda *a: pytest.fail("no ratio was asked for"))
+    one = setpoint.analyze(rga, status, telemetry, changes, 60.0, only=["mass_stats_by_speed"])
+    assert [*one] == ["mass_stats_by_speed"] and len(whole) == 13
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(one["mass_stats_by_speed"]) == rows(whole["mass_stats_by_speed"]) and one["mass_stats_by_speed"].count() == 4
+
+
+def test_view_of_readings_labels_transitions_once(spark, monkeypatch):
+    from abyssal.operators import cycles
+    from abyssal.plans import views
+    from tests.helpers import rga, valve
+
+    switches = valve(spark, [(0, "C1", "Re"), (300, "C2", "Re"), (600, "C1", "Fl"), (900, "C1", "Re")])
+    readings = rga(spark, [(t, (40, 28)[t // 10 % 2], t + 1) for t in range(0, 600, 10)])
+    other = "deployment_id STRING, ts TIMESTAMP_NTZ, {}"
+    sonde = spark.createDataFrame([], other.format(", ".join(f"{c} DOUBLE" for c in views.SONDE.values())))
+    status = spark.createDataFrame([], other.format(", ".join(f"{c} DOUBLE" for c in [*views.STATUS.values(), "raw_total_pressure_current"])))
+    labelled = []
+    label = cycles.label_experiments
+    monkeypatch.setattr(cycles, "label_experiments", lambda *a: labelled.append(1) or label(*a))
+    out = views.experiment_readings({"valve": switches, "rga": readings, "scalup": sonde, "status": status})
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(labelled) == 1 and "flush_state" not in plan
+    assert out.count() == 30
