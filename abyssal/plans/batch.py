@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from abyssal.functions.common import use_utc, write_and_read
 from abyssal.operators.aggregate import aggregate_onto_windows, discover_masses
-from abyssal.operators.cycles import attach_chamber_context, cycle_statistics, cycle_windows, scan_windows
+from abyssal.operators.cycles import attach_chamber_context, candidate_statistics, cycle_candidates, long_enough, scan_windows
 from abyssal.operators.fluxes import daily_par
 from abyssal.operators.ranges import clip, with_condition
 from abyssal.operators.registry import deployment_violations, processing_table, resolve_processing
@@ -61,9 +61,11 @@ def run_batch(
     clipped = {n: clip(df, deployments) for n, df in {**tables, "par": par}.items() if n != "system_health"}
     masses = discover_masses(clipped["rga"])
     settle = parameters.select(KEY, "settle_offset_s")
-    windows = stage(cycle_windows(clipped["valve"].join(settle, KEY), "settle_offset_s"), "cycle_windows")
+    # Written, because the windows and the summary count them, and the scans because the match below reads them twice.
+    candidates = write_and_read(cycle_candidates(clipped["valve"].join(settle, KEY), "settle_offset_s"))
+    windows = stage(long_enough(candidates), "cycle_windows")
     streams = {n: clipped[n] for n in ("rga", "scalup", "status", "par")}
-    scans = stage(attach_chamber_context(scan_windows(clipped["rga"]), windows), "scan_windows")
+    scans = stage(attach_chamber_context(write_and_read(scan_windows(clipped["rga"])), windows), "scan_windows")
     layer_b = in_torr(aggregate_onto_windows(scans, streams, masses, 1.0, 1.0), parameters, masses, [KEY])
     layer_b = stage(layer_b, "rga_scans")
     conditioned = lambda df, name: stage(with_condition(df, deployments) if name != "chamber_cycles" else df, name)
@@ -71,8 +73,7 @@ def run_batch(
     cycles, fluxes, metabolism, pi_fit = (layers[n] for n in ("chamber_cycles", "fluxes", "metabolism", "pi_fit"))
     produced = {**tables, "par": par, "par_daily": daily, "hobo_oxygen": hobo, "rga_scans": layer_b, "chamber_cycles": cycles,
                 "fluxes": fluxes, "metabolism": metabolism, "pi_fit": pi_fit}
-    stats = cycle_statistics(clipped["valve"].join(settle, KEY), "settle_offset_s")
-    summary = write_and_read(run_summary(produced, stats))
+    summary = write_and_read(run_summary(produced, candidate_statistics(candidates)))
     # the earlier output counts until here, and this run's from here
     commit(spark, out, run, deployments, fmt)
     return summary

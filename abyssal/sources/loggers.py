@@ -14,7 +14,7 @@ from abyssal.operators.asof import asof_join
 from abyssal.operators.stats import exact_median
 from abyssal.ordering import DAY_US, ordered_scan
 from abyssal.schemas import CALIBRATION_SCHEMA, KEY
-from abyssal.sources.logs import deployment_of
+from abyssal.sources.logs import deployment_of, with_file_facts
 
 # Fixed values of the oxygen logger export.
 LOCATIONS = ("C1", "C2", "mesocosm")
@@ -31,16 +31,15 @@ def scan_csv_text(spark: SparkSession, root: str, ids: Sequence[str] | None = No
     ``line_id`` is consecutive inside a split, so ``line_id - first`` is the line number in a file's first
     split without ordering the file.
     """
-    return (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").text(root)
-    ).select(
-        deployment_of(F.col("_metadata.file_path"), root, ids).alias(KEY),
+    glob = "*.[cC][sS][vV]"
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root).select(
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_id"),
         without_bom(F.make_valid_utf8("value")).alias("line"),
     )
+    known = with_file_facts(spark, raw, root, glob, {KEY: deployment_of(F.col("file_path"), root, ids)})
+    return known.select(KEY, "file_path", "file_name", "block_start", "line_id", "line")
 
 
 def par_headers(lines: DataFrame) -> DataFrame:
@@ -81,6 +80,7 @@ def read_par_rows(lines: DataFrame, time_offset_h: float | DataFrame = 0.0) -> D
         heads = heads.join(time_offset_h.select(KEY, "par_time_offset_h"), KEY)
     else:
         heads = heads.withColumn("par_time_offset_h", F.lit(float(time_offset_h)))
+    heads = write_and_read(heads)  # a row per file, of known size: the lines need no shuffle to meet it
     offset_s = F.col("par_time_offset_h") * 3600
     data = lines.join(heads, [KEY, "file_path", "file_name"]).where(
         F.struct("block_start", "line_id") > F.col("data_start")
@@ -95,7 +95,9 @@ def logging_interval(rows: DataFrame) -> DataFrame:
     """Median spacing of consecutive readings per export, in file order; no row below two readings."""
     keys = [KEY, "file_path"]
     stepped = ordered_scan(rows, keys, ["block_start"], ["line_id"], prev={"__prev": F.col("ts")})
-    return exact_median(stepped, keys, micros("ts") - micros("__prev"), "interval_us").select(
+    # written: the median reads the steps several times
+    steps = write_and_read(stepped.select(*keys, (micros("ts") - micros("__prev")).alias("step_us")))
+    return exact_median(steps, keys, F.col("step_us"), "interval_us").select(
         *keys, (F.col("interval_us") / 1e6).alias("interval_s")
     )
 
@@ -170,10 +172,10 @@ def column_index(header: Column, substring: str) -> Column:
 
 def hobo_headers(lines: DataFrame) -> DataFrame:
     """One row per oxygen-logger export (line 1 holds `Plot Title:`): location and header line."""
-    first = F.when(F.col("block_start") == 0, F.col("line_id"))
-    title = lines.groupBy(KEY, "file_path", "file_name").agg(F.min(first).alias("first_id"), F.min_by("line", first).alias("title"))
+    title = lines.where("block_start = 0").groupBy(KEY, "file_path", "file_name").agg(
+        F.min("line_id").alias("first_id"), F.min_by("line", "line_id").alias("title"))
     pattern = r'"?Plot Title:\s*([^"]+)"?'
-    title = title.where(F.col("title").rlike(pattern))
+    title = write_and_read(title.where(F.col("title").rlike(pattern)))  # a row per file, which the lines meet without a shuffle
     second = lines.where("block_start = 0").select(
         KEY, "file_path", (F.col("line_id") - 1).alias("first_id"), F.col("line").alias("header")
     )
@@ -193,6 +195,7 @@ def parse_hobo(lines: DataFrame) -> DataFrame:
         utc_offset_minutes(F.col("header")).alias("offset_min"),
         F.nullif(F.regexp_extract("header", r"LGR S/N:\s*(\d+)", 1), F.lit("")).alias("serial_number"),
     ).where("do_at IS NOT NULL AND temp_at IS NOT NULL")
+    heads = write_and_read(heads)
     at = lambda i: F.get("__f", i)
     stamp = F.try_to_timestamp(F.upper(strip(at(F.lit(1)))), F.lit("M/d/yy h:m:s a")).cast("timestamp_ntz")
     body = lines.join(heads, [KEY, "file_path"]).where("block_start > 0 OR line_id > first_id + 1")

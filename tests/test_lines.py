@@ -1,8 +1,8 @@
 from datetime import datetime
 
 from abyssal import standin
-from abyssal.functions.text import nullable_number, strip
-from abyssal.sources import logs
+from abyssal.functions.text import iso_timestamp, nullable_number, strip
+from abyssal.sources import loggers, logs
 from pyspark.sql import functions as F
 
 DATA = "/root/testdata/sf0.001"
@@ -53,3 +53,26 @@ def test_lines_of_every_kind(spark):
     assert (got[5].ts_scalup, got[5].pressure_mbar, got[5].oxygen_mgl, got[5].ph, got[5].field_mask) == (at, 3.0, 4.0, 5.0, 6)
     assert (got[6].turbo_error, got[6].turbo_mtemp_c, got[6].rga_filament, got[6].pump_rpm, got[6].payload_raw) == (0.0, 6.0, None, 9.0, None)
     assert (got[7].turbo_error, got[7].payload_raw, got[7].ts) == (None, "boot,1", at)
+
+
+def test_what_a_file_name_says_is_made_once_per_file(spark, tmp_path):
+    folder = tmp_path / "raw" / "dep+1"
+    folder.mkdir(parents=True)
+    (folder / "gems_2024-01-01-00-00.txt").write_text("a\nb\n")
+    (folder / "gems_2024-01-41-00-00.txt").write_text("c\n")
+    (folder / "x.CSV").write_text("d\n")
+    root = str(tmp_path / "raw")
+    text, csv = logs.scan_text(spark, root, ("gems", "surface"), ["dep+1"]), loggers.scan_csv_text(spark, root, ["dep+1"])
+    for df in (text, csv):
+        assert "UrlCodec" not in _plan(df) and "gettimestamp" not in _plan(df), _plan(df)
+    rows = sorted((r.deployment_id, r.file_name, r.line, r.chunk.split("|")[0], r.chunk[-16:]) for r in text.collect())
+    assert rows == [("dep+1", "gems_2024-01-01-00-00.txt", c, "202401010000", "|000000000000000") for c in "ab"]
+    assert [(r.deployment_id, r.file_name, r.line) for r in csv.collect()] == [("dep+1", "x.CSV", "d")]
+
+
+def test_times_keep_their_rules(spark):
+    texts = ["2024-01-01Z", "2024-01-01ZZ", " 2024-01-01 10:00Z ", "2024-01-01T10:00:01.", "2024-01-01T10:00:01.1234567Z", "2024-02-30", "2024-01-01T10:00:01.12345678Z9", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i INT, t STRING").select("i", iso_timestamp(F.col("t")).alias("t"))
+    got = {r.i: r.t for r in df.collect()}
+    assert [got[i] for i in range(len(texts))] == [
+        datetime(2024, 1, 1), None, datetime(2024, 1, 1, 10), None, datetime(2024, 1, 1, 10, 0, 1, 123456), None, None, None]
