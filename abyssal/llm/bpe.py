@@ -37,6 +37,7 @@ SPACES = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\
 WORDS_KEPT = 400_000  # encoded words that a task remembers
 PAIRS_KEPT = 2_000_000
 TASK_KEEPS = 100_000, 500_000  # words and pairs where a task shares its worker's memory with other stages
+TASK_BYTES = 1 << 20  # texts of a batch there: words, ids and decoded text of a batch take a multiple of it in Python
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -221,7 +222,7 @@ def tokenizer(spark: SparkSession, path: str):
 
     The automaton and the words it remembers live as long as the task: a worker that Spark reuses for other stages keeps neither.
     """
-    bound_batches(spark)
+    bound_batches(spark, TASK_BYTES)
     shared = spark.sparkContext.broadcast(read_vocabulary(path))
 
     @F.pandas_udf("token_ids array<int>, decoded string")

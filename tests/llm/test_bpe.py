@@ -39,3 +39,9 @@ def test_spark_round_trip(spark):
     assert digests(docs.limit(0), PATH).collect() == []
     both = docs.withColumn("r", tokenizer(spark, PATH)("text")).select("text", "r.*").collect()
     assert all((r.token_ids, r.decoded) == (i := t.encode(r.text or "", add_special_tokens=False).ids, t.decode(i, skip_special_tokens=False)) for r in both)
+
+
+def test_batches_beside_other_stages_are_small(spark):
+    """Ids and decoded text of a batch take a multiple of its bytes in every worker of an executor."""
+    tokenizer(spark, PATH)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 20
