@@ -5,8 +5,9 @@ in order, adds its gadget: after a, b may no longer follow (its state is split o
 and c leads where b led. What is left are exactly the token sequences that applying the merges gives. A state is shared by copying
 on write: it holds only the arcs its own gadgets took away, with the number of the merge, and the state it was split from.
 
-A word is encoded from left to right. For every position there is exactly one last token with which the prefix is accepted, so a
-table of last tokens by position is all the encoder keeps: linear in the word's length for any word. Decoding emits arc labels.
+A word is encoded from left to right, the longest arc first. For every position there is exactly one last token with which the
+prefix is accepted, so a position that leads no further is never tried again: linear in the word's length for any word. No word and
+no normalisation reaches across white space, so a task remembers what it encoded by the pieces between. Decoding emits arc labels.
 
 Null texts count as empty and give no tokens. Texts of any length are encoded whole.
 """
@@ -16,9 +17,8 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
 from hashlib import sha256
 from itertools import chain
 
@@ -32,9 +32,11 @@ from abyssal.llm.batches import bound_batches, return_memory
 
 # The byte alphabet of byte-level vocabularies, white space, and the word pattern of the vocabulary file.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-SPACES = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
+SPACES = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
+NO_SPACES = "\x1c\x1d\x1e\x1f"  # that `str.split` takes for white space
 
-WORDS_KEPT = 400_000  # encoded words that a task remembers
+BEGIN = 4  # symbols that bound an arc's length
+WORDS_KEPT = 400_000  # encoded words, and pieces of them, that a task remembers
 PAIRS_KEPT = 2_000_000
 TASK_KEEPS = 100_000, 500_000  # words and pairs where a task shares its worker's memory with other stages
 TASK_BYTES = 1 << 20  # texts of a batch there: words, ids and decoded text of a batch take a multiple of it in Python
@@ -67,25 +69,47 @@ def read_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(model["vocab"], merges, model["end_of_word_suffix"] or "", steps[0]["pattern"]["Regex"], special)
 
 
+class Remembered(dict):
+    """What a function gave, by its argument; forgotten when there are too many."""
+
+    def __init__(self, function: Callable[[str], tuple], most: int):
+        super().__init__()
+        self.function, self.most = function, most
+
+    def __missing__(self, key: str) -> tuple:
+        found = self.function(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = found
+        return found
+
+
 class TokenAutomaton:
     """States, arcs and labels compiled from the merges; encoder and decoder."""
 
     def __init__(self, vocabulary: Vocabulary, words_kept: int = WORDS_KEPT, pairs_kept: int = PAIRS_KEPT):
-        self.words_kept, self.pairs_kept = words_kept, pairs_kept
-        self.vocabulary = vocabulary
+        self.pairs_kept, self.vocabulary = pairs_kept, vocabulary
         ids, alphabet = vocabulary.tokens, byte_alphabet()
         self.labels = [""] * (1 + max([*ids.values(), *vocabulary.special.values()]))
         for token, i in [*ids.items(), *vocabulary.special.items()]:
             self.labels[i] = token
+        self.decimals = [str(i) for i in range(len(self.labels))]
         self.byte = [alphabet[b] for b in range(256)]
         self.removed: dict[tuple[int, int], int] = {}  # (state's token, arc): the merge whose gadget took the arc away
         self.parts: dict[int, tuple[int, int, int]] = {}  # token: left part, right part, merge
         self.readable = {s: ids[s] for c in alphabet.values() for s in (c, c + vocabulary.suffix) if s in ids}
         for rank, (a, b) in enumerate(vocabulary.merges):
             self._gadget(rank, ids[a], ids[b], a + b)
-        self.longest = max(map(len, self.readable), default=1)
-        self.known: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.longest: dict[str, int] = {}  # of the arcs that begin with these symbols
+        for label in self.readable:
+            symbols = label.removesuffix(vocabulary.suffix)
+            if len(symbols) >= BEGIN:
+                self.longest[symbols[:BEGIN]] = max(len(symbols), self.longest.get(symbols[:BEGIN], 0))
+        self.known: dict[int, bool] = {}
+        self.words = Remembered(self.encode_word, words_kept)
+        self.pieces = Remembered(self._encode_piece, words_kept)
+        self.listed = Remembered(self._list_piece, words_kept)
+        self.listed_words = Remembered(self._list_word, words_kept)
         self.split = regex.compile(vocabulary.pattern)
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
 
@@ -119,7 +143,7 @@ class TokenAutomaton:
 
     def follows(self, token: int, arc: int) -> bool:
         """`_follows`, as a transition table that is filled on first use."""
-        key = (token, arc)
+        key = token << 32 | arc
         found = self.known.get(key)
         if found is None:
             if len(self.known) > self.pairs_kept:
@@ -129,53 +153,92 @@ class TokenAutomaton:
 
     def encode_word(self, word: str) -> tuple[int, ...]:
         """Tokens of one pre-split word."""
-        symbols = [self.byte[b] for b in word.encode()]
-        text, n = "".join(symbols), len(symbols)
-        last: list[int | None] = [None] * (n + 1)
-        begun = [0] * (n + 1)
-        for end in range(1, n + 1):
-            tail = self.vocabulary.suffix if end == n else ""
-            for start in range(max(0, end - self.longest), end):
-                arc = self.readable.get(text[start:end] + tail)
-                if arc is None:
-                    continue
-                before = last[start]
-                if start == 0 or (before is not None and self.follows(before, arc)):
-                    last[end], begun[end] = arc, start
-                    break
-        out, at = [], n
-        while at:
-            out.append(last[at])
-            at = begun[at]
-        return tuple(out[::-1])
-
-    def _encode_plain(self, text: str) -> list[int]:
-        text = regex.sub(SPACES, " ", unicodedata.normalize("NFC", text))
+        text, read, suffix = "".join(map(self.byte.__getitem__, word.encode())), self.readable.get, self.vocabulary.suffix
+        whole = read(text + suffix)
+        if whole is not None:
+            return (whole,)
+        n, longest, known = len(text), self.longest.get, self.known.get
+        out: list[int] = []
+        begun: list[int] = []
+        dead: set[int] = set()  # positions that lead no further
+        start, end, last = 0, min(n, longest(text[:BEGIN], BEGIN - 1)), None
+        while start < n:
+            while end > start:
+                arc = read(text[start:end] if end < n else text[start:] + suffix)
+                if arc is not None and end not in dead:
+                    if last is None:
+                        break
+                    follows = known(last << 32 | arc)
+                    if self.follows(last, arc) if follows is None else follows:
+                        break
+                end -= 1
+            else:
+                if last is None:
+                    raise ValueError("the vocabulary lacks a symbol of the text")
+                dead.add(start)
+                out.pop()
+                last = out[-1] if out else None
+                start, end = begun.pop(), start - 1
+                continue
+            out.append(arc)
+            begun.append(start)
+            start, last = end, arc
+            end = start + longest(text[start : start + BEGIN], BEGIN - 1)
+            if end > n:
+                end = n
+        return tuple(out)
+
+    def _words(self, piece: str) -> list[str]:
         # lower case character by character: no special form of a final sigma
-        words = self.split.findall(text.replace("Σ", "σ").lower())
-        known = self.words
-        if len(known) > self.words_kept:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = self.encode_word(w)
-        return list(chain.from_iterable(map(known.__getitem__, words)))
+        return self.split.findall(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())
+
+    def _encode_piece(self, piece: str) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self.words.__getitem__, self._words(piece))))
+
+    def _list_word(self, word: str) -> tuple[str, str]:
+        ids = self.encode_word(word)
+        return " ".join(map(self.decimals.__getitem__, ids)), self.decode(ids)
+
+    def _list_piece(self, piece: str) -> tuple[str, str]:
+        words = self._words(piece)
+        if len(words) == 1:
+            return self.listed_words[words[0]]
+        listed = [self.listed_words[w] for w in words]
+        return " ".join([x[0] for x in listed]), " ".join([x[1] for x in listed])
+
+    def _cut(self, text: str) -> list[str]:
+        """The pieces between white space."""
+        return SPACES.split(text) if any(c in text for c in NO_SPACES) else text.split()
+
+    def _parts(self, text: str) -> Iterator[tuple[str, bool]]:
+        """Special tokens and the texts between them; is it one?"""
+        if self.special is None or not any(s in text for s in self.vocabulary.special):
+            return iter([(text, False)])
+        return ((part, i % 2 == 1) for i, part in enumerate(self.special.split(text)))
 
     def encode(self, text: str) -> list[int]:
-        if self.special is None or not self.special.search(text):
-            return self._encode_plain(text)
         out: list[int] = []
-        for i, part in enumerate(self.special.split(text)):
-            out += [self.vocabulary.special[part]] if i % 2 else self._encode_plain(part)
+        for part, special in self._parts(text):
+            out += [self.vocabulary.special[part]] if special else chain.from_iterable(map(self.pieces.__getitem__, self._cut(part)))
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def texts(self, text: str) -> tuple[str, str]:
+        """The ids as decimals and what they decode to, each joined by blanks."""
+        ids, labels = [], []
+        for part, special in self._parts(text):
+            if special:
+                ids.append(self.decimals[self.vocabulary.special[part]])
+                labels.append(part)
+            elif pieces := self._cut(part):
+                listed, decoded = zip(*map(self.listed.__getitem__, pieces))
+                ids += listed
+                labels += decoded
+        return " ".join(filter(None, ids)), " ".join(filter(None, labels))
+
+    def decode(self, ids: Iterable[int]) -> str:
         """The labels of the arcs; a vocabulary without a decoder joins them by blanks."""
         return " ".join(map(self.labels.__getitem__, ids))
 
-    @cached_property
-    def decimals(self) -> list[str]:
-        return [str(i) for i in range(len(self.labels))]
-
 
 #: The automaton of the vocabulary that this Python worker compiled last.
 _COMPILED: dict[int, TokenAutomaton] = {}
@@ -247,13 +310,12 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         automaton = compiled(shared)
-        decimals = automaton.decimals
         for texts in batches:
             out = []
             for t in texts:
-                ids = automaton.encode(t) if isinstance(t, str) else []
-                listed = " ".join(map(decimals.__getitem__, ids))
-                out.append((len(ids), sha256(listed.encode()).hexdigest(), sha256(automaton.decode(ids).encode()).hexdigest()))
+                listed, decoded = automaton.texts(t) if isinstance(t, str) else ("", "")
+                n = listed.count(" ") + 1 if listed else 0
+                out.append((n, sha256(listed.encode()).hexdigest(), sha256(decoded.encode()).hexdigest()))
             yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", run("text").alias("r")).select("doc_id", "r.*")

@@ -45,3 +45,29 @@ def test_batches_beside_other_stages_are_small(spark):
     """Ids and decoded text of a batch take a multiple of its bytes in every worker of an executor."""
     tokenizer(spark, PATH)
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 20
+
+
+def test_pieces_between_white_space_like_the_library():
+    """What a task remembers by pieces is what the whole text gives, with all white space, marks after it and special tokens."""
+    t, a, rng = reference(), TokenAutomaton(read_vocabulary(PATH), 50), random.Random(4)
+    parts = [*" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0    ​   　", "́", "̧", "e", "Σ", "ΑΣ", "İ", "don't", "X,", "ᄀ", "ᅡ",
+             "12", "<|endoftext|>", "<|ENDOFTEXT|>", "word", "ab" * 40]
+    texts = ["", " ", "\x1c", *("".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(3000))]
+    for text, e in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
+        assert a.texts(text) == (" ".join(map(str, e.ids)), t.decode(e.ids, skip_special_tokens=False)), text
+        assert a.encode(text) == e.ids
+
+
+def test_few_arcs_are_tried_for_a_word():
+    class Counting(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+    a, rng = TokenAutomaton(read_vocabulary(PATH)), random.Random(5)
+    a.readable = Counting(a.readable)
+    for word in ("".join(rng.choice("etaoinshrdlu") for _ in range(30)) for _ in range(200)):
+        a.encode_word(word)
+    assert a.readable.asked < 200 * 30 * 6
