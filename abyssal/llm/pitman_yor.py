@@ -37,11 +37,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abyssal.functions.common import remove_dirs, write_and_read
+from abyssal.functions.common import remove_dirs, shared_dir, write_and_read
 from abyssal.llm.batches import bound_batches
 
 EXACT = 64
 SWEEPS, SAMPLES = 4, 3
+SAMPLED = [f"p{i}" for i in range(SAMPLES)]
 STRENGTH = 10.0
 MOST_CONTEXTS = 20_000
 FREQUENT = 400_000
@@ -341,8 +342,12 @@ def before(at: np.ndarray) -> np.ndarray:
     return np.concatenate((np.zeros(1, np.int64), at[:-1]))
 
 
+def slice_of(pair: Column) -> Column:
+    return F.pmod(pair, F.lit(SLICES)).cast("int")
+
+
 def count_pairs(texts: DataFrame) -> DataFrame:
-    """(before, hash, c, n) over columns text and held_out: every token after every other, in training and in all."""
+    """(before, hash, c, n, slice) over columns text and held_out: every token after every other, in training and in all."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         slots = _Slots()
@@ -356,7 +361,7 @@ def count_pairs(texts: DataFrame) -> DataFrame:
             yield pd.DataFrame({"before": slots.hash[codes >> 32], "hash": slots.hash[codes & 0xFFFFFFFF], "c": c.astype(np.int64), "n": n})
 
     found = texts.mapInPandas(run, "before bigint, hash bigint, c bigint, n bigint")
-    return found.groupBy("before", "hash").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+    return found.groupBy("before", "hash").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).withColumn("slice", slice_of(_pair()))
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -373,7 +378,9 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def seat_words(words: DataFrame, model: WordModel, state: Sample, number: int) -> DataFrame:
-    """(word, hash, c, n, t, log_base) of words with ``n`` customers."""
+    """(word, hash, c, n, p0 .., t, log_base) of words with ``n`` customers; what earlier samples gave stays."""
+    columns = ["word", "hash", "c", "n", *[x for x in words.columns if x in SAMPLED]]
+    schema = ", ".join(f"{x} {t}" for x, t in words.select(columns).dtypes) + ", t bigint, log_base double"
     shared = words.sparkSession.sparkContext.broadcast((model, state))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -382,7 +389,7 @@ def seat_words(words: DataFrame, model: WordModel, state: Sample, number: int) -
             t, log_base = model.seat(pdf["word"].tolist(), pdf["n"].to_numpy(), pdf["hash"].to_numpy(), state, number)
             yield pdf.assign(t=t, log_base=log_base)
 
-    return words.select("word", "hash", "c", "n").mapInPandas(run, "word binary, hash bigint, c bigint, n bigint, t bigint, log_base double")
+    return words.select(columns).mapInPandas(run, schema)
 
 
 def fit_spelling(words: DataFrame, number: int) -> Sample:
@@ -437,11 +444,10 @@ def discount_of(rows: DataFrame) -> float:
     return float(np.clip((once + 1) / (once + 2 * twice + 2), 0.1, 0.9))
 
 
-def _met(rows: DataFrame, table: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
-    """All rows with what ``table`` has for their key, if anything; keys in ``heavy`` meet by broadcast, so they make no large group."""
-    known = F.broadcast(table.join(F.broadcast(heavy), key, "left_semi"))
-    rest = table.join(F.broadcast(heavy), key, "left_anti")
-    return rows.join(known, key).unionByName(rows.join(F.broadcast(heavy), key, "left_anti").join(rest, key, "left"))
+def _met(rows: DataFrame, table: DataFrame, heavy: DataFrame, key: str) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """Rows whose key is in ``heavy`` with the part of ``table`` they meet by broadcast, so they make no large group; the others and theirs."""
+    heavy = F.broadcast(heavy)
+    return (rows.join(heavy, key, "left_semi"), F.broadcast(table.join(heavy, key, "left_semi"))), (rows.join(heavy, key, "left_anti"), table.join(heavy, key, "left_anti"))
 
 
 @dataclass
@@ -459,8 +465,11 @@ class Fitted:
 
     def scored(self, pairs: DataFrame) -> DataFrame:
         """(pair, c_word, log_p): log10 of the averaged predictive probability of every row of ``pairs``."""
-        both = _met(pairs, self.words.withColumnRenamed("c", "c_word"), self.heavy_words, "hash")
-        both = _met(both, self.contexts, self.heavy_contexts, "before")
+        words, both = self.words.withColumnRenamed("c", "c_word"), None
+        for rows, of_words in _met(pairs, words, self.heavy_words, "hash"):
+            for some, of_contexts in _met(rows, self.contexts, self.heavy_contexts, "before"):
+                met = some.join(of_words, "hash", "left").join(of_contexts, "before", "left")
+                both = met if both is None else both.unionByName(met)
         total, own = F.coalesce("total", F.lit(0)), F.lit(SAMPLES) * F.col("c") - F.lit(self.discount) * F.col("sum")
         for i in range(SAMPLES):
             own = own + (F.lit(STRENGTH) + F.lit(self.discount) * F.coalesce(f"seats{i}", F.lit(0))) * F.col(f"p{i}")
@@ -475,13 +484,13 @@ def fit(words: DataFrame, pairs: DataFrame, made: list[str]) -> Fitted:
     discount = discount_of(pairs)
     # a pair seen once has one table whatever the sweep
     once = F.count_if(F.col("c") == 1)
-    contexts = write_and_read(pairs.filter("c > 0").groupBy("before").agg(F.sum("c").alias("total"), once.alias("fixed"), F.count("*").alias("seats")), made)
-    fixed = write_and_read(pairs.filter("c > 0").groupBy("hash").agg(once.alias("fixed"), F.count("*").alias("n")), made)
-    seated = pairs.filter("c > 1").select("*", F.lit(0).cast("bigint").alias("sum"), F.lit(1).cast("bigint").alias("t"))
-    seated = write_and_read(seated, made)
-    customers, state = fixed.select("hash", "n"), fit_spelling(words.withColumn("t", (F.col("c") > 0).cast("bigint")), 0)
-    kept_words, kept_contexts = words.select("hash", "c"), contexts.select("before", "total")
     old: list[str] = []  # tables of the sweep before
+    kept: list[str] = []  # tables of all sweeps
+    contexts = write_and_read(pairs.filter("c > 0").groupBy("before").agg(F.sum("c").alias("total"), once.alias("fixed"), F.count("*").alias("seats")), old)
+    fixed = write_and_read(pairs.filter("c > 0").groupBy("hash").agg(once.alias("fixed"), F.count("*").alias("n")), kept)
+    seated = pairs.filter("c > 1").select("before", "hash", "c", "n", F.lit(0).cast("bigint").alias("sum"), F.lit(1).cast("bigint").alias("t"))
+    seated = write_and_read(seated, old)
+    customers, state = fixed.select("hash", "n"), fit_spelling(words.withColumn("t", (F.col("c") > 0).cast("bigint")), 0)
     for number in range(1, SWEEPS + 1):
         now: list[str] = []
         placed = words.join(customers, "hash", "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -489,13 +498,12 @@ def fit(words: DataFrame, pairs: DataFrame, made: list[str]) -> Fitted:
         all_n, tables = (x or 0 for x in placed.agg(F.sum("n"), F.sum("t")).first())
         model.others = all_n
         p = (F.col("n") - model.discount * F.col("t") + F.exp("log_base") * (STRENGTH + model.discount * tables)) / (STRENGTH + all_n)
-        sample = number - (SWEEPS - SAMPLES) - 1
+        words, sample = placed.select("word", "hash", "c", *[x for x in SAMPLED if x in placed.columns]), number - (SWEEPS - SAMPLES) - 1
         if sample >= 0:
-            kept_words = write_and_read(kept_words.join(placed.select("hash", p.alias(f"p{sample}")), "hash"), made)
-            kept_contexts = write_and_read(kept_contexts.join(contexts.select("before", F.col("seats").alias(f"seats{sample}")), "before"), made)
+            words = placed.select(*words.columns, p.alias(f"p{sample}"))
+            contexts = contexts.withColumn(f"seats{sample}", F.col("seats"))
             seated = seated.withColumn("sum", F.col("sum") + F.col("t"))
         if number == SWEEPS:
-            made += now
             break
         state = fit_spelling(placed, number)
         met = seated.join(placed.select("hash", F.log(p).alias("log_p")), "hash").join(contexts.select("before", "seats"), "before")
@@ -509,11 +517,14 @@ def fit(words: DataFrame, pairs: DataFrame, made: list[str]) -> Fitted:
         customers = write_and_read(customers, now)
         remove_dirs(spark, old)
         old = now
+    words, contexts = write_and_read(words.drop("word"), made), write_and_read(contexts.drop("fixed", "seats"), made)
+    seated = write_and_read(seated.drop("t"), made)
+    remove_dirs(spark, old + now + kept)
     rest = pairs.filter("c < 2").withColumn("sum", F.lit(SAMPLES) * F.col("c"))
-    made += old
-    heavy_words = write_and_read(kept_words.orderBy(F.desc("c"), "hash").limit(HEAVY).select("hash"), made)
-    heavy_contexts = write_and_read(kept_contexts.orderBy(F.desc("total"), "before").limit(HEAVY).select("before"), made)
-    return Fitted(model, discount, kept_words, kept_contexts, rest.unionByName(seated.drop("t")), heavy_words, heavy_contexts)
+    heavy_words = write_and_read(words.orderBy(F.desc("c"), "hash").limit(HEAVY).select("hash"), made)
+    heavy_contexts = write_and_read(contexts.orderBy(F.desc("total"), "before").limit(HEAVY).select("before"), made)
+    both = rest.select("before", "hash", "c", "n", "sum", "slice").unionByName(seated.withColumn("slice", slice_of(_pair())))
+    return Fitted(model, discount, words, contexts, both, heavy_words, heavy_contexts)
 
 
 @dataclass
@@ -527,10 +538,12 @@ class Frequent:
 
 
 def _scorer(frequent: Frequent, spark: SparkSession):
-    """Column function of a text: what its frequent pairs give, and hash and count of each other pair."""
+    """Column function of a text: what its frequent pairs give, and hash and count of each other pair, by slice."""
     shared = spark.sparkContext.broadcast(frequent)
+    sums = ["n", "n_known", "base", "score"]
+    tails = [f"{x}{i}" for i in range(SLICES) for x in ("pairs", "counts")]
 
-    @F.pandas_udf("n bigint, n_known bigint, base double, score double, pairs array<bigint>, counts array<bigint>")
+    @F.pandas_udf("n bigint, n_known bigint, base double, score double, " + ", ".join(f"{x} array<bigint>" for x in tails))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         f, slots = shared.value, _Slots()
         for series in batches:
@@ -539,13 +552,23 @@ def _scorer(frequent: Frequent, spark: SparkSession):
                 for at in slots.numbers([words_of(t) for t in series.iloc[a : a + 500]]):
                     codes, counts = np.unique(pair_hash(slots.hash[before(at)], slots.hash[at]), return_counts=True)
                     place, there = find(f.pairs, codes)
-                    front, n, tail = place[there], counts[there], ~there
-                    out.append((len(at), int(n @ f.known[front]), float(n @ f.base[front]), float(n @ f.log_p[front]), codes[tail], counts[tail]))
-            yield pd.DataFrame(out, columns=["n", "n_known", "base", "score", "pairs", "counts"])
+                    front, n, codes, counts = place[there], counts[there], codes[~there], counts[~there]
+                    parts = [x for i in range(SLICES) for x in (codes[codes % SLICES == i], counts[codes % SLICES == i])]
+                    out.append((len(at), int(n @ f.known[front]), float(n @ f.base[front]), float(n @ f.log_p[front]), *parts))
+            yield pd.DataFrame(out, columns=sums + tails)
 
     return run
 
 
+def _write_slices(pairs: DataFrame, made: list[str]) -> DataFrame:
+    """As `write_and_read`, a folder for each slice, so scoring a slice reads no other."""
+    spark, path = pairs.sparkSession, shared_dir(pairs.sparkSession)
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(SLICES))  # no sort by slice before
+    pairs.write.partitionBy("slice").parquet(path)
+    made.append(path)
+    return spark.read.schema(pairs.schema).parquet(path)
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and perplexity (per token)."""
     spark, made = docs.sparkSession, []
@@ -553,9 +576,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequ
     # every shuffle here feeds one write; pairs outnumber all else, so their files go when it is done
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
-    words = write_and_read(count_words(source.select("text", "held_out")), made)
-    pairs = write_and_read(count_pairs(source.select("text", "held_out")), made)
+    counted: list[str] = []
+    words = write_and_read(count_words(source.select("text", "held_out")), counted)
+    pairs = _write_slices(count_pairs(source.select("text", "held_out")), made)
     fitted = fit(words, pairs, made)
+    remove_dirs(spark, counted)
     model = fitted.model
     # the smallest count that at most ``frequent`` pairs reach
     sizes = sorted(((r["n"], r["count"]) for r in pairs.groupBy("n").count().collect()), reverse=True)
@@ -573,13 +598,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequ
     # the row number is written with its row, and stays
     parts = write_and_read(scored.withColumn("key", F.monotonically_increasing_id()))
     rare = fitted.pairs.filter(F.col("n") < cutoff)
-    each = parts.select("key", F.explode(F.arrays_zip("pairs", "counts")).alias("t"))
-    tails = each.select("key", F.col("t.pairs").alias("pair"), F.col("t.counts").alias("n"))
     c, columns = F.col("c_word"), ["key", "n_known", "base", "score"]
-    slice_of = lambda pair: F.pmod(pair, F.lit(SLICES))
     per = parts.select(columns)
     for i in range(SLICES):
-        met = tails.filter(slice_of(F.col("pair")) == i).join(fitted.scored(rare.filter(slice_of(_pair()) == i)), "pair").select(
+        each = parts.select("key", F.explode(F.arrays_zip(F.col(f"pairs{i}").alias("pair"), F.col(f"counts{i}").alias("n"))).alias("t"))
+        met = each.select("key", "t.pair", "t.n").join(fitted.scored(rare.filter(F.col("slice") == i)), "pair").select(
             "key", F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * F.log10((c + 0.1) * F.lit(ratio))).alias("base"), (F.col("n") * F.col("log_p")).alias("score")
         )
         per = per.unionByName(write_and_read(met.groupBy("key").agg(*[F.sum(x).alias(x) for x in columns[1:]]), made))

@@ -3,9 +3,11 @@ import random
 import zlib
 from collections import Counter
 from itertools import product
+from pathlib import Path
 
 import numpy as np
 
+from abyssal.functions.common import shared_dir
 from abyssal.llm import pitman_yor as py
 
 
@@ -143,3 +145,13 @@ def test_sweeps_and_samples(spark):
     assert (py.SWEEPS, py.SAMPLES) == (4, 3)
     assert [c for c in fitted.words.columns if c.startswith("p")] == ["p0", "p1", "p2"]
     assert all(3 <= r["sum"] <= 3 * r["c"] for r in fitted.pairs.collect())
+
+
+def test_fit_leaves_what_scoring_reads(spark):
+    """Tables of the sweeps and of earlier samples go before texts are scored."""
+    docs = spark.createDataFrame([(i, "a b a c a b", False) for i in range(5)], "doc_id bigint, text string, held_out boolean")
+    base, made = Path(shared_dir(spark)).parent, []
+    there = set(base.iterdir())
+    py.fit(py.count_words(docs).cache(), py.count_pairs(docs).cache(), made)
+    assert {x.name for x in set(base.iterdir()) - there} == {Path(x).name for x in made}
+    assert len(made) == 5  # words, contexts, seated pairs, keys of the largest words and contexts
