@@ -134,7 +134,7 @@ def calibrate(rows: DataFrame, calibrations: DataFrame) -> DataFrame:
     # Parsed once: the interval's medians and the files' first readings would otherwise read the exports again for each of their steps.
     rows = write_and_read(rows)
     files = write_and_read(rows.groupBy(KEY, "file_path", "serial_number").agg(F.min("ts").alias("first_ts")))
-    per_file = select_calibration(files, calibrations)
+    per_file = write_and_read(select_calibration(files, calibrations))  # like the intervals a row per file: readings need no shuffle to meet them
     joined = rows.join(logging_interval(rows), [KEY, "file_path"], "left").join(per_file, [KEY, "file_path"], "left")
     usable = F.col("cal_interval_s").isNull() | (F.col("cal_interval_s") == F.col("interval_s"))
     par = at_least(F.col("par_raw") * F.col("slope") + F.col("intercept"), 0.0)

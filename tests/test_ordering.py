@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from abyssal.operators import stats
 from abyssal.operators.asof import asof_join, match_to_windows
 from abyssal.operators.greedy import HoldRule, RepeatRule, greedy_segments
 from abyssal.operators.stats import exact_median
@@ -137,6 +138,21 @@ def test_exact_median(spark):
         assert got[key] == pytest.approx(statistics.median(real), rel=1e-12, abs=1e-300)
 
 
+@pytest.mark.parametrize("few", [stats.FEW_GROUPS, 0])
+def test_a_median_sends_no_rows_to_the_driver(spark, tmp_path, monkeypatch, few):
+    """Repeated values are a few kB on disk and a hundred MB in memory; only the places of the middle ranks may be broadcast."""
+    monkeypatch.setattr(stats, "FEW_GROUPS", few)
+    name = F.concat(F.lit("a file of a long name, " * 5), (F.col("id") % 3).cast("string"))
+    spark.range(600_000).select(name.alias("k"), (F.col("id") % 7).cast("double").alias("v")).repartition(2, "k").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.maxBroadcastTableSize", str(64 << 20))
+    try:
+        got = exact_median(df, ["k"], F.col("v")).collect()
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert len(got) == 3 and {r.median for r in got} == {3.0}
+
+
 def _greedy(rows, conflicts):
     """Starts by a plain loop: a row starts a segment when it conflicts with the rows of the open one."""
     starts, open_rows = [], []
