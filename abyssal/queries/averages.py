@@ -147,7 +147,7 @@ def light_trend(spark, d):
 
 @query("AGG13", f"{D} interval_s:6", f"SELECT DISTINCT {D}, interval_s FROM ({CALIBRATED})")
 def intervals(spark, d):
-    return loggers.logging_interval(loggers.read_par_rows(loggers.scan_csv_text(spark, standin.archive(spark, d))))
+    return loggers.logging_interval(loggers.read_par_rows(loggers.scan_csv_text(spark, standin.archive(spark, d, "exports"))))
 
 
 @query("AGG14", f"{D} chamber r_dark_mmol_m2_h:4", f"""

@@ -1,4 +1,5 @@
 from abyssal import standin
+from abyssal.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
@@ -17,3 +18,11 @@ def test_an_archive_holds_the_kinds_that_are_read(spark):
                             .load(standin.archive(spark, "/root/testdata/../testdata/sf0.001", *kinds)).select("path").collect()}
     assert names("exports") == {"PAR", "hobo", "gems"}
     assert names() == {"PAR", "hobo", "gems", "surface"}
+
+
+def test_queries_on_exports_write_no_logs(spark, monkeypatch):
+    asked, archive = [], standin.archive
+    monkeypatch.setattr(standin, "archive", lambda spark, d, *kinds: asked.append(kinds) or archive(spark, d, *kinds))
+    for name in ("AGG13", "DOM12", "FLT09"):
+        QUERIES[name](spark, DATA)
+    assert asked == [("exports",)] * 3
