@@ -148,7 +148,7 @@ def fitted_curves(spark, d):
 
 @query("DOM12", f"{D} ts scan_no par_raw par_umol_m2_s:4 serial_number sensor_number interval_s:6", f"SELECT * FROM ({CALIBRATED})")
 def calibrated(spark, d):
-    return loggers.read_par(spark, standin.archive(spark, d), standin.calibrations(spark))
+    return loggers.read_par(spark, standin.archive(spark, d, "exports"), standin.calibrations(spark))
 
 
 SETS = [{"settle_offset_s": 60.0}, {"settle_offset_s": 300.0, "chamber_volume_l": 24.0, "total_pressure_sensitivity_a_per_torr": 2e-5}]
